@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "apply_queries",
+    "filter_queries",
 ]
 
 
