@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "apply_queries",
     "filter_queries",
+    "decode_queries",
 ]
 
 
