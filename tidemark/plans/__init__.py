@@ -8,6 +8,7 @@ MODULES = [
     "apply_queries",
     "filter_queries",
     "decode_queries",
+    "join_queries",
 ]
 
 

@@ -2,7 +2,7 @@
 
 The driver tables hold no change log, so the queries derive one with Spark
 expressions over the whole input tables (every row is used; nothing is
-sampled).  ``plans/oracle.py`` holds the same derivations in SQL.
+sampled).  ``plans/registry.py`` holds the same derivations in SQL.
 """
 
 from __future__ import annotations
@@ -120,3 +120,26 @@ def tag_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.split(F.lower(F.col("p_type")), " ")).alias("tag"),
     )
     return words.distinct()
+
+
+def tag_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All known tags: words of part names and part types (the type words are
+    the ones in use, name words mostly are not)."""
+    (p,) = tables(spark, sf_dir, "part")
+    name_words = p.select(F.explode(F.split(F.lower(F.col("p_name")), " ")).alias("tag"))
+    type_words = p.select(F.explode(F.split(F.lower(F.col("p_type")), " ")).alias("tag"))
+    return name_words.unionByName(type_words).distinct()
+
+
+def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table-sync branches: one per tagged sync id, with its pipeline,
+    destination and source table."""
+    syncs = tag_links(spark, sf_dir).select("sync_id").distinct()
+    return syncs.select(
+        "sync_id",
+        (F.col("sync_id") % 5).alias("pipeline_id"),
+        F.concat(F.lit("pipeline_"), (F.col("sync_id") % 5).cast("string")).alias("pipeline_name"),
+        (F.col("sync_id") % 3 + 1).alias("destination_id"),
+        F.concat(F.lit("dest_"), (F.col("sync_id") % 3 + 1).cast("string")).alias("destination_name"),
+        F.concat(F.lit("tbl_"), (F.col("sync_id") % EVENT_TABLES).cast("string")).alias("table_name"),
+    )

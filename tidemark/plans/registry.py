@@ -82,3 +82,19 @@ tag_links AS (
   SELECT DISTINCT CAST(p_partkey % 50 AS BIGINT) AS sync_id, tag
   FROM (SELECT p_partkey, unnest(string_split(lower(p_type), ' ')) AS tag FROM part))
 """
+
+TAG_LIST = """
+tag_list AS (
+  SELECT DISTINCT tag FROM (
+    SELECT unnest(string_split(lower(p_name), ' ')) AS tag FROM part
+    UNION ALL
+    SELECT unnest(string_split(lower(p_type), ' ')) AS tag FROM part))
+"""
+
+BRANCHES = """
+branches AS (
+  SELECT sync_id, sync_id % 5 AS pipeline_id, 'pipeline_' || CAST(sync_id % 5 AS VARCHAR) AS pipeline_name,
+         sync_id % 3 + 1 AS destination_id, 'dest_' || CAST(sync_id % 3 + 1 AS VARCHAR) AS destination_name,
+         'tbl_' || CAST(sync_id % 10 AS VARCHAR) AS table_name
+  FROM (SELECT DISTINCT sync_id FROM tag_links))
+"""
