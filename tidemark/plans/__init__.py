@@ -9,6 +9,7 @@ MODULES = [
     "filter_queries",
     "decode_queries",
     "join_queries",
+    "backfill_queries",
 ]
 
 
