@@ -10,6 +10,7 @@ MODULES = [
     "decode_queries",
     "join_queries",
     "backfill_queries",
+    "monitor_queries",
 ]
 
 
