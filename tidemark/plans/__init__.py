@@ -11,6 +11,7 @@ MODULES = [
     "join_queries",
     "backfill_queries",
     "monitor_queries",
+    "schema_queries",
 ]
 
 
