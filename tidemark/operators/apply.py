@@ -136,7 +136,7 @@ def apply_changes(
     return kept.unionByName(cast_like(survivors, target.schema))
 
 
-def landing_rows(df: DataFrame, op_col: str, batch_ts: str, ts_name: str = "SYNC_TIMESTAMP_ROSETTA") -> DataFrame:
+def landing_rows(df: DataFrame, op_col: str, batch_ts: str, ts_name: str = "SYNC_TIMESTAMP") -> DataFrame:
     """K2: the landing-table shape: upper-case source columns, an OPERATION
     column normalised to ``d``/``u``/``c`` (everything else is an insert), and
     the batch's sync timestamp."""

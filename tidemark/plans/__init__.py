@@ -12,6 +12,7 @@ MODULES = [
     "backfill_queries",
     "monitor_queries",
     "schema_queries",
+    "dlq_queries",
 ]
 
 

@@ -156,7 +156,7 @@ def apply_upsert_composite(spark, sf_dir):
     + """
 SELECT k AS "K", seq AS "SEQ", ts AS "TS", event_type AS "EVENT_TYPE", value AS "VALUE", props AS "PROPS",
        CASE WHEN lower(op) = 'd' THEN 'd' WHEN lower(op) = 'u' THEN 'u' ELSE 'c' END AS "OPERATION",
-       TIMESTAMP '2024-01-31 00:00:00' AS "SYNC_TIMESTAMP_ROSETTA"
+       TIMESTAMP '2024-01-31 00:00:00' AS "SYNC_TIMESTAMP"
 FROM chg_events
 """,
 )

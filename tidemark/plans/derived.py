@@ -101,7 +101,9 @@ def dlq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.select(
         F.col("seq").alias("msg_id"),
         F.lit(1).alias("source_id"),
-        F.concat(F.lit("tbl_"), (F.col("k") % EVENT_TABLES).cast("string")).alias("table_name"),
+        F.concat(
+            F.when(F.col("k") % 2 == 0, F.lit("public.tbl_")).otherwise(F.lit("tbl_")), (F.col("k") % EVENT_TABLES).cast("string")
+        ).alias("table_name"),
         (F.col("k") % 3 + 1).cast("int").alias("destination_id"),
         "k",
         "op",

@@ -71,7 +71,8 @@ volume_log AS (
 
 DLQ_MESSAGES = """
 dlq_messages AS (
-  SELECT seq AS msg_id, 1 AS source_id, 'tbl_' || CAST(k % 10 AS VARCHAR) AS table_name,
+  SELECT seq AS msg_id, 1 AS source_id,
+         CASE WHEN k % 2 = 0 THEN 'public.tbl_' ELSE 'tbl_' END || CAST(k % 10 AS VARCHAR) AS table_name,
          CAST(k % 3 + 1 AS INTEGER) AS destination_id, k, op, value,
          CAST(seq % 12 AS INTEGER) AS retry_count, ts AS first_failed_at
   FROM chg_events WHERE op = 'd')
