@@ -13,6 +13,7 @@ MODULES = [
     "monitor_queries",
     "schema_queries",
     "dlq_queries",
+    "alert_queries",
 ]
 
 
