@@ -48,7 +48,7 @@ def test_redact(spark):
 
 
 def test_error_class(spark):
-    df = spark.createDataFrame([("Connection refused by host",), ("column x does not exist",), ("weird password=1",), ("",)], "m string")
+    df = spark.createDataFrame([("Connection refused by host",), ("ERROR: column does not exist: x",), ("weird password=1",), ("",)], "m string")
     got = [r[0] for r in df.select(R.error_class(F.col("m"))).collect()]
     assert got == [
         "Unable to connect to destination database",
