@@ -58,10 +58,17 @@ def run_transform(
     text is never rewritten."""
     if not sql or not sql.strip():
         return batch
+    # Bind and run in the batch's own session: inside ``foreachBatch`` that is
+    # the streaming query's session, whose temp views the caller cannot see.
+    session = batch.sparkSession
     batch.createOrReplaceTempView(table_name)
     for name, df in (side_inputs or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+        if df.sparkSession._jsparkSession.equals(session._jsparkSession):
+            df.createOrReplaceTempView(name)
+        else:
+            df.createOrReplaceGlobalTempView(name)
+            session.sql(f"CREATE OR REPLACE TEMP VIEW `{name}` AS SELECT * FROM global_temp.`{name}`")
+    return session.sql(sql)
 
 
 def lookup(

@@ -14,6 +14,7 @@ MODULES = [
     "schema_queries",
     "dlq_queries",
     "alert_queries",
+    "stream_queries",
 ]
 
 
