@@ -46,16 +46,27 @@ def unscaled_from_base64(b64: Column) -> Column:
     which yields two's complement directly.  Overflow beyond 38 digits gives
     NULL (``try_`` arithmetic), which callers route to the dead-letter table.
     """
+    import decimal
+
     h = F.hex(F.unbase64(b64))
-    n = F.length(h) / 2
+    n = (F.length(h) / 2).cast("int")
+    negative = _byte(h, F.lit(1)) >= 128
+    # Fast path (up to 8 bytes, the usual case): the unsigned value via conv,
+    # minus 2^(8n) when the sign bit is set -- exact decimal arithmetic.
+    unsigned = F.conv(h, 16, 10).cast("decimal(38,0)")
+    offset = F.lit(None).cast("decimal(38,0)")
+    for k in range(8, 0, -1):
+        offset = F.when(n == k, F.lit(decimal.Decimal(2 ** (8 * k))).cast("decimal(38,0)")).otherwise(offset)
+    fast = F.when(negative, unsigned - offset).otherwise(unsigned).cast("decimal(38,0)")
+    # Wider values: fold the bytes left to right from -1 (sign set) or 0.
     zero = F.lit(0).cast("decimal(38,0)")
-    init = F.when(_byte(h, F.lit(1)) >= 128, F.lit(-1).cast("decimal(38,0)")).otherwise(zero)
+    init = F.when(negative, F.lit(-1).cast("decimal(38,0)")).otherwise(zero)
     folded = F.aggregate(
-        F.sequence(F.lit(1), n.cast("int")),
+        F.sequence(F.lit(1), n),
         init,
         lambda acc, i: F.try_add(F.try_multiply(acc, F.lit(256).cast("decimal(38,0)")), _byte(h, i).cast("decimal(38,0)")).cast("decimal(38,0)"),
     )
-    return F.when(F.length(h) > 0, folded)
+    return F.when(F.length(h) == 0, F.lit(None).cast("decimal(38,0)")).when(n <= 8, fast).otherwise(folded)
 
 
 def scale_decimal(unscaled: Column, scale: int, precision: int = 38) -> Column:

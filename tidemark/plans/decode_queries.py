@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tidemark.functions import decode as DC
 from tidemark.plans import derived as D
 from tidemark.plans.registry import CHG_EVENTS, CHG_ORDERS, query, with_ctes
+from tidemark.session import spread
 from tidemark.sources import envelope as EV
 
 # ------------------------------------------------------------------ derived envelopes
@@ -62,7 +63,7 @@ def events_raw(spark, sf_dir):
         )
     )
     tombstones = ch.filter(F.col("op") == "d").select(topic.alias("topic"), F.to_json(F.struct("k")).alias("key"), F.lit(None).cast("string").alias("value"))
-    return changes.unionByName(beats).unionByName(tombstones)
+    return spread(changes.unionByName(beats).unionByName(tombstones))
 
 
 def orders_raw(spark, sf_dir):
@@ -77,7 +78,7 @@ def orders_raw(spark, sf_dir):
         "o_orderpriority",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("changed_at"),
     )
-    return EV.encode_envelope(
+    return spread(EV.encode_envelope(
         ch.withColumn("seq_key", F.col("seq")),
         F.lit("srv.public.orders"),
         ["o_orderkey", "seq_key"],
@@ -85,13 +86,13 @@ def orders_raw(spark, sf_dir):
         _field_cols(ORDER_FIELDS),
         F.col("op"),
         F.unix_millis(F.col("ts").cast("timestamp")),
-    )
+    ))
 
 
 def _decoded_orders(spark, sf_dir):
-    parsed = EV.parse_envelope(orders_raw(spark, sf_dir))
+    parsed = EV.parse_table_changes(orders_raw(spark, sf_dir), ORDER_FIELDS)
     keyed = parsed.withColumn("seq", F.get_json_object("key", "$.seq_key").cast("int"))
-    return EV.decode_image(keyed, ORDER_FIELDS, keep=["op", "seq"])
+    return keyed.select("op", "seq", *[f["field"] for f in ORDER_FIELDS])
 
 
 # ------------------------------------------------------------------ S2, S3, P1
@@ -108,10 +109,8 @@ FROM chg_events
 def cdc_parse_envelope(spark, sf_dir):
     """Raw events -> change records; heartbeats and tombstones dropped,
     wrapped and bare keys both read, image chosen by operation."""
-    parsed = EV.parse_envelope(events_raw(spark, sf_dir))
-    with_key = parsed.withColumn("k", F.get_json_object("key", "$.k").cast("long"))
-    decoded = EV.decode_image(with_key, EVENT_FIELDS, keep=["k", "op", "table_name", "ts_ms"])
-    return decoded.withColumnRenamed("event_id", "event_id")
+    parsed = EV.parse_table_changes(events_raw(spark, sf_dir), EVENT_FIELDS)
+    return parsed.select(F.get_json_object("key", "$.k").cast("long").alias("k"), "op", "table_name", "ts_ms", *[f["field"] for f in EVENT_FIELDS])
 
 
 @query(

@@ -88,3 +88,12 @@ def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: i
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over at least ``min_partitions`` partitions (default:
+    the cluster's parallelism) when it has fewer -- for CPU-heavy per-row work
+    (JSON parsing) on inputs that arrive in few files.  A no-op when the input
+    is already split finer, as any large input is."""
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -91,6 +91,38 @@ def topic_schema_table(topic: Column) -> Column:
     return F.when(F.size(parts) >= 3, F.concat_ws(".", F.element_at(parts, -2), F.element_at(parts, -1)))
 
 
+VALUE_SCHEMA = T.StructType(
+    [
+        T.StructField("schema", T.StringType()),
+        T.StructField("payload", PAYLOAD_SCHEMA),
+    ]
+)
+
+
+def _key_text() -> Column:
+    key_payload = F.get_json_object(F.col("key"), "$.payload")
+    return F.when(F.col("key").isNull(), F.lit("{}")).otherwise(F.coalesce(key_payload, F.col("key")))
+
+
+def _finish(parsed: DataFrame, image: Column, keep_malformed: bool, extra: Sequence[Column] = ()) -> DataFrame:
+    op_raw = F.col("__v.payload.op")
+    malformed = F.col("value").isNotNull() & F.col("__v.payload").isNull()
+    out = parsed.select(
+        F.coalesce(op_raw, F.lit("u")).alias("op"),
+        topic_table(F.col("topic")).alias("table_name"),
+        _key_text().alias("key"),
+        image,
+        *extra,
+        F.col("__v.payload.ts_ms").alias("ts_ms"),
+        malformed.alias("malformed"),
+        F.col("value").isNull().alias("__tombstone"),
+    )
+    out = out.filter(~F.col("__tombstone") & F.col("table_name").isNotNull() & (F.col("op") != "m"))
+    if keep_malformed:
+        return out.drop("__tombstone")
+    return out.filter(~F.col("malformed")).drop("__tombstone", "malformed")
+
+
 def parse_envelope(raw: DataFrame, keep_malformed: bool = False) -> DataFrame:
     """Raw events -> ``(op, table_name, key, value, schema, ts_ms)``.
 
@@ -101,44 +133,46 @@ def parse_envelope(raw: DataFrame, keep_malformed: bool = False) -> DataFrame:
       dropped;
     * malformed JSON is dropped, or kept with ``malformed = true`` when
       ``keep_malformed`` (so the caller can dead-letter it).
-    """
-    env = F.from_json(F.col("value"), ENVELOPE_SCHEMA)
-    parsed = raw.select(
-        "topic",
-        "key",
-        "value",
-        env.alias("__env"),
-    ).select(
-        "topic",
-        "key",
-        "value",
-        F.col("__env.schema").alias("schema"),
-        F.col("__env.payload").alias("__payload_text"),
-        F.from_json(F.col("__env.payload"), PAYLOAD_SCHEMA).alias("__p"),
-    )
-    op_raw = F.col("__p.op")
+
+    One ``from_json`` per event; images stay JSON text (see
+    ``parse_table_changes`` for the typed single-pass form)."""
+    parsed = raw.select("topic", "key", "value", F.from_json(F.col("value"), VALUE_SCHEMA).alias("__v"))
+    op_raw = F.col("__v.payload.op")
     image = (
-        F.when(op_raw.isin(*IMAGE_OPS), F.col("__p.after"))
-        .when(op_raw == "d", F.col("__p.before"))
-        .otherwise(F.coalesce(F.col("__payload_text"), F.lit("{}")))
+        F.when(op_raw.isin(*IMAGE_OPS), F.col("__v.payload.after"))
+        .when(op_raw == "d", F.col("__v.payload.before"))
+        .otherwise(F.coalesce(F.to_json(F.col("__v.payload")), F.lit("{}")))
     )
-    key_payload = F.get_json_object(F.col("key"), "$.payload")
-    key = F.when(F.col("key").isNull(), F.lit("{}")).otherwise(F.coalesce(key_payload, F.col("key")))
-    malformed = F.col("value").isNotNull() & (F.col("__p").isNull() | F.col("__payload_text").isNull())
-    out = parsed.select(
-        F.coalesce(op_raw, F.lit("u")).alias("op"),
-        topic_table(F.col("topic")).alias("table_name"),
-        key.alias("key"),
-        image.alias("value"),
-        F.col("schema"),
-        F.col("__p.ts_ms").alias("ts_ms"),
-        malformed.alias("malformed"),
-        F.col("value").isNull().alias("__tombstone"),
+    return _finish(parsed, image.alias("value"), keep_malformed, [F.col("__v.schema").alias("schema")])
+
+
+def parse_table_changes(raw: DataFrame, fields: Sequence[dict], keep: Sequence[str] = (), keep_malformed: bool = False, tz: str = DC.DEFAULT_TZ) -> DataFrame:
+    """S2 + decode in one pass for a table whose column types are known: the
+    before/after images are parsed straight into their wire types by the same
+    ``from_json`` that reads the envelope, then decoded column by column.
+    Output: ``op, table_name, key, ts_ms`` + the table's columns."""
+    image_type = wire_schema(fields)
+    schema = T.StructType(
+        [
+            T.StructField(
+                "payload",
+                T.StructType(
+                    [
+                        T.StructField("before", image_type),
+                        T.StructField("after", image_type),
+                        T.StructField("op", T.StringType()),
+                        T.StructField("ts_ms", T.LongType()),
+                    ]
+                ),
+            )
+        ]
     )
-    out = out.filter(~F.col("__tombstone") & F.col("table_name").isNotNull() & (F.col("op") != "m"))
-    if keep_malformed:
-        return out.drop("__tombstone")
-    return out.filter(~F.col("malformed")).drop("__tombstone", "malformed")
+    parsed = raw.select("topic", "key", "value", *keep, F.from_json(F.col("value"), schema).alias("__v"))
+    op_raw = F.col("__v.payload.op")
+    image = F.when(op_raw == "d", F.col("__v.payload.before")).otherwise(F.col("__v.payload.after"))
+    staged = _finish(parsed, image.alias("__img"), keep_malformed, [F.col(c) for c in keep])
+    base = [c for c in staged.columns if c != "__img"]
+    return staged.select(*base, *[decode_field(F.col(f"__img.{f['field']}"), f, tz).alias(f["field"]) for f in fields])
 
 
 def type_catalog(parsed: DataFrame, image: str = "after") -> DataFrame:

@@ -157,37 +157,52 @@ class StreamSinks:
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, epoch: int, branches: Sequence[Branch], sinks: StreamSinks) -> None:
-    """V1: one micro-batch: parse once, then every branch in isolation."""
-    parsed = EV.parse_envelope(batch, keep_malformed=True).persist()
+    """V1: one micro-batch.  Each source table's events are parsed and decoded
+    once (typed single-pass parse, shared by that table's branches); every
+    branch then runs in isolation -- a failing branch dead-letters its rows
+    and the others go on."""
+    batch = batch.withColumn("__table", EV.topic_table(F.col("topic"))).persist()
     try:
-        bad = parsed.filter(F.col("malformed"))
-        if bad.limit(1).count() > 0:
-            _dead_letters(bad.drop("malformed"), epoch, "*", "malformed change event").write.mode("append").parquet(sinks.dlq_path)
-        good = parsed.filter(~F.col("malformed")).drop("malformed")
+        by_table: dict[str, list[Branch]] = {}
         for br in branches:
-            rows = good.filter(F.col("table_name") == br.table)
+            by_table.setdefault(br.table, []).append(br)
+        for table, group in by_table.items():
+            rows = batch.filter(F.col("__table") == table).drop("__table")
+            fields = group[0].fields
+            parsed = EV.parse_table_changes(rows, fields, keep_malformed=True).persist()
             try:
-                extra = [F.get_json_object("key", f"$.{k}").cast(t).alias(k) for k, t in br.key_from_json.items()]
-                keyed = rows.select("*", *extra) if extra else rows
-                decoded = EV.decode_image(keyed, br.fields, keep=[*br.key_from_json.keys(), "op", "ts_ms"])
-                if br.ts_col not in decoded.columns:
-                    decoded = decoded.withColumn(br.ts_col, F.timestamp_millis("ts_ms").cast("timestamp_ntz"))
-                filtered = FL.apply_filter(decoded, br.filter_spec, unknown="keep") if br.filter_spec else decoded
-                shaped = J.run_transform(spark, filtered, br.table, br.sql)
-                meta = {"op", "ts_ms", br.ts_col, br.seq_col, *br.keys}
-                cleaned = A.drop_all_null_rows(shaped, ignore=[c for c in shaped.columns if c in meta])
-                target = BucketedTarget(spark, br.target_path, br.keys, br.ts_col, br.seq_col, buckets=br.buckets)
-                n = target.merge(cleaned, epoch)
-                log = cleaned.groupBy().agg(F.count("*").alias("record_count")).select(
-                    F.lit(epoch).cast("long").alias("epoch"), F.lit(br.name).alias("branch"), F.lit(br.table).alias("table_name"),
-                    "record_count", F.lit(n).cast("long").alias("keys_written"), F.current_timestamp().alias("created_at"),
-                )
-                log.write.mode("append").parquet(sinks.throughput_path)
-            except Exception as e:  # noqa: BLE001 - a failing branch must not stop the others
-                msg = RD.error_class(F.lit(str(e)[:2000]))
-                _dead_letters(rows, epoch, br.name, None, msg).write.mode("append").parquet(sinks.dlq_path)
+                bad = parsed.filter(F.col("malformed"))
+                if bad.limit(1).count() > 0:
+                    _dead_letters(bad.drop("malformed"), epoch, table, "malformed change event").write.mode("append").parquet(sinks.dlq_path)
+                good = parsed.filter(~F.col("malformed")).drop("malformed")
+                for br in group:
+                    _run_branch(spark, br, good, epoch, sinks)
+            finally:
+                parsed.unpersist()
     finally:
-        parsed.unpersist()
+        batch.unpersist()
+
+
+def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, sinks: StreamSinks) -> None:
+    try:
+        extra = [F.get_json_object("key", f"$.{k}").cast(t).alias(k) for k, t in br.key_from_json.items()]
+        decoded = good.select(*extra, "op", "ts_ms", *[f["field"] for f in br.fields])
+        if br.ts_col not in decoded.columns:
+            decoded = decoded.withColumn(br.ts_col, F.timestamp_millis("ts_ms").cast("timestamp_ntz"))
+        filtered = FL.apply_filter(decoded, br.filter_spec, unknown="keep") if br.filter_spec else decoded
+        shaped = J.run_transform(spark, filtered, br.table, br.sql)
+        meta = {"op", "ts_ms", br.ts_col, br.seq_col, *br.keys}
+        cleaned = A.drop_all_null_rows(shaped, ignore=[c for c in shaped.columns if c in meta])
+        target = BucketedTarget(spark, br.target_path, br.keys, br.ts_col, br.seq_col, buckets=br.buckets)
+        n = target.merge(cleaned, epoch)
+        log = cleaned.groupBy().agg(F.count("*").alias("record_count")).select(
+            F.lit(epoch).cast("long").alias("epoch"), F.lit(br.name).alias("branch"), F.lit(br.table).alias("table_name"),
+            "record_count", F.lit(n).cast("long").alias("keys_written"), F.current_timestamp().alias("created_at"),
+        )
+        log.write.mode("append").parquet(sinks.throughput_path)
+    except Exception as e:  # noqa: BLE001 - a failing branch must not stop the others
+        msg = RD.error_class(F.lit(str(e)[:2000]))
+        _dead_letters(good, epoch, br.name, None, msg).write.mode("append").parquet(sinks.dlq_path)
 
 
 def _dead_letters(rows: DataFrame, epoch: int, branch: str, error: str | None, error_col: Column | None = None) -> DataFrame:
