@@ -73,6 +73,24 @@ def cast_like(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
+def _overlay(target: DataFrame, changes: DataFrame, keys: Sequence[str], keep_change: Column, drop_row: Column) -> DataFrame:
+    """One full outer join of target and (at most one) change per key: a row
+    takes the change's values where ``keep_change`` holds, the target's
+    otherwise, and is dropped where ``drop_row`` holds.  ``changes`` carries a
+    ``__c`` marker column; target columns are projected onto the target
+    schema."""
+    t = target.select(*[F.col(c).alias(c if c in keys else f"__t_{c}") for c in target.columns])
+    j = t.join(changes, list(keys), "full_outer")
+    out = []
+    for f in target.schema.fields:
+        if f.name in keys:
+            out.append(F.col(f.name))
+            continue
+        new = F.col(f.name).try_cast(f.dataType) if f.name in changes.columns else F.lit(None).cast(f.dataType)
+        out.append(F.when(keep_change, new).otherwise(F.col(f"__t_{f.name}")).alias(f.name))
+    return j.filter(~drop_row).select(*out)
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -82,10 +100,10 @@ def upsert(
 ) -> DataFrame:
     """K1: replace target rows whose key occurs in ``batch`` by the batch rows.
 
-    ``order`` deduplicates the batch first (latest wins); without it the batch
-    is deduplicated on all columns so a key present twice is inserted once per
-    distinct row only when the rows differ in non-key columns -- pass ``order``
-    to force one row per key.
+    ``order`` deduplicates the batch first (latest wins).  Without it a key
+    present twice in the batch is inserted twice (the delete-then-insert
+    behaviour); pass ``order`` to force one row per key.  ``null_safe`` lets
+    NULL key values match each other.
     """
     keys = list(keys)
     if order:
@@ -108,32 +126,48 @@ def apply_changes(
     op_col: str = "op",
     target_ts_col: str | None = None,
     on_delete: str = "delete",
+    unique_target: bool = True,
 ) -> DataFrame:
     """K3: deduplicating merge of a change batch into ``target``.
 
     Latest change per key (by ``ts_col`` then ``seq_col``) decides: a delete
     removes the key, anything else replaces or inserts the row.  Delete codes
-    are compared case-insensitively.  With ``target_ts_col`` a change older
-    than the target's stored timestamp is ignored (late, out-of-order data).
-    ``on_delete='upsert'`` reproduces the older behaviour where a delete writes
-    its before-image instead of removing the row.
+    are compared case-insensitively.  With ``target_ts_col`` a change not
+    newer than the target's stored timestamp is ignored (late, out-of-order
+    data).  ``on_delete='upsert'`` reproduces the older behaviour where a
+    delete writes its before-image instead of removing the row.
+
+    Plan: one aggregate over the changes (partial, map-side) and one full
+    outer join with the target -- the change log is read and shuffled once.
+    That needs unique target keys (true for any target this merge maintains);
+    ``unique_target=False`` uses anti join + union instead, which removes
+    every target row of a changed key.
     """
     keys = list(keys)
     latest = latest_per_key(changes, keys, [ts_col, seq_col])
+    if not unique_target:
+        if target_ts_col is not None:
+            stored = target.select(*keys, F.col(target_ts_col).alias("__stored_ts"))
+            latest = latest.join(stored, keys, "left").filter(F.col("__stored_ts").isNull() | (F.col(ts_col) > F.col("__stored_ts"))).drop("__stored_ts")
+        survivors = latest if on_delete == "upsert" else latest.filter(~F.lower(F.col(op_col)).isin(*DELETE_OPS))
+        kept = target.join(latest.select(*keys), keys, "left_anti")
+        return kept.unionByName(cast_like(survivors, target.schema))
+    renamed = latest.select(
+        *keys,
+        *[F.col(c) for c in latest.columns if c not in keys],
+        F.lit(True).alias("__c"),
+        F.lower(F.col(op_col)).isin(*DELETE_OPS).alias("__del"),
+        F.col(ts_col).alias("__cts"),
+    )
+    present = F.col("__c").isNotNull()
     if target_ts_col is not None:
-        stored = target.select(*keys, F.col(target_ts_col).alias("__stored_ts"))
-        latest = (
-            latest.join(stored, keys, "left")
-            .filter(F.col("__stored_ts").isNull() | (F.col(ts_col) > F.col("__stored_ts")))
-            .drop("__stored_ts")
-        )
-    is_delete = F.lower(F.col(op_col)).isin(*DELETE_OPS)
+        stored = F.col(f"__t_{target_ts_col}") if target_ts_col not in keys else F.col(target_ts_col)
+        present = present & (stored.isNull() | (F.col("__cts") > stored))
     if on_delete == "upsert":
-        survivors = latest
+        drop = F.lit(False)
     else:
-        survivors = latest.filter(~is_delete)
-    kept = target.join(latest.select(*keys), keys, "left_anti")
-    return kept.unionByName(cast_like(survivors, target.schema))
+        drop = present & F.col("__del")
+    return _overlay(target, renamed, keys, present, drop)
 
 
 def landing_rows(df: DataFrame, op_col: str, batch_ts: str, ts_name: str = "SYNC_TIMESTAMP") -> DataFrame:
