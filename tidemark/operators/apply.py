@@ -296,3 +296,47 @@ def write_snapshot(df: DataFrame, base_path: str, version: int) -> str:
     path = f"{base_path.rstrip('/')}/v={version}"
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+class TargetMissing(Exception):
+    """The target of a write does not exist (or lacks columns)."""
+
+
+def guard_target(spark, target: str, needed_columns: Sequence[str] = ()) -> None:
+    """K9: check the target before writing -- a catalog table name or a
+    storage path must exist and carry the columns about to be written.  The
+    caller routes the batch to the dead-letter table on failure."""
+    jvm = spark.sparkContext._jvm
+    if "/" in target or ":" in target:
+        p = jvm.org.apache.hadoop.fs.Path(target)
+        exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        columns = spark.read.parquet(target).columns if exists else []
+    else:
+        exists = spark.catalog.tableExists(target)
+        columns = spark.table(target).columns if exists else []
+    if not exists:
+        raise TargetMissing(f"target {target} does not exist")
+    missing = [c for c in needed_columns if c not in columns]
+    if missing:
+        raise TargetMissing(f"target {target} lacks columns {missing}")
+
+
+def resolve_key(
+    explicit: Sequence[str] | None = None,
+    envelope_key: Sequence[str] | None = None,
+    target_key: Sequence[str] | None = None,
+    columns: Sequence[str] = (),
+) -> list[str]:
+    """The key to apply by: explicit configuration, else the change
+    envelope's key fields, else the target's primary key, else a column named
+    ``id`` (or a single ``*_id`` column); otherwise an error -- never "the
+    first column"."""
+    for candidate in (explicit, envelope_key, target_key):
+        if candidate:
+            return list(candidate)
+    if "id" in columns:
+        return ["id"]
+    ids = [c for c in columns if c.endswith("_id")]
+    if len(ids) == 1:
+        return ids
+    raise ValueError("no key: configure one explicitly")
