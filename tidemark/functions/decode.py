@@ -175,26 +175,28 @@ def _offset_seconds(text: Column) -> Column:
     return F.when(text == "Z", F.lit(0)).otherwise(sign * (hh * 3600 + mm * 60))
 
 
+ZONE_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
+def _iso_local_text(local: Column, offset_seconds: Column, date_part: bool = True) -> Column:
+    """``[YYYY-MM-DDT]HH:MM:SS[.ffffff]+HH:MM`` of a wall-clock timestamp."""
+    us = F.pmod(F.unix_micros(local), F.lit(1_000_000))
+    frac = F.when(us != 0, F.concat(F.lit("."), F.lpad(us.cast("string"), 6, "0"))).otherwise(F.lit(""))
+    pattern = "yyyy-MM-dd'T'HH:mm:ss" if date_part else "HH:mm:ss"
+    return F.concat(F.date_format(local, pattern), frac, _offset_text(offset_seconds))
+
+
 def normalize_timestamptz(iso: Column, tz: str = DEFAULT_TZ) -> Column:
     """ISO timestamp with zone -> the same instant in ``tz`` as ISO text
     (``YYYY-MM-DDTHH:MM:SS[.ffffff]+HH:MM``).  Zone-less or unparsable text is
-    returned unchanged."""
+    returned unchanged.  Parsing is Spark's ISO-8601 cast (Z, +hh, +hhmm,
+    +hh:mm); the session zone is UTC."""
     s = F.trim(iso)
-    zone = F.regexp_extract(s, ISO_TS, 4)
-    wall = F.concat(F.regexp_extract(s, ISO_TS, 1), F.lit(" "), F.regexp_extract(s, ISO_TS, 2))
-    frac = F.rpad(F.substring(F.regexp_extract(s, ISO_TS, 3), 2, 6), 6, "0")
-    wall_us = F.unix_micros(F.to_timestamp(wall, "yyyy-MM-dd HH:mm:ss")) + F.coalesce(frac.try_cast("long"), F.lit(0))
-    instant_us = wall_us - _offset_seconds(zone).cast("long") * F.lit(1_000_000)
-    instant = F.timestamp_micros(instant_us)
+    instant = s.try_cast("timestamp")
     local = F.from_utc_timestamp(instant, tz)
-    offset = (F.unix_micros(local) - instant_us) / F.lit(1_000_000)
-    local_us = F.unix_micros(local)
-    text = F.concat(
-        F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"),
-        F.when(F.pmod(local_us, F.lit(1_000_000)) != 0, F.concat(F.lit("."), F.lpad(F.pmod(local_us, F.lit(1_000_000)).cast("string"), 6, "0"))).otherwise(F.lit("")),
-        _offset_text(offset.cast("long")),
-    )
-    return F.when(s.rlike(ISO_TS) & (zone != ""), text).otherwise(iso)
+    offset = ((F.unix_micros(local) - F.unix_micros(instant)) / F.lit(1_000_000)).cast("long")
+    ok = s.rlike(ISO_TS) & s.rlike(ZONE_SUFFIX) & instant.isNotNull()
+    return F.when(ok, _iso_local_text(local, offset)).otherwise(iso)
 
 
 ISO_TIME = r"^(\d{2}):(\d{2}):(\d{2})(\.\d+)?(Z|[+-]\d{2}(:?\d{2})?)?$"
@@ -209,18 +211,15 @@ def zone_offset_seconds(tz: str, on: str = "2000-01-01 00:00:00") -> Column:
 
 def normalize_timetz(iso: Column, tz: str = DEFAULT_TZ) -> Column:
     """``HH:MM:SS[.f](Z|+HH[:MM])`` -> the same moment at ``tz``'s offset,
-    ``HH:MM:SS[.ffffff]+HH:MM``; zone-less text is returned unchanged."""
+    ``HH:MM:SS[.ffffff]+HH:MM``; zone-less text is returned unchanged.  A time
+    has no date: it is placed on a fixed day and shifted by the zone's offset
+    on that day."""
     s = F.trim(iso)
-    zone = F.regexp_extract(s, ISO_TIME, 5)
-    h = F.regexp_extract(s, ISO_TIME, 1).cast("long")
-    m = F.regexp_extract(s, ISO_TIME, 2).cast("long")
-    sec = F.regexp_extract(s, ISO_TIME, 3).cast("long")
-    frac = F.rpad(F.substring(F.regexp_extract(s, ISO_TIME, 4), 2, 6), 6, "0").try_cast("long")
-    us = ((h * 3600 + m * 60 + sec) * F.lit(1_000_000)) + F.coalesce(frac, F.lit(0))
+    instant = F.concat(F.lit("2000-01-01T"), s).try_cast("timestamp")
     target = zone_offset_seconds(tz)
-    shifted = F.pmod(us - _offset_seconds(zone).cast("long") * F.lit(1_000_000) + target * F.lit(1_000_000), F.lit(MICROS_PER_DAY))
-    text = F.concat(format_time_of_day(shifted), _offset_text(target))
-    return F.when(s.rlike(ISO_TIME) & (zone != ""), text).otherwise(iso)
+    local = F.timestamp_micros(F.unix_micros(instant) + target * F.lit(1_000_000))
+    ok = s.rlike(ISO_TIME) & s.rlike(ZONE_SUFFIX) & instant.isNotNull()
+    return F.when(ok, _iso_local_text(local, target, date_part=False)).otherwise(iso)
 
 
 UNTYPED_TS = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?([+-]\d{2}:?\d{0,2}|Z)?$"

@@ -182,10 +182,14 @@ def type_catalog(parsed: DataFrame, image: str = "after") -> DataFrame:
     The result has one row per (table, column) -- bounded by the width of the
     source tables, not by the number of events -- so it may be collected to
     build the decode projection."""
+    # Messages repeat their table's schema: count each distinct schema text
+    # first (a partial aggregate), then parse each distinct text once.
+    distinct = parsed.groupBy("table_name", "schema").agg(F.count("*").alias("__n"))
     fields = F.from_json(F.col("schema"), SCHEMA_SCHEMA).getField("fields")
     wanted = F.filter(fields, lambda f: f.getField("field") == image)
-    exploded = parsed.select(
+    exploded = distinct.select(
         "table_name",
+        "__n",
         F.explode(F.flatten(F.transform(wanted, lambda f: f.getField("fields")))).alias("f"),
     )
     return exploded.groupBy(
@@ -195,7 +199,18 @@ def type_catalog(parsed: DataFrame, image: str = "after") -> DataFrame:
         F.col("f.name").alias("name"),
         F.coalesce(F.col("f.optional"), F.lit(True)).alias("optional"),
         F.col("f.parameters").getItem("scale").cast("int").alias("scale"),
-    ).agg(F.count("*").alias("n_events"))
+    ).agg(F.sum("__n").alias("n_events"))
+
+
+def type_catalog_raw(raw: DataFrame, image: str = "after") -> DataFrame:
+    """P1 straight from raw events: only the topic and the envelope's schema
+    part are read (the payload is skipped by the parser), distinct schema
+    texts are counted, and each distinct text is parsed once."""
+    schemas = raw.select(
+        topic_table(F.col("topic")).alias("table_name"),
+        F.from_json(F.col("value"), T.StructType([T.StructField("schema", T.StringType())])).getField("schema").alias("schema"),
+    ).filter(F.col("table_name").isNotNull() & F.col("schema").isNotNull())
+    return type_catalog(schemas, image)
 
 
 _WIRE_TYPES = {

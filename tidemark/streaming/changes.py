@@ -84,34 +84,33 @@ class BucketedTarget:
         return state.filter(F.lower(F.col(self.op_col)) != "d").drop("bucket")
 
     def merge(self, changes: DataFrame, epoch: int) -> int:
-        """Apply a batch of changes; returns the number of changed keys."""
+        """Apply a batch of changes; returns the number of buckets rewritten."""
         if self.committed(epoch):
             return 0
-        if changes.limit(1).count() == 0:  # e.g. a watermark-only micro-batch
-            touch(self.spark, f"{self.path}/_commits/epoch={epoch}")
-            return 0
-        latest = A.latest_per_key(changes, self.keys, [self.ts_col, self.seq_col]).withColumn("bucket", self.bucket_of())
-        staged_path = f"{self.path}/_staging/epoch={epoch}"
-        state = self.read_state()
-        if state is not None:
-            # Buckets touched by this batch: at most ``buckets`` values.
-            touched = [r[0] for r in latest.select("bucket").distinct().collect()]
-            old = state.filter(F.col("bucket").isin(touched))
-            cols = latest.columns
-            merged = A.latest_per_key(old.select(*cols).unionByName(latest), self.keys, [self.ts_col, self.seq_col])
-        else:
-            merged = latest
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(staged_path)
-        n = self.spark.read.parquet(staged_path).count()
-        (
-            self.spark.read.parquet(staged_path)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")  # only the touched buckets
-            .partitionBy("bucket")
-            .parquet(f"{self.path}/data")
-        )
+        # One job: the buckets this batch touches (at most ``buckets`` values);
+        # none means an empty batch (e.g. a watermark-only micro-batch).
+        touched = [r[0] for r in changes.select(self.bucket_of().alias("b")).distinct().collect()]
+        if touched:
+            latest = A.latest_per_key(changes, self.keys, [self.ts_col, self.seq_col]).withColumn("bucket", self.bucket_of())
+            state = self.read_state()
+            if state is None:
+                # First write: nothing to read back, write the buckets directly.
+                latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.path}/data")
+            else:
+                staged_path = f"{self.path}/_staging/epoch={epoch}"
+                old = state.filter(F.col("bucket").isin(touched))
+                merged = A.latest_per_key(old.select(*latest.columns).unionByName(latest), self.keys, [self.ts_col, self.seq_col])
+                # Staged first: a job must not overwrite the files it reads.
+                merged.write.mode("overwrite").partitionBy("bucket").parquet(staged_path)
+                (
+                    self.spark.read.parquet(staged_path)
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")  # only the touched buckets
+                    .partitionBy("bucket")
+                    .parquet(f"{self.path}/data")
+                )
         touch(self.spark, f"{self.path}/_commits/epoch={epoch}")
-        return n
+        return len(touched)
 
 
 # ---------------------------------------------------------------- sources
@@ -160,30 +159,52 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch: int, branches: S
     """V1: one micro-batch.  Each source table's events are parsed and decoded
     once (typed single-pass parse, shared by that table's branches); every
     branch then runs in isolation -- a failing branch dead-letters its rows
-    and the others go on."""
+    and the others go on.  Row counts come from observations on the data the
+    branches process anyway (no extra counting jobs); the throughput log gets
+    one append per micro-batch."""
+    from pyspark.sql import Observation
+
     batch = batch.withColumn("__table", EV.topic_table(F.col("topic"))).persist()
+    log_rows = []
     try:
         by_table: dict[str, list[Branch]] = {}
         for br in branches:
             by_table.setdefault(br.table, []).append(br)
         for table, group in by_table.items():
             rows = batch.filter(F.col("__table") == table).drop("__table")
-            fields = group[0].fields
-            parsed = EV.parse_table_changes(rows, fields, keep_malformed=True).persist()
+            if all(BucketedTarget(spark, br.target_path, br.keys).committed(epoch) for br in group):
+                continue  # re-delivered epoch: everything for this table is applied
+            parsed = EV.parse_table_changes(rows, group[0].fields, keep_malformed=True).persist()
+            seen = Observation(f"parse_{table}_{epoch}")
             try:
-                bad = parsed.filter(F.col("malformed"))
-                if bad.limit(1).count() > 0:
-                    _dead_letters(bad.drop("malformed"), epoch, table, "malformed change event").write.mode("append").parquet(sinks.dlq_path)
-                good = parsed.filter(~F.col("malformed")).drop("malformed")
+                observed = parsed.observe(seen, F.count(F.when(F.col("malformed"), 1)).alias("bad"))
+                good = observed.filter(~F.col("malformed")).drop("malformed")
+                ran = False
                 for br in group:
-                    _run_branch(spark, br, good, epoch, sinks)
+                    row = _run_branch(spark, br, good, epoch, sinks)
+                    if row is not None:
+                        log_rows.append(row)
+                        ran = True
+                # The observation is filled by any branch action; without one, count.
+                bad_n = seen.get.get("bad", 0) if ran else parsed.filter(F.col("malformed")).limit(1).count()
+                if bad_n:
+                    bad = parsed.filter(F.col("malformed")).drop("malformed")
+                    _dead_letters(bad, epoch, table, "malformed change event").write.mode("append").parquet(sinks.dlq_path)
             finally:
                 parsed.unpersist()
+        if log_rows:
+            schema = "epoch long, branch string, table_name string, record_count long, buckets_written long"
+            spark.createDataFrame(log_rows, schema).withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(sinks.throughput_path)
     finally:
         batch.unpersist()
 
 
-def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, sinks: StreamSinks) -> None:
+def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, sinks: StreamSinks):
+    from pyspark.sql import Observation
+
+    target = BucketedTarget(spark, br.target_path, br.keys, br.ts_col, br.seq_col, buckets=br.buckets)
+    if target.committed(epoch):  # re-delivered epoch: already applied
+        return None
     try:
         extra = [F.get_json_object("key", f"$.{k}").cast(t).alias(k) for k, t in br.key_from_json.items()]
         decoded = good.select(*extra, "op", "ts_ms", *[f["field"] for f in br.fields])
@@ -193,16 +214,13 @@ def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, si
         shaped = J.run_transform(spark, filtered, br.table, br.sql)
         meta = {"op", "ts_ms", br.ts_col, br.seq_col, *br.keys}
         cleaned = A.drop_all_null_rows(shaped, ignore=[c for c in shaped.columns if c in meta])
-        target = BucketedTarget(spark, br.target_path, br.keys, br.ts_col, br.seq_col, buckets=br.buckets)
-        n = target.merge(cleaned, epoch)
-        log = cleaned.groupBy().agg(F.count("*").alias("record_count")).select(
-            F.lit(epoch).cast("long").alias("epoch"), F.lit(br.name).alias("branch"), F.lit(br.table).alias("table_name"),
-            "record_count", F.lit(n).cast("long").alias("keys_written"), F.current_timestamp().alias("created_at"),
-        )
-        log.write.mode("append").parquet(sinks.throughput_path)
+        counted = Observation(f"{br.name}_{epoch}")
+        buckets = target.merge(cleaned.observe(counted, F.count(F.lit(1)).alias("n")), epoch)
+        return (int(epoch), br.name, br.table, int(counted.get.get("n", 0)), int(buckets))
     except Exception as e:  # noqa: BLE001 - a failing branch must not stop the others
         msg = RD.error_class(F.lit(str(e)[:2000]))
         _dead_letters(good, epoch, br.name, None, msg).write.mode("append").parquet(sinks.dlq_path)
+        return None
 
 
 def _dead_letters(rows: DataFrame, epoch: int, branch: str, error: str | None, error_col: Column | None = None) -> DataFrame:
