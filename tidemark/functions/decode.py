@@ -39,34 +39,37 @@ def _byte(hex_col: Column, i: Column) -> Column:
     return F.conv(F.substring(hex_col, i * 2 - 1, 2), 16, 10).cast("int")
 
 
+def _fold_unscaled(h: Column, n: Column) -> Column:
+    """Any width: fold the bytes left to right starting from -1 when the sign
+    bit is set (two's complement), in DECIMAL(38,0); overflow -> NULL."""
+    init = F.when(_byte(h, F.lit(1)) >= 128, F.lit(-1).cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
+    return F.aggregate(
+        F.sequence(F.lit(1), n),
+        init,
+        lambda acc, i: F.try_add(F.try_multiply(acc, F.lit(256).cast("decimal(38,0)")), _byte(h, i).cast("decimal(38,0)")).cast("decimal(38,0)"),
+    )
+
+
+def _signed64(h: Column) -> Column:
+    """Up to 8 bytes: sign-extend the hex to 16 digits and read it as a
+    signed 64-bit number (``conv`` with a negative target base)."""
+    fill = F.when(F.substring(h, 1, 1).isin("8", "9", "A", "B", "C", "D", "E", "F"), F.lit("F")).otherwise(F.lit("0"))
+    return F.conv(F.lpad(h, 16, fill), 16, -10)
+
+
 def unscaled_from_base64(b64: Column) -> Column:
     """Big-endian two's-complement bytes (base64) -> DECIMAL(38,0), exact.
 
-    Folds the bytes left to right starting from -1 when the sign bit is set,
-    which yields two's complement directly.  Overflow beyond 38 digits gives
-    NULL (``try_`` arithmetic), which callers route to the dead-letter table.
-    """
-    import decimal
-
+    Up to 8 bytes (the usual width) it is one ``conv``; wider values fold the
+    bytes in decimal arithmetic.  Overflow beyond 38 digits gives NULL, which
+    callers route to the dead-letter table."""
     h = F.hex(F.unbase64(b64))
     n = (F.length(h) / 2).cast("int")
-    negative = _byte(h, F.lit(1)) >= 128
-    # Fast path (up to 8 bytes, the usual case): the unsigned value via conv,
-    # minus 2^(8n) when the sign bit is set -- exact decimal arithmetic.
-    unsigned = F.conv(h, 16, 10).cast("decimal(38,0)")
-    offset = F.lit(None).cast("decimal(38,0)")
-    for k in range(8, 0, -1):
-        offset = F.when(n == k, F.lit(decimal.Decimal(2 ** (8 * k))).cast("decimal(38,0)")).otherwise(offset)
-    fast = F.when(negative, unsigned - offset).otherwise(unsigned).cast("decimal(38,0)")
-    # Wider values: fold the bytes left to right from -1 (sign set) or 0.
-    zero = F.lit(0).cast("decimal(38,0)")
-    init = F.when(negative, F.lit(-1).cast("decimal(38,0)")).otherwise(zero)
-    folded = F.aggregate(
-        F.sequence(F.lit(1), n),
-        init,
-        lambda acc, i: F.try_add(F.try_multiply(acc, F.lit(256).cast("decimal(38,0)")), _byte(h, i).cast("decimal(38,0)")).cast("decimal(38,0)"),
+    return (
+        F.when(F.length(h) == 0, F.lit(None).cast("decimal(38,0)"))
+        .when(n <= 8, _signed64(h).cast("decimal(38,0)"))
+        .otherwise(_fold_unscaled(h, n))
     )
-    return F.when(F.length(h) == 0, F.lit(None).cast("decimal(38,0)")).when(n <= 8, fast).otherwise(folded)
 
 
 def scale_decimal(unscaled: Column, scale: int, precision: int = 38) -> Column:
@@ -83,8 +86,22 @@ def scale_decimal(unscaled: Column, scale: int, precision: int = 38) -> Column:
 
 
 def decimal_from_base64(b64: Column, scale: int, precision: int = 38) -> Column:
-    """Change-log decimal (base64 bytes + declared scale) -> exact DECIMAL."""
-    return scale_decimal(unscaled_from_base64(b64), scale, precision)
+    """Change-log decimal (base64 bytes + declared scale) -> exact DECIMAL.
+
+    Fast path (<= 8 bytes, scale <= 16): DECIMAL(20,0) times the literal
+    10^-scale is exact (result precision <= 38, no rounding)."""
+    import decimal
+
+    h = F.hex(F.unbase64(b64))
+    n = (F.length(h) / 2).cast("int")
+    target = T.DecimalType(precision, scale)
+    if scale <= 16:
+        factor = F.lit(decimal.Decimal(1).scaleb(-scale))
+        fast = (_signed64(h).cast("decimal(20,0)") * factor).try_cast(target)
+    else:
+        fast = scale_decimal(_signed64(h).cast("decimal(38,0)"), scale, precision)
+    wide = scale_decimal(_fold_unscaled(h, n), scale, precision)
+    return F.when(F.length(h) == 0, F.lit(None).cast(target)).when(n <= 8, fast).otherwise(wide)
 
 
 def decimal_to_base64(value: Column, scale: int) -> Column:

@@ -99,6 +99,16 @@ VALUE_SCHEMA = T.StructType(
 )
 
 
+def _parse_once(raw: DataFrame, keep: Sequence[str], parsed: Column) -> DataFrame:
+    """Attach ``parsed`` as ``__v`` so that it is evaluated once per row.
+
+    Later filters on parsed fields (heartbeats, malformed rows) would
+    otherwise be pushed below the projection with the parse inlined --
+    parsing every event twice.  A predicate on a generator's output cannot
+    move below the generator, so the parse sits in a one-element explode."""
+    return raw.select(*keep, F.explode(F.array(parsed)).alias("__v"))
+
+
 def _key_text() -> Column:
     key_payload = F.get_json_object(F.col("key"), "$.payload")
     return F.when(F.col("key").isNull(), F.lit("{}")).otherwise(F.coalesce(key_payload, F.col("key")))
@@ -136,7 +146,7 @@ def parse_envelope(raw: DataFrame, keep_malformed: bool = False) -> DataFrame:
 
     One ``from_json`` per event; images stay JSON text (see
     ``parse_table_changes`` for the typed single-pass form)."""
-    parsed = raw.select("topic", "key", "value", F.from_json(F.col("value"), VALUE_SCHEMA).alias("__v"))
+    parsed = _parse_once(raw, ["topic", "key", "value"], F.from_json(F.col("value"), VALUE_SCHEMA))
     op_raw = F.col("__v.payload.op")
     image = (
         F.when(op_raw.isin(*IMAGE_OPS), F.col("__v.payload.after"))
@@ -167,7 +177,7 @@ def parse_table_changes(raw: DataFrame, fields: Sequence[dict], keep: Sequence[s
             )
         ]
     )
-    parsed = raw.select("topic", "key", "value", *keep, F.from_json(F.col("value"), schema).alias("__v"))
+    parsed = _parse_once(raw, ["topic", "key", "value", *keep], F.from_json(F.col("value"), schema))
     op_raw = F.col("__v.payload.op")
     image = F.when(op_raw == "d", F.col("__v.payload.before")).otherwise(F.col("__v.payload.after"))
     staged = _finish(parsed, image.alias("__img"), keep_malformed, [F.col(c) for c in keep])
@@ -184,7 +194,10 @@ def type_catalog(parsed: DataFrame, image: str = "after") -> DataFrame:
     build the decode projection."""
     # Messages repeat their table's schema: count each distinct schema text
     # first (a partial aggregate), then parse each distinct text once.
-    distinct = parsed.groupBy("table_name", "schema").agg(F.count("*").alias("__n"))
+    return _catalog_rows(parsed.groupBy("table_name", "schema").agg(F.count("*").alias("__n")), image)
+
+
+def _catalog_rows(distinct: DataFrame, image: str) -> DataFrame:
     fields = F.from_json(F.col("schema"), SCHEMA_SCHEMA).getField("fields")
     wanted = F.filter(fields, lambda f: f.getField("field") == image)
     exploded = distinct.select(
@@ -209,8 +222,12 @@ def type_catalog_raw(raw: DataFrame, image: str = "after") -> DataFrame:
     schemas = raw.select(
         topic_table(F.col("topic")).alias("table_name"),
         F.from_json(F.col("value"), T.StructType([T.StructField("schema", T.StringType())])).getField("schema").alias("schema"),
-    ).filter(F.col("table_name").isNotNull() & F.col("schema").isNotNull())
-    return type_catalog(schemas, image)
+    )
+    # Filter after counting (on the few distinct rows), so the parse is not
+    # duplicated into a pushed-down predicate.
+    distinct = schemas.groupBy("table_name", "schema").agg(F.count("*").alias("__n"))
+    distinct = distinct.filter(F.col("table_name").isNotNull() & F.col("schema").isNotNull())
+    return _catalog_rows(distinct, image)
 
 
 _WIRE_TYPES = {
