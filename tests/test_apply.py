@@ -67,3 +67,28 @@ def test_size_batches_bounded(spark):
     singles = {(r.part_id, r.batch_no) for r in out if r.row_bytes > 500}
     assert all(v <= 500 or k in singles for k, v in sizes.items())
     assert len(out) == 50
+
+
+def test_size_batches_match_greedy(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(i, "y" * rnd.randint(0, 400)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, t string").coalesce(1)
+    out = sorted(A.size_bounded_batches(df, ["id"], limit_bytes=1000).collect(), key=lambda r: r.id)
+    batch, used, want = 0, 0, []
+    for r in out:
+        if used > 0 and used + r.row_bytes > 1000:
+            batch, used = batch + 1, 0
+        used += r.row_bytes
+        want.append(batch)
+    assert [r.batch_no for r in out] == want
+
+
+def test_merge_with_hot_key(spark):
+    # One key holds a third of all changes; the result must still be exact.
+    log = [(0 if i % 3 == 0 else i, f"v{i}", "u", i, i) for i in range(3000)]
+    changes = spark.createDataFrame(log, "k long, v string, op string, ts long, seq long").repartition(7)
+    target = spark.createDataFrame([(0, "old"), (5, "keep")], "k long, v string")
+    out = dict((r.k, r.v) for r in A.apply_changes(target, changes, ["k"]).collect())
+    assert out[0] == "v2997" and len(out) == 1 + 2000 + (0 if 5 in {i for i in range(3000) if i % 3} else 1)

@@ -256,17 +256,31 @@ def size_bounded_batches(df: DataFrame, order: Sequence[str], limit_bytes: int =
     sized = sized.sortWithinPartitions(*order)
     out_schema = T.StructType(sized.schema.fields + [T.StructField("batch_no", T.LongType(), False)])
 
+    import numpy as np
+
     def fold(batches):
         batch_no, used = 0, 0
         for pdf in batches:
-            sizes = pdf["row_bytes"].to_numpy()
-            assigned = []
-            for size in sizes:
-                if used > 0 and used + size > limit_bytes:
-                    batch_no += 1
-                    used = 0
-                used += int(size)
-                assigned.append(batch_no)
+            sizes = pdf["row_bytes"].to_numpy(dtype="int64")
+            n = len(sizes)
+            assigned = np.empty(n, dtype="int64")
+            # Jump from batch boundary to batch boundary: with prefix sums the
+            # last row that still fits is one binary search away, so the Python
+            # loop runs once per request batch, not once per row.
+            csum = np.concatenate(([0], np.cumsum(sizes)))
+            i = 0
+            while i < n:
+                room = limit_bytes - used
+                j = int(np.searchsorted(csum, csum[i] + room, side="right")) - 1  # rows i..j-1 fit
+                if j <= i:
+                    if used > 0:  # current batch is full: open a new one
+                        batch_no += 1
+                        used = 0
+                        continue
+                    j = i + 1  # a single oversized row forms its own batch
+                assigned[i:j] = batch_no
+                used += int(csum[j] - csum[i])
+                i = j
             pdf = pdf.copy()
             pdf["batch_no"] = pd.Series(assigned, index=pdf.index, dtype="int64")
             yield pdf
