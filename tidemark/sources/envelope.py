@@ -303,15 +303,22 @@ def decode_image(df: DataFrame, fields: Sequence[dict], image_col: str = "value"
 # ---------------------------------------------------------------- encoding (sources for tests)
 
 
-def field_entry(field: str, wire_type: str, name: str | None = None, optional: bool = True, scale: int | None = None) -> Column:
-    params = F.create_map(F.lit("scale"), F.lit(str(scale))) if scale is not None else F.lit(None).cast("map<string,string>")
-    return F.struct(
-        F.lit(field).alias("field"),
-        F.lit(wire_type).alias("type"),
-        F.lit(name).cast("string").alias("name"),
-        F.lit(optional).alias("optional"),
-        params.alias("parameters"),
-    )
+def field_entry(field: str, wire_type: str, name: str | None = None, optional: bool = True, scale: int | None = None) -> dict:
+    """One column of an envelope's schema block."""
+    return {
+        "field": field,
+        "type": wire_type,
+        "name": name,
+        "optional": optional,
+        "parameters": {"scale": str(scale)} if scale is not None else None,
+    }
+
+
+def schema_json(fields: Sequence[dict]) -> str:
+    """The envelope's schema block as JSON text (rendered once per table)."""
+    import json
+
+    return json.dumps({"fields": [{"field": "after", "fields": list(fields)}]}, separators=(",", ":"))
 
 
 def encode_envelope(
@@ -319,24 +326,24 @@ def encode_envelope(
     topic: Column,
     key_cols: Sequence[str],
     image: Column,
-    fields: Sequence[Column],
+    fields: Sequence[dict],
     op: Column,
     ts_ms: Column,
     key_wrapped: Column | None = None,
 ) -> DataFrame:
     """Build raw events ``(topic, key, value)`` from typed rows -- the shape a
     change-capture connector writes (used to derive change logs from tables
-    and in tests).  ``image`` is a struct of wire values."""
+    and in tests).  ``image`` is a struct of wire values; the schema block is
+    rendered once and spliced into every message."""
     key_struct = F.struct(*[F.col(k) for k in key_cols])
     key = F.to_json(key_struct)
     if key_wrapped is not None:
         key = F.when(key_wrapped, F.to_json(F.struct(key_struct.alias("payload")))).otherwise(key)
-    schema = F.struct(F.array(F.struct(F.lit("after").alias("field"), F.array(*fields).alias("fields"))).alias("fields"))
     payload = F.struct(
         F.when(op == "d", image).alias("before"),
         F.when(op != "d", image).alias("after"),
         op.alias("op"),
         ts_ms.alias("ts_ms"),
     )
-    value = F.to_json(F.struct(schema.alias("schema"), payload.alias("payload")))
+    value = F.concat(F.lit('{"schema":' + schema_json(fields) + ',"payload":'), F.to_json(payload), F.lit("}"))
     return df.select(topic.alias("topic"), key.alias("key"), value.alias("value"))
