@@ -75,13 +75,31 @@ DB_CATEGORIES = [
 MAX_MESSAGE_LENGTH = 500
 
 
+# Every pattern above starts with one of these literals (lower case): a text
+# containing none of them cannot change, so a cheap substring scan decides
+# whether the regex chain runs at all.
+ANCHOR_LITERALS = [
+    "postgresql://", "mysql://", "mongodb://", "password", "pwd", "passwd",
+    "api_key", "api-key", "apikey", "token", "secret", "-----begin", "authorization:",
+]
+
+
+def might_hold_credentials(text: Column) -> Column:
+    low = F.lower(text)
+    cond = None
+    for lit in ANCHOR_LITERALS:
+        c = low.contains(lit)
+        cond = c if cond is None else cond | c
+    return cond
+
+
 def redact(text: Column) -> Column:
     """Every credential pattern replaced, in order, case-insensitively,
-    over the whole text."""
+    over the whole text (texts without any pattern anchor skip the chain)."""
     out = text
     for pattern, replacement in SENSITIVE_PATTERNS:
         out = F.regexp_replace(out, "(?is)" + pattern, replacement.replace("$", "\\$"))
-    return out
+    return F.when(might_hold_credentials(text), out).otherwise(text)
 
 
 def truncate_message(text: Column, limit: int = MAX_MESSAGE_LENGTH) -> Column:
