@@ -107,14 +107,21 @@ def truncate_message(text: Column, limit: int = MAX_MESSAGE_LENGTH) -> Column:
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit - 3), F.lit("..."))).otherwise(text)
 
 
+def _mapped(low: Column) -> Column:
+    """Friendly text of the first fragment (in list order) the lower-cased
+    message contains, else NULL."""
+    out = F.lit(None).cast("string")
+    for fragment, friendly in reversed(ERROR_MAPPINGS):
+        out = F.when(low.contains(fragment), F.lit(friendly)).otherwise(out)
+    return out
+
+
 def friendly_message(message: Column, context: Column | None = None) -> Column:
     """R2 (log map): first matching fragment's friendly text, else the
     redacted, length-capped message; prefixed with ``context: `` if given."""
-    low = F.lower(F.trim(message))
-    out = truncate_message(redact(F.trim(message)))
-    for fragment, friendly in reversed(ERROR_MAPPINGS):
-        out = F.when(low.contains(fragment), F.lit(friendly)).otherwise(out)
-    out = F.when(F.trim(message) == "", F.lit("Unknown error occurred")).otherwise(out)
+    m = F.trim(message)
+    out = F.coalesce(_mapped(F.lower(m)), truncate_message(redact(m)))
+    out = F.when(m == "", F.lit("Unknown error occurred")).otherwise(out)
     if context is not None:
         out = F.concat(context, F.lit(": "), out)
     return out
@@ -124,14 +131,18 @@ def error_class(message: Column) -> Column:
     """R2 (storage map): category of an error for the database, first match
     wins; otherwise the friendly/redacted text, and credential-looking text
     becomes a configuration error."""
-    low = F.lower(F.trim(message))
-    fallback = friendly_message(message)
-    fallback = F.when(F.lower(fallback).contains("password") | F.lower(fallback).contains("credential"), F.lit("Database authentication configuration error")).otherwise(fallback)
-    out = fallback
+    m = F.trim(message)
+    low = F.lower(m)
+    mapped = _mapped(low)
+    red = truncate_message(redact(m))
+    # Friendly labels never mention credentials, so only the redacted text
+    # needs the check.
+    credential = mapped.isNull() & (F.lower(red).contains("password") | F.lower(red).contains("credential"))
+    out = F.when(credential, F.lit("Database authentication configuration error")).otherwise(F.coalesce(mapped, red))
     for fragments, label in reversed(DB_CATEGORIES):
         cond = None
         for frag in fragments:
             c = low.contains(frag)
             cond = c if cond is None else cond | c
         out = F.when(cond, F.lit(label)).otherwise(out)
-    return F.when(message.isNull() | (F.trim(message) == ""), F.lit("Unknown error occurred")).otherwise(out)
+    return F.when(message.isNull() | (m == ""), F.lit("Unknown error occurred")).otherwise(out)
