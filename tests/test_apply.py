@@ -92,3 +92,14 @@ def test_merge_with_hot_key(spark):
     target = spark.createDataFrame([(0, "old"), (5, "keep")], "k long, v string")
     out = dict((r.k, r.v) for r in A.apply_changes(target, changes, ["k"]).collect())
     assert out[0] == "v2997" and len(out) == 1 + 2000 + (0 if 5 in {i for i in range(3000) if i % 3} else 1)
+
+
+def test_group_prefix_sum_matches_window(spark):
+    from pyspark.sql import Window
+
+    rows = [("hot" if i % 2 else f"g{i % 5}", i, float(i % 13)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, o long, v double")
+    got = O.group_prefix_sum(df, ["g"], ["o"], "v", "s", partitions=7)
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("s", F.sum("v").over(w))
+    assert _rows(got.select("g", "o", "s")) == _rows(want.select("g", "o", "s"))

@@ -292,13 +292,14 @@ def approx_size_batches(
     df: DataFrame, partition: Sequence[str], order: Sequence[str], limit_bytes: int, payload: Sequence[str] | None = None
 ) -> DataFrame:
     """K7 (approximate, SQL-expressible): ``floor(running_bytes / limit)`` within
-    each ``partition`` group; batches may exceed the limit by one row."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("row_bytes", json_size(df, payload)).withColumn(
-        "batch_no", F.floor((F.sum("row_bytes").over(w) - F.col("row_bytes")) / F.lit(limit_bytes)).cast("long")
-    )
+    each ``partition`` group; batches may exceed the limit by one row.  The
+    running sum is the distributed grouped prefix sum (a large group is not
+    held in one task)."""
+    from tidemark.operators.ordering import group_prefix_sum
+
+    sized = df.withColumn("row_bytes", json_size(df, payload))
+    run = group_prefix_sum(sized, partition, order, "row_bytes", "__prefix")
+    return run.withColumn("batch_no", F.floor((F.col("__prefix") - F.col("row_bytes")) / F.lit(limit_bytes)).cast("long")).drop("__prefix")
 
 
 def write_snapshot(df: DataFrame, base_path: str, version: int) -> str:

@@ -135,3 +135,30 @@ def prior_sum(
         (F.col("__pre_c") + F.col("__in_c")).cast("long").alias(count_name),
     )
     return df.join(stats, [*key, order_col], "left")
+
+
+def group_prefix_sum(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str = "prefix_sum",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Running sum of ``value`` within each group in ``order`` (inclusive):
+    ``SUM(value) OVER (PARTITION BY group ORDER BY order ROWS UNBOUNDED
+    PRECEDING)``, without holding a group in one task.  ``order`` must be a
+    total order within the group.
+
+    The group is cut into range-partition slices; each slice's total gives
+    the offsets of later slices (a table of at most partitions x groups rows),
+    and the running sum inside a slice is a window over that slice only."""
+    group, order = list(group), list(order)
+    numbered = _number_partitions(df, [F.col(c) for c in group + order], partitions)
+    totals = numbered.groupBy("__pid", *group).agg(F.sum(value).alias("__t"))
+    w = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__pid", *group, F.coalesce(F.sum("__t").over(w), F.lit(0)).alias("__before"))
+    w_in = Window.partitionBy("__pid", *group).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    local = numbered.withColumn("__run", F.sum(value).over(w_in))
+    out = _join_null_safe(local, offsets, ["__pid", *group])
+    return out.withColumn(name, F.col("__before") + F.col("__run")).drop("__pid", "__local", "__before", "__run")

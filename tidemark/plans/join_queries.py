@@ -141,7 +141,7 @@ FROM orders t
 def history_balance(spark, sf_dir):
     """Per transaction, the sum and count of the same account's earlier
     transactions (strictly earlier date) -- computed as a two-level prefix sum
-    (per month, then within the month) instead of a correlated subquery."""
+    (per day, then within the day) instead of a correlated subquery."""
     (o,) = D.tables(spark, sf_dir, "orders")
     t = o.select(
         F.col("o_orderkey").alias("transaction_id"),
@@ -149,7 +149,7 @@ def history_balance(spark, sf_dir):
         F.col("o_orderdate").alias("transaction_date"),
         F.col("o_totalprice").alias("amount"),
     )
-    with_prior = O.prior_sum(t, ["account_id"], "transaction_date", "amount", F.date_trunc("month", "transaction_date"), "prev", "transaction_count")
+    with_prior = O.prior_sum(t, ["account_id"], "transaction_date", "amount", F.date_trunc("day", "transaction_date"), "prev", "transaction_count")
     prev = F.coalesce(F.col("prev"), F.lit(0.0))
     return with_prior.select(
         "transaction_id",
