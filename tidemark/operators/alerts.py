@@ -200,19 +200,39 @@ def throttle(df: DataFrame, key: str, ts_col: str, tiebreak: str, acked_col: str
     out_schema = T.StructType(list(sorted_df.schema.fields) + [T.StructField("create", T.BooleanType())])
     gap = pd.Timedelta(minutes=minutes)
 
+    import numpy as np
+
+    gap_ns = int(minutes * 60 * 1_000_000_000)
+
     def fold(batches):
-        cur_key, last = None, None
+        cur_key, last = None, None  # carried across Arrow batches
         for pdf in batches:
-            flags = []
-            for k, t, acked in zip(pdf[key], pdf[ts_col], pdf[acked_col].fillna(False)):
-                if k != cur_key:
-                    cur_key, last = k, None
-                make = last is None or bool(acked) or (t - last) >= gap
-                if make:
-                    last = t
-                flags.append(make)
+            n = len(pdf)
+            make = np.zeros(n, dtype=bool)
+            if n:
+                keys = pdf[key].to_numpy()
+                t = pdf[ts_col].to_numpy().astype("datetime64[ns]").astype("int64")
+                acked = pdf[acked_col].fillna(False).to_numpy(dtype=bool)
+                starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+                ends = np.r_[starts[1:], n]
+                for a, b in zip(starts, ends):
+                    if keys[a] != cur_key:
+                        cur_key, last = keys[a], None
+                    acked_pos = np.flatnonzero(acked[a:b]) + a
+                    i = a
+                    while i < b:
+                        if last is None or acked[i] or t[i] - last >= gap_ns:
+                            make[i] = True
+                            last = int(t[i])
+                            i += 1
+                            continue
+                        # Jump to the next attempt that can create one: the first
+                        # at least ``minutes`` after the last creation, or acked.
+                        j = int(np.searchsorted(t[a:b], last + gap_ns, side="left")) + a
+                        k = int(acked_pos[np.searchsorted(acked_pos, i)]) if np.searchsorted(acked_pos, i) < len(acked_pos) else b
+                        i = min(j, k, b)
             pdf = pdf.copy()
-            pdf["create"] = pd.Series(flags, index=pdf.index, dtype="bool")
+            pdf["create"] = pd.Series(make, index=pdf.index, dtype="bool")
             yield pdf
 
     return sorted_df.mapInPandas(fold, out_schema)
