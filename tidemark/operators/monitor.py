@@ -77,7 +77,7 @@ def daily_pivot(
 
 def hourly_avg_pivot(df: DataFrame, ts_col: str, name_col: str, value_col: str, since: str, names: Sequence[str] | None = None) -> DataFrame:
     """A5: hourly mean per name, pivoted; hours without data are absent."""
-    ranged = df.filter(F.col(ts_col) >= F.lit(since).cast("timestamp_ntz")).withColumn("hour", F.date_trunc("hour", F.col(ts_col)))
+    ranged = df.filter(F.col(ts_col) >= F.lit(since).cast("timestamp_ntz")).withColumn("hour", F.date_trunc("hour", F.col(ts_col)).cast("timestamp_ntz"))
     grouped = ranged.groupBy("hour")
     pivoted = grouped.pivot(name_col, list(names)) if names is not None else grouped.pivot(name_col)
     return pivoted.agg(F.avg(value_col))

@@ -203,7 +203,7 @@ def redact_text(spark, sf_dir):
     """Credential patterns removed from every document (whole texts)."""
     (d,) = D.tables(spark, sf_dir, "documents")
     red = R.redact(F.col("text"))
-    return d.select("doc_id", F.md5(red).alias("redacted_md5"), (red != F.col("text")).alias("changed"), F.length(red).alias("n_chars_redacted"))
+    return d.select("doc_id", F.md5(red).alias("redacted_md5"), (red != F.col("text")).alias("changed"), F.length(red).cast("long").alias("n_chars_redacted"))
 
 
 def _class_sql(col: str) -> str:
