@@ -38,3 +38,28 @@ def test_guard_and_key_resolution(spark):
     assert A.resolve_key(None, None, None, ["user_id", "name"]) == ["user_id"]
     with pytest.raises(ValueError):
         A.resolve_key(None, None, None, ["a", "b"])
+
+
+def test_failing_branch_is_isolated_and_dead_lettered(spark):
+    import json
+
+    from tidemark.sources import envelope as EV
+
+    base = tempfile.mkdtemp(prefix="tm-branches-")
+    fields = [{"field": "id", "type": "int64", "name": None}, {"field": "n", "type": "string", "name": None}]
+    msgs = [
+        ("db.public.users", json.dumps({"id": i}), json.dumps({"payload": {"op": "c", "after": {"id": i, "n": f"n{i}"}, "ts_ms": 1000 + i}}))
+        for i in range(20)
+    ] + [("db.public.users", json.dumps({"id": 99}), "{broken")]
+    spark.createDataFrame(msgs, EV.RAW_EVENT_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{base}/src")
+    common = dict(table="users", fields=fields, keys=["id"], ts_col="ts", seq_col="id")
+    good = S.Branch(name="good", target_path=f"{base}/t_good", **common)
+    bad = S.Branch(name="bad", target_path=f"{base}/t_bad", sql="SELECT no_such_column FROM users", **common)
+    sinks = S.StreamSinks(dlq_path=f"{base}/dlq", throughput_path=f"{base}/tp")
+    S.run_change_stream(spark, f"{base}/src", [good, bad], sinks, f"{base}/ckpt")
+    assert S.BucketedTarget(spark, good.target_path, ["id"], "ts", "id").read().count() == 20
+    dlq = spark.read.parquet(sinks.dlq_path)
+    per_branch = {r.branch: r.n for r in dlq.groupBy("branch").agg(F.count("*").alias("n")).collect()}
+    assert per_branch == {"bad": 20, "users": 1}
+    logged = {r.branch: r.record_count for r in spark.read.parquet(sinks.throughput_path).collect()}
+    assert logged == {"good": 20}

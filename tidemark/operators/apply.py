@@ -39,7 +39,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     ``row_number() OVER (PARTITION BY keys ORDER BY order DESC, rest DESC) = 1``.
     """
     keys = list(keys)
-    order = list(order)
+    # A key column is constant within its group: it cannot order the rows.
+    order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*_cols(order + rest))
     return (
