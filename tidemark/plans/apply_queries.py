@@ -254,3 +254,54 @@ def size_bounded_batches_approx(spark, sf_dir):
     return sized.groupBy("lang", "batch_no").agg(
         F.count("*").alias("n_rows"), F.sum("row_bytes").alias("payload_bytes")
     )
+
+
+@query(
+    "apply_delete_as_upsert",
+    with_ctes(CHG_ORDERS, ORDERS_SNAPSHOT, ORDERS_BATCH, _LATEST_ORDERS_SQL)
+    + f"""
+SELECT {ORDER_COLS_SQL} FROM orders_snapshot t
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.o_orderkey = t.o_orderkey)
+UNION ALL
+SELECT {ORDER_COLS_SQL} FROM latest
+""",
+)
+def apply_delete_as_upsert(spark, sf_dir):
+    """X2 (the reference's row-store path): the operation is ignored, so a
+    delete writes its before-image like any other change
+    (``on_delete='upsert'``)."""
+    target = D.orders_snapshot(spark, sf_dir)
+    batch = D.orders_batch(spark, sf_dir)
+    return A.apply_changes(target, batch, ["o_orderkey"], on_delete="upsert")
+
+
+@query(
+    "apply_upsert_null_safe",
+    """
+WITH keyed AS (
+  SELECT CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE o_custkey END AS ck, o_orderkey, o_totalprice, o_orderdate FROM orders),
+target AS (SELECT * FROM keyed WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+batch AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY ck ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM keyed WHERE o_orderdate >= TIMESTAMP '1998-01-01') WHERE rn = 1)
+SELECT ck, o_orderkey, o_totalprice, o_orderdate FROM target t
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.ck IS NOT DISTINCT FROM t.ck)
+UNION ALL
+SELECT ck, o_orderkey, o_totalprice, o_orderdate FROM batch
+""",
+)
+def apply_upsert_null_safe(spark, sf_dir):
+    """K1 with a nullable key matched NULL-safely: the batch's row for the
+    NULL key replaces every target row whose key is NULL."""
+    (o,) = D.tables(spark, sf_dir, "orders")
+    keyed = o.select(
+        F.when(F.col("o_custkey") % 97 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("ck"),
+        "o_orderkey",
+        "o_totalprice",
+        "o_orderdate",
+    )
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    target = keyed.filter(F.col("o_orderdate") < cut)
+    batch = keyed.filter(F.col("o_orderdate") >= cut)
+    return A.upsert(target, batch, ["ck"], order=["o_orderdate", "o_orderkey"], null_safe=True)
