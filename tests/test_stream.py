@@ -63,3 +63,20 @@ def test_failing_branch_is_isolated_and_dead_lettered(spark):
     assert per_branch == {"bad": 20, "users": 1}
     logged = {r.branch: r.record_count for r in spark.read.parquet(sinks.throughput_path).collect()}
     assert logged == {"good": 20}
+
+
+def test_missing_required_target_dead_letters(spark):
+    import json
+
+    from tidemark.sources import envelope as EV
+
+    base = tempfile.mkdtemp(prefix="tm-guard-")
+    fields = [{"field": "id", "type": "int64", "name": None}]
+    msgs = [("db.public.items", json.dumps({"id": i}), json.dumps({"payload": {"op": "c", "after": {"id": i}, "ts_ms": i}})) for i in range(5)]
+    spark.createDataFrame(msgs, EV.RAW_EVENT_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{base}/src")
+    br = S.Branch(name="strict", table="items", fields=fields, keys=["id"], target_path=f"{base}/t", ts_col="ts", seq_col="id", require_target=True)
+    sinks = S.StreamSinks(dlq_path=f"{base}/dlq", throughput_path=f"{base}/tp")
+    S.run_change_stream(spark, f"{base}/src", [br], sinks, f"{base}/ckpt")
+    dlq = spark.read.parquet(sinks.dlq_path)
+    assert dlq.count() == 5 and "does not exist" in dlq.first().error.lower() or "not exist" in dlq.first().error.lower()
+    assert not S.path_exists(spark, f"{base}/t/data")

@@ -147,6 +147,7 @@ class Branch:
     key_from_json: Mapping[str, str] = field(default_factory=dict)
     ts_col: str = "ts"
     seq_col: str = "seq"
+    require_target: bool = False  # K9: dead-letter instead of creating a missing target
 
 
 @dataclass
@@ -214,6 +215,8 @@ def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, si
         shaped = J.run_transform(spark, filtered, br.table, br.sql)
         meta = {"op", "ts_ms", br.ts_col, br.seq_col, *br.keys}
         cleaned = A.drop_all_null_rows(shaped, ignore=[c for c in shaped.columns if c in meta])
+        if br.require_target:
+            A.guard_target(spark, f"{br.target_path}/data", [c for c in cleaned.columns if c not in ("ts_ms",)])
         counted = Observation(f"{br.name}_{epoch}")
         buckets = target.merge(cleaned.observe(counted, F.count(F.lit(1)).alias("n")), epoch)
         return (int(epoch), br.name, br.table, int(counted.get.get("n", 0)), int(buckets))
