@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators import evolution as EV
 from tidemark.plans import derived as D
@@ -185,7 +184,6 @@ def _typed_catalog(spark, sf_dir):
     return C.catalog_of(spark, {"orders": src["orders"], "events": src["events"], "orders_decoded": decoded, "embeddings": emb}, KEYS)
 
 
-_TYPED = dict(SCHEMAS)
 _TYPED = {
     "orders": SCHEMAS["orders"],
     "events": SCHEMAS["events"],
