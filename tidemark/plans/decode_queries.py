@@ -41,7 +41,7 @@ def events_raw(spark, sf_dir):
     """Raw change events for the events table: one per change (keys wrapped
     in ``payload`` for even users), plus a heartbeat per user and a tombstone
     after every delete -- both of which parsing must drop."""
-    ch = D.chg_events(spark, sf_dir)
+    ch = spread(D.chg_events(spark, sf_dir))
     image = F.struct(
         F.col("seq").alias("event_id"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"),
@@ -63,11 +63,11 @@ def events_raw(spark, sf_dir):
         )
     )
     tombstones = ch.filter(F.col("op") == "d").select(topic.alias("topic"), F.to_json(F.struct("k")).alias("key"), F.lit(None).cast("string").alias("value"))
-    return spread(changes.unionByName(beats).unionByName(tombstones))
+    return changes.unionByName(beats).unionByName(tombstones)
 
 
 def orders_raw(spark, sf_dir):
-    ch = D.chg_orders(spark, sf_dir)
+    ch = spread(D.chg_orders(spark, sf_dir))
     image = F.struct(
         "o_orderkey",
         "o_custkey",
@@ -78,7 +78,7 @@ def orders_raw(spark, sf_dir):
         "o_orderpriority",
         F.unix_millis(F.col("ts").cast("timestamp")).alias("changed_at"),
     )
-    return spread(EV.encode_envelope(
+    return EV.encode_envelope(
         ch.withColumn("seq_key", F.col("seq")),
         F.lit("srv.public.orders"),
         ["o_orderkey", "seq_key"],
@@ -86,7 +86,7 @@ def orders_raw(spark, sf_dir):
         _field_cols(ORDER_FIELDS),
         F.col("op"),
         F.unix_millis(F.col("ts").cast("timestamp")),
-    ))
+    )
 
 
 def _decoded_orders(spark, sf_dir):
@@ -514,7 +514,7 @@ def sales_raw(spark, sf_dir):
     """The every-type sales table (line items with their orders) as change
     events, each type encoded the way a change connector writes it."""
     li, o = D.tables(spark, sf_dir, "lineitem", "orders")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    j = spread(li.join(o, li["l_orderkey"] == o["o_orderkey"]))
     image = F.struct(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"),
         DC.decimal_to_base64(F.col("l_extendedprice"), 2).alias("unit_price"),
@@ -533,7 +533,7 @@ def sales_raw(spark, sf_dir):
             F.lit(4326).alias("srid"),
         ).alias("delivery_location"),
     )
-    return spread(EV.encode_envelope(j, F.lit("srv.public.sales"), ["l_orderkey", "l_linenumber"], image, _field_cols(SALES_FIELDS), F.lit("c"), F.unix_millis(F.col("o_orderdate").cast("timestamp"))))
+    return EV.encode_envelope(j, F.lit("srv.public.sales"), ["l_orderkey", "l_linenumber"], image, _field_cols(SALES_FIELDS), F.lit("c"), F.unix_millis(F.col("o_orderdate").cast("timestamp")))
 
 
 @query(
