@@ -98,43 +98,42 @@ def next_jobs(jobs: DataFrame, sources: DataFrame, limit: int = 10) -> DataFrame
     return pending.join(sources, "source_id").orderBy(F.col("created_at").asc(), F.col("job_id").asc()).limit(limit)
 
 
-def key_ranges(df: DataFrame, pk: str, ranges: int) -> list[tuple]:
-    """Split the key space into at most ``ranges`` contiguous ranges of about
-    equal row counts: ``(range_no, first_key, last_key, n_rows)``.  Computed
-    from the distributed global index; the result has ``ranges`` rows."""
-    total = df.count()
-    size = max(1, -(-total // max(1, ranges)))
-    plan = chunk_plan(df.select(pk), pk, size)
-    return [(r["chunk_no"], r["first_key"], r["last_key"], r["n_rows"]) for r in plan.orderBy("chunk_no").collect()]
-
-
 def run_backfill(
     spark,
     source: DataFrame,
-    pk: str,
     target,
     job_id: str,
     progress_path: str,
-    ranges: int = 16,
+    groups: int = 8,
     predicate: Column | None = None,
     backfill_ts: str = "1970-01-01 00:00:00",
 ) -> DataFrame:
     """Resumable backfill: the filtered snapshot, as ``r`` events, merged into
-    ``target`` (a ``BucketedTarget``) one key range at a time.
-
-    Each range is one distributed job whose merge carries its own commit
-    marker (epoch ``<job>-<range>``), so a restarted job skips finished
-    ranges and a re-run range rewrites the same rows.  Progress rows
-    ``(job_id, range_no, first_key, last_key, n_rows)`` are appended only
-    after a range is committed -- a failed write is never counted.  The
-    number of ranges bounds the driver-side loop (not the data size)."""
+    ``target`` (a ``BucketedTarget``) one group of target buckets at a time.
+
+    Splitting by the target's own buckets (not by key ranges, which would
+    touch every bucket each time) means every bucket is rewritten exactly
+    once: total I/O is one pass over the snapshot plus one over the existing
+    target.  Each group's merge carries its own commit marker (epoch
+    ``<job>-g<n>``), so a restarted job skips finished groups and a re-run
+    group rewrites the same rows.  A progress row ``(job_id, group_no,
+    n_rows)`` is appended only after its group is committed -- a failed write
+    is never counted.  ``groups`` bounds the driver-side loop."""
+    from pyspark.sql import Observation
+
     snap = snapshot(source, predicate)
     snap = snap.withColumn("ts", F.lit(backfill_ts).cast("timestamp_ntz")).withColumn("seq", F.lit(0).cast("long"))
-    for range_no, first, last, n in key_ranges(snap, pk, ranges):
-        epoch = f"{job_id}-{range_no}"
+    per_group = -(-target.buckets // max(1, groups))
+    for g in range(min(groups, target.buckets)):
+        epoch = f"{job_id}-g{g}"
         if target.committed(epoch):
             continue
-        part = snap.filter(F.col(pk).between(F.lit(first), F.lit(last)))
+        lo, hi = g * per_group, min(target.buckets, (g + 1) * per_group) - 1
+        counted = Observation(f"backfill_{job_id}_{g}")
+        part = snap.filter(target.bucket_of().between(lo, hi)).observe(counted, F.count(F.lit(1)).alias("n"))
         target.merge(part, epoch)
-        spark.createDataFrame([(job_id, int(range_no), int(first), int(last), int(n))], "job_id string, range_no long, first_key long, last_key long, n_rows long").write.mode("append").parquet(progress_path)
+        # merge() always scans the group first (its touched-bucket pass), so
+        # the observation is filled even for an empty group.
+        n = int(counted.get.get("n", 0))
+        spark.createDataFrame([(job_id, g, n)], "job_id string, group_no int, n_rows long").write.mode("append").parquet(progress_path)
     return spark.read.parquet(progress_path)
