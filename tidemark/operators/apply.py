@@ -240,7 +240,13 @@ def json_size(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     return F.octet_length(F.to_json(F.struct(*_cols(cols)))) + F.lit(1)
 
 
-def size_bounded_batches(df: DataFrame, order: Sequence[str], limit_bytes: int = 3_500_000) -> DataFrame:
+def size_bounded_batches(
+    df: DataFrame,
+    order: Sequence[str],
+    limit_bytes: int = 3_500_000,
+    group: Sequence[str] | None = None,
+    payload: Sequence[str] | None = None,
+) -> DataFrame:
     """K7 (exact): greedy split of each partition, in ``order``, into request
     batches whose JSON payload stays within ``limit_bytes``.
 
@@ -250,42 +256,72 @@ def size_bounded_batches(df: DataFrame, order: Sequence[str], limit_bytes: int =
     large the partition.  Output adds ``part_id``, ``batch_no`` and
     ``row_bytes``; (``part_id``, ``batch_no``) identifies a request.  A single
     row larger than the limit forms its own batch.
+
+    With ``group`` the rows are hash-partitioned by the group and the packing
+    restarts at every group (requests never mix groups); batches are then
+    identified by (group, ``batch_no``) and the result does not depend on the
+    physical partitioning.  A group is walked by one task, streamed.
     """
     import pandas as pd
 
-    sized = df.withColumn("row_bytes", json_size(df)).withColumn("part_id", F.spark_partition_id())
-    sized = sized.sortWithinPartitions(*order)
+    payload = list(payload or df.columns)
+    if group:
+        group = list(group)
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sized = df.withColumn("row_bytes", json_size(df, payload)).repartition(n, *group).withColumn("part_id", F.spark_partition_id())
+        sized = sized.sortWithinPartitions(*group, *order)
+    else:
+        sized = df.withColumn("row_bytes", json_size(df, payload)).withColumn("part_id", F.spark_partition_id())
+        sized = sized.sortWithinPartitions(*order)
     out_schema = T.StructType(sized.schema.fields + [T.StructField("batch_no", T.LongType(), False)])
 
     import numpy as np
 
     def fold(batches):
-        batch_no, used = 0, 0
+        batch_no, used, cur = 0, 0, None
         for pdf in batches:
-            sizes = pdf["row_bytes"].to_numpy(dtype="int64")
-            n = len(sizes)
-            assigned = np.empty(n, dtype="int64")
-            # Jump from batch boundary to batch boundary: with prefix sums the
-            # last row that still fits is one binary search away, so the Python
-            # loop runs once per request batch, not once per row.
-            csum = np.concatenate(([0], np.cumsum(sizes)))
-            i = 0
-            while i < n:
-                room = limit_bytes - used
-                j = int(np.searchsorted(csum, csum[i] + room, side="right")) - 1  # rows i..j-1 fit
-                if j <= i:
-                    if used > 0:  # current batch is full: open a new one
-                        batch_no += 1
-                        used = 0
-                        continue
-                    j = i + 1  # a single oversized row forms its own batch
-                assigned[i:j] = batch_no
-                used += int(csum[j] - csum[i])
-                i = j
+            if group:
+                keys = list(zip(*[pdf[g].tolist() for g in group]))
+                starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+                out = []
+                for a, b in zip(starts, starts[1:] + [len(keys)]):
+                    if keys[a] != cur:
+                        cur, batch_no, used = keys[a], 0, 0
+                    part = pdf.iloc[a:b]
+                    assigned, batch_no, used = _pack(part["row_bytes"].to_numpy(dtype="int64"), batch_no, used)
+                    part = part.copy()
+                    part["batch_no"] = pd.Series(assigned, index=part.index, dtype="int64")
+                    out.append(part)
+                if out:
+                    yield pd.concat(out)
+                continue
+            assigned, batch_no, used = _pack(pdf["row_bytes"].to_numpy(dtype="int64"), batch_no, used)
             pdf = pdf.copy()
             pdf["batch_no"] = pd.Series(assigned, index=pdf.index, dtype="int64")
             yield pdf
 
+    def _pack(sizes, batch_no, used):
+        n = len(sizes)
+        assigned = np.empty(n, dtype="int64")
+        # Jump from batch boundary to batch boundary: with prefix sums the
+        # last row that still fits is one binary search away, so the Python
+        # loop runs once per request batch, not once per row.
+        csum = np.concatenate(([0], np.cumsum(sizes)))
+        i = 0
+        while i < n:
+            room = limit_bytes - used
+            j = int(np.searchsorted(csum, csum[i] + room, side="right")) - 1  # rows i..j-1 fit
+            if j <= i:
+                if used > 0:  # current batch is full: open a new one
+                    batch_no += 1
+                    used = 0
+                    continue
+                j = i + 1  # a single oversized row forms its own batch
+            assigned[i:j] = batch_no
+            used += int(csum[j] - csum[i])
+            i = j
+        return assigned, batch_no, used
+
     return sized.mapInPandas(fold, schema=out_schema)
 
 
