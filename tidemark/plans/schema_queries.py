@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import evolution as EV
 from tidemark.plans import derived as D
-from tidemark.plans.registry import BRANCHES, TAG_LINKS, query, with_ctes
+from tidemark.plans.registry import BRANCHES, CHG_ORDERS, TAG_LINKS, query, with_ctes
 from tidemark.sources import catalog as C
 
 # Schemas of the source tables (as the source database reports
@@ -129,11 +129,19 @@ def catalog_reconcile(spark, sf_dir):
 @query(
     "catalog_listing",
     with_ctes(CATALOG_SQL)
-    + "SELECT table_name, string_agg(column_name, ',' ORDER BY ordinal) AS columns, count(*) AS n_columns FROM catalog WHERE table_name ILIKE '%ER%' GROUP BY table_name",
+    + """
+, sizes AS (SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
+            UNION ALL SELECT 'customer', count(*) FROM customer
+            UNION ALL SELECT 'events', count(*) FROM events
+            UNION ALL SELECT 'lineitem', count(*) FROM lineitem)
+SELECT c.table_name, string_agg(c.column_name, ',' ORDER BY c.ordinal) AS columns, count(*) AS n_columns, max(s.n_rows) AS n_rows
+FROM catalog c JOIN sizes s USING (table_name) WHERE c.table_name ILIKE '%ER%' GROUP BY c.table_name
+""",
 )
 def catalog_listing(spark, sf_dir):
-    """Tables matching a case-insensitive filter, columns in order."""
-    return C.listing(C.catalog_of(spark, _sources(spark, sf_dir), KEYS), "ER")
+    """Tables matching a case-insensitive filter, columns in order, with
+    their row counts (the catalog is profiled over the data)."""
+    return C.listing(C.profiled_catalog(spark, _sources(spark, sf_dir), KEYS), "ER")
 
 
 _EXISTING_SQL = """
@@ -181,7 +189,7 @@ def _typed_catalog(spark, sf_dir):
     src = _sources(spark, sf_dir)
     (emb,) = D.tables(spark, sf_dir, "embeddings")
     decoded = _decoded_orders(spark, sf_dir).drop("op", "seq")
-    return C.catalog_of(spark, {"orders": src["orders"], "events": src["events"], "orders_decoded": decoded, "embeddings": emb}, KEYS)
+    return C.profiled_catalog(spark, {"orders": src["orders"], "events": src["events"], "orders_decoded": decoded, "embeddings": emb}, KEYS)
 
 
 _TYPED = {
@@ -195,10 +203,26 @@ _TYPED = {
 }
 
 
+def _typed_nulls_sql():
+    parts = []
+    for t in ("orders", "events"):
+        for c, _ in SCHEMAS[t]:
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM {t}")
+    dec = {"o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "o_orderstatus": "o_orderstatus", "o_totalprice": "o_totalprice",
+           "price_delta": "o_totalprice", "o_orderdate": "o_orderdate", "o_orderpriority": "o_orderpriority", "changed_at": "ts"}
+    for c, src in dec.items():
+        parts.append(f"SELECT 'orders_decoded', '{c}', count(*), count(*) - count({src}) FROM chg_orders")
+    for c in ("vec_id", "embedding", "label"):
+        parts.append(f"SELECT 'embeddings', '{c}', count(*), count(*) - count({c}) FROM embeddings")
+    return "nulls AS (\n  " + "\n  UNION ALL ".join(parts) + ")"
+
+
 @query(
     "catalog_type_map",
     f"""
-WITH catalog AS (
+WITH {CHG_ORDERS.strip()},
+{_typed_nulls_sql()},
+catalog AS (
   SELECT table_name, CAST(ordinal AS INTEGER) AS ordinal, column_name, data_type,
          CASE WHEN data_type = 'numeric' THEN 38 END AS numeric_precision, CASE WHEN data_type = 'numeric' THEN 2 END AS numeric_scale
   FROM (VALUES {_catalog_values(_TYPED, {})}) v(table_name, ordinal, column_name, data_type, k))
@@ -214,8 +238,9 @@ SELECT table_name, column_name, data_type,
             WHEN data_type = 'numeric' THEN 'decimal(' || numeric_precision || ',' || numeric_scale || ')'
             WHEN data_type = 'double precision' THEN 'double' WHEN data_type = 'date' THEN 'date'
             WHEN data_type = 'timestamp without time zone' THEN 'timestamp_ntz'
-            WHEN data_type = 'ARRAY' THEN 'array<string>' ELSE 'string' END AS spark_type
-FROM catalog
+            WHEN data_type = 'ARRAY' THEN 'array<string>' ELSE 'string' END AS spark_type,
+       n.n_rows, n.n_nulls
+FROM catalog LEFT JOIN nulls n USING (table_name, column_name)
 """,
 )
 def catalog_type_map(spark, sf_dir):
@@ -229,6 +254,8 @@ def catalog_type_map(spark, sf_dir):
         "data_type",
         C.warehouse_type(F.col("data_type"), p, s).alias("warehouse_type"),
         C.spark_type_name(F.col("data_type"), p, s).alias("spark_type"),
+        "n_rows",
+        "n_nulls",
     )
 
 

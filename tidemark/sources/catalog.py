@@ -163,9 +163,11 @@ def listing(catalog: DataFrame, name_filter: str | None = None) -> DataFrame:
     cat = catalog
     if name_filter:
         cat = cat.filter(F.col("table_name").ilike(f"%{name_filter}%"))
+    extra = [F.max("n_rows").alias("n_rows")] if "n_rows" in cat.columns else []
     return cat.groupBy("table_name").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "column_name"))), lambda s: s["column_name"]), ",").alias("columns"),
         F.count("*").alias("n_columns"),
+        *extra,
     )
 
 
