@@ -20,7 +20,12 @@ BIG_SQL = "SELECT k, event_id, ts, op, value FROM events"
 
 
 def _branches(base: str):
-    common = dict(table="events", fields=EVENT_FIELDS, keys=["k"], key_from_json={"k": "long"}, ts_col="ts", seq_col="event_id")
+    # Merge-on-read targets: each micro-batch appends its changes; every
+    # second batch folds the deltas into a new base.
+    common = dict(
+        table="events", fields=EVENT_FIELDS, keys=["k"], key_from_json={"k": "long"}, ts_col="ts", seq_col="event_id",
+        layout="merge_on_read", compact_every=2,
+    )
     return [
         S.Branch(name="all_users", target_path=f"{base}/targets/all_users", **common),
         S.Branch(name="big_values", target_path=f"{base}/targets/big_values", filter_spec=BIG_VALUES, sql=BIG_SQL, **common),
@@ -63,8 +68,7 @@ def stream_apply(spark, sf_dir):
     order), each batch parsed once and applied to two branches; the first
     branch's target ends as the latest live row per user."""
     base, branches, _ = _run_events_stream(spark, sf_dir)
-    t = S.BucketedTarget(spark, branches[0].target_path, ["k"], "ts", "event_id")
-    return t.read()
+    return branches[0].target(spark).read()
 
 
 @query("stream_restart", _LATEST_SQL)
@@ -72,8 +76,7 @@ def stream_restart(spark, sf_dir):
     """V2: the query is stopped after the first delivery and restarted from
     its checkpoint when more files arrive; nothing is lost or applied twice."""
     base, branches, _ = _run_events_stream(spark, sf_dir, split=True)
-    t = S.BucketedTarget(spark, branches[0].target_path, ["k"], "ts", "event_id")
-    return t.read()
+    return branches[0].target(spark).read()
 
 
 @query(

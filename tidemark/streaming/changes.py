@@ -56,14 +56,74 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder (empty when it does not exist)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
 class BucketedTarget:
     """A target table stored as Parquet partitioned by ``bucket`` =
     ``pmod(hash(keys), buckets)``, holding one row per key (latest change,
-    deletes as tombstones)."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], ts_col: str = "ts", seq_col: str = "seq", op_col: str = "op", buckets: int = DEFAULT_BUCKETS):
+    deletes as tombstones).
+
+    Layouts:
+
+    * ``copy_on_write`` (default): each merge rewrites the buckets it touches.
+    * ``merge_on_read``: each merge appends its own latest-per-key rows as a
+      delta (cost proportional to the batch, not the table); readers take the
+      latest row per key over the base and the committed deltas; ``compact``
+      (every ``compact_every`` merges, or on demand) folds the deltas into a
+      new base version named by a manifest.  Nothing is rewritten in place:
+      a delta or base is visible only once its commit marker / manifest
+      exists, and because "latest (ts, seq) wins" is order-independent and
+      idempotent, reading a delta twice or replaying one changes nothing.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        ts_col: str = "ts",
+        seq_col: str = "seq",
+        op_col: str = "op",
+        buckets: int = DEFAULT_BUCKETS,
+        layout: str = "copy_on_write",
+        compact_every: int | None = None,
+    ):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.ts_col, self.seq_col, self.op_col, self.buckets = ts_col, seq_col, op_col, buckets
+        if layout not in ("copy_on_write", "merge_on_read"):
+            raise ValueError(layout)
+        self.layout, self.compact_every = layout, compact_every
 
     def bucket_of(self) -> Column:
         return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
@@ -72,10 +132,70 @@ class BucketedTarget:
         return path_exists(self.spark, f"{self.path}/_commits/epoch={epoch}")
 
     def read_state(self) -> DataFrame | None:
+        if self.layout == "merge_on_read":
+            return self._read_merged()
         if not path_exists(self.spark, f"{self.path}/data"):
             return None
         return self.spark.read.parquet(f"{self.path}/data")
 
+    # ------------------------------------------------------------ merge on read
+
+    def _manifest(self) -> dict:
+        import json
+
+        names = sorted(n for n in list_names(self.spark, f"{self.path}/_manifest") if n.startswith("v=") and n.endswith(".json"))
+        if not names:
+            return {"version": 0, "base": None, "folded": []}
+        latest = max(names, key=lambda n: int(n[2:-5]))
+        return json.loads(read_text(self.spark, f"{self.path}/_manifest/{latest}"))
+
+    def _live_deltas(self, manifest: dict) -> list[str]:
+        committed = {n[len("epoch="):] for n in list_names(self.spark, f"{self.path}/_commits") if n.startswith("epoch=")}
+        folded = set(manifest["folded"])
+        return [
+            f"{self.path}/deltas/{n}"
+            for n in sorted(list_names(self.spark, f"{self.path}/deltas"))
+            if n.startswith("epoch=") and n[len("epoch="):] in committed and n[len("epoch="):] not in folded
+        ]
+
+    def _read_merged(self) -> DataFrame | None:
+        manifest = self._manifest()
+        paths = ([manifest["base"]] if manifest["base"] else []) + self._live_deltas(manifest)
+        if not paths:
+            return None
+        # Each folder is read on its own (base and delta folders have
+        # different partition layouts) and unioned by column name.
+        parts = [self.spark.read.parquet(p).drop("bucket") for p in paths]
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        return A.latest_per_key(rows, self.keys, [self.ts_col, self.seq_col]).withColumn("bucket", self.bucket_of())
+
+    def compact(self) -> int:
+        """Fold the committed deltas into a new base version (one pass over
+        the table); returns the new version number."""
+        import json
+
+        manifest = self._manifest()
+        deltas = self._live_deltas(manifest)
+        if not deltas:
+            return manifest["version"]
+        state = self._read_merged()
+        version = manifest["version"] + 1
+        base = f"{self.path}/base/v={version}"
+        state.write.mode("overwrite").partitionBy("bucket").parquet(base)
+        folded = manifest["folded"] + [d.rsplit("epoch=", 1)[1] for d in deltas]
+        write_text(self.spark, f"{self.path}/_manifest/v={version}.json", json.dumps({"version": version, "base": base, "folded": folded}))
+        return version
+
+    def _merge_on_read(self, changes: DataFrame, epoch) -> int:
+        latest = A.latest_per_key(changes, self.keys, [self.ts_col, self.seq_col]).withColumn("bucket", self.bucket_of())
+        latest.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/deltas/epoch={epoch}")
+        touch(self.spark, f"{self.path}/_commits/epoch={epoch}")
+        if self.compact_every and len(self._live_deltas(self._manifest())) >= self.compact_every:
+            self.compact()
+        return 1
+
     def read(self) -> DataFrame:
         """The visible rows (tombstones filtered out)."""
         state = self.read_state()
@@ -87,6 +207,8 @@ class BucketedTarget:
         """Apply a batch of changes; returns the number of buckets rewritten."""
         if self.committed(epoch):
             return 0
+        if self.layout == "merge_on_read":
+            return self._merge_on_read(changes, epoch)
         # One job: the buckets this batch touches (at most ``buckets`` values);
         # none means an empty batch (e.g. a watermark-only micro-batch).
         touched = [r[0] for r in changes.select(self.bucket_of().alias("b")).distinct().collect()]
@@ -148,6 +270,13 @@ class Branch:
     ts_col: str = "ts"
     seq_col: str = "seq"
     require_target: bool = False  # K9: dead-letter instead of creating a missing target
+    layout: str = "copy_on_write"  # or "merge_on_read" (appends per batch, compacts)
+    compact_every: int | None = None
+
+    def target(self, spark: SparkSession) -> "BucketedTarget":
+        return BucketedTarget(
+            spark, self.target_path, self.keys, self.ts_col, self.seq_col, buckets=self.buckets, layout=self.layout, compact_every=self.compact_every
+        )
 
 
 @dataclass
@@ -203,7 +332,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch: int, branches: S
 def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, sinks: StreamSinks):
     from pyspark.sql import Observation
 
-    target = BucketedTarget(spark, br.target_path, br.keys, br.ts_col, br.seq_col, buckets=br.buckets)
+    target = br.target(spark)
     if target.committed(epoch):  # re-delivered epoch: already applied
         return None
     try:
@@ -215,8 +344,8 @@ def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, si
         shaped = J.run_transform(spark, filtered, br.table, br.sql)
         meta = {"op", "ts_ms", br.ts_col, br.seq_col, *br.keys}
         cleaned = A.drop_all_null_rows(shaped, ignore=[c for c in shaped.columns if c in meta])
-        if br.require_target:
-            A.guard_target(spark, f"{br.target_path}/data", [c for c in cleaned.columns if c not in ("ts_ms",)])
+        if br.require_target and target.read_state() is None:
+            raise A.TargetMissing(f"target {br.target_path} does not exist")
         counted = Observation(f"{br.name}_{epoch}")
         buckets = target.merge(cleaned.observe(counted, F.count(F.lit(1)).alias("n")), epoch)
         return (int(epoch), br.name, br.table, int(counted.get.get("n", 0)), int(buckets))
