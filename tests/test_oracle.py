@@ -44,3 +44,18 @@ def test_entry(spark):
     assert Counter(df.columns) == Counter(
         ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     )
+
+
+def test_time_columns_declared(spark):
+    """The SQL twins render exactly the timestamp columns the Spark results
+    have (checked against the raw, unpresented query results)."""
+    from pyspark.sql import types as T
+
+    from tidemark.plans import load_all
+    from tidemark.plans.present import TIME_COLUMNS
+
+    raw, _ = load_all()
+    for key in ["merge_apply", "decode_timestamp", "landing_append", "backfill_recover", "lag_hourly_avg", "history_balance"]:
+        df = raw[key](spark, SF)
+        got = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+        assert got == TIME_COLUMNS.get(key, []), key
