@@ -48,3 +48,20 @@ def test_topic_table(spark):
     df = spark.createDataFrame([("a.b.c",), ("a.b",), ("x.y.z.w",)], "t string")
     got = [r[0] for r in df.select(EV.topic_table(F.col("t"))).collect()]
     assert got == ["c", None, "w"]
+
+
+def test_undecodable_values_are_counted(spark):
+    import base64
+
+    fields = [{"field": "id", "type": "int64", "name": None}, {"field": "amount", "type": "bytes", "name": "org.apache.kafka.connect.data.Decimal", "scale": 2},
+              {"field": "at", "type": "string", "name": "io.debezium.time.ZonedTimestamp"}]
+    wide = base64.b64encode((10**40).to_bytes(17, "big", signed=True)).decode()  # beyond 38 digits
+    ok = base64.b64encode((12345).to_bytes(2, "big", signed=True)).decode()
+    rows = [
+        _ev("db.public.pay", {"id": 1}, {"op": "c", "after": {"id": 1, "amount": ok, "at": "2024-01-01T00:00:00Z"}, "ts_ms": 1}),
+        _ev("db.public.pay", {"id": 2}, {"op": "c", "after": {"id": 2, "amount": wide, "at": "2024-01-01T00:00:00Z"}, "ts_ms": 2}),
+        _ev("db.public.pay", {"id": 3}, {"op": "c", "after": {"id": 3, "amount": None, "at": "2024-01-01T00:00:00Z"}, "ts_ms": 3}),
+    ]
+    raw = spark.createDataFrame(rows, EV.RAW_EVENT_SCHEMA)
+    got = {r.id: (r.decode_errors, None if r.amount is None else str(r.amount)) for r in EV.parse_table_changes(raw, fields, count_errors=True).collect()}
+    assert got == {1: (0, "123.45"), 2: (1, None), 3: (0, None)}

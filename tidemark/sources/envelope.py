@@ -156,11 +156,20 @@ def parse_envelope(raw: DataFrame, keep_malformed: bool = False) -> DataFrame:
     return _finish(parsed, image.alias("value"), keep_malformed, [F.col("__v.schema").alias("schema")])
 
 
-def parse_table_changes(raw: DataFrame, fields: Sequence[dict], keep: Sequence[str] = (), keep_malformed: bool = False, tz: str = DC.DEFAULT_TZ) -> DataFrame:
+def parse_table_changes(
+    raw: DataFrame,
+    fields: Sequence[dict],
+    keep: Sequence[str] = (),
+    keep_malformed: bool = False,
+    tz: str = DC.DEFAULT_TZ,
+    count_errors: bool = False,
+) -> DataFrame:
     """S2 + decode in one pass for a table whose column types are known: the
     before/after images are parsed straight into their wire types by the same
     ``from_json`` that reads the envelope, then decoded column by column.
-    Output: ``op, table_name, key, ts_ms`` + the table's columns."""
+    Output: ``op, table_name, key, ts_ms`` + the table's columns, and with
+    ``count_errors`` a ``decode_errors`` column: how many of the row's values
+    were present on the wire but could not be decoded (rows to dead-letter)."""
     image_type = wire_schema(fields)
     schema = T.StructType(
         [
@@ -182,7 +191,14 @@ def parse_table_changes(raw: DataFrame, fields: Sequence[dict], keep: Sequence[s
     image = F.when(op_raw == "d", F.col("__v.payload.before")).otherwise(F.col("__v.payload.after"))
     staged = _finish(parsed, image.alias("__img"), keep_malformed, [F.col(c) for c in keep])
     base = [c for c in staged.columns if c != "__img"]
-    return staged.select(*base, *[decode_field(F.col(f"__img.{f['field']}"), f, tz).alias(f["field"]) for f in fields])
+    decoded = staged.select(*base, "__img", *[decode_field(F.col(f"__img.{f['field']}"), f, tz).alias(f["field"]) for f in fields])
+    if count_errors:
+        errors = [F.when(F.col(f"__img.{f['field']}").isNotNull() & F.col(f["field"]).isNull(), 1).otherwise(0) for f in fields]
+        total = errors[0]
+        for e in errors[1:]:
+            total = total + e
+        decoded = decoded.withColumn("decode_errors", total.cast("int"))
+    return decoded.drop("__img")
 
 
 def type_catalog(parsed: DataFrame, image: str = "after") -> DataFrame:

@@ -304,7 +304,9 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch: int, branches: S
             rows = batch.filter(F.col("__table") == table).drop("__table")
             if all(BucketedTarget(spark, br.target_path, br.keys).committed(epoch) for br in group):
                 continue  # re-delivered epoch: everything for this table is applied
-            parsed = EV.parse_table_changes(rows, group[0].fields, keep_malformed=True).persist()
+            parsed = EV.parse_table_changes(rows, group[0].fields, keep_malformed=True, count_errors=True)
+            # A row whose values do not decode is treated like a malformed event.
+            parsed = parsed.withColumn("malformed", F.col("malformed") | (F.col("decode_errors") > 0)).drop("decode_errors").persist()
             seen = Observation(f"parse_{table}_{epoch}")
             try:
                 observed = parsed.observe(seen, F.count(F.when(F.col("malformed"), 1)).alias("bad"))
@@ -319,7 +321,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch: int, branches: S
                 bad_n = seen.get.get("bad", 0) if ran else parsed.filter(F.col("malformed")).limit(1).count()
                 if bad_n:
                     bad = parsed.filter(F.col("malformed")).drop("malformed")
-                    _dead_letters(bad, epoch, table, "malformed change event").write.mode("append").parquet(sinks.dlq_path)
+                    _dead_letters(bad, epoch, table, "malformed change event or undecodable value").write.mode("append").parquet(sinks.dlq_path)
             finally:
                 parsed.unpersist()
         if log_rows:
