@@ -84,6 +84,8 @@ def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: i
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove reliable-checkpoint files once their DataFrame is garbage.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
