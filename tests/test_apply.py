@@ -103,3 +103,15 @@ def test_group_prefix_sum_matches_window(spark):
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     want = df.withColumn("s", F.sum("v").over(w))
     assert _rows(got.select("g", "o", "s")) == _rows(want.select("g", "o", "s"))
+
+
+def test_merge_into_statement_and_fallback(spark, tmp_path):
+    stmt = A.merge_into_statement("db.t", "src", ["k"], ["k", "v"])
+    assert stmt.startswith("MERGE INTO db.t AS t USING src AS s ON t.`k` = s.`k`")
+    assert "WHEN MATCHED AND lower(s.`op`) = 'd' THEN DELETE" in stmt and "INSERT (`k`, `v`) VALUES (s.`k`, s.`v`)" in stmt
+    # A Parquet-backed view cannot be merged into: the call reports it so the
+    # caller falls back to the DataFrame apply.
+    spark.createDataFrame([(1, "a")], "k long, v string").write.parquet(str(tmp_path / "t"))
+    spark.read.parquet(str(tmp_path / "t")).createOrReplaceTempView("merge_target_view")
+    changes = spark.createDataFrame([(1, "b", "u", 1, 1)], "k long, v string, op string, ts long, seq long")
+    assert A.merge_into(spark, "merge_target_view", changes, ["k"], columns=["k", "v"]) is False

@@ -392,3 +392,53 @@ def resolve_key(
     if len(ids) == 1:
         return ids
     raise ValueError("no key: configure one explicitly")
+
+
+def merge_into_statement(
+    target: str, source_view: str, keys: Sequence[str], columns: Sequence[str], op_col: str = "op", null_safe: bool = False
+) -> str:
+    """K3 as Spark SQL ``MERGE INTO`` (for targets that support row-level
+    operations): deletes remove, other changes update or insert.  The source
+    view must already hold one row per key."""
+    eq = "<=>" if null_safe else "="
+    on = " AND ".join(f"t.`{k}` {eq} s.`{k}`" for k in keys)
+    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c not in keys)
+    cols = ", ".join(f"`{c}`" for c in columns)
+    vals = ", ".join(f"s.`{c}`" for c in columns)
+    return (
+        f"MERGE INTO {target} AS t USING {source_view} AS s ON {on} "
+        f"WHEN MATCHED AND lower(s.`{op_col}`) = 'd' THEN DELETE "
+        f"WHEN MATCHED THEN UPDATE SET {sets} "
+        f"WHEN NOT MATCHED AND lower(s.`{op_col}`) <> 'd' THEN INSERT ({cols}) VALUES ({vals})"
+    )
+
+
+def merge_into(
+    spark,
+    target: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    ts_col: str = "ts",
+    seq_col: str = "seq",
+    op_col: str = "op",
+    columns: Sequence[str] | None = None,
+) -> bool:
+    """Apply a change batch with ``MERGE INTO`` when the target table supports
+    it; returns False (nothing written) when it does not, e.g. a plain
+    Parquet table or view, in which case the caller uses ``apply_changes``.
+    The source is reduced to the latest change per key by the aggregate form
+    of ``latest_per_key`` (no per-key window)."""
+    from pyspark.errors import PySparkException
+
+    latest = latest_per_key(changes, keys, [ts_col, seq_col])
+    view = f"__merge_src_{abs(hash((target, tuple(keys)))) % 10**8}"
+    latest.createOrReplaceTempView(view)
+    cols = list(columns or [c for c in latest.columns if c not in (ts_col, seq_col, op_col)])
+    try:
+        spark.sql(merge_into_statement(target, view, keys, cols, op_col)).collect()
+        return True
+    except PySparkException as e:
+        # The target's format has no row-level operations.
+        if "MERGE" in str(e).upper() and "SUPPORT" in str(e).upper():
+            return False
+        raise
