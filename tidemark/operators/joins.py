@@ -181,3 +181,30 @@ def fanout(events: DataFrame, branches: DataFrame, on: str = "table_name", broad
 def unused(items: DataFrame, links: DataFrame, on: str) -> DataFrame:
     """Items no link refers to any more."""
     return items.join(links.select(on).distinct(), on, "left_anti")
+
+
+def aggregate_upsert(
+    spark: SparkSession,
+    target: DataFrame,
+    batch: DataFrame,
+    history: DataFrame | None,
+    table_name: str,
+    sql: str,
+    keys: Sequence[str],
+    scope: str = "batch",
+) -> DataFrame:
+    """A branch whose SQL aggregates rows, upserted by the target
+    key.  ``scope='batch'`` aggregates only the new batch (its result replaces
+    the key's row); ``scope='full'`` recomputes the affected keys over the
+    whole history (``history`` already including the batch), so the stored
+    aggregate stays the aggregate of everything seen."""
+    from tidemark.operators.apply import upsert
+
+    keys = list(keys)
+    if scope == "batch":
+        return upsert(target, run_transform(spark, batch, table_name, sql), keys)
+    if scope != "full":
+        raise ValueError("scope must be 'batch' or 'full'")
+    affected = batch.select(*keys).distinct()
+    rows = history.join(affected, keys, "left_semi")
+    return upsert(target, run_transform(spark, rows, table_name, sql), keys)

@@ -383,3 +383,37 @@ def transform_aggregate_upsert(spark, sf_dir):
     # new batch below does not change ``target``.
     batch_out = J.run_transform(spark, ev.filter(F.col("ts") >= cutoff), "tbl_events", sql)
     return A.upsert(target, batch_out, ["user_id"])
+
+
+@query(
+    "transform_aggregate_full",
+    """
+WITH agg_all AS (
+  SELECT user_id, round(sum(value), 2) AS total_value, max(value) AS max_value,
+         CAST((sum(CAST(round(value * 100) AS BIGINT)) * 200 + count(value)) // (2 * count(value)) AS DOUBLE) / 10000 AS avg_value,
+         count(DISTINCT event_type) AS n_types
+  FROM events GROUP BY user_id),
+agg_old AS (
+  SELECT user_id, round(sum(value), 2) AS total_value, max(value) AS max_value,
+         CAST((sum(CAST(round(value * 100) AS BIGINT)) * 200 + count(value)) // (2 * count(value)) AS DOUBLE) / 10000 AS avg_value,
+         count(DISTINCT event_type) AS n_types
+  FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY user_id),
+touched AS (SELECT DISTINCT user_id FROM events WHERE ts >= TIMESTAMP '2024-01-20')
+SELECT * FROM agg_old o WHERE o.user_id NOT IN (SELECT user_id FROM touched)
+UNION ALL SELECT a.* FROM agg_all a WHERE a.user_id IN (SELECT user_id FROM touched)
+""",
+)
+def transform_aggregate_full(spark, sf_dir):
+    """X7, scope='full': the same per-user aggregates, but a batch recomputes
+    each affected user over the whole history instead of overwriting it with
+    the batch-only figure."""
+    (ev,) = D.tables(spark, sf_dir, "events")
+    sql = """
+      SELECT user_id, round(sum(value), 2) AS total_value, max(value) AS max_value,
+             CAST((sum(CAST(round(value * 100) AS BIGINT)) * 200 + count(value)) div (2 * count(value)) AS DOUBLE) / 10000
+               AS avg_value,
+             count(DISTINCT event_type) AS n_types
+      FROM tbl_events GROUP BY user_id"""
+    cutoff = F.lit("2024-01-20").cast("timestamp_ntz")
+    target = J.run_transform(spark, ev.filter(F.col("ts") < cutoff), "tbl_events", sql)
+    return J.aggregate_upsert(spark, target, ev.filter(F.col("ts") >= cutoff), ev, "tbl_events", sql, ["user_id"], scope="full")
