@@ -228,3 +228,56 @@ def error_classes(spark, sf_dir):
     friendly or redacted message)."""
     f = outcomes(spark, sf_dir).filter(~F.col("ok"))
     return f.groupBy(R.error_class(F.col("error_message")).alias("error_class")).agg(F.count("*").alias("n"))
+
+
+def _time_ordered_files(df, ts_col: str, path: str, files: int) -> None:
+    """Write ``df`` as ``files`` parquet files, one time slice each, written
+    one after another so that arrival order follows time (a stream reads new
+    files in arrival order)."""
+    t = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    bounds = df.select(F.min(t).alias("lo"), F.max(t).alias("hi")).first()
+    lo, hi = int(bounds["lo"]), int(bounds["hi"]) + 1
+    step = -(-(hi - lo) // files)
+    for i in range(files):
+        df.filter((t >= lo + i * step) & (t < lo + (i + 1) * step)).coalesce(1).write.mode("append").parquet(path)
+
+
+def _run_state_stream(spark, frame, ts_col, builder, name):
+    from tidemark.streaming import changes as S
+
+    base = S.fresh_dir(spark, name)
+    _time_ordered_files(frame, ts_col, f"{base}/src", 4)
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/src")
+    out = builder(stream)
+    q = out.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+from tidemark.plans.registry import ORACLE as _TWINS  # noqa: E402
+
+
+@query("alert_iterations_stream", _TWINS["alert_iterations"])
+def alert_iterations_stream(spark, sf_dir):
+    """V5 as a stateful stream (``applyInPandasWithState``): failures arrive
+    in four time-ordered deliveries; each key's counter lives in the state
+    store between micro-batches.  Must equal the batch fold."""
+    from tidemark.streaming.alert_state import iteration_stream
+
+    f = AL.compose(outcomes(spark, sf_dir).filter(~F.col("ok"))).select("event_id", "ts", "key_notification", "is_force_sent")
+    out = _run_state_stream(spark, f, "ts", lambda st: iteration_stream(st, "key_notification", "ts", "event_id", "is_force_sent"), "alert-iter")
+    return out.select("event_id", "key_notification", "notification_no", "iteration_check")
+
+
+@query("alert_throttle_stream", _TWINS["alert_throttle"])
+def alert_throttle_stream(spark, sf_dir):
+    """V6 as a stateful stream: the last creation time per key lives in the
+    state store between micro-batches.  Must equal the batch fold."""
+    from tidemark.streaming.alert_state import throttle_stream
+
+    (ev,) = D.tables(spark, sf_dir, "events")
+    a = ev.filter(F.col("event_type").isin("error", "click")).select(
+        (F.col("user_id") % 2).alias("k"), "event_id", "ts", (F.col("event_id") % 4 == 0).alias("acked")
+    )
+    out = _run_state_stream(spark, a, "ts", lambda st: throttle_stream(st, "k", "ts", "event_id", "acked"), "alert-throttle")
+    return out.select("event_id", "k", "create")
