@@ -215,8 +215,9 @@ class BucketedTarget:
         if touched:
             latest = A.latest_per_key(changes, self.keys, [self.ts_col, self.seq_col]).withColumn("bucket", self.bucket_of())
             state = self.read_state()
-            if state is None:
-                # First write: nothing to read back, write the buckets directly.
+            existing = {n[len("bucket="):] for n in list_names(self.spark, f"{self.path}/data") if n.startswith("bucket=")}
+            if state is None or not existing.intersection(str(b) for b in touched):
+                # Nothing stored in these buckets yet: write them directly.
                 latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{self.path}/data")
             else:
                 staged_path = f"{self.path}/_staging/epoch={epoch}"
