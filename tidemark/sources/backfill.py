@@ -113,16 +113,24 @@ def run_backfill(
 
     Splitting by the target's own buckets (not by key ranges, which would
     touch every bucket each time) means every bucket is rewritten exactly
-    once: total I/O is one pass over the snapshot plus one over the existing
-    target.  Each group's merge carries its own commit marker (epoch
+    once; the source is scanned once into a bucket-partitioned staging copy
+    whose partitions the groups read (partition pruning).  Each group's merge carries its own commit marker (epoch
     ``<job>-g<n>``), so a restarted job skips finished groups and a re-run
     group rewrites the same rows.  A progress row ``(job_id, group_no,
     n_rows)`` is appended only after its group is committed -- a failed write
     is never counted.  ``groups`` bounds the driver-side loop."""
     from pyspark.sql import Observation
 
-    snap = snapshot(source, predicate)
-    snap = snap.withColumn("ts", F.lit(backfill_ts).cast("timestamp_ntz")).withColumn("seq", F.lit(0).cast("long"))
+    from tidemark.streaming.changes import path_exists
+
+    # One scan of the source: the snapshot is staged partitioned by target
+    # bucket (a restarted job reuses a completed staging); each group then
+    # reads only its own bucket partitions.
+    staged = f"{progress_path.rstrip('/')}_staged"
+    if not path_exists(spark, f"{staged}/_SUCCESS"):
+        snap = snapshot(source, predicate)
+        snap = snap.withColumn("ts", F.lit(backfill_ts).cast("timestamp_ntz")).withColumn("seq", F.lit(0).cast("long"))
+        snap.withColumn("bucket", target.bucket_of()).write.mode("overwrite").partitionBy("bucket").parquet(staged)
     per_group = -(-target.buckets // max(1, groups))
     for g in range(min(groups, target.buckets)):
         epoch = f"{job_id}-g{g}"
@@ -130,7 +138,8 @@ def run_backfill(
             continue
         lo, hi = g * per_group, min(target.buckets, (g + 1) * per_group) - 1
         counted = Observation(f"backfill_{job_id}_{g}")
-        part = snap.filter(target.bucket_of().between(lo, hi)).observe(counted, F.count(F.lit(1)).alias("n"))
+        rows = spark.read.parquet(staged)
+        part = rows.filter(F.col("bucket").between(lo, hi)).drop("bucket").observe(counted, F.count(F.lit(1)).alias("n"))
         target.merge(part, epoch)
         # merge() always scans the group first (its touched-bucket pass), so
         # the observation is filled even for an empty group.
