@@ -56,3 +56,25 @@ def test_error_class(spark):
         "Database authentication configuration error",
         "Unknown error occurred",
     ]
+
+
+def _reference_throttle(rows, gap_s=300):
+    out, last = {}, {}
+    for k, s, i, acked in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        l = last.get(k)
+        make = l is None or acked or s - l >= gap_s
+        if make:
+            last[k] = s
+        out[i] = make
+    return out
+
+
+def test_throttle_split_hot_key(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(4000):
+        k = "hot" if i % 3 else f"k{i % 4}"
+        rows.append((k, rnd.randint(0, 200_000), i, rnd.random() < 0.05))
+    df = spark.createDataFrame(rows, "k string, s long, id long, acked boolean").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    got = {r.id: r.create for r in AL.throttle_split(df, "k", "ts", "id", "acked", partitions=11).collect()}
+    assert got == _reference_throttle(rows)

@@ -15,9 +15,12 @@ from its exact start state.
 
 V6 -- throttle.  A new notification is created for an attempt when the key
 has none yet, when the previous one was already sent/read, or when the last
-*created* one is at least five minutes old.  The state is a timestamp, so the
-fold is walked per key in time order -- streamed through ``mapInPandas``
-with O(1) state, never materialising a key's rows as a group.
+*created* one is at least five minutes old.  The state is a timestamp, but a
+slice of a key's attempts depends on it only through the slice's first
+creation, which can only be an attempt within five minutes of the slice's
+start: ``throttle_split`` summarises boundary runs by that candidate table
+(bounded by one throttle window), chains them on the driver and replays all
+partitions in parallel.  ``throttle`` is the plain per-key streamed fold.
 """
 
 from __future__ import annotations
@@ -286,3 +289,138 @@ def error_state(outcomes: DataFrame, branch: Sequence[str], seq_col: str) -> Dat
         F.when(~F.col("__l.ok"), F.col("__l.error_message")).alias("error_message"),
         "last_error_seq",
     )
+
+
+# ---------------------------------------------------------------- V6, split
+
+
+def _throttle_run(t, acked, gap, start_last):
+    """Serial fold of one sorted run from a given last-creation time (None =
+    no creation yet); returns (flags, last)."""
+    last = start_last
+    flags = []
+    for ti, ai in zip(t, acked):
+        make = last is None or bool(ai) or int(ti) - last >= gap
+        if make:
+            last = int(ti)
+        flags.append(make)
+    return flags, last
+
+
+def _throttle_summary(t, acked, gap):
+    """Effect of a run for every incoming last-creation time L <= t[0]: the
+    first creation is at j(L) = min(first acked index, first index with
+    t >= L + gap); only indices with t < t[0] + gap (plus the first one at or
+    after it) can be that first creation.  Returns the candidate indices with
+    their times, and the run's end state when the first creation is at each
+    candidate -- a table bounded by the attempts in one throttle window."""
+    import numpy as np
+
+    n = len(t)
+    limit = int(np.searchsorted(t, t[0] + gap, side="left"))  # first index with t >= t0 + gap
+    cand = list(range(0, min(limit + 1, n)))
+    ends = {}
+    for j in cand:
+        _, last = _throttle_run(t[j + 1 :], acked[j + 1 :], gap, int(t[j]))
+        ends[j] = last
+    first_acked = int(np.flatnonzero(acked)[0]) if acked.any() else n
+    return {"t": [int(t[j]) for j in cand], "end": [ends[j] for j in cand], "first_acked": first_acked, "n": n, "limit": limit}
+
+
+def _throttle_apply(summary, start_last, gap):
+    """End state of a summarised run given the incoming last-creation time."""
+    t, n = summary["t"], summary["n"]
+    if start_last is None:
+        j = 0
+    else:
+        import bisect
+
+        j_gap = bisect.bisect_left(t, start_last + gap)
+        j_gap = j_gap if j_gap < len(t) else summary["limit"]
+        j = min(summary["first_acked"], j_gap)
+    if j >= n:
+        return start_last
+    return summary["end"][j]
+
+
+def throttle_split(df: DataFrame, key: str, ts_col: str, tiebreak: str, acked_col: str, minutes: int = THROTTLE_MINUTES, partitions: int | None = None) -> DataFrame:
+    """V6 without holding a key in one task: range-partition by (key, time),
+    summarise only the runs at partition boundaries (candidate tables bounded
+    by one throttle window), chain them on the driver (at most two per
+    partition), then replay every partition in parallel from its exact
+    start state."""
+    import json
+
+    import numpy as np
+
+    gap = int(minutes * 60 * 1_000_000)
+    staged = df.withColumn("__t", F.unix_micros(F.col(ts_col).cast("timestamp")))
+    numbered = O._number_partitions(staged, [F.col(key), F.col("__t"), F.col(tiebreak)], partitions)
+    schema = T.StructType([T.StructField("pid", T.LongType()), T.StructField("key", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("summary", T.StringType())])
+
+    def boundaries(batches):
+        # Stream the partition, keeping only its first and last key runs.
+        first_key, first_t, first_a, last_key, last_t, last_a, pid = None, [], [], None, [], [], None
+        first_open = True
+        for b in batches:
+            if not len(b):
+                continue
+            pid = int(b["__pid"].iloc[0])
+            for k, ti, ai in zip(b[key].astype(str), b["__t"].astype("int64"), b[acked_col].fillna(False).astype(bool)):
+                if first_key is None:
+                    first_key = k
+                if first_open and k == first_key:
+                    first_t.append(int(ti))
+                    first_a.append(bool(ai))
+                else:
+                    first_open = False
+                if k != last_key:
+                    last_key, last_t, last_a = k, [], []
+                last_t.append(int(ti))
+                last_a.append(bool(ai))
+        if pid is None:
+            return
+        out = [(pid, first_key, "first", json.dumps(_throttle_summary(np.array(first_t), np.array(first_a), gap)))]
+        if last_key != first_key:
+            _, end = _throttle_run(last_t, last_a, gap, None)
+            out.append((pid, last_key, "last", json.dumps({"fresh_end": end})))
+        yield pd.DataFrame(out, columns=["pid", "key", "kind", "summary"])
+
+    rows = numbered.mapInPandas(boundaries, schema).collect()
+    by_key: dict[str, list] = {}
+    for r in rows:
+        by_key.setdefault(r["key"], []).append((r["pid"], r["kind"], json.loads(r["summary"])))
+    starts = {}
+    for k, parts in by_key.items():
+        parts.sort(key=lambda x: x[0])
+        last = None
+        for i, (pid, kind, summ) in enumerate(parts):
+            if i > 0:
+                starts[(pid, k)] = last
+            if kind == "last":
+                last = summ["fresh_end"]
+            else:
+                last = _throttle_apply(summ, last if i > 0 else None, gap)
+
+    out_schema = T.StructType(list(numbered.schema.fields) + [T.StructField("create", T.BooleanType())])
+
+    def replay(batches):
+        cur_key, last = None, None
+        for b in batches:
+            if not len(b):
+                continue
+            pid = int(b["__pid"].iloc[0])
+            flags = []
+            for k, ti, ai in zip(b[key].astype(str), b["__t"].astype("int64"), b[acked_col].fillna(False).astype(bool)):
+                if k != cur_key:
+                    cur_key = k
+                    last = starts.get((pid, k))
+                make = last is None or bool(ai) or int(ti) - last >= gap
+                if make:
+                    last = int(ti)
+                flags.append(make)
+            b = b.copy()
+            b["create"] = pd.Series(flags, index=b.index, dtype="bool")
+            yield b
+
+    return numbered.mapInPandas(replay, out_schema).drop("__pid", "__local", "__t")
