@@ -115,3 +115,8 @@ def test_merge_into_statement_and_fallback(spark, tmp_path):
     spark.read.parquet(str(tmp_path / "t")).createOrReplaceTempView("merge_target_view")
     changes = spark.createDataFrame([(1, "b", "u", 1, 1)], "k long, v string, op string, ts long, seq long")
     assert A.merge_into(spark, "merge_target_view", changes, ["k"], columns=["k", "v"]) is False
+
+
+def test_latest_per_key_keys_only(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k long")
+    assert _rows(A.latest_per_key(df, ["k"], ["k"])) == [(1,), (2,)]

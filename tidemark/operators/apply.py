@@ -42,6 +42,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     # A key column is constant within its group: it cannot order the rows.
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return df.select(*_cols(keys)).distinct()
     packed = F.struct(*_cols(order + rest))
     return (
         df.groupBy(*_cols(keys))
