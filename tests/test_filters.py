@@ -80,3 +80,11 @@ def test_operator_validation(df):
 
 def test_legacy(df):
     assert ids(FL.apply_filter(df, "id > 1; flag = true", unknown="drop")) == [4]
+
+
+def test_validation_in_compile(df):
+    spec = {"version": 2, "groups": [{"conditions": [{"column": "flag", "operator": ">", "value": "1"}]}], "interLogic": []}
+    with pytest.raises(FL.FilterError):
+        FL.apply_filter(df, spec, validate=True)
+    ok = {"version": 2, "groups": [{"conditions": [{"column": "s", "operator": "ILIKE", "value": "A"}]}], "interLogic": []}
+    assert ids(FL.apply_filter(df, ok, unknown="drop", validate=True)) == [1, 4]

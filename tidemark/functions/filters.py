@@ -140,13 +140,16 @@ def _or_all(parts: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, parts)
 
 
-def v2_predicate(spec: Mapping, schema: T.StructType | None = None) -> Column | None:
-    """compile a v2 filter document; ``None`` when nothing remains."""
+def v2_predicate(spec: Mapping, schema: T.StructType | None = None, validate: bool = False) -> Column | None:
+    """compile a v2 filter document; ``None`` when nothing remains.  With
+    ``validate`` every operator is checked against its column's kind (F10)."""
     group_preds = []
     inter = [str(x).upper() for x in (spec.get("interLogic") or [])]
     for group in spec.get("groups") or []:
         parts = []
         for cond in group.get("conditions") or []:
+            if validate and cond.get("column"):
+                validate_operator(cond["column"], cond.get("operator", ""), schema)
             p = condition(
                 cond.get("column", ""), cond.get("operator", ""), cond.get("value", ""), cond.get("value2", ""), schema
             )
@@ -181,27 +184,28 @@ def legacy_predicate(text: str) -> Column | None:
     return _and_all([F.expr(p) for p in parts])
 
 
-def parse_filter(spec, schema: T.StructType | None = None) -> Column | None:
+def parse_filter(spec, schema: T.StructType | None = None, validate: bool = False) -> Column | None:
     """Compile a stored filter (v2 JSON text or dict, or legacy text)."""
     if spec is None or spec == "":
         return None
     if isinstance(spec, Mapping):
-        return v2_predicate(spec, schema)
+        return v2_predicate(spec, schema, validate)
     try:
         parsed = json.loads(spec)
     except (TypeError, ValueError):
         parsed = None
     if isinstance(parsed, dict) and parsed.get("version") == 2:
-        return v2_predicate(parsed, schema)
+        return v2_predicate(parsed, schema, validate)
     return legacy_predicate(spec)
 
 
-def apply_filter(df: DataFrame, spec, unknown: str = "keep") -> DataFrame:
+def apply_filter(df: DataFrame, spec, unknown: str = "keep", validate: bool = False) -> DataFrame:
     """Filter ``df`` by a stored spec.
 
     ``unknown='keep'`` (change stream): rows are removed only where the
-    predicate is FALSE.  ``unknown='drop'`` (backfill): ordinary WHERE."""
-    pred = parse_filter(spec, df.schema)
+    predicate is FALSE.  ``unknown='drop'`` (backfill): ordinary WHERE.
+    ``validate`` rejects operators the column's kind does not offer."""
+    pred = parse_filter(spec, df.schema, validate)
     if pred is None:
         return df
     if unknown == "keep":
