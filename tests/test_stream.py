@@ -99,3 +99,28 @@ def test_merge_on_read_target(spark):
     assert _rows(t.read()) == _rows(expected.select(*cols))
     t.compact()
     assert _rows(t.read()) == _rows(expected.select(*cols))
+
+
+def test_batch_metrics_listener(spark):
+    import json
+    import time
+
+    from tidemark.sources import envelope as EV
+
+    base = tempfile.mkdtemp(prefix="tm-metrics-")
+    fields = [{"field": "id", "type": "int64", "name": None}]
+    msgs = [("db.public.m", json.dumps({"id": i}), json.dumps({"payload": {"op": "c", "after": {"id": i}, "ts_ms": i}})) for i in range(30)]
+    msgs.append(("db.public.m", json.dumps({"id": 5}), None))  # a tombstone
+    spark.createDataFrame(msgs, EV.RAW_EVENT_SCHEMA).repartition(3).write.mode("overwrite").json(f"{base}/src")
+    br = S.Branch(name="m", table="m", fields=fields, keys=["id"], target_path=f"{base}/t", ts_col="ts", seq_col="id")
+    metrics = S.BatchMetrics(spark)
+    try:
+        S.run_change_stream(spark, f"{base}/src", [br], S.StreamSinks(f"{base}/dlq", f"{base}/tp"), f"{base}/ck", max_files_per_trigger=1)
+        for _ in range(50):  # listener events arrive asynchronously
+            if sum(r["events"] for r in metrics.records) == 31:
+                break
+            time.sleep(0.2)
+    finally:
+        metrics.close()
+    assert sum(r["events"] for r in metrics.records) == 31
+    assert sum(r["tombstones"] for r in metrics.records) == 1
