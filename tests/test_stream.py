@@ -124,3 +124,22 @@ def test_batch_metrics_listener(spark):
         metrics.close()
     assert sum(r["events"] for r in metrics.records) == 31
     assert sum(r["tombstones"] for r in metrics.records) == 1
+
+
+def test_many_micro_batches_match_batch_merge(spark):
+    from conftest import SF
+    from tidemark.plans import derived as D
+    from tidemark.plans.decode_queries import EVENT_FIELDS, events_raw
+
+    base = tempfile.mkdtemp(prefix="tm-many-")
+    events_raw(spark, SF).repartition(7).write.mode("overwrite").json(f"{base}/src")
+    br = S.Branch(
+        name="u", table="events", fields=EVENT_FIELDS, keys=["k"], target_path=f"{base}/t", key_from_json={"k": "long"},
+        ts_col="ts", seq_col="event_id", layout="merge_on_read", compact_every=3,
+    )
+    S.run_change_stream(spark, f"{base}/src", [br], S.StreamSinks(f"{base}/dlq", f"{base}/tp"), f"{base}/ck", max_files_per_trigger=1)
+    got = br.target(spark).read().select("k", "event_id", "op")
+    ch = D.chg_events(spark, SF)
+    want = A.latest_per_key(ch, ["k"], ["ts", "seq"]).filter(F.col("op") != "d").select("k", F.col("seq").alias("event_id"), "op")
+    assert _rows(got) == _rows(want)
+    assert spark.read.parquet(f"{base}/tp").select(F.sum("record_count")).first()[0] == ch.count()
