@@ -160,9 +160,13 @@ class BucketedTarget:
 
     def _read_merged(self) -> DataFrame | None:
         manifest = self._manifest()
-        paths = ([manifest["base"]] if manifest["base"] else []) + self._live_deltas(manifest)
+        deltas = self._live_deltas(manifest)
+        paths = ([manifest["base"]] if manifest["base"] else []) + deltas
         if not paths:
             return None
+        if not deltas:
+            # A compacted base holds one row per key already.
+            return self.spark.read.parquet(manifest["base"])
         # Each folder is read on its own (base and delta folders have
         # different partition layouts) and unioned by column name.
         parts = [self.spark.read.parquet(p).drop("bucket") for p in paths]
