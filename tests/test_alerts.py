@@ -78,3 +78,11 @@ def test_throttle_split_hot_key(spark):
     df = spark.createDataFrame(rows, "k string, s long, id long, acked boolean").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
     got = {r.id: r.create for r in AL.throttle_split(df, "k", "ts", "id", "acked", partitions=11).collect()}
     assert got == _reference_throttle(rows)
+
+
+def test_throttle_split_ties_and_acks(spark):
+    rnd = random.Random(23)
+    rows = [("hot" if i % 4 else "cold", rnd.randint(0, 3000) // 60 * 60, i, rnd.random() < 0.3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, s long, id long, acked boolean").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    got = {r.id: r.create for r in AL.throttle_split(df, "k", "ts", "id", "acked", partitions=13).collect()}
+    assert got == _reference_throttle(rows)
