@@ -8,9 +8,10 @@ zone) or hurt at scale (AQE off, skew handling off).
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings that are safe to set at runtime on any session.
@@ -37,41 +38,21 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and materialised intermediates.
-
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared,
-    fault-tolerant filesystem).  Only when it is unset -- local tests -- a fresh
-    scratch folder is created and registered.
+    """The shared folder for checkpoints and materialised intermediates: what
+    ``spark.checkpoint.dir`` names (a shared, fault-tolerant filesystem on a
+    cluster).  It must be set; ``local_session`` sets one for local runs.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder")
-        current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder")
     spark.sparkContext.setCheckpointDir(current)
     return current.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    leaf = f"{name}-{os.getpid()}-{next(_COUNTER)}"
-    if "://" in base:
-        return f"{base}/{leaf}"
-    return os.path.join(base, leaf)
-
-
-def _counter():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_COUNTER = _counter()
+    """A fresh sub-folder of the shared checkpoint folder (never used before:
+    drivers on different machines may share a pid, so the name is random)."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -89,6 +70,8 @@ def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: i
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
+    if not SparkConf().get("spark.checkpoint.dir", None):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
