@@ -40,12 +40,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised intermediates: what
     ``spark.checkpoint.dir`` names (a shared, fault-tolerant filesystem on a
-    cluster).  It must be set; ``local_session`` sets one for local runs.
+    cluster).  Where it is unset, a local session gets a folder of its own;
+    any other session must set it.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder")
-    spark.sparkContext.setCheckpointDir(current)
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a shared, fault-tolerant folder")
+        current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current.rstrip("/")
 
 
