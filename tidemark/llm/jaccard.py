@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap
 from tidemark.llm.components import _written, components
+from tidemark.llm.decontaminate import row_key
 from tidemark.llm.textblocks import LOWER, NOT_SPACE, SLOT, U64, Block, blocks, inside, mix, rolling
 from tidemark.sources.tables import read_table
 
@@ -84,8 +85,9 @@ def _map_sets(k):
                     part.column(0).cast(pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_key(s) for s in sets], pa.int64()),
+                    part.column(2),
                 ],
-                ["doc_id", "n_shingles", "node"],
+                ["doc_id", "n_shingles", "node", "key"],
             )
 
     return run
@@ -224,8 +226,12 @@ def link_classes(
     links: pairs ``u, v`` of classes whose Jaccard similarity is at least
     ``percent`` / 100, enough of them to connect all that are connected)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = _written(docs.mapInArrow(_map_sets(k), "doc_id long, n_shingles long, node long"), "jaccard-sets")
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("key")
+    )
+    sets = docs.mapInArrow(_map_sets(k), "doc_id long, n_shingles long, node long, key long")
+    sets = _written(sets, "jaccard-sets")
+    docs = docs.drop("key")
 
     counts = docs.mapInArrow(_map_region(k), "gram long").groupBy("gram").agg(F.count("*").alias("c"))
     shared = _written(counts.where("c > 1"), "jaccard-counts")
@@ -308,7 +314,9 @@ def link_classes(
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id reachable by links, itself included), class_id (the smallest doc_id
-    with the same set), n_links (listed links of its class)."""
+    with the same set), n_links (listed links of its class); also key (of doc_id
+    and text) and root (a name of the component that is never null, but for
+    empty sets)."""
     sets, links = link_classes(docs, **options)
     roots = components(links)
     both = links.select("u").union(links.select(F.col("v").alias("u")))
@@ -330,9 +338,27 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "key",
+        "root",
     )
 
 
+def representatives(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when one document of each
+    component does: the one with the smallest doc_id (of equal ids, by a hash of
+    the text; an identical row once).  Rows with an empty set all stay."""
+    found = _written(near_duplicates(docs, **options), "jaccard-found")
+    filled = found.where(F.col("root").isNotNull())
+    best = filled.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("b"))
+    copies = filled.groupBy("key").agg(F.count("*").alias("copies"))
+    stays = best.select(F.col("b.key").alias("key")).join(copies, "key")
+    stays = stays.union(found.where(F.col("root").isNull()).select("key", F.lit(1).cast("long")).distinct())
+    stays = _written(stays, "jaccard-stays").withColumnRenamed("key", "_key")
+    rows = docs.select(F.struct("*").alias("_row"), row_key().alias("_key")).join(stays, "_key")
+    once = rows.where("copies > 1").groupBy("_key").agg(F.first("_row").alias("_row")).select("_row.*")
+    return rows.where("copies = 1").select("_row.*").union(once)
+
+
 def query(spark, sf_dir):
     """Near-duplicate components of all documents (5-word shingles, 0.8)."""
     return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
