@@ -16,11 +16,11 @@ come last, by count.  The counts cover all documents (in the part of the hash
 range where prefixes lie); the list is bounded (``hot_limit``) and only moves
 work, no result depends on it.
 
-A column held by many classes (a cluster of near copies) is not squared: in
-each round one pivot class of the column is compared with all its classes;
-those linked to a pivot are connected already, and only classes that no pivot
-reached are compared with all the others at the end.  Links between classes
-that share a pivot may thus stay unlisted; components lose nothing.
+A column held by many classes (a cluster of near copies) is not squared: a few
+pivot classes are compared with all of the column, the links found so far are
+joined to components, and then only classes outside the column's largest
+component are compared with those that they aren't connected to.  Links within a
+component may thus stay unlisted; components lose nothing.
 
 Results for odd input: a null or empty text, or one without words, has an empty
 set, is linked with nothing and is its own component.  Repeated rows give
@@ -76,6 +76,10 @@ def _prefix(n: int, percent: int) -> int:
     return n - (n * percent + 99) // 100 + 1
 
 
+# Entries behind a prefix, in SQL: ceil(t n) - 1.
+_REST = "(({0} * {1}L + 99L) div 100 - 1)"
+
+
 def _map_sets(k):
     def run(batches):
         for part in blocks(batches):
@@ -102,38 +106,60 @@ def _map_region(k):
     return run
 
 
-def _in_order(s: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The set with the hot grams last, the least frequent of them first."""
+def _in_order(s: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The set with the hot grams last, the least frequent of them first, and a
+    number for each gram that never falls along the order (31 bits)."""
+    place = (s >> U64(34)).astype(np.int64)
     if not len(hot) or not len(s):
-        return s
+        return s, place
     at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
     is_hot = hot[at] == s
-    tail = s[is_hot]
-    return np.concatenate([s[~is_hot], tail[np.argsort(rank[at[is_hot]], kind="stable")]])
+    tail = np.flatnonzero(is_hot)[np.argsort(rank[at[is_hot]], kind="stable")]
+    order = np.concatenate([np.flatnonzero(~is_hot), tail])
+    place[is_hot] = (1 << 30) + rank[at[is_hot]]
+    return s[order], place[order]
+
+
+def _map_outside(k, percent, hot_bc):
+    """All grams outside the region of the texts whose prefix leaves it."""
+
+    def run(batches):
+        hot, rank = hot_bc.value
+        for part in blocks(batches):
+            found = [np.zeros(0, U64)]
+            for s in shingle_sets(part.column(1), k):
+                if len(s):
+                    ordered, _ = _in_order(s, hot, rank)
+                    if (ordered[: _prefix(len(s), percent)] >= U64(REGION)).any():
+                        found.append(s[np.searchsorted(s, U64(REGION)) :])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["gram"])
+
+    return run
 
 
 def _map_entries(k, percent, hot_bc):
     def run(batches):
         hot, rank = hot_bc.value
         for part in blocks(batches):
-            gram, node, size, pos = [], [], [], []
+            gram, node, where, last = [], [], [], []
             for s in shingle_sets(part.column(1), k):
                 n = len(s)
                 if n:
                     p = _prefix(n, percent)
-                    gram.append(_in_order(s, hot, rank)[:p])
+                    ordered, place = _in_order(s, hot, rank)
+                    gram.append(ordered[:p])
                     node.append(np.full(p, class_key(s), np.int64))
-                    size.append(np.full(p, n, np.int32))
-                    pos.append(np.arange(p, dtype=np.int32))
+                    where.append((n << 32) + np.arange(p, dtype=np.int64))
+                    last.append(np.full(p, place[p - 1], np.int32))
             if gram:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(gram).view(np.int64)),
                         pa.array(np.concatenate(node)),
-                        pa.array(np.concatenate(size)),
-                        pa.array(np.concatenate(pos)),
+                        pa.array(np.concatenate(where)),
+                        pa.array(np.concatenate(last)),
                     ],
-                    ["gram", "node", "n", "pos"],
+                    ["gram", "node", "where", "last"],
                 )
 
     return run
@@ -220,7 +246,7 @@ def link_classes(
     hot_count: int = 128,
     hot_limit: int = 200_000,
     small: int = 32,
-    rounds: int = 2,
+    pivots: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
     """(sets: one row per document with its set size and class ``node``;
     links: pairs ``u, v`` of classes whose Jaccard similarity is at least
@@ -235,15 +261,33 @@ def link_classes(
 
     counts = docs.mapInArrow(_map_region(k), "gram long").groupBy("gram").agg(F.count("*").alias("c"))
     shared = _written(counts.where("c > 1"), "jaccard-counts")
-    top = shared.where(F.col("c") >= hot_count).orderBy(F.desc("c"), "gram").limit(hot_limit).toPandas()
-    hot = top["gram"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hot)
-    hot_bc = spark.sparkContext.broadcast((hot[order], top["c"].to_numpy(np.int64)[order]))
 
-    entries = docs.mapInArrow(_map_entries(k, percent, hot_bc), "gram long, node long, n int, pos int")
+    def hottest(counts):
+        top = counts.where(F.col("c") >= hot_count).orderBy(F.desc("c"), "gram").limit(hot_limit)
+        return [(r["c"], r["gram"]) for r in top.collect()]
+
+    def ranked(found):
+        """(sorted hot grams, rank of each: the most frequent last), for all tasks."""
+        found = sorted(found)
+        grams = np.array([g for _, g in found], np.int64).view(np.uint64)
+        at = np.argsort(grams)
+        return spark.sparkContext.broadcast((grams[at], at))
+
+    # Where many hot grams push a prefix out of the region, the grams there are
+    # counted too.
+    hot = hottest(shared)
+    beyond = docs.mapInArrow(_map_outside(k, percent, ranked(hot)), "gram long")
+    hot_bc = ranked(hot + hottest(beyond.groupBy("gram").agg(F.count("*").alias("c"))))
+
+    # An entry's size and position share a long; ``last`` places its prefix's end.
+    entries = docs.mapInArrow(_map_entries(k, percent, hot_bc), "gram long, node long, where long, last int")
     inside_region = F.expr(f"gram >= 0 AND gram < {REGION}L")
     known = entries.where(inside_region).join(shared.select("gram"), "gram", "left_semi")
-    columns = _written(known.union(entries.where(~inside_region)).distinct(), "jaccard-columns")
+    columns = known.union(entries.where(~inside_region)).distinct()
+    columns = columns.select(
+        "gram", "node", F.expr("cast(shiftright(where, 32) as int) AS n"), F.expr("cast(where & 4294967295 as int) AS pos"), "last"
+    )
+    columns = _written(columns, "jaccard-columns")
     widths = columns.groupBy("gram").agg(F.count("*").alias("width")).where("width > 1")
     product = _written(columns.join(widths, "gram"), "jaccard-product")
     thin, wide = product.where(F.col("width") <= small), product.where(F.col("width") > small)
@@ -254,63 +298,94 @@ def link_classes(
         .join(thin.alias("y"), F.expr("x.gram = y.gram AND x.node < y.node") & test)
         .select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
     )
-
-    def with_pivots(rest, salt):
-        """One class of ``rest`` per column against all the column's classes."""
-        pivot = rest.groupBy("gram").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("r"), "node", "n", "pos")).alias("p")
-        )
-        pivot = pivot.select("gram", "p.node", "p.n", "p.pos")
-        return (
-            wide.alias("y")
-            .join(pivot.alias("x"), F.expr("x.gram = y.gram AND x.node <> y.node") & test)
-            .select("x.gram", F.col("x.node").alias("x"), F.col("y.node").alias("y"))
-        ), pivot
-
-    def uncovered(rest, stars, pivot, links):
-        """Classes of each column that are no pivot and not linked to one."""
-        both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        done = stars.join(both, F.expr("x = u AND y = v")).select("gram", F.col("y").alias("node"))
-        done = done.union(pivot.select("gram", "node"))
-        return _written(rest.join(done, ["gram", "node"], "left_anti"), "jaccard-rest")
-
     has_wide = bool(wide.take(1))
-    first, pivot = with_pivots(wide, 0)
-    candidates = _written(_pairs(pairs.union(first.select("x", "y")) if has_wide else pairs), "jaccard-pairs")
-    members = candidates.select(F.col("u").alias("node")).union(candidates.select(F.col("v").alias("node")))
     if has_wide:
-        members = members.union(wide.select("node"))
-    wanted_bc = spark.sparkContext.broadcast(bitmap.build(members, "node"))
-    rows = docs.mapInArrow(_map_rows(k, wanted_bc), "node long, grams array<long>")
-    rows = _written(rows.groupBy("node").agg(F.first("grams").alias("grams")), "jaccard-rows")
+        pairs = pairs.union(_stars(wide, product, pivots, percent, test))
+    pairs = _written(_pairs(pairs), "jaccard-pairs")
 
     def verified(pairs):
-        both = pairs.join(rows.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u").join(
+        """Links among the pairs: prefix overlaps first, whole sets for the rest."""
+        open_pairs = _written(_bounded(pairs, product, percent), "jaccard-open")
+        members = open_pairs.select(F.col("u").alias("node")).union(open_pairs.select(F.col("v").alias("node")))
+        wanted_bc = spark.sparkContext.broadcast(bitmap.build(members, "node"))
+        rows = docs.mapInArrow(_map_rows(k, wanted_bc), "node long, grams array<long>")
+        rows = rows.join(members.distinct(), "node", "left_semi")
+        rows = _written(rows.groupBy("node").agg(F.first("grams").alias("grams")), "jaccard-rows")
+        both = open_pairs.join(rows.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u").join(
             rows.select(F.col("node").alias("v"), F.col("grams").alias("gv")), "v"
         )
         links = both.select("u", "v", "gu", "gv").mapInArrow(_map_verify(percent), "u long, v long")
         return _written(links, "jaccard-links")
 
-    links = verified(candidates)
-    rest, stars = wide, first
-    for turn in range(1, rounds + 1):
-        if not has_wide:
-            break
-        rest = uncovered(rest, stars, pivot, links)
-        if not rest.take(1):
-            break
-        if turn < rounds:
-            stars, pivot = with_pivots(rest, turn)
-        else:  # whatever no pivot reached, against all
-            stars = (
-                rest.alias("x")
-                .join(wide.alias("y"), F.expr("x.gram = y.gram AND x.node <> y.node") & test)
-                .select("x.gram", F.col("x.node").alias("x"), F.col("y.node").alias("y"))
-            )
-        links = links.union(verified(_pairs(stars).join(links, ["u", "v"], "left_anti")))
+    links = verified(pairs)
+    if has_wide:
+        across = _pairs(_across(wide, links, test)).join(pairs, ["u", "v"], "left_anti")
+        across = _written(across, "jaccard-across")
+        if across.take(1):
+            links = links.union(verified(across))
     return sets, links
 
 
+def _stars(wide: DataFrame, product: DataFrame, pivots: int, percent: int, test) -> DataFrame:
+    """Pairs of up to ``pivots`` classes of every wide column with all others of
+    the column.  Pivots are those whose prefix columns are widest on average: the
+    text that near copies were made from has no column of its own."""
+    shared = product.groupBy("node").agg((F.sum("width") / F.expr(f"max(n) - {_REST.format('max(n)', percent)}")).alias("shared"))
+    ranked = F.struct(F.col("shared"), F.xxhash64("node").alias("r"), F.col("node"), F.col("n"), F.col("pos"))
+    chosen = (
+        wide.join(shared, "node")
+        .groupBy("gram", F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("turn"))
+        .agg(F.max(ranked).alias("p"))
+        .select("gram", "p.node", "p.n", "p.pos")
+    )
+    return (
+        wide.alias("y")
+        .join(chosen.alias("x"), F.expr("x.gram = y.gram AND x.node <> y.node") & test)
+        .select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
+    )
+
+
+def _across(wide: DataFrame, links: DataFrame, test) -> DataFrame:
+    """Pairs of classes that share a wide column but are not connected yet: all
+    classes outside the column's largest component with all of the column."""
+    roots = components(links).select("node", "root")
+    known = wide.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+    known = _written(known, "jaccard-labelled")
+    sizes = known.groupBy("gram", "label").agg(F.count("*").alias("c"))
+    main = sizes.groupBy("gram").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels"))
+    main = main.where("labels > 1").select("gram", F.col("m.label").alias("main"))
+    rest = known.join(main, "gram").where("label <> main")
+    return (
+        rest.alias("x")
+        .join(known.alias("y"), F.expr("x.gram = y.gram AND x.label <> y.label") & test)
+        .select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
+    )
+
+
+def _bounded(pairs: DataFrame, product: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose overlap can still reach the bound: what their prefixes
+    share, plus what follows the last shared column in the shorter rest; and all
+    they share up to the earlier prefix end is known, so no more than that
+    class's rest can follow."""
+    e = product.select("gram", "node", "n", "pos", "last")
+    shared = pairs.join(e.alias("a"), F.expr("u = a.node")).join(
+        e.alias("b"), F.expr("v = b.node AND a.gram = b.gram")
+    )
+    shared = shared.groupBy("u", "v").agg(
+        F.count("*").alias("c"),
+        F.max("a.n").alias("nu"),
+        F.max("b.n").alias("nv"),
+        F.max("a.pos").alias("pu"),
+        F.max("b.pos").alias("pv"),
+        F.max("a.last").alias("lu"),
+        F.max("b.last").alias("lv"),
+    )
+    ru, rv = _REST.format("nu", percent), _REST.format("nv", percent)
+    rest = f"CASE WHEN lu < lv THEN {ru} WHEN lv < lu THEN {rv} ELSE greatest({ru}, {rv}) END"
+    need = f"ceil((nu + nv) * {percent}L / {100 + percent}.0D - 1e-9)"
+    return shared.where(f"c + least(nu - 1 - pu, nv - 1 - pv, {rest}) >= {need}").select("u", "v")
+
+
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id reachable by links, itself included), class_id (the smallest doc_id
