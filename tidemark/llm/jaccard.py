@@ -90,22 +90,14 @@ def _map_sets(k):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([class_key(s) for s in sets], pa.int64()),
                     part.column(2),
+                    pa.array([s[: np.searchsorted(s, U64(REGION))].view(np.int64) for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "node", "key"],
+                ["doc_id", "n_shingles", "node", "key", "region"],
             )
 
     return run
 
 
-def _map_region(k):
-    def run(batches):
-        for part in blocks(batches):
-            found = [s[: np.searchsorted(s, U64(REGION))] for s in shingle_sets(part.column(1), k)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["gram"])
-
-    return run
-
-
 def _in_order(s: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The set with the hot grams last, the least frequent of them first, and a
     number for each gram that never falls along the order (31 bits)."""
@@ -255,11 +247,11 @@ def link_classes(
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("key")
     )
-    sets = docs.mapInArrow(_map_sets(k), "doc_id long, n_shingles long, node long, key long")
-    sets = _written(sets, "jaccard-sets")
+    kinds = "doc_id long, n_shingles long, node long, key long, region array<long>"
+    sets = _written(docs.mapInArrow(_map_sets(k), kinds), "jaccard-sets")
     docs = docs.drop("key")
 
-    counts = docs.mapInArrow(_map_region(k), "gram long").groupBy("gram").agg(F.count("*").alias("c"))
+    counts = sets.select(F.explode("region").alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
     shared = _written(counts.where("c > 1"), "jaccard-counts")
 
     def hottest(counts):
@@ -323,7 +315,7 @@ def link_classes(
         across = _written(across, "jaccard-across")
         if across.take(1):
             links = links.union(verified(across))
-    return sets, links
+    return sets.drop("region"), links
 
 
 def _stars(wide: DataFrame, product: DataFrame, pivots: int, percent: int, test) -> DataFrame:
