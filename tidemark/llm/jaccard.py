@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,18 +113,39 @@ def _in_order(s: np.ndarray, hot: np.ndarray, rank: np.ndarray) -> tuple[np.ndar
     return s[order], place[order]
 
 
-def _map_outside(k, percent, hot_bc):
-    """All grams outside the region of the texts whose prefix leaves it."""
+def _map_leaving(percent, hot_bc):
+    """Keys of the texts whose prefix leaves the region, from their sets' part in it."""
 
     def run(batches):
-        hot, rank = hot_bc.value
-        for part in blocks(batches):
-            found = [np.zeros(0, U64)]
-            for s in shingle_sets(part.column(1), k):
-                if len(s):
-                    ordered, _ = _in_order(s, hot, rank)
-                    if (ordered[: _prefix(len(s), percent)] >= U64(REGION)).any():
-                        found.append(s[np.searchsorted(s, U64(REGION)) :])
+        hot, _ = hot_bc.value
+        for batch in batches:
+            key, n = batch.column(0), batch.column(1).to_numpy()
+            sizes = pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            flat = batch.column(2).flatten().to_numpy().view(np.uint64)
+            cold = np.ones(len(flat), np.int64)
+            if len(hot):
+                cold -= hot[np.minimum(np.searchsorted(hot, flat), len(hot) - 1)] == flat
+            within = np.bincount(np.repeat(np.arange(len(n)), sizes), cold, len(n))
+            leaves = (n > 0) & (within < n - (n * percent + 99) // 100 + 1)
+            yield pa.RecordBatch.from_arrays([key.filter(pa.array(leaves))], ["key"])
+
+    return run
+
+
+def _wanted(batches, wanted_bc):
+    """The blocks (text, key) with only the rows whose key may be wanted."""
+    wanted = wanted_bc.value
+    for batch in batches:
+        take = bitmap.probe(wanted, batch.column(1).to_numpy())
+        yield from blocks([batch.filter(pa.array(take))])
+
+
+def _map_outside(k, wanted_bc):
+    """All grams outside the region of the wanted texts."""
+
+    def run(batches):
+        for part in _wanted(batches, wanted_bc):
+            found = [s[np.searchsorted(s, U64(REGION)) :] for s in shingle_sets(part.column(0), k)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["gram"])
 
     return run
@@ -158,23 +180,18 @@ def _map_entries(k, percent, hot_bc):
 
 
 def _map_rows(k, wanted_bc):
-    """(node, sorted set) of the texts whose class may be wanted."""
+    """(node, sorted set) of the wanted texts."""
 
     def run(batches):
-        wanted, sent = wanted_bc.value, set()
-        for part in blocks(batches):
-            sets = list(shingle_sets(part.column(1), k))
-            keys = np.array([class_key(s) for s in sets], np.int64)
-            take = np.flatnonzero(bitmap.probe(wanted, keys) & (keys != 0))
-            take = [i for i in take if keys[i] not in sent]
-            take = list({keys[i]: i for i in take}.values())
-            if len(sent) < 1_000_000:  # only saves sending copies twice
-                sent.update(keys[i] for i in take)
-            if take:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[take]), pa.array([sets[i].view(np.int64) for i in take], pa.list_(pa.int64()))],
-                    ["node", "grams"],
-                )
+        for part in _wanted(batches, wanted_bc):
+            sets = list(shingle_sets(part.column(0), k))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([class_key(s) for s in sets], pa.int64()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["node", "grams"],
+            )
 
     return run
 
@@ -249,7 +266,6 @@ def link_classes(
     )
     kinds = "doc_id long, n_shingles long, node long, key long, region array<long>"
     sets = _written(docs.mapInArrow(_map_sets(k), kinds), "jaccard-sets")
-    docs = docs.drop("key")
 
     counts = sets.select(F.explode("region").alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
     shared = _written(counts.where("c > 1"), "jaccard-counts")
@@ -265,14 +281,19 @@ def link_classes(
         at = np.argsort(grams)
         return spark.sparkContext.broadcast((grams[at], at))
 
+    def marked(keys):
+        return spark.sparkContext.broadcast(bitmap.build(keys, "key"))
+
     # Where many hot grams push a prefix out of the region, the grams there are
     # counted too.
     hot = hottest(shared)
-    beyond = docs.mapInArrow(_map_outside(k, percent, ranked(hot)), "gram long")
+    leaving = sets.select("key", "n_shingles", "region").mapInArrow(_map_leaving(percent, ranked(hot)), "key long")
+    texts = docs.select("text", "key")
+    beyond = texts.mapInArrow(_map_outside(k, marked(leaving)), "gram long")
     hot_bc = ranked(hot + hottest(beyond.groupBy("gram").agg(F.count("*").alias("c"))))
 
     # An entry's size and position share a long; ``last`` places its prefix's end.
-    entries = docs.mapInArrow(_map_entries(k, percent, hot_bc), "gram long, node long, where long, last int")
+    entries = docs.drop("key").mapInArrow(_map_entries(k, percent, hot_bc), "gram long, node long, where long, last int")
     inside_region = F.expr(f"gram >= 0 AND gram < {REGION}L")
     known = entries.where(inside_region).join(shared.select("gram"), "gram", "left_semi")
     columns = known.union(entries.where(~inside_region)).distinct()
@@ -299,9 +320,10 @@ def link_classes(
         """Links among the pairs: prefix overlaps first, whole sets for the rest."""
         open_pairs = _written(_bounded(pairs, product, percent), "jaccard-open")
         members = open_pairs.select(F.col("u").alias("node")).union(open_pairs.select(F.col("v").alias("node")))
-        wanted_bc = spark.sparkContext.broadcast(bitmap.build(members, "node"))
-        rows = docs.mapInArrow(_map_rows(k, wanted_bc), "node long, grams array<long>")
-        rows = rows.join(members.distinct(), "node", "left_semi")
+        members = members.distinct()
+        one_each = sets.groupBy("node").agg(F.min("key").alias("key")).join(members, "node")
+        rows = texts.mapInArrow(_map_rows(k, marked(one_each)), "node long, grams array<long>")
+        rows = rows.join(members, "node", "left_semi")
         rows = _written(rows.groupBy("node").agg(F.first("grams").alias("grams")), "jaccard-rows")
         both = open_pairs.join(rows.select(F.col("node").alias("u"), F.col("grams").alias("gu")), "u").join(
             rows.select(F.col("node").alias("v"), F.col("grams").alias("gv")), "v"
