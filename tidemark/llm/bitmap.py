@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BITS = 24
+SECOND = 8  # shift of the second probe
+MASK = (1 << BITS) - 1
 
 
 def build(keys: DataFrame, column: str) -> np.ndarray:
-    """Bytes of the bitmap; at most 2^18 partial words reach the driver."""
-    slot = F.expr(f"shiftrightunsigned({column}, {64 - BITS})")
+    """Words of the bitmap, two bits for each key; at most 2^18 rows reach the
+    driver."""
+    slots = [F.expr(f"shiftrightunsigned({column}, {64 - BITS}) & {MASK}"), F.expr(f"shiftrightunsigned({column}, {SECOND}) & {MASK}")]
     rows = (
         keys.where(F.col(column).isNotNull())
-        .select(slot.alias("slot"))
+        .select(F.explode(F.array(*slots)).alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
         .toPandas()
@@ -30,5 +33,8 @@ def build(keys: DataFrame, column: str) -> np.ndarray:
 
 
 def probe(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = keys.view(np.uint64) >> np.uint64(64 - BITS)
-    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+    found = np.ones(len(keys), bool)
+    for shift in (64 - BITS, SECOND):
+        slot = (keys.view(np.uint64) >> np.uint64(shift)) & np.uint64(MASK)
+        found &= (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+    return found

@@ -19,10 +19,12 @@ All integers are little-endian.  A block holds up to 1024 ids; its width is the
 one that a set share (``percentile``) of its values fits, the others are
 outliers: their low bits stay packed, their whole values follow.
 
-Texts are cut at ASCII white space, which this kind of tokenizer never joins
-over (it drops white space and matches within runs of other characters), so
-each distinct piece is encoded once per task by the tokenizers library and a
-document's ids are its pieces' ids in order.
+Texts are cut at ASCII white space, and between ASCII letters or digits and ASCII
+punctuation other than apostrophes.  This kind of tokenizer never joins over
+these places and lower-cases, so each distinct lower-cased piece is encoded once
+by the tokenizers library while a bounded table holds it, and a text's ids are
+its pieces' ids in order.  A tokenizer that joins there, and texts that hold its
+special tokens, are encoded whole.
 
 Odd input: a null or empty text has only the end id; repeated rows are written
 each; a null doc_id sorts first; an empty table gives an empty dataset.
@@ -30,6 +32,7 @@ each; a null doc_id sorts first; an empty table gives an empty dataset.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.textblocks import blocks
+from tidemark.llm.textblocks import SPACE, U64, Block, blocks
 from tidemark.session import scratch_path
 from tidemark.sources.tables import read_table
 
@@ -46,7 +49,14 @@ MAGIC = b"PFB1"
 BLOCK = 1024
 CHUNK_IDS = 1 << 16
 HEAD = struct.Struct("<IBHH")
-CACHE_PIECES = 300_000
+CACHE_PIECES = 2_000_000
+
+# 0 white space, 1 ASCII letters and digits, 2 ASCII punctuation and controls, 3
+# apostrophes and all non-ASCII characters; pieces part between 1 and 2.
+KIND = np.full(256, 2, np.uint8)
+KIND[np.flatnonzero(SPACE)] = 0
+KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+KIND[[0x27, *range(0x80, 0x100)]] = 3
 
 _STATE: dict = {}
 
@@ -113,9 +123,10 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
         at = int(start) + HEAD.size
         length = (size * width + 7) // 8
         bits = np.unpackbits(np.frombuffer(payload, np.uint8, length, at), count=size * width, bitorder="little")
-        wide = np.zeros((size, 32), np.uint8)
+        room = 16 if width <= 16 else 32
+        wide = np.zeros((size, room), np.uint8)
         wide[:, :width] = bits.reshape(size, width)
-        values = np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
+        values = np.packbits(wide, axis=1, bitorder="little").view(f"<u{room // 8}").ravel().astype(np.uint32)
         at += length
         place = np.frombuffer(payload, "<u2", outliers, at)
         values[place] = np.frombuffer(payload, "<u4", outliers, at + 2 * outliers)
@@ -123,33 +134,121 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return np.concatenate(out)[first - lo * BLOCK : last - lo * BLOCK]
 
 
-def _tokenizer(path: str):
+class Pieces:
+    """Ids of the pieces met so far, looked up by a 64-bit hash.
+
+    Sorted hashes with the place of each piece's ids in one array: a large table,
+    and a small one of recent pieces that is merged into it now and then.  A full
+    table is forgotten, so memory is bounded.
+    """
+
+    def __init__(self, tokenizer, size: int = CACHE_PIECES):
+        self.tokenizer, self.size = tokenizer, size
+        one = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+        self.mark = one("\x00")
+        # Only a tokenizer that never joins over white space can be cut there.
+        self.cuts = len(self.mark) == 1 and one("aB, \x00 c") == one("ab") + one(",") + self.mark + one("c")
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self):
+        none = np.zeros(0, np.int64)
+        self.tables = [(np.zeros(0, U64), none, none), (np.zeros(0, U64), none, none)]
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def whole(self, texts: list) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encoded(self, pieces: list) -> list[np.ndarray]:
+        """Ids of each piece; many in one text, parted by a mark of their own."""
+        odd = [i for i, p in enumerate(pieces) if "\x00" in p]
+        if odd:
+            known = dict(zip(odd, self.whole([pieces[i] for i in odd])))
+            rest = iter(self.encoded([p for i, p in enumerate(pieces) if i not in known]))
+            return [known[i] if i in known else next(rest) for i in range(len(pieces))]
+        out: list = []
+        runs = [pieces[i : i + 500] for i in range(0, len(pieces), 500)]
+        for ids in self.whole([" \x00 ".join(r) for r in runs]):
+            at = np.flatnonzero(ids == self.mark[0])
+            out += [x[1:] if i else x for i, x in enumerate(np.split(ids, at))]
+        return out
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number of ids) of each hash; place -1 if it isn't known."""
+        place, count = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        for known, places, counts in self.tables:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                place[hit], count[hit] = places[at[hit]], counts[at[hit]]
+        return place, count
+
+    def learn(self, keys: np.ndarray, pieces: list) -> None:
+        found = self.encoded(pieces)
+        counts = np.array([len(x) for x in found], np.int64)
+        flat = np.concatenate(found)
+        places = self.used + np.cumsum(counts) - counts
+        if self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(2 * (self.used + len(flat)), np.uint32)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        main, recent = self.tables
+        recent = self.merged(recent, (keys, places, counts))
+        if len(recent[0]) > 1 << 16:
+            main, recent = self.merged(main, recent), tuple(x[:0] for x in recent)
+        self.tables = [main, recent]
+
+    @staticmethod
+    def merged(a, b):
+        both = [np.concatenate(x) for x in zip(a, b)]
+        order = np.argsort(both[0], kind="stable")
+        return tuple(x[order] for x in both)
+
+    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a block of lower-cased ASCII, ids of each text)."""
+        kind = KIND[block.data]
+        size = len(kind)
+        edge = np.zeros(size + 1, bool)
+        edge[block.offsets] = True
+        parted = np.ones(size + 1, bool)
+        parted[1:-1] = (kind[1:] == 0) | (kind[:-1] == 0) | (kind[1:] * kind[:-1] == 2)
+        parted |= edge
+        starts = np.flatnonzero((kind > 0) & parted[:-1])
+        ends = np.flatnonzero((kind > 0) & parted[1:]) + 1
+        keys, first, which = np.unique(block.hashes(starts, ends), return_index=True, return_inverse=True)
+        place, count = self.find(keys)
+        if len(keys) and sum(len(t[0]) for t in self.tables) + (place < 0).sum() > self.size:
+            self.forget()
+            place[:] = -1
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            raw = block.data.tobytes()
+            self.learn(keys[new], [raw[starts[i] : ends[i]].decode() for i in first[new]])
+            place, count = self.find(keys)
+        sizes = count[which]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(place[which] - upto[:-1], sizes) + np.arange(upto[-1])]
+        return ids, np.diff(upto[np.searchsorted(starts, block.offsets)])
+
+
+def _pieces(path: str) -> Pieces:
     if path not in _STATE:
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _STATE[path] = (Tokenizer.from_file(path), {})
+        _STATE[path] = Pieces(Tokenizer.from_file(path))
     return _STATE[path]
 
 
-def encode_texts(texts: list, path: str) -> list[bytes]:
-    """Each text's ids as little-endian 32-bit integers."""
-    tokenizer, cache = _tokenizer(path)
-    if len(cache) > CACHE_PIECES:
-        cache.clear()
-    cut = []
-    for t in texts:
-        t = t or ""
-        for c in "\n\t\r\x0b\x0c":
-            t = t.replace(c, " ")
-        cut.append(t.split(" "))
-    new = list(set().union(*cut).difference(cache))
-    for piece, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        cache[piece] = np.array(e.ids, "<u4").tobytes()
-    get = cache.__getitem__
-    return [b"".join(map(get, pieces)) for pieces in cut]
+def encode_texts(column, path: str) -> list[np.ndarray]:
+    """Ids of each text of an Arrow column."""
+    pieces = _pieces(path)
+    block = Block(column, lower=True)
+    texts = block.data.tobytes()
+    if not pieces.cuts or any(s.lower().encode() in texts for s in pieces.special):
+        return pieces.whole([t or "" for t in column.to_pylist()])
+    ids, sizes = pieces.encode(block)
+    return np.split(ids, np.cumsum(sizes)[:-1])
 
 
 FILE_SCHEMA = (
@@ -158,11 +257,11 @@ FILE_SCHEMA = (
 
 
 def _map_write(path: str, end_id: int, percentile: float):
-    end = struct.pack("<I", end_id)
+    end = np.array([end_id], np.uint32)
 
     def chunk(shard, first, doc_ids, parts):
-        sizes = [len(p) // 4 for p in parts]
-        ids = np.frombuffer(b"".join(parts), "<u4")
+        sizes = [len(p) for p in parts]
+        ids = np.concatenate(parts)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([shard], pa.int32()),
@@ -179,10 +278,10 @@ def _map_write(path: str, end_id: int, percentile: float):
         first, held, doc_ids, parts, shard = 0, 0, [], [], None
         for part in blocks(batches):
             shard = part.column(2)[0].as_py()
-            for doc_id, ids in zip(part.column(0).to_pylist(), encode_texts(part.column(1).to_pylist(), path)):
+            for doc_id, ids in zip(part.column(0).to_pylist(), encode_texts(part.column(1), path)):
                 doc_ids.append(doc_id)
-                parts.append(ids + end)
-                held += len(parts[-1]) // 4
+                parts.append(np.concatenate([ids, end]))
+                held += len(parts[-1])
                 if held >= CHUNK_IDS:
                     batch, n = chunk(shard, first, doc_ids, parts)
                     yield batch
