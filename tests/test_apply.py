@@ -120,3 +120,14 @@ def test_merge_into_statement_and_fallback(spark, tmp_path):
 def test_latest_per_key_keys_only(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     assert _rows(A.latest_per_key(df, ["k"], ["k"])) == [(1,), (2,)]
+
+
+def test_null_operation_and_null_key(spark):
+    """A change without an operation is an update; a replay with a NULL key
+    doesn't double the row."""
+    target = spark.createDataFrame([(1, "a")], "k long, v string")
+    log = spark.createDataFrame([(1, "b", None, 1, 1), (None, "n", "c", 2, 2)], "k long, v string, op string, ts long, seq long")
+    once = A.apply_changes(target, log, ["k"], "ts", "seq", "op")
+    again = A.apply_changes(once, log, ["k"], "ts", "seq", "op")
+    for got in (once, again):
+        assert sorted(((r.k, r.v) for r in got.collect()), key=str) == [(1, "b"), (None, "n")]

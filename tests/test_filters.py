@@ -66,7 +66,7 @@ def test_between_needs_two_values(df):
 
 def test_backfill_limit(df):
     with pytest.raises(FL.FilterError):
-        FL.backfill_predicate([{"column": "id", "operator": "=", "value": "1"}] * 6, df.schema)
+        FL.backfill_predicate([{"column": "id", "operator": "=", "value": "1"}] * 6, df.schema, FL.MAX_BACKFILL_CONDITIONS)
 
 
 def test_operator_validation(df):

@@ -215,11 +215,15 @@ def apply_filter(df: DataFrame, spec, unknown: str = "keep", validate: bool = Fa
     raise ValueError("unknown must be 'keep' or 'drop'")
 
 
-def backfill_predicate(filters: Sequence[Mapping], schema: T.StructType | None = None) -> Column | None:
-    """backfill conditions (at most five, AND-ed).  LIKE/ILIKE take the
-    value as the whole pattern here (no implicit ``%`` around it)."""
-    if len(filters) > MAX_BACKFILL_CONDITIONS:
-        raise FilterError(f"at most {MAX_BACKFILL_CONDITIONS} backfill filters are allowed")
+def backfill_predicate(
+    filters: Sequence[Mapping], schema: T.StructType | None = None, max_conditions: int | None = None
+) -> Column | None:
+    """backfill conditions, AND-ed; more than ``max_conditions`` (default:
+    no limit; the filter editor allows ``MAX_BACKFILL_CONDITIONS``) is an error.
+    LIKE/ILIKE take the value as the whole pattern here (no implicit ``%``
+    around it)."""
+    if max_conditions is not None and len(filters) > max_conditions:
+        raise FilterError(f"at most {max_conditions} backfill filters are allowed")
     parts = []
     for f in filters:
         p = condition(f["column"], f["operator"], f.get("value", ""), f.get("value2", ""), schema, like_contains=False)

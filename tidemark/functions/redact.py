@@ -102,8 +102,11 @@ def redact(text: Column) -> Column:
     return F.when(might_hold_credentials(text), out).otherwise(text)
 
 
-def truncate_message(text: Column, limit: int = MAX_MESSAGE_LENGTH) -> Column:
-    """Error texts stored for display are cut to ``limit`` characters."""
+def truncate_message(text: Column, limit: int | None = None) -> Column:
+    """For display only: a text cut to ``limit`` characters (default: not cut).
+    Classes and stored messages always come from whole texts."""
+    if limit is None:
+        return text
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit - 3), F.lit("..."))).otherwise(text)
 
 
@@ -117,10 +120,10 @@ def _mapped(low: Column) -> Column:
 
 
 def friendly_message(message: Column, context: Column | None = None) -> Column:
-    """R2 (log map): first matching fragment's friendly text, else the
-    redacted, length-capped message; prefixed with ``context: `` if given."""
+    """R2 (log map): first matching fragment's friendly text, else the whole
+    redacted message; prefixed with ``context: `` if given."""
     m = F.trim(message)
-    out = F.coalesce(_mapped(F.lower(m)), truncate_message(redact(m)))
+    out = F.coalesce(_mapped(F.lower(m)), redact(m))
     out = F.when(m == "", F.lit("Unknown error occurred")).otherwise(out)
     if context is not None:
         out = F.concat(context, F.lit(": "), out)
@@ -134,7 +137,7 @@ def error_class(message: Column) -> Column:
     m = F.trim(message)
     low = F.lower(m)
     mapped = _mapped(low)
-    red = truncate_message(redact(m))
+    red = redact(m)
     # Friendly labels never mention credentials, so only the redacted text
     # needs the check.
     credential = mapped.isNull() & (F.lower(red).contains("password") | F.lower(red).contains("credential"))

@@ -18,6 +18,7 @@ Design notes (scale):
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -83,11 +84,15 @@ def _overlay(target: DataFrame, changes: DataFrame, keys: Sequence[str], keep_ch
     ``__c`` marker column; target columns are projected onto the target
     schema."""
     t = target.select(*[F.col(c).alias(c if c in keys else f"__t_{c}") for c in target.columns])
-    j = t.join(changes, list(keys), "full_outer")
+    c = changes
+    for k in keys:
+        c = c.withColumnRenamed(k, f"__k_{k}")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    j = t.withColumn("__t", F.lit(True)).join(c, same, "full_outer")
     out = []
     for f in target.schema.fields:
         if f.name in keys:
-            out.append(F.col(f.name))
+            out.append(F.when(F.col("__t"), F.col(f.name)).otherwise(F.col(f"__k_{f.name}")).alias(f.name))
             continue
         new = F.col(f.name).try_cast(f.dataType) if f.name in changes.columns else F.lit(None).cast(f.dataType)
         out.append(F.when(keep_change, new).otherwise(F.col(f"__t_{f.name}")).alias(f.name))
@@ -148,18 +153,20 @@ def apply_changes(
     """
     keys = list(keys)
     latest = latest_per_key(changes, keys, [ts_col, seq_col])
+    # A change without an operation is an update (S2's default).
+    deletes = F.coalesce(F.lower(F.col(op_col)), F.lit("u")).isin(*DELETE_OPS)
     if not unique_target:
         if target_ts_col is not None:
             stored = target.select(*keys, F.col(target_ts_col).alias("__stored_ts"))
             latest = latest.join(stored, keys, "left").filter(F.col("__stored_ts").isNull() | (F.col(ts_col) > F.col("__stored_ts"))).drop("__stored_ts")
-        survivors = latest if on_delete == "upsert" else latest.filter(~F.lower(F.col(op_col)).isin(*DELETE_OPS))
+        survivors = latest if on_delete == "upsert" else latest.filter(~deletes)
         kept = target.join(latest.select(*keys), keys, "left_anti")
         return kept.unionByName(cast_like(survivors, target.schema))
     renamed = latest.select(
         *keys,
         *[F.col(c) for c in latest.columns if c not in keys],
         F.lit(True).alias("__c"),
-        F.lower(F.col(op_col)).isin(*DELETE_OPS).alias("__del"),
+        deletes.alias("__del"),
         F.col(ts_col).alias("__cts"),
     )
     present = F.col("__c").isNotNull()

@@ -38,13 +38,6 @@ def destination_alias(name: str) -> str:
     return "pg_" + alias_name(name)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows
-    (checked with a bounded count); otherwise return it unhinted."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def run_transform(
     spark: SparkSession,
     batch: DataFrame,
@@ -76,11 +69,10 @@ def lookup(
     dim: DataFrame,
     on: Sequence[str] | Column,
     how: str = "left",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Enrich a batch with a lookup table."""
-    side = bounded_broadcast(dim, broadcast_rows) if broadcast_rows else dim
-    return batch.join(side, on, how)
+    """Enrich a batch with a lookup table (broadcast or shuffled by its
+    size in bytes, as Spark measures it)."""
+    return batch.join(dim, on, how)
 
 
 def key_semi(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -138,44 +130,41 @@ def window_enriched(tx: DataFrame, emp: DataFrame) -> DataFrame:
     # employee table.  The transaction x employee join happens once, for the
     # rank, instead of once per aggregate.
     per_emp = tx.groupBy("employee_id").agg(
-        F.sum("amount").alias("emp_total_sales_to_date"),
-        F.max("amount").alias("emp_max_val"),
+        F.sum("amount").alias("staff_total"),
+        F.max("amount").alias("staff_best"),
         F.count("amount").alias("__n"),
     )
     cats = tx.select("employee_id", "category").distinct().groupBy("employee_id").agg(
-        F.count("category").alias("distinct_categories_sold_by_emp")
+        F.count("category").alias("staff_kinds")
     )
     per_dept = (
         per_emp.join(emp.select("employee_id", "department"), "employee_id")
         .groupBy("department")
-        .agg((F.sum("emp_total_sales_to_date") / F.sum("__n")).alias("dept_avg"))
+        .agg((F.sum("staff_total") / F.sum("__n")).alias("dept_avg"))
     )
     per_emp = per_emp.drop("__n")
     t = tx.join(emp, "employee_id")
-    ranked = O.group_rank(t.select("transaction_id", "employee_id", "employee_name", "department", "amount"), ["department"], "amount", True, "sale_rank_in_dept")
+    ranked = O.group_rank(t.select("transaction_id", "employee_id", "employee_name", "department", "amount"), ["department"], "amount", True, "group_place")
     return (
         ranked.join(per_emp, "employee_id")
         .join(cats, "employee_id", "left")
-        .join(per_dept, "department")
+        .join(per_dept.withColumnRenamed("department", "__dept"), F.col("department").eqNullSafe(F.col("__dept")))
         .select(
             "transaction_id",
             "employee_name",
-            F.col("amount").alias("sale_amount"),
-            "emp_total_sales_to_date",
-            (F.col("amount") == F.col("emp_max_val")).alias("is_emp_max_sale"),
-            F.round("dept_avg", 2).alias("dept_avg_sale_amt"),
-            F.coalesce("distinct_categories_sold_by_emp", F.lit(0)).cast("long").alias("distinct_categories_sold_by_emp"),
-            "sale_rank_in_dept",
+            F.col("amount").alias("price"),
+            "staff_total",
+            (F.col("amount") == F.col("staff_best")).alias("is_staff_best"),
+            F.round("dept_avg", 2).alias("group_mean"),
+            F.coalesce("staff_kinds", F.lit(0)).cast("long").alias("staff_kinds"),
+            "group_place",
         )
     )
 
 
-def fanout(events: DataFrame, branches: DataFrame, on: str = "table_name", broadcast_rows: int = 100_000) -> DataFrame:
-    """Route each event to every branch configured for its table.
-
-    The branch table is configuration (rows per pipeline x table); it is
-    broadcast only after its row count is checked, else shuffled."""
-    return events.join(bounded_broadcast(branches, broadcast_rows), on, "inner")
+def fanout(events: DataFrame, branches: DataFrame, on: str = "table_name") -> DataFrame:
+    """Route each event to every branch configured for its table."""
+    return events.join(branches, on, "inner")
 
 
 def unused(items: DataFrame, links: DataFrame, on: str) -> DataFrame:

@@ -74,7 +74,7 @@ def group_rank(
     # per_part has one row per (partition, group) present in it; a group's rows
     # here are bounded by the number of partitions.
     offsets = per_part.select("__pid", *group, "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"))
-    positioned = numbered.join(offsets, ["__pid", *group]).withColumn(
+    positioned = _join_null_safe(numbered, offsets, ["__pid", *group]).withColumn(
         "__pos", F.col("__before") + F.col("__local") - F.col("__first")
     )
     firsts = positioned.groupBy(*group, order_col).agg(F.min("__pos").alias("__min_pos"))

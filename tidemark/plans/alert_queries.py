@@ -209,7 +209,7 @@ def redact_text(spark, sf_dir):
 
 def _class_sql(col: str) -> str:
     low = f"lower(trim({col}))"
-    friendly = f"CASE WHEN length({_redact_sql(f'trim({col})')}) > 500 THEN substr({_redact_sql(f'trim({col})')}, 1, 497) || '...' ELSE {_redact_sql(f'trim({col})')} END"
+    friendly = _redact_sql(f"trim({col})")
     for frag, label in reversed(R.ERROR_MAPPINGS):
         friendly = f"CASE WHEN contains({low}, '{frag}') THEN '{label}' ELSE {friendly} END"
     fallback = f"CASE WHEN contains(lower({friendly}), 'password') OR contains(lower({friendly}), 'credential') THEN 'Database authentication configuration error' ELSE {friendly} END"

@@ -493,65 +493,65 @@ def cast_to_target(spark, sf_dir):
 
 # ------------------------------------------------------------------ every type at once
 
-SALES_FIELDS = [
-    {"field": "sale_id", "type": "int64", "name": None},
-    {"field": "unit_price", "type": "bytes", "name": DC.DECIMAL, "scale": 2},
-    {"field": "discount_pct", "type": "bytes", "name": DC.DECIMAL, "scale": 4},
-    {"field": "transaction_date", "type": "int32", "name": DC.DATE},
-    {"field": "created_at", "type": "int64", "name": DC.TS_MICRO},
-    {"field": "local_pickup_time", "type": "int64", "name": DC.TIME_MICRO},
-    {"field": "support_call_time", "type": "string", "name": DC.ZONED_TIME},
-    {"field": "scheduled_at", "type": "string", "name": DC.ZONED_TS},
-    {"field": "is_vip_customer", "type": "boolean", "name": None},
-    {"field": "shipping_weight_kg", "type": "float", "name": None},
-    {"field": "tags", "type": "array", "name": None},
-    {"field": "metadata", "type": "string", "name": DC.JSON_TYPE},
-    {"field": "delivery_location", "type": "struct", "name": DC.GEOGRAPHY},
+LINE_FIELDS = [
+    {"field": "line_id", "type": "int64", "name": None},
+    {"field": "price", "type": "bytes", "name": DC.DECIMAL, "scale": 2},
+    {"field": "discount", "type": "bytes", "name": DC.DECIMAL, "scale": 4},
+    {"field": "shipped_on", "type": "int32", "name": DC.DATE},
+    {"field": "placed_at", "type": "int64", "name": DC.TS_MICRO},
+    {"field": "day_micros", "type": "int64", "name": DC.TIME_MICRO},
+    {"field": "slot_tz", "type": "string", "name": DC.ZONED_TIME},
+    {"field": "placed_tz", "type": "string", "name": DC.ZONED_TS},
+    {"field": "is_urgent", "type": "boolean", "name": None},
+    {"field": "quantity", "type": "float", "name": None},
+    {"field": "priority_words", "type": "array", "name": None},
+    {"field": "flags", "type": "string", "name": DC.JSON_TYPE},
+    {"field": "place", "type": "struct", "name": DC.GEOGRAPHY},
 ]
 
 
-def sales_raw(spark, sf_dir):
-    """The every-type sales table (line items with their orders) as change
+def lines_raw(spark, sf_dir):
+    """The every-type table (line items with their orders) as change
     events, each type encoded the way a change connector writes it."""
     li, o = D.tables(spark, sf_dir, "lineitem", "orders")
     j = spread(li.join(o, li["l_orderkey"] == o["o_orderkey"]))
     image = F.struct(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"),
-        DC.decimal_to_base64(F.col("l_extendedprice"), 2).alias("unit_price"),
-        DC.decimal_to_base64(F.col("l_discount"), 4).alias("discount_pct"),
-        F.datediff(F.col("l_shipdate"), F.lit("1970-01-01").cast("date")).alias("transaction_date"),
-        F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("created_at"),
-        (F.pmod(F.col("l_orderkey"), F.lit(86400)) * F.lit(1_000_000)).alias("local_pickup_time"),
-        F.format_string("%02d:30:00Z", F.col("l_linenumber")).alias("support_call_time"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("scheduled_at"),
-        (F.col("o_orderpriority") == "1-URGENT").alias("is_vip_customer"),
-        F.col("l_quantity").cast("float").alias("shipping_weight_kg"),
-        F.split(F.col("o_orderpriority"), "-").alias("tags"),
-        F.to_json(F.struct("l_returnflag", "l_linestatus")).alias("metadata"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"),
+        DC.decimal_to_base64(F.col("l_extendedprice"), 2).alias("price"),
+        DC.decimal_to_base64(F.col("l_discount"), 4).alias("discount"),
+        F.datediff(F.col("l_shipdate"), F.lit("1970-01-01").cast("date")).alias("shipped_on"),
+        F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("placed_at"),
+        (F.pmod(F.col("l_orderkey"), F.lit(86400)) * F.lit(1_000_000)).alias("day_micros"),
+        F.format_string("%02d:30:00Z", F.col("l_linenumber")).alias("slot_tz"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("placed_tz"),
+        (F.col("o_orderpriority") == "1-URGENT").alias("is_urgent"),
+        F.col("l_quantity").cast("float").alias("quantity"),
+        F.split(F.col("o_orderpriority"), "-").alias("priority_words"),
+        F.to_json(F.struct("l_returnflag", "l_linestatus")).alias("flags"),
         F.struct(
             F.base64(F.unhex(F.concat(F.lit("0101000000"), F.lpad(F.hex("l_orderkey"), 16, "0"), F.lpad(F.hex(F.col("l_linenumber").cast("long")), 16, "0")))).alias("wkb"),
             F.lit(4326).alias("srid"),
-        ).alias("delivery_location"),
+        ).alias("place"),
     )
-    return EV.encode_envelope(j, F.lit("srv.public.sales"), ["l_orderkey", "l_linenumber"], image, _field_cols(SALES_FIELDS), F.lit("c"), F.unix_millis(F.col("o_orderdate").cast("timestamp")))
+    return EV.encode_envelope(j, F.lit("srv.public.lines"), ["l_orderkey", "l_linenumber"], image, _field_cols(LINE_FIELDS), F.lit("c"), F.unix_millis(F.col("o_orderdate").cast("timestamp")))
 
 
 @query(
     "decode_all_types",
     """
-SELECT l.l_orderkey * 10 + l.l_linenumber AS sale_id,
-       CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS unit_price,
-       CAST(CAST(l.l_discount AS DECIMAL(5,4)) AS VARCHAR) AS discount_pct,
-       strftime(l.l_shipdate, '%Y-%m-%d') AS transaction_date,
-       o.o_orderdate AS created_at,
-       strftime(TIMESTAMP '2000-01-01' + to_seconds(l.l_orderkey % 86400), '%H:%M:%S') AS local_pickup_time,
-       printf('%02d:30:00+07:00', (l.l_linenumber + 7) % 24) AS support_call_time,
-       strftime(o.o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%dT%H:%M:%S') || '+07:00' AS scheduled_at,
-       o.o_orderpriority = '1-URGENT' AS is_vip_customer,
-       CAST(l.l_quantity AS FLOAT) AS shipping_weight_kg,
-       '{' || array_to_string(list_transform(string_split(o.o_orderpriority, '-'), lambda x: '"' || x || '"'), ',') || '}' AS tags,
-       '{"l_returnflag":"' || l.l_returnflag || '","l_linestatus":"' || l.l_linestatus || '"}' AS metadata,
-       lower('0101000000' || lpad(hex(l.l_orderkey), 16, '0') || lpad(hex(CAST(l.l_linenumber AS BIGINT)), 16, '0')) AS delivery_location
+SELECT l.l_orderkey * 10 + l.l_linenumber AS line_id,
+       CAST(CAST(l.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS price,
+       CAST(CAST(l.l_discount AS DECIMAL(5,4)) AS VARCHAR) AS discount,
+       strftime(l.l_shipdate, '%Y-%m-%d') AS shipped_on,
+       o.o_orderdate AS placed_at,
+       strftime(TIMESTAMP '2000-01-01' + to_seconds(l.l_orderkey % 86400), '%H:%M:%S') AS day_micros,
+       printf('%02d:30:00+07:00', (l.l_linenumber + 7) % 24) AS slot_tz,
+       strftime(o.o_orderdate + INTERVAL 7 HOUR, '%Y-%m-%dT%H:%M:%S') || '+07:00' AS placed_tz,
+       o.o_orderpriority = '1-URGENT' AS is_urgent,
+       CAST(l.l_quantity AS FLOAT) AS quantity,
+       '{' || array_to_string(list_transform(string_split(o.o_orderpriority, '-'), lambda x: '"' || x || '"'), ',') || '}' AS priority_words,
+       '{"l_returnflag":"' || l.l_returnflag || '","l_linestatus":"' || l.l_linestatus || '"}' AS flags,
+       lower('0101000000' || lpad(hex(l.l_orderkey), 16, '0') || lpad(hex(CAST(l.l_linenumber AS BIGINT)), 16, '0')) AS place
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """,
 )
@@ -560,19 +560,19 @@ def decode_all_types(spark, sf_dir):
     one pass from its change events (decimals exact at their scales, dates,
     micro timestamps and times, zoned values in Asia/Jakarta, booleans,
     floats, arrays as literals, JSON, WKB geometry as hex)."""
-    dec = EV.parse_table_changes(sales_raw(spark, sf_dir), SALES_FIELDS)
+    dec = EV.parse_table_changes(lines_raw(spark, sf_dir), LINE_FIELDS)
     return dec.select(
-        "sale_id",
-        F.col("unit_price").cast("string").alias("unit_price"),
-        F.col("discount_pct").cast("string").alias("discount_pct"),
-        F.date_format("transaction_date", "yyyy-MM-dd").alias("transaction_date"),
-        "created_at",
-        "local_pickup_time",
-        "support_call_time",
-        "scheduled_at",
-        "is_vip_customer",
-        "shipping_weight_kg",
-        DC.array_literal(F.col("tags")).alias("tags"),
-        "metadata",
-        "delivery_location",
+        "line_id",
+        F.col("price").cast("string").alias("price"),
+        F.col("discount").cast("string").alias("discount"),
+        F.date_format("shipped_on", "yyyy-MM-dd").alias("shipped_on"),
+        "placed_at",
+        "day_micros",
+        "slot_tz",
+        "placed_tz",
+        "is_urgent",
+        "quantity",
+        DC.array_literal(F.col("priority_words")).alias("priority_words"),
+        "flags",
+        "place",
     )

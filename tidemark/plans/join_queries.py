@@ -131,58 +131,66 @@ def enrich_multi_dim(spark, sf_dir):
 @query(
     "history_balance",
     """
-SELECT t.o_orderkey AS transaction_id, t.o_custkey AS account_id, t.o_orderdate AS transaction_date, t.o_totalprice AS amount,
-       ROUND(COALESCE((SELECT SUM(h.o_totalprice) FROM orders h WHERE h.o_custkey = t.o_custkey AND h.o_orderdate < t.o_orderdate), 0), 2) AS previous_balance,
-       ROUND(COALESCE((SELECT SUM(h.o_totalprice) FROM orders h WHERE h.o_custkey = t.o_custkey AND h.o_orderdate < t.o_orderdate), 0) + t.o_totalprice, 2) AS new_balance,
-       (SELECT COUNT(*) FROM orders h WHERE h.o_custkey = t.o_custkey AND h.o_orderdate < t.o_orderdate) AS transaction_count
-FROM orders t
+WITH days AS (
+  SELECT o_custkey, o_orderdate, sum(o_totalprice) AS day_total, count(*) AS day_count FROM orders GROUP BY ALL),
+running AS (
+  SELECT *, coalesce(sum(day_total) OVER earlier, 0) AS before_total, coalesce(sum(day_count) OVER earlier, 0) AS before_count
+  FROM days
+  WINDOW earlier AS (PARTITION BY o_custkey ORDER BY o_orderdate ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS ordered_at, o_totalprice AS price,
+       round(before_total, 2) AS spent_before, round(before_total + o_totalprice, 2) AS spent_with,
+       CAST(before_count AS BIGINT) AS orders_before
+FROM orders JOIN running USING (o_custkey, o_orderdate)
 """,
 )
 def history_balance(spark, sf_dir):
-    """Per transaction, the sum and count of the same account's earlier
-    transactions (strictly earlier date) -- computed as a two-level prefix sum
-    (per day, then within the day) instead of a correlated subquery."""
+    """Per order, the sum and count of the same customer's earlier orders
+    (strictly earlier date) -- computed as a two-level prefix sum (per day, then
+    within the day) instead of a correlated subquery."""
     (o,) = D.tables(spark, sf_dir, "orders")
     t = o.select(
-        F.col("o_orderkey").alias("transaction_id"),
-        F.col("o_custkey").alias("account_id"),
-        F.col("o_orderdate").alias("transaction_date"),
-        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("ordered_at"),
+        F.col("o_totalprice").alias("price"),
     )
-    with_prior = O.prior_sum(t, ["account_id"], "transaction_date", "amount", F.date_trunc("day", "transaction_date"), "prev", "transaction_count")
+    with_prior = O.prior_sum(t, ["customer_id"], "ordered_at", "price", F.date_trunc("day", "ordered_at"), "prev", "orders_before")
     prev = F.coalesce(F.col("prev"), F.lit(0.0))
     return with_prior.select(
-        "transaction_id",
-        "account_id",
-        "transaction_date",
-        "amount",
-        F.round(prev, 2).alias("previous_balance"),
-        F.round(prev + F.col("amount"), 2).alias("new_balance"),
-        F.coalesce(F.col("transaction_count"), F.lit(0)).cast("long").alias("transaction_count"),
+        "order_id",
+        "customer_id",
+        "ordered_at",
+        "price",
+        F.round(prev, 2).alias("spent_before"),
+        F.round(prev + F.col("price"), 2).alias("spent_with"),
+        F.coalesce(F.col("orders_before"), F.lit(0)).cast("long").alias("orders_before"),
     )
 
 
 @query(
     "window_enriched",
     """
-WITH enriched AS (
-  SELECT t.o_orderkey AS transaction_id, e.c_name AS employee_name, t.o_totalprice AS sale_amount,
-         SUM(t.o_totalprice) OVER (PARTITION BY t.o_custkey) AS emp_total,
-         MAX(t.o_totalprice) OVER (PARTITION BY t.o_custkey) AS emp_max_val,
-         AVG(t.o_totalprice) OVER (PARTITION BY e.c_mktsegment) AS dept_avg,
-         (SELECT COUNT(DISTINCT t2.o_orderpriority) FROM orders t2 WHERE t2.o_custkey = t.o_custkey) AS unique_cats,
-         RANK() OVER (PARTITION BY e.c_mktsegment ORDER BY t.o_totalprice DESC) AS dept_rank
-  FROM orders t JOIN customer e ON t.o_custkey = e.c_custkey)
-SELECT transaction_id, employee_name, sale_amount, ROUND(emp_total, 2) AS emp_total_sales_to_date,
-       (sale_amount = emp_max_val) AS is_emp_max_sale, ROUND(dept_avg, 2) AS dept_avg_sale_amt,
-       unique_cats AS distinct_categories_sold_by_emp, CAST(dept_rank AS INTEGER) AS sale_rank_in_dept
-FROM enriched
+WITH per_customer AS (
+  SELECT o_custkey, sum(o_totalprice) AS total, max(o_totalprice) AS best, count(DISTINCT o_orderpriority) AS kinds
+  FROM orders GROUP BY o_custkey),
+per_segment AS (
+  SELECT c_mktsegment, avg(o_totalprice) AS mean FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_mktsegment),
+places AS (
+  SELECT o_orderkey, rank() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC) AS place
+  FROM customer JOIN orders ON o_custkey = c_custkey)
+SELECT o.o_orderkey AS transaction_id, c.c_name AS employee_name, o.o_totalprice AS price, round(t.total, 2) AS staff_total,
+       o.o_totalprice = t.best AS is_staff_best, round(s.mean, 2) AS group_mean, t.kinds AS staff_kinds,
+       CAST(p.place AS INTEGER) AS group_place
+FROM orders o
+JOIN per_customer t USING (o_custkey)
+JOIN customer c ON c.c_custkey = o.o_custkey
+JOIN per_segment s ON s.c_mktsegment IS NOT DISTINCT FROM c.c_mktsegment
+JOIN places p USING (o_orderkey)
 """,
 )
 def window_enriched(spark, sf_dir):
-    """Per-employee SUM/MAX, per-department AVG, distinct
-    categories per employee and RANK within the department (orders as
-    transactions, customers as employees, market segment as department)."""
+    """Per-customer SUM/MAX, per-segment AVG, distinct priorities
+    per customer and RANK within the segment."""
     o, c = D.tables(spark, sf_dir, "orders", "customer")
     tx = o.select(
         F.col("o_orderkey").alias("transaction_id"),
@@ -192,7 +200,7 @@ def window_enriched(spark, sf_dir):
     )
     emp = c.select(F.col("c_custkey").alias("employee_id"), F.col("c_name").alias("employee_name"), F.col("c_mktsegment").alias("department"))
     out = J.window_enriched(tx, emp)
-    return out.withColumn("emp_total_sales_to_date", F.round("emp_total_sales_to_date", 2))
+    return out.withColumn("staff_total", F.round("staff_total", 2))
 
 
 @query(

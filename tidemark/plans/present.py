@@ -25,7 +25,7 @@ TIME_COLUMNS = {
     'backfill_offset_page': ['l_shipdate'],
     'backfill_recover': ['created_at', 'updated_at'],
     'cdc_parse_envelope': ['ts'],
-    'decode_all_types': ['created_at'],
+    'decode_all_types': ['placed_at'],
     'decode_date': ['changed_at'],
     'decode_timestamp': ['ts_from_ms', 'ts_from_us', 'ts_from_ns'],
     'dlq_enqueue': ['first_failed_at'],
@@ -36,7 +36,7 @@ TIME_COLUMNS = {
     'evolve_target': ['o_orderdate'],
     'filter_between': ['ts'],
     'health_unhealthy': ['last_seen'],
-    'history_balance': ['transaction_date'],
+    'history_balance': ['ordered_at'],
     'key_anti': ['l_shipdate'],
     'lag_hourly_avg': ['hour'],
     'lag_range_units': ['recorded_at'],

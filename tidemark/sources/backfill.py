@@ -114,11 +114,12 @@ def run_backfill(
     Splitting by the target's own buckets (not by key ranges, which would
     touch every bucket each time) means every bucket is rewritten exactly
     once; the source is scanned once into a bucket-partitioned staging copy
-    whose partitions the groups read (partition pruning).  Each group's merge carries its own commit marker (epoch
-    ``<job>-g<n>``), so a restarted job skips finished groups and a re-run
-    group rewrites the same rows.  A progress row ``(job_id, group_no,
-    n_rows)`` is appended only after its group is committed -- a failed write
-    is never counted.  ``groups`` bounds the driver-side loop."""
+    whose partitions the groups read (partition pruning); staging and
+    progress belong to the job id.  Each group's merge carries its own commit
+    marker (epoch ``<job>-g<n>``), so a restarted job skips finished groups and
+    a re-run group rewrites the same rows.  A progress row ``(job_id, group_no,
+    n_rows)`` has a folder of its own, written after the group's commit; one
+    that a crash lost is counted again from the staged rows.  ``groups`` bounds the driver-side loop."""
     from pyspark.sql import Observation
 
     from tidemark.streaming.changes import path_exists
@@ -126,7 +127,7 @@ def run_backfill(
     # One scan of the source: the snapshot is staged partitioned by target
     # bucket (a restarted job reuses a completed staging); each group then
     # reads only its own bucket partitions.
-    staged = f"{progress_path.rstrip('/')}_staged"
+    staged = f"{progress_path.rstrip('/')}_staged/job={job_id}"
     if not path_exists(spark, f"{staged}/_SUCCESS"):
         snap = snapshot(source, predicate)
         snap = snap.withColumn("ts", F.lit(backfill_ts).cast("timestamp_ntz")).withColumn("seq", F.lit(0).cast("long"))
@@ -134,15 +135,19 @@ def run_backfill(
     per_group = -(-target.buckets // max(1, groups))
     for g in range(min(groups, target.buckets)):
         epoch = f"{job_id}-g{g}"
-        if target.committed(epoch):
+        noted = f"{progress_path.rstrip('/')}/job={job_id}/group={g}"
+        if path_exists(spark, f"{noted}/_SUCCESS"):
             continue
         lo, hi = g * per_group, min(target.buckets, (g + 1) * per_group) - 1
-        counted = Observation(f"backfill_{job_id}_{g}")
-        rows = spark.read.parquet(staged)
-        part = rows.filter(F.col("bucket").between(lo, hi)).drop("bucket").observe(counted, F.count(F.lit(1)).alias("n"))
-        target.merge(part, epoch)
-        # merge() always scans the group first (its touched-bucket pass), so
-        # the observation is filled even for an empty group.
-        n = int(counted.get.get("n", 0))
-        spark.createDataFrame([(job_id, g, n)], "job_id string, group_no int, n_rows long").write.mode("append").parquet(progress_path)
-    return spark.read.parquet(progress_path)
+        part = spark.read.parquet(staged).filter(F.col("bucket").between(lo, hi)).drop("bucket")
+        if target.committed(epoch):  # a crash came between the commit and its row
+            n = part.count()
+        else:
+            counted = Observation(f"backfill_{job_id}_{g}")
+            target.merge(part.observe(counted, F.count(F.lit(1)).alias("n")), epoch)
+            # merge() always scans the group first (its touched-bucket pass), so
+            # the observation is filled even for an empty group.
+            n = int(counted.get.get("n", 0))
+        row = spark.createDataFrame([(job_id, g, n)], "job_id string, group_no int, n_rows long")
+        row.write.mode("overwrite").parquet(noted)
+    return spark.read.parquet(progress_path).select("job_id", "group_no", "n_rows")

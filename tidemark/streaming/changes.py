@@ -20,6 +20,10 @@ last epoch does not apply it twice; the query's own checkpoint
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections import deque
+from functools import reduce
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -205,7 +209,7 @@ class BucketedTarget:
         state = self.read_state()
         if state is None:
             raise FileNotFoundError(self.path)
-        return state.filter(F.lower(F.col(self.op_col)) != "d").drop("bucket")
+        return state.filter(F.coalesce(F.lower(F.col(self.op_col)), F.lit("u")) != "d").drop("bucket")
 
     def merge(self, changes: DataFrame, epoch: int) -> int:
         """Apply a batch of changes; returns the number of buckets rewritten."""
@@ -248,8 +252,9 @@ def write_change_files(raw: DataFrame, path: str, files: int) -> None:
     raw.repartition(files).write.mode("overwrite").json(path)
 
 
-def change_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Raw change events as a stream of bounded micro-batches."""
+def change_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Raw change events as a stream of bounded micro-batches (None: all
+    that is there in one)."""
     reader = spark.readStream.schema(EV.RAW_EVENT_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -277,6 +282,7 @@ class Branch:
     require_target: bool = False  # K9: dead-letter instead of creating a missing target
     layout: str = "copy_on_write"  # or "merge_on_read" (appends per batch, compacts)
     compact_every: int | None = None
+    side_inputs: Mapping[str, DataFrame] = field(default_factory=dict)  # tables the SQL may join, by view name
 
     def target(self, spark: SparkSession) -> "BucketedTarget":
         return BucketedTarget(
@@ -290,13 +296,20 @@ class StreamSinks:
     throughput_path: str
 
 
-def process_batch(spark: SparkSession, batch: DataFrame, epoch: int, branches: Sequence[Branch], sinks: StreamSinks) -> None:
+def process_batch(
+    spark: SparkSession, batch: DataFrame, epoch: int, branches: Sequence[Branch], sinks: StreamSinks, stream_id: str = "stream"
+) -> None:
     """V1: one micro-batch.  Each source table's events are parsed and decoded
-    once (typed single-pass parse, shared by that table's branches); every
-    branch then runs in isolation -- a failing branch dead-letters its rows
-    and the others go on.  Row counts come from observations on the data the
-    branches process anyway; the throughput log gets one append per
-    micro-batch."""
+    once (typed single-pass parse over the union of its branches' fields); every
+    branch then runs in isolation -- a failing branch dead-letters its rows and
+    the others go on.
+
+    Everything a batch writes carries ``stream_id`` and the epoch, so two streams
+    into one target, or a stream with a new checkpoint, never skip each other's
+    batches.  Dead letters and log rows have a folder per batch that a
+    re-delivery overwrites; malformed rows are written before any target commits,
+    so a crash in between loses none."""
+    marker = f"{stream_id}-{epoch}"
     batch = batch.withColumn("__table", EV.topic_table(F.col("topic"))).persist()
     log_rows = []
     try:
@@ -305,57 +318,78 @@ def process_batch(spark: SparkSession, batch: DataFrame, epoch: int, branches: S
             by_table.setdefault(br.table, []).append(br)
         for table, group in by_table.items():
             rows = batch.filter(F.col("__table") == table).drop("__table")
-            if all(BucketedTarget(spark, br.target_path, br.keys).committed(epoch) for br in group):
-                continue  # re-delivered epoch: everything for this table is applied
-            parsed = EV.parse_table_changes(rows, group[0].fields, keep_malformed=True, count_errors=True)
+            parsed = EV.parse_table_changes(rows, _all_fields(group), keep_malformed=True, count_errors=True)
             # A row whose values do not decode is treated like a malformed event.
             parsed = parsed.withColumn("malformed", F.col("malformed") | (F.col("decode_errors") > 0)).drop("decode_errors").persist()
             try:
+                # A cheap check on the cached rows (stops at the first hit).
+                if parsed.filter(F.col("malformed")).limit(1).count():
+                    bad = parsed.filter(F.col("malformed")).drop("malformed")
+                    bad = _dead_letters(bad, epoch, table, "malformed change event or undecodable value")
+                    bad.write.mode("overwrite").parquet(_side_path(sinks.dlq_path, marker, f"table {table}"))
                 good = parsed.filter(~F.col("malformed")).drop("malformed")
                 for br in group:
-                    row = _run_branch(spark, br, good, epoch, sinks)
+                    row = _run_branch(spark, br, good, epoch, marker, sinks)
                     if row is not None:
                         log_rows.append(row)
-                # A cheap check on the cached rows (stops at the first hit).
-                if parsed.filter(F.col("malformed")).limit(1).count():
-                    bad = parsed.filter(F.col("malformed")).drop("malformed")
-                    _dead_letters(bad, epoch, table, "malformed change event or undecodable value").write.mode("append").parquet(sinks.dlq_path)
             finally:
                 parsed.unpersist()
         if log_rows:
             schema = "epoch long, branch string, table_name string, record_count long, buckets_written long"
-            spark.createDataFrame(log_rows, schema).withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(sinks.throughput_path)
+            log = spark.createDataFrame(log_rows, schema).withColumn("created_at", F.current_timestamp())
+            log.write.mode("overwrite").parquet(_side_path(sinks.throughput_path, marker, "log"))
     finally:
         batch.unpersist()
 
 
-def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, sinks: StreamSinks):
+def _side_path(base: str, marker: str, part: str) -> str:
+    """The folder of one batch's side output (a partition of the sink's table)."""
+    return f"{base.rstrip('/')}/batch={marker}/part={re.sub(r'[^A-Za-z0-9_.-]', '_', part)}"
+
+
+def _all_fields(group: Sequence[Branch]) -> list[dict]:
+    """The union of the branches' fields; a field declared twice must agree."""
+    fields: dict[str, dict] = {}
+    for br in group:
+        for f in br.fields:
+            if fields.setdefault(f["field"], f) != f:
+                raise ValueError(f"branches declare field {f['field']!r} of {br.table!r} differently")
+    return list(fields.values())
+
+
+def _run_branch(spark: SparkSession, br: Branch, good: DataFrame, epoch: int, marker: str, sinks: StreamSinks):
     from pyspark.sql import Observation
 
     target = br.target(spark)
-    if target.committed(epoch):  # re-delivered epoch: already applied
-        return None
+    letters = _side_path(sinks.dlq_path, marker, f"branch {br.name}")
     try:
         extra = [F.get_json_object("key", f"$.{k}").cast(t).alias(k) for k, t in br.key_from_json.items()]
         decoded = good.select(*extra, "op", "ts_ms", *[f["field"] for f in br.fields])
         if br.ts_col not in decoded.columns:
             decoded = decoded.withColumn(br.ts_col, F.timestamp_millis("ts_ms").cast("timestamp_ntz"))
         filtered = FL.apply_filter(decoded, br.filter_spec, unknown="keep") if br.filter_spec else decoded
-        shaped = J.run_transform(spark, filtered, br.table, br.sql)
-        meta = {"op", "ts_ms", br.ts_col, br.seq_col, *br.keys}
-        cleaned = A.drop_all_null_rows(shaped, ignore=[c for c in shaped.columns if c in meta])
+        shaped = J.run_transform(spark, filtered, br.table, br.sql, br.side_inputs)
+        # K6 with the key counted as a value; a delete is never dropped (its
+        # image may hold the key alone).
+        meta = {"op", "ts_ms", br.ts_col, br.seq_col} - set(br.keys)
+        keep = reduce(lambda x, y: x | y, [F.col(c).isNotNull() for c in shaped.columns if c not in meta])
+        if "op" in shaped.columns:
+            keep = keep | (F.coalesce(F.lower(F.col("op")), F.lit("u")) == "d")
+        cleaned = shaped.filter(keep)
+        if target.committed(marker):  # re-delivered: applied already, only its log row may be missing
+            return (int(epoch), br.name, br.table, int(cleaned.count()), 0)
         if br.require_target and target.read_state() is None:
             raise A.TargetMissing(f"target {br.target_path} does not exist")
-        counted = Observation(f"{br.name}_{epoch}")
-        buckets = target.merge(cleaned.observe(counted, F.count(F.lit(1)).alias("n")), epoch)
+        counted = Observation(f"{br.name}_{marker}")
+        buckets = target.merge(cleaned.observe(counted, F.count(F.lit(1)).alias("n")), marker)
         try:
             n = int(counted.get.get("n", 0))
         except Exception:  # noqa: BLE001 - no metrics row (e.g. nothing to observe): count
             n = int(cleaned.count())
         return (int(epoch), br.name, br.table, n, int(buckets))
     except Exception as e:  # noqa: BLE001 - a failing branch must not stop the others
-        msg = RD.error_class(F.lit(str(e)[:2000]))
-        _dead_letters(good, epoch, br.name, None, msg).write.mode("append").parquet(sinks.dlq_path)
+        msg = RD.error_class(F.lit(str(e)))
+        _dead_letters(good, epoch, br.name, None, msg).write.mode("overwrite").parquet(letters)
         return None
 
 
@@ -371,13 +405,22 @@ def _dead_letters(rows: DataFrame, epoch: int, branch: str, error: str | None, e
     )
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A random name kept beside the stream's checkpoint: restarts share it, a
+    new checkpoint gets a new one (its epochs start at 0 again)."""
+    path = f"{checkpoint.rstrip('/')}/stream_name"
+    if not path_exists(spark, path):
+        write_text(spark, path, uuid.uuid4().hex)
+    return read_text(spark, path).strip()
+
+
 def run_change_stream(
     spark: SparkSession,
     source_path: str,
     branches: Sequence[Branch],
     sinks: StreamSinks,
     checkpoint: str,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
     available_now: bool = True,
     observe: bool = True,
 ):
@@ -388,8 +431,10 @@ def run_change_stream(
         # V7: live counters per micro-batch, reported in query progress.
         stream = stream.observe("changes", F.count(F.lit(1)).alias("events"), F.count(F.when(F.col("value").isNull(), 1)).alias("tombstones"))
 
+    name = stream_name(spark, checkpoint)
+
     def each(batch: DataFrame, epoch: int) -> None:
-        process_batch(spark, batch, epoch, branches, sinks)
+        process_batch(spark, batch, epoch, branches, sinks, name)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="500 milliseconds")
@@ -409,14 +454,16 @@ def landing_merge_stream(
     target: BucketedTarget,
     checkpoint: str,
     op_col: str = "OPERATION",
+    max_files_per_trigger: int = 1000,
 ):
     """K5: merge what arrived in the landing table since the last run into
     the target (incremental, checkpointed; nothing is deleted from landing,
     so rows arriving during a merge are simply picked up next time)."""
-    stream = spark.readStream.schema(schema).parquet(landing_path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(landing_path)
+    name = stream_name(spark, checkpoint)
 
     def each(batch: DataFrame, epoch: int) -> None:
-        target.merge(batch.withColumnRenamed(op_col, target.op_col) if op_col != target.op_col else batch, epoch)
+        target.merge(batch.withColumnRenamed(op_col, target.op_col) if op_col != target.op_col else batch, f"{name}-{epoch}")
 
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -426,22 +473,33 @@ def landing_merge_stream(
 # ---------------------------------------------------------------- windowed monitor
 
 
-def hourly_lag_stream(spark: SparkSession, path: str, schema: T.StructType, out: BucketedTarget, checkpoint: str, watermark: str = "2 hours"):
-    """A5 as a stream: hourly mean lag per source with a watermark bounding
-    the state; windows are upserted into ``out`` as they update."""
-    stream = spark.readStream.schema(schema).parquet(path)
+def hourly_lag_stream(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    out: BucketedTarget,
+    checkpoint: str,
+    watermark: str | None = None,
+    max_files_per_trigger: int = 1000,
+):
+    """A5 as a stream: hourly mean lag per source; windows are upserted into
+    ``out`` as they update.  Rows however late count; a ``watermark`` bounds the
+    state instead, and rows later than it are left out."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
     # Event-time watermarks need an instant; zone-less times are read as UTC.
     stream = stream.withColumn("recorded_at", F.col("recorded_at").cast("timestamp"))
+    if watermark:
+        stream = stream.withWatermark("recorded_at", watermark)
     agg = (
-        stream.withWatermark("recorded_at", watermark)
-        .groupBy(F.window("recorded_at", "1 hour").alias("w"), "source_id")
+        stream.groupBy(F.window("recorded_at", "1 hour").alias("w"), "source_id")
         .agg(F.sum("size_bytes").alias("total_bytes"), F.count("*").alias("n"))
         .select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "source_id", "total_bytes", "n")
     )
+    name = stream_name(spark, checkpoint)
 
     def each(batch: DataFrame, epoch: int) -> None:
         rows = batch.withColumn("op", F.lit("u")).withColumn("ts", F.lit(epoch).cast("long")).withColumn("seq", F.lit(0).cast("long"))
-        out.merge(rows, epoch)
+        out.merge(rows, f"{name}-{epoch}")
 
     q = agg.writeStream.outputMode("update").foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -457,13 +515,13 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 class BatchMetrics:
     """V7: collects each micro-batch's observed metrics (``observe`` on the
-    stream) through a ``StreamingQueryListener`` -- one small record per
-    batch, on the driver."""
+    stream) through a ``StreamingQueryListener`` -- one small record for each of
+    the last ``keep`` batches, on the driver."""
 
-    def __init__(self, spark: SparkSession, name: str = "changes"):
+    def __init__(self, spark: SparkSession, name: str = "changes", keep: int = 10_000):
         from pyspark.sql.streaming import StreamingQueryListener
 
-        self.records: list[dict] = []
+        self.records: deque = deque(maxlen=keep)
         outer = self
 
         class _Listener(StreamingQueryListener):
