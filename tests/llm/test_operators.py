@@ -1,0 +1,484 @@
+"""The operators against brute-force versions, and on odd input."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF
+from tidemark.llm import (
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    quality,
+    revisits,
+    secrets,
+    token_files,
+    toxicity,
+)
+from tidemark.llm.textblocks import Block
+from tidemark.sources.tables import read_table
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+LONG = " ".join(f"word{i}" for i in range(30_000))
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls, empty and very long texts, repeated rows, an id with two texts, and
+    columns whose names clash with the operators' own."""
+    rows = [
+        (1, None, None, None),
+        (2, "", "en", "src1"),
+        (3, "alpha beta gamma", "en", "src1"),
+        (3, "alpha beta gamma", "en", "src1"),
+        (None, "one two three four five six", None, "src2"),
+        (4, "one two three four five six", "de", None),
+        (4, "another text of the same id here", "de", "src5"),
+        (5, LONG, "en", "src8"),
+        (6, "  \n\t ", "en", "src8"),
+        (7, "1234 5678 !!", "fr", "src9"),
+    ]
+    names = "doc_id long, text string, lang string, source string, key long, node long, score double, domain string, _row int"
+    return spark.createDataFrame([(*r, 1, 2, 0.5, "d", 7) for r in rows], names)
+
+
+@pytest.fixture(scope="session")
+def none(odd):
+    return odd.where("false")
+
+
+
+def texts_of(spark):
+    return [(r.doc_id, r.text) for r in read_table(spark, SF, "documents").select("doc_id", "text").collect()]
+
+
+# ------------------------------------------------------------------ op1
+
+
+def test_language_held_out_accuracy(spark):
+    docs = read_table(spark, SF, "documents").select("doc_id", "lang")
+    rows = language.query(spark, SF).where("held_out").join(docs, "doc_id").collect()
+    assert len(rows) > 20
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.95
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_backs_off_to_the_longest_known_grams():
+    model = {
+        "langs": ["a", "b"],
+        "words": {"known": 0},
+        "word_logs": np.array([[-1.0, -9.0]]),
+        "grams": {"<xy": 0, "xyz": 1, "x": 2},
+        "gram_logs": np.array([[-8.0, -2.0], [-6.0, -4.0], [-1.0, -9.0]]),
+        "prior": 0,
+    }
+    scorer = language.Scorer(model, size=2)
+    names, scores = scorer.predict(["known known", "Xyz", "x", "12 34", None, "qqq"])
+    # "xyz": its 3-grams <xy and xyz are known and win over the 1-gram.
+    assert names == ["a", "b", "a", "und", "und", "a"]
+    assert scores[3] == scores[4] == 0.0 and scores[5] == 0.5
+
+
+def test_language_odd(spark, odd, none):
+    model = language.train(odd.where("lang is not null").select("lang", "text", F.xxhash64("doc_id").alias("h")))
+    got = language.identify(odd, model).collect()
+    assert len(got) == 10
+    assert [r.lang_pred for r in got if r.doc_id in (1, 2, 6, 7)] == ["und"] * 4
+    empty = language.train(none.select("lang", "text", F.lit(1).cast("long").alias("h")))
+    assert {r.lang_pred for r in language.identify(odd, empty).collect()} == {"und"}
+    assert language.identify(none, model).count() == 0
+
+
+# ------------------------------------------------------------------ op2
+
+
+def test_license_odd(spark, odd, none):
+    got = licenses.scan(odd).collect()
+    assert len(got) == 10 and all(r.n_base == 0 and r.labels == "" for r in got)
+    assert licenses.scan(none).count() == 0
+
+
+def test_license_span_with_inserted_and_missing_words(spark):
+    text = licenses.TEMPLATES[2][1].split()
+    cut = " ".join(text[:30] + ["really", "quite"] + text[30:50] + text[52:])
+    docs = spark.createDataFrame([(1, "pre " + cut + " post"), (2, " ".join(text[:20])), (3, "THE MIT LICENSE, mit-license")], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert got[1].labels == "mit" and got[1].n_base == 0 and got[1].score > 0.9
+    assert got[2].labels == ""
+    assert (got[3].n_base, got[3].first_word, got[3].last_word, got[3].base_labels) == (2, 1, 3, "mit")
+
+
+# ------------------------------------------------------------------ op3
+
+
+def brute_components(rows, k=5, percent=80):
+    sets = []
+    for _, text in rows:
+        w = WORDS.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set()))
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[find(i)].append(doc_id)
+    return sorted(((d, len(s), min(least[find(i)], default=None) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def near_copies(seed, n, words=60, edits=4):
+    """A cluster of near copies whose similarities lie around the bound, exact
+    copies, and texts that share one passage only."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [rng.choice(vocabulary) for _ in range(words)]
+    passage = [rng.choice(vocabulary) for _ in range(20)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randint(0, edits)):
+            w[rng.randrange(words)] = f"x{rng.randrange(6)}"
+        rows.append((i, " ".join(w)))
+    for i in range(n, n + n // 2):
+        rows.append((i, " ".join(passage + [rng.choice(vocabulary) for _ in range(rng.randint(3, 60))])))
+    return rows + [(1000 + i, t) for i, t in rows[:5]]
+
+
+@pytest.mark.parametrize("options", [{}, {"small": 2, "hot_count": 3, "pivots": 2}, {"hot_count": 2, "hot_limit": 5}])
+def test_jaccard_components(spark, options):
+    rows = near_copies(3, 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.near_duplicates(docs, **options).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
+
+
+def test_jaccard_links_of_thin_columns_are_all_listed(spark):
+    rows = near_copies(5, 12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets, links = jaccard.link_classes(docs)
+    by_node = {r.node: r.doc_id for r in sets.orderBy(F.desc("doc_id")).collect()}
+    got = {tuple(sorted((by_node[r.u], by_node[r.v]))) for r in links.collect()}
+    kept = {d: t for d, t in rows if d in by_node.values()}
+    want = {
+        (a, b) for a in kept for b in kept if a < b and len({c for _, _, c in brute_components([(a, kept[a]), (b, kept[b])])}) == 1
+    }
+    assert got == want
+
+
+def test_jaccard_odd(spark, odd, none):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    got = jaccard.near_duplicates(odd).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
+    stays = jaccard.representatives(odd)
+    assert stays.columns == odd.columns
+    # Rows 3 once; 4 for the group with the null id; empty texts all.
+    assert sorted((r.doc_id for r in stays.collect()), key=str) == [1, 2, 3, 4, 4, 5, 6, 7]
+    assert jaccard.near_duplicates(none).count() == 0 and jaccard.representatives(none).count() == 0
+
+
+def test_overlap_bound():
+    rng = np.random.RandomState(1)
+    for _ in range(200):
+        pool = np.unique(rng.randint(0, 2**63, 60).astype(np.uint64) * np.uint64(2))
+        x = np.sort(rng.choice(pool, rng.randint(1, len(pool)), replace=False))
+        y = np.sort(rng.choice(pool, rng.randint(1, len(pool)), replace=False))
+        same = len(np.intersect1d(x, y))
+        linked = 100 * same >= 80 * len(np.union1d(x, y))
+        assert (jaccard.overlap_reaches(x, y, 80) >= 0) == linked
+
+
+# ------------------------------------------------------------------ op4
+
+
+def test_mixing_redistributes_to_siblings_first(spark):
+    leaves = spark.createDataFrame(
+        [("a", "x", "s1", 1, 10), ("a", "x", "s2", 1, 1000), ("a", "y", "s3", 1, 1000), ("b", "x", "s4", 1, 1000)],
+        "domain string, lang string, source string, n_docs long, supply long",
+    )
+    got = {r.source: r.budget for r in mixing.budgets(leaves, {}, share=10, max_epochs=1).collect()}
+    # 301 tokens: 150 a branch, 75 a language; s1 lacks 27 of its 37, s2 takes them.
+    assert got == {"s1": 10, "s2": 65, "s3": 75, "s4": 150}
+
+
+def test_mixing_odd(spark, odd, none):
+    got = mixing.mix(odd, share=100, max_epochs=2)
+    assert got.columns == odd.columns
+    assert {r.doc_id for r in got.collect()} <= {3, 4, 5, 7, None}
+    assert mixing.selection(none).count() == 0 and mixing.mix(none).count() == 0
+
+
+# ------------------------------------------------------------------ op5
+
+
+def test_decontaminate_substitutions_and_short_items(spark):
+    rng = random.Random(4)
+    item = [f"t{rng.randrange(10_000)}" for _ in range(30)]
+    changed = list(item)
+    for i in (6, 13, 20):
+        changed[i] = "other"
+    filler = [f"f{rng.randrange(10_000)}" for _ in range(200)]
+    docs = spark.createDataFrame(
+        [
+            (1, " ".join(filler[:50] + changed + filler[50:])),
+            (2, " ".join(filler)),
+            (3, " ".join(filler[:9] + item[:9] + filler[9:30])),  # too little of it
+            (4, "so: Five Short WORDS, only here"),
+            (5, " ".join(item[:15]).upper()),
+        ],
+        "doc_id long, text string",
+    )
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "five short words only here"), (3, "f1 f2"), (4, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(docs, bench).collect()}
+    assert set(got) == {(1, 1), (5, 1), (4, 2)}
+    assert (got[1, 1].doc_start, got[1, 1].n_tokens, got[1, 1].n_matched) == (50, 30, 27)
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == [2, 3]
+
+
+def test_decontaminate_odd(spark, odd, none):
+    bench = spark.createDataFrame([(1, "one two three four five six"), (2, "")], "item_id long, text string")
+    kept = decontaminate.clean(odd, bench)
+    assert kept.columns == odd.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 3, 3, 4, 5, 6, 7]
+    assert decontaminate.clean(odd, bench.where("false")).count() == 10
+    assert decontaminate.clean(none, bench).count() == 0
+
+
+# ------------------------------------------------------------------ op6
+
+
+def test_revisits(spark, odd):
+    m = lambda **h: {k.replace("_", "-"): v for k, v in h.items()}
+    rows = [
+        (1, "http://A.org:80/x?b=2&a=1&utm_source=q#f", 10, "response", m(ETag="t1", Content_Type="html", Expires="1")),
+        (2, "https://a.org/x?a=1&b=2", 20, "revisit", m(etag="W/t1", expires="2", Content_Type="none")),
+        (3, "http://a.org/x?a=1&b=2", 30, "response", m(etag="t2")),
+        (4, "http://a.org/x?a=1&b=2", 40, "revisit", m(etag="t1")),
+        (5, "http://a.org/x?a=1&b=2", 5, "revisit", m(etag="t1")),
+        (6, None, 50, "revisit", None),
+        (7, "http://a.org/x?a=1&b=2", 50, "revisit", None),
+        (8, "http://a.org/x?a=1&b=2", None, "revisit", m(etag="t2")),
+    ]
+    df = spark.createDataFrame(rows, "record_id long, url string, time long, kind string, headers map<string,string>")
+    got = {r.record_id: r for r in revisits.resolve(df).collect()}
+    assert {k: (r.status, r.refers_to) for k, r in got.items()} == {
+        2: ("resolved", 1),
+        4: ("mismatch", None),
+        5: ("no_response", None),
+        6: ("no_response", None),
+        7: ("no_validator", None),
+        8: ("no_response", None),
+    }
+    assert got[2].headers == {"etag": "W/t1", "content-type": "html", "expires": "2"}
+    assert revisits.resolve(df.where("false")).count() == 0
+
+
+def test_a_hot_url_over_many_partitions(spark):
+    rows = spark.range(0, 3000).selectExpr(
+        "id AS record_id", "'http://h/' AS url", "id AS time", "IF(id % 700 = 0, 'response', 'revisit') AS kind", "map('etag', 'e') AS headers"
+    )
+    assert revisits.resolve(rows).where("refers_to <> record_id - record_id % 700 OR refers_to IS NULL").count() == 0
+
+
+# ------------------------------------------------------------------ op7
+
+
+def brute_counts(text):
+    text = text or ""
+    w = WORDS.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORDS.search(line):
+            dup += line in seen
+            seen.add(line)
+    at = defaultdict(list)
+    for i in range(len(w) - 7):
+        at[tuple(w[i : i + 8])].append(i)
+    covered = {j for p in at.values() if len(p) > 1 for i in p for j in range(i, i + 8)}
+    return [len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)]
+
+
+def test_quality_counts():
+    rng = random.Random(2)
+    texts = ["", None, "é é\n\né é\n", "a b c d e f g h a b c d e f g h", "x " * 40, "end\nend", " lead\n lead\nlead"]
+    texts += ["".join(rng.choice("ab c\n#é|") for _ in range(rng.randint(0, 300))) for _ in range(60)]
+    got = quality.counts(Block(pa.array(texts, pa.string())))
+    assert [list(r) for r in zip(*(v.tolist() for v in got.values()))] == [brute_counts(t) for t in texts]
+
+
+def test_quality_verdicts(spark):
+    labels = read_table(spark, SF, "labels")
+    rows = quality.query(spark, SF).join(labels, "doc_id").collect()
+    assert not any(r.kept and r.base_failed for r in rows)
+    good = [r for r in rows if r.quality == 1 and not r.base_failed]
+    bad = [r for r in rows if r.quality == 0]
+    assert sum(r.kept for r in good) / len(good) > 0.95
+    assert sum(r.kept for r in bad) / max(len(bad), 1) < 0.2
+
+
+def test_quality_odd(spark, odd, none):
+    labels = spark.createDataFrame([(5, 1, 0)], "doc_id long, quality int, toxic int")
+    model = quality.train(odd, labels)  # one class only: base rules decide
+    assert sorted(r.doc_id for r in quality.rate(odd, model).where("kept").collect()) == [5]
+    assert quality.keep(odd, model).columns == odd.columns
+    assert quality.rate(none, model).count() == 0 and quality.keep(none, model).count() == 0
+    quality.train(none, labels.where("false"))
+
+
+# ------------------------------------------------------------------ op8
+
+
+def brute_secrets(text):
+    found = []
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    for kind, pattern, group, least, flags in (
+        (0, assign, 2, 12, re.I | re.A), (1, r"AKIA[A-Z0-9]+", 0, 18, 0), (2, r"[0-9a-f]+", 0, 16, 0)
+    ):
+        found += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text, flags) if len(m.group(group)) >= least]
+    return sorted(found)
+
+
+def test_secret_base_spans():
+    rng = random.Random(7)
+    parts = ["password", "Token", "api_key", "APIKEY", "secret", ": ", "=", '"', " ", "AKIA", "AKIAABCDEFGH1234567", "0123456789abcdef", "é", "abc", "deadbeef", "token=secret=abcdefghijkl", "password: token: abcdefghijklmn"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert secrets.base_spans(text) == brute_secrets(text)
+
+
+def test_secret_network_windows():
+    """A span read in windows equals one pass over all of it."""
+    rng = np.random.RandomState(3)
+    net = {"w": rng.randn(secrets.KERNEL * secrets.CHANNELS, secrets.FILTERS).astype(np.float32), "b": np.zeros(secrets.FILTERS, np.float32), "v": np.ones(secrets.FILTERS, np.float32), "c": np.float32(0)}
+    text = "".join(rng.choice(list("abcXYZ0189+/=_- ")) for _ in range(900))
+    cut = secrets.windows(text, 100, 700)
+    whole = np.zeros((1, (len(cut) - 1) * secrets.STRIDE + secrets.WIDTH, 3), np.int64)
+    for i, w in enumerate(cut):
+        whole[0, i * secrets.STRIDE : i * secrets.STRIDE + secrets.WIDTH] = w
+    assert np.allclose(secrets.logits([cut], net), secrets.pooled(whole, net) @ net["v"], rtol=1e-4)
+
+
+def test_secret_scan(spark, odd, none):
+    got = secrets.scan(odd, secrets.train(odd)).collect()
+    assert len(got) == 10
+    assert {r.base_sha256 for r in got if r.n_assign + r.n_access + r.n_hex == 0} == {hashlib.sha256(b"").hexdigest()}
+    assert secrets.scan(none, secrets.train(none)).count() == 0
+
+
+def test_secret_network_learns(spark):
+    rng = random.Random(1)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"some words token = {hexes(32)} and phone 555-123-{rng.randrange(10**6):06d} more") for i in range(300)]
+    model = secrets.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    new = spark.createDataFrame([(1, f"some words auth = {hexes(16).upper()}{hexes(16).upper()} and"), (2, "call 555-123-000017 today")], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(new, model).collect()}
+    assert got[2] == ""
+
+
+# ------------------------------------------------------------------ op9
+
+
+def test_toxicity_kernel():
+    """The table form equals the kernel summed over common subsequences."""
+
+    def features(word):
+        s, out = f"^{word}^", defaultdict(float)
+        total = 0.0
+        for i in range(len(s)):
+            for j in range(i + 1, len(s)):
+                for k in range(j + 1, min(len(s), i + toxicity.REACH)):
+                    out[s[i], s[j], s[k]] += toxicity.DECAY ** (k - i)
+                    total += toxicity.DECAY ** (2 * (k - i))
+        return out, total**0.5
+
+    for a, b in (("idiot", "i.d.i.o.t"), ("loser", "lo-ser"), ("moron", "mormon"), ("abc", "xyz")):
+        (fa, na), (fb, nb) = features(a), features(b)
+        want = sum(v * fb[t] for t, v in fa.items()) / (na * nb)
+        assert toxicity.Words([a]).dot(toxicity.Words([b]).table(0))[0] == pytest.approx(want)
+
+
+def test_toxicity_finds_gapped_insults():
+    rng = random.Random(3)
+    clean = ["".join(rng.choice(["ter", "on", "the", "al", "es", "in"]) for _ in range(rng.randint(1, 4))) for _ in range(600)]
+    insults = ["grumblik", "wozzup", "skibber"]
+    bags, y = [], []
+    for i in range(80):
+        words = rng.sample(clean, 30)
+        bags.append(set(words + ([rng.choice(insults)] if i % 2 else [])))
+        y.append(i % 2)
+    model = toxicity.fit(bags, np.array(y))
+    bad = toxicity.margins(["grumblik", "gr.umb-lik", "wozzzup", "skib_ber"], model)
+    good = toxicity.margins(rng.sample(clean, 200), model)
+    assert bad.min() > np.percentile(good, 99)
+    assert "skibber" in toxicity.tokens_of("you s k i b b e r there")
+
+
+def test_toxicity_query_shape(spark, odd, none):
+    labels = read_table(spark, SF, "labels")
+    rows = toxicity.query(spark, SF).join(labels, "doc_id").where("NOT held_out").collect()
+    right = sum((r.predicted == 1) == (r.toxic == 1) for r in rows) / len(rows)
+    assert right > 0.85
+    docs = read_table(spark, SF, "documents")
+    model = toxicity.train(docs, labels)
+    got = toxicity.rate(odd, model).collect()
+    assert len(got) == 10 and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.train(none, labels.where("false")) is None
+    assert {r.score for r in toxicity.rate(odd, None).collect()} == {0.0}
+
+
+# ------------------------------------------------------------------ op10
+
+
+def test_blocks_round_trip():
+    rng = np.random.RandomState(0)
+    cases = [[], [7], [2**32 - 1, 0], list(range(5000)), [5] * 3000 + [2**31], rng.randint(0, 49408, 4097), rng.randint(0, 2**32, 3000, dtype=np.uint64)]
+    for case in cases:
+        ids = np.array(case, np.uint32)
+        payload = token_files.pack(ids)
+        assert (token_files.unpack(payload) == ids).all() and len(token_files.unpack(payload)) == len(ids)
+        for a, b in ((0, 1), (1000, 1030), (1023, 3000), (4096, 9999)):
+            assert (token_files.unpack(payload, a, b) == ids[a:b]).all()
+    mostly = np.full(1024, 3, np.uint32)
+    mostly[::40] = 70_000
+    assert len(token_files.pack(mostly)) < 400  # outliers don't widen the block
+
+
+def test_token_files_against_whole_texts(spark, odd):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path("word_bpe_49k.json")))
+    extra = ["It's <|endoftext|> done.", "X<|startoftext|>", "ÉTÉ́. «quoted», a b\x85c\x1cd", "don't 'S x's\x00y \x00 z", "a.b,c--d''e\"f", "ǅ İ Σας ﬁ", "日本語 テキスト 12.5%"]
+    rows = texts_of(spark) + [(10_000 + i, t) for i, t in enumerate(extra)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in token_files.encode_and_read(docs).collect()}
+    start = 0
+    for doc_id, text in sorted(rows):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        want = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        assert (got[doc_id].start, got[doc_id].n_tokens, got[doc_id].ids_crc32) == want, text
+        start += len(ids)
+
+
+def test_token_files_odd(spark, odd, none):
+    got = token_files.encode_and_read(odd).orderBy("start").collect()
+    assert len(got) == 10 and [r.doc_id for r in got] == [None, 1, 2, 3, 3, 4, 4, 5, 6, 7]
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:]))
+    assert [r.n_tokens for r in got if r.doc_id in (1, 2, 6)] == [1, 1, 1]
+    assert token_files.encode_and_read(none).count() == 0
