@@ -2,9 +2,7 @@
 
 Lookups are plain DataFrame joins: Catalyst picks the strategy and AQE turns a
 sort-merge join into a broadcast join when the lookup side is measured small
-at runtime.  An explicit broadcast is only issued by ``bounded_broadcast``,
-which first proves the side's row count is under a limit and otherwise leaves
-the join to the shuffle strategies.
+at runtime, by bytes; no size is guessed or counted here.
 """
 
 from __future__ import annotations

@@ -89,7 +89,7 @@ def enrich_left(spark, sf_dir):
     is issued only after a bounded row count proves it)."""
     li, s = D.tables(spark, sf_dir, "lineitem", "supplier")
     side = s.select("s_suppkey", "s_name", "s_nationkey")
-    return J.lookup(li.select("l_orderkey", "l_linenumber", "l_suppkey"), side, li["l_suppkey"] == side["s_suppkey"], "left", broadcast_rows=1_000_000).select(
+    return J.lookup(li.select("l_orderkey", "l_linenumber", "l_suppkey"), side, li["l_suppkey"] == side["s_suppkey"], "left").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "s_name", "s_nationkey"
     )
 
