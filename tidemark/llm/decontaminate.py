@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bitmap
 from tidemark.llm.components import _written
-from tidemark.llm.textblocks import SLOT, U64, WORD_LOWER, Block, blocks, inside, mix, owners, rolling
+from tidemark.llm.textblocks import SLOT, U64, WORD_LOWER, Block, blocks, inside, mix, owners, rolling, small_batches
 from tidemark.sources.tables import read_table
 
 # Fixed masks: weight 6 over 8, 10 and 12 tokens.
@@ -176,6 +176,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 10, percent:
     """key, doc_id, item_id, doc_start (token), n_tokens, n_matched, coverage of
     the item: the best overlap of each contaminated (document, item)."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     lengths = texts.mapInArrow(_map_items([]), "item_id long, item array<long>, seed array<long>, at array<int>")
     sizes = lengths.select(F.size("item").alias("n"))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import bitmap
 from tidemark.llm.components import _written, components
 from tidemark.llm.decontaminate import row_key
-from tidemark.llm.textblocks import LOWER, NOT_SPACE, SLOT, U64, Block, blocks, inside, mix, rolling
+from tidemark.llm.textblocks import LOWER, NOT_SPACE, SLOT, U64, Block, blocks, inside, mix, rolling, small_batches
 from tidemark.sources.tables import read_table
 
 REGION = int(0.28 * 2**64)  # hash range in which nearly all prefixes lie
@@ -261,6 +261,7 @@ def link_classes(
     links: pairs ``u, v`` of classes whose Jaccard similarity is at least
     ``percent`` / 100, enough of them to connect all that are connected)."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("key")
     )

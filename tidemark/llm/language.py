@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textblocks import blocks
+from tidemark.llm.textblocks import blocks, small_batches
 from tidemark.sources.tables import read_table
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -72,6 +72,7 @@ def _map_counts(batches):
 
 def train(rows: DataFrame, train_docs: int = 2000, max_words: int = 60_000, max_grams: int = 60_000) -> dict:
     """The model from ``rows`` (lang, text, h: a hash of the row's id)."""
+    small_batches(rows.sparkSession)
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return {"langs": [], "words": {}, "word_logs": [], "grams": {}, "gram_logs": [], "prior": 0}

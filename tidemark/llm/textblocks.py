@@ -78,6 +78,12 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def small_batches(spark) -> None:
+    """Rows come to Python a few hundred at a time: texts and gram sets are long,
+    and both sides of the exchange hold a whole batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
 def blocks(batches, text: str = "text", max_bytes: int = BLOCK_BYTES):
     """Yield slices of the record batches with at most ``max_bytes`` of text each."""
     for batch in batches:

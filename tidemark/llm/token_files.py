@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.textblocks import SPACE, U64, Block, blocks
+from tidemark.llm.textblocks import SPACE, U64, Block, blocks, small_batches
 from tidemark.session import scratch_path
 from tidemark.sources.tables import read_table
 
@@ -295,6 +295,7 @@ def _map_write(path: str, end_id: int, percentile: float):
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, percentile: float = 95.0) -> None:
     """Tokenise ``docs`` (doc_id, text) with the tokenizer file and write them."""
     spark = docs.sparkSession
+    small_batches(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["doc_id", "tie"]
     rows = docs.select(

@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.textblocks import small_batches
+
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class: int, where=None) -> DataFrame:
     """(doc_id, text, label) of at most ``per_class`` labelled documents of
@@ -16,6 +18,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
     bounded by the parameter, hence broadcast; of a repeated doc_id every
     distinct text is used once.
     """
+    small_batches(docs.sparkSession)
     rows = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull())
     rows = rows.groupBy("doc_id").agg(F.max(F.col(column)).cast("int").alias("label"))
     if where is not None:
