@@ -437,16 +437,35 @@ def representatives(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, that stay when one document of each
     component does: the one with the smallest doc_id (of equal ids, by a hash of
     the text; an identical row once).  Rows with an empty set all stay."""
+    spark = docs.sparkSession
     found = _written(near_duplicates(docs, **options), "jaccard-found")
     filled = found.where(F.col("root").isNotNull())
     best = filled.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("b"))
     copies = filled.groupBy("key").agg(F.count("*").alias("copies"))
     stays = best.select(F.col("b.key").alias("key")).join(copies, "key")
     stays = stays.union(found.where(F.col("root").isNull()).select("key", F.lit(1).cast("long")).distinct())
-    stays = _written(stays, "jaccard-stays").withColumnRenamed("key", "_key")
-    rows = docs.select(F.struct("*").alias("_row"), row_key().alias("_key")).join(stays, "_key")
-    once = rows.where("copies > 1").groupBy("_key").agg(F.first("_row").alias("_row")).select("_row.*")
-    return rows.where("copies = 1").select("_row.*").union(once)
+    stays = _written(stays, "jaccard-stays")
+    # Most rows stay for sure, as their key isn't among those to look at; only
+    # the others meet the table of keys, so most texts are not shuffled.
+    doubtful = found.join(stays.where("copies = 1"), "key", "left_anti").select("key")
+    marks = spark.sparkContext.broadcast(bitmap.build(doubtful, "key"))
+    rows = docs.select(F.struct("*").alias("_row"), row_key().alias("_key"))
+    sure = rows.mapInArrow(_map_marked(marks, False), rows.schema).select("_row.*")
+    open_rows = rows.mapInArrow(_map_marked(marks, True), rows.schema)
+    open_rows = open_rows.join(stays.withColumnRenamed("key", "_key"), "_key")
+    once = open_rows.where("copies > 1").groupBy("_key").agg(F.first("_row").alias("_row")).select("_row.*")
+    return sure.union(open_rows.where("copies = 1").select("_row.*")).union(once)
+
+
+def _map_marked(marks_bc, marked: bool):
+    """The rows (row, key) whose key is in the bitmap, or those whose isn't."""
+
+    def run(batches):
+        for batch in batches:
+            hit = bitmap.probe(marks_bc.value, batch.column(1).to_numpy())
+            yield batch.filter(pa.array(hit == marked))
+
+    return run
 
 
 def query(spark, sf_dir):
