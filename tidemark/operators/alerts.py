@@ -318,11 +318,16 @@ def _throttle_summary(t, acked, gap):
 
     n = len(t)
     limit = int(np.searchsorted(t, t[0] + gap, side="left"))  # first index with t >= t0 + gap
-    cand = list(range(0, min(limit + 1, n)))
-    ends = {}
-    for j in cand:
-        _, last = _throttle_run(t[j + 1 :], acked[j + 1 :], gap, int(t[j]))
-        ends[j] = last
+    cand = range(0, min(limit + 1, n))
+    # The creation after one at j is the first acknowledged attempt behind it or
+    # the first a whole gap later; walked from the back, each end is known.
+    acked_at = np.append(np.where(acked, np.arange(n), n), n)
+    acked_from = np.minimum.accumulate(acked_at[::-1])[::-1]
+    after = np.minimum(acked_from[1:], np.maximum(np.searchsorted(t, t + gap, side="left"), np.arange(1, n + 1)))
+    ends = t.tolist()
+    for j in range(n - 1, -1, -1):
+        if after[j] < n:
+            ends[j] = ends[after[j]]
     first_acked = int(np.flatnonzero(acked)[0]) if acked.any() else n
     return {"t": [int(t[j]) for j in cand], "end": [ends[j] for j in cand], "first_acked": first_acked, "n": n, "limit": limit}
 

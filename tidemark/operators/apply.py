@@ -269,7 +269,9 @@ def size_bounded_batches(
     With ``group`` the rows are hash-partitioned by the group and the packing
     restarts at every group (requests never mix groups); batches are then
     identified by (group, ``batch_no``) and the result does not depend on the
-    physical partitioning.  A group is walked by one task, streamed.
+    physical partitioning.  Only the group, ``order`` and the row sizes are
+    shuffled and walked (rows are found again by ``order``): a group is walked
+    by one task, streamed, at some tens of bytes a row.
     """
     import pandas as pd
 
@@ -277,7 +279,8 @@ def size_bounded_batches(
     if group:
         group = list(group)
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        sized = df.withColumn("row_bytes", json_size(df, payload)).repartition(n, *group).withColumn("part_id", F.spark_partition_id())
+        keys = list(dict.fromkeys([*group, *order]))
+        sized = df.select(*keys, json_size(df, payload).alias("row_bytes")).repartition(n, *group).withColumn("part_id", F.spark_partition_id())
         sized = sized.sortWithinPartitions(*group, *order)
     else:
         sized = df.withColumn("row_bytes", json_size(df, payload)).withColumn("part_id", F.spark_partition_id())

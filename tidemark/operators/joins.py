@@ -83,35 +83,22 @@ def key_anti(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(keys.select(*on).distinct(), list(on), "left_anti")
 
 
-def cooccurrence_edges(links: DataFrame, group: str, item: str) -> DataFrame:
+def cooccurrence_edges(links: DataFrame, group: str, item: str, rows_per_task: int = 1000) -> DataFrame:
     """Pairs of items (a < b) sharing a group, with the number of groups
-    they share.
-
-    Links are first reduced to distinct (group, item).  Groups with the same
-    item set are then counted once (an aggregate, so a pattern repeated over
-    many groups costs one row), and pairs are emitted per distinct item set,
-    weighted by its multiplicity.  The pairs of one item set are all distinct
-    output edges, so the work per set is bounded by the size of the result."""
-    distinct_links = links.select(group, item).distinct()
-    sets = distinct_links.groupBy(group).agg(F.array_sort(F.collect_set(item)).alias("__items"))
-    patterns = sets.groupBy("__items").agg(F.count("*").alias("__weight"))
-    pairs = patterns.select(
-        "__weight",
-        F.explode(
-            F.flatten(
-                F.transform(
-                    F.sequence(F.lit(1), F.size("__items")),
-                    lambda i: F.transform(
-                        F.filter(F.sequence(F.lit(1), F.size("__items")), lambda j: j > i),
-                        lambda j: F.struct(F.element_at("__items", i).alias("source"), F.element_at("__items", j).alias("target")),
-                    ),
-                )
-            )
-        ).alias("__pair"),
-    )
-    return pairs.groupBy(F.col("__pair.source").alias("source"), F.col("__pair.target").alias("target")).agg(
-        F.sum("__weight").alias("shared_groups")
-    )
+    they share.  Links with a NULL group or item pair with nothing.
+
+    Distinct (group, item) links are joined with themselves on the group.  A
+    group of n items is dealt over n / ``rows_per_task`` salts on one side and
+    repeated under each salt on the other, so the pairs of a large group are
+    made by many tasks and none holds a group in a row; pairs are pre-added
+    before their shuffle."""
+    one = links.select(F.col(group).alias("__g"), F.col(item).alias("__i")).dropna().distinct()
+    sizes = one.groupBy("__g").agg((F.count("*") / F.lit(rows_per_task)).cast("int").alias("__last_salt"))
+    sized = one.join(sizes, "__g")
+    left = sized.select("__g", F.pmod(F.xxhash64("__i"), F.col("__last_salt") + 1).cast("int").alias("__salt"), F.col("__i").alias("source"))
+    right = sized.select("__g", F.explode(F.sequence(F.lit(0), F.col("__last_salt"))).alias("__salt"), F.col("__i").alias("target"))
+    pairs = left.join(right, ["__g", "__salt"]).filter(F.col("source") < F.col("target"))
+    return pairs.groupBy("source", "target").agg(F.count("*").alias("shared_groups"))
 
 
 def window_enriched(tx: DataFrame, emp: DataFrame) -> DataFrame:

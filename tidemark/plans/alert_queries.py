@@ -144,9 +144,9 @@ def alert_iterations(spark, sf_dir):
     "alert_throttle",
     """
 WITH RECURSIVE a AS (
-  SELECT user_id % 2 AS k, event_id, ts, event_id % 4 = 0 AS acked,
-         row_number() OVER (PARTITION BY user_id % 2 ORDER BY ts, event_id) AS rn
-  FROM events WHERE event_type IN ('error', 'click')),
+  SELECT user_id % 10 AS k, event_id, ts, event_id % 4 = 0 AS acked,
+         row_number() OVER (PARTITION BY user_id % 10 ORDER BY ts, event_id) AS rn
+  FROM events),
 r AS (
   SELECT k, rn, event_id, TRUE AS created, ts AS last FROM a WHERE rn = 1
   UNION ALL
@@ -161,8 +161,8 @@ def alert_throttle(spark, sf_dir):
     previous one was sent/read, or 5+ minutes after the last created one
     (keys split across partitions; boundary runs summarised and chained)."""
     (ev,) = D.tables(spark, sf_dir, "events")
-    a = ev.filter(F.col("event_type").isin("error", "click")).select(
-        (F.col("user_id") % 2).alias("k"), "event_id", "ts", (F.col("event_id") % 4 == 0).alias("acked")
+    a = ev.select(
+        (F.col("user_id") % D.EVENT_TABLES).alias("k"), "event_id", "ts", (F.col("event_id") % 4 == 0).alias("acked")
     )
     return AL.throttle_split(a, "k", "ts", "event_id", "acked").select("event_id", "k", "create")
 
@@ -277,8 +277,8 @@ def alert_throttle_stream(spark, sf_dir):
     from tidemark.streaming.alert_state import throttle_stream
 
     (ev,) = D.tables(spark, sf_dir, "events")
-    a = ev.filter(F.col("event_type").isin("error", "click")).select(
-        (F.col("user_id") % 2).alias("k"), "event_id", "ts", (F.col("event_id") % 4 == 0).alias("acked")
+    a = ev.select(
+        (F.col("user_id") % D.EVENT_TABLES).alias("k"), "event_id", "ts", (F.col("event_id") % 4 == 0).alias("acked")
     )
     out = _run_state_stream(spark, a, "ts", lambda st: throttle_stream(st, "k", "ts", "event_id", "acked"), "alert-throttle")
     return out.select("event_id", "k", "create")

@@ -10,7 +10,7 @@ from tidemark.plans.registry import (
     CHG_EVENTS,
     CHG_ORDERS,
     ORDERS_BATCH,
-    ORDERS_SNAPSHOT,
+    ORDERS_STATE,
     query,
     with_ctes,
 )
@@ -27,17 +27,17 @@ latest AS (
 
 @query(
     "merge_apply",
-    with_ctes(CHG_ORDERS, ORDERS_SNAPSHOT, ORDERS_BATCH, _LATEST_ORDERS_SQL)
+    with_ctes(CHG_ORDERS, ORDERS_STATE, ORDERS_BATCH, _LATEST_ORDERS_SQL)
     + f"""
-SELECT {ORDER_COLS_SQL} FROM orders_snapshot t
+SELECT {ORDER_COLS_SQL} FROM orders_state t
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.o_orderkey = t.o_orderkey)
 UNION ALL
 SELECT {ORDER_COLS_SQL} FROM latest WHERE op <> 'd'
 """,
 )
 def merge_apply(spark, sf_dir):
-    """Flagship: the orders snapshot with every later change applied."""
-    target = D.orders_snapshot(spark, sf_dir)
+    """Flagship: the orders as of the cutoff with every later change applied."""
+    target = D.orders_state(spark, sf_dir)
     batch = D.orders_batch(spark, sf_dir)
     return A.apply_changes(target, batch, ["o_orderkey"])
 
@@ -58,9 +58,9 @@ def merge_latest(spark, sf_dir):
 
 @query(
     "merge_replay_idempotent",
-    with_ctes(CHG_ORDERS, ORDERS_SNAPSHOT, ORDERS_BATCH, _LATEST_ORDERS_SQL)
+    with_ctes(CHG_ORDERS, ORDERS_STATE, ORDERS_BATCH, _LATEST_ORDERS_SQL)
     + f"""
-SELECT {ORDER_COLS_SQL} FROM orders_snapshot t
+SELECT {ORDER_COLS_SQL} FROM orders_state t
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.o_orderkey = t.o_orderkey)
 UNION ALL
 SELECT {ORDER_COLS_SQL} FROM latest WHERE op <> 'd'
@@ -68,7 +68,7 @@ SELECT {ORDER_COLS_SQL} FROM latest WHERE op <> 'd'
 )
 def merge_replay_idempotent(spark, sf_dir):
     """V3: applying the same batch twice gives the result of applying it once."""
-    target = D.orders_snapshot(spark, sf_dir)
+    target = D.orders_state(spark, sf_dir)
     batch = D.orders_batch(spark, sf_dir)
     once = A.apply_changes(target, batch, ["o_orderkey"])
     return A.apply_changes(once, batch, ["o_orderkey"])
@@ -103,9 +103,9 @@ def merge_out_of_order(spark, sf_dir):
 
 @query(
     "apply_upsert",
-    with_ctes(CHG_ORDERS, ORDERS_SNAPSHOT, ORDERS_BATCH, _LATEST_ORDERS_SQL)
+    with_ctes(CHG_ORDERS, ORDERS_STATE, ORDERS_BATCH, _LATEST_ORDERS_SQL)
     + f"""
-SELECT {ORDER_COLS_SQL} FROM orders_snapshot t
+SELECT {ORDER_COLS_SQL} FROM orders_state t
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.o_orderkey = t.o_orderkey)
 UNION ALL
 SELECT {ORDER_COLS_SQL} FROM latest
@@ -113,7 +113,7 @@ SELECT {ORDER_COLS_SQL} FROM latest
 )
 def apply_upsert(spark, sf_dir):
     """K1: delete-then-insert by key (operation ignored: every change upserts)."""
-    target = D.orders_snapshot(spark, sf_dir)
+    target = D.orders_state(spark, sf_dir)
     batch = D.orders_batch(spark, sf_dir)
     return A.upsert(target, batch, ["o_orderkey"], order=["ts", "seq"])
 
@@ -275,9 +275,9 @@ def size_bounded_batches_approx(spark, sf_dir):
 
 @query(
     "apply_delete_as_upsert",
-    with_ctes(CHG_ORDERS, ORDERS_SNAPSHOT, ORDERS_BATCH, _LATEST_ORDERS_SQL)
+    with_ctes(CHG_ORDERS, ORDERS_STATE, ORDERS_BATCH, _LATEST_ORDERS_SQL)
     + f"""
-SELECT {ORDER_COLS_SQL} FROM orders_snapshot t
+SELECT {ORDER_COLS_SQL} FROM orders_state t
 WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.o_orderkey = t.o_orderkey)
 UNION ALL
 SELECT {ORDER_COLS_SQL} FROM latest
@@ -287,7 +287,7 @@ def apply_delete_as_upsert(spark, sf_dir):
     """X2 (the reference's row-store path): the operation is ignored, so a
     delete writes its before-image like any other change
     (``on_delete='upsert'``)."""
-    target = D.orders_snapshot(spark, sf_dir)
+    target = D.orders_state(spark, sf_dir)
     batch = D.orders_batch(spark, sf_dir)
     return A.apply_changes(target, batch, ["o_orderkey"], on_delete="upsert")
 

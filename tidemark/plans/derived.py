@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import apply
 from tidemark.session import prepare
 from tidemark.sources.tables import read_table
 
@@ -75,6 +76,12 @@ def orders_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(*ORDER_COLUMNS).filter(F.col("o_orderdate") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz"))
 
 
+def orders_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target at the cutoff: every earlier change applied."""
+    early = chg_orders(spark, sf_dir).filter(F.col("ts") < F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz"))
+    return apply.latest_per_key(early, ["o_orderkey"], ["ts", "seq"]).filter(F.col("op") != "d").select(*ORDER_COLUMNS)
+
+
 def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Changes since the snapshot cutoff."""
     return chg_orders(spark, sf_dir).filter(F.col("ts") >= F.lit(SNAPSHOT_CUTOFF).cast("timestamp_ntz"))
@@ -95,9 +102,9 @@ def volume_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dlq_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dead letters: the delete changes that failed, with a retry count and
-    the first failure time; the queue is (source, table, destination)."""
-    ch = chg_events(spark, sf_dir).filter(F.col("op") == "d")
+    """Dead letters: every change, as failed, with a retry count and the first
+    failure time; the queue is (source, table, destination)."""
+    ch = chg_events(spark, sf_dir)
     return ch.select(
         F.col("seq").alias("msg_id"),
         F.lit(1).alias("source_id"),

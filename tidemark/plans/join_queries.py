@@ -312,24 +312,23 @@ keyed AS (
               ELSE '#' END AS letter
   FROM counted)
 SELECT letter, CASE WHEN regexp_matches(letter, '^[0-9]$') THEN 0 WHEN letter = '#' THEN 2 ELSE 1 END AS sort_rank,
-       count(*) AS n_tags, string_agg(tag, ',' ORDER BY tag) AS tags, CAST(sum(usage_count) AS BIGINT) AS usage_total
-FROM keyed GROUP BY letter
+       tag, usage_count, count(*) OVER (PARTITION BY letter) AS n_tags,
+       CAST(sum(usage_count) OVER (PARTITION BY letter) AS BIGINT) AS usage_total
+FROM keyed
 """,
 )
 def tag_alphabet_groups(spark, sf_dir):
     """A10: tags grouped by upper-cased first character (digit, letter, else
-    '#'); groups ordered digits, letters, '#'."""
+    '#'); groups ordered digits, letters, '#'.  One row per tag with its
+    group's figures, so no group has to fit in one row."""
     tl, links = D.tag_list(spark, sf_dir), D.tag_links(spark, sf_dir)
     counted = tl.join(links, "tag", "left").groupBy("tag").agg(F.count("sync_id").alias("usage_count"))
     first = F.upper(F.substring("tag", 1, 1))
     letter = F.when(F.col("tag") == "", "#").when(first.rlike("^[0-9]$"), first).when(first.rlike(r"^\p{L}$"), first).otherwise("#")
     keyed = counted.withColumn("letter", letter)
     rank = F.when(F.col("letter").rlike("^[0-9]$"), 0).when(F.col("letter") == "#", 2).otherwise(1)
-    return keyed.groupBy("letter").agg(
-        F.count("*").alias("n_tags"),
-        F.array_join(F.array_sort(F.collect_list("tag")), ",").alias("tags"),
-        F.sum("usage_count").alias("usage_total"),
-    ).withColumn("sort_rank", rank)
+    per_letter = keyed.groupBy("letter").agg(F.count("*").alias("n_tags"), F.sum("usage_count").alias("usage_total"))
+    return keyed.join(per_letter, "letter").withColumn("sort_rank", rank)
 
 
 @query(

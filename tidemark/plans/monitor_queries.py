@@ -74,10 +74,10 @@ wal_metrics AS (
 
 
 def notifications(spark, sf_dir):
-    """Alert log: one notification per error or purchase event."""
+    """Alert log: one notification per event."""
     (ev,) = D.tables(spark, sf_dir, "events")
     i = F.col("event_id")
-    return ev.filter(F.col("event_type").isin("error", "purchase")).select(
+    return ev.select(
         i.alias("notification_id"),
         F.concat(F.col("event_type"), F.lit(":tbl_"), (F.col("user_id") % 10).cast("string")).alias("key_notification"),
         F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("type"),
@@ -98,7 +98,7 @@ notifications AS (
          'Pipeline ' || event_type || ' on tbl_' || CAST(user_id % 10 AS VARCHAR) AS title,
          event_id % 4 = 0 AS is_read, event_id % 9 = 0 AS is_deleted, CAST(event_id % 6 + 1 AS INTEGER) AS iteration_check,
          event_id % 3 = 0 AS is_sent, event_id % 7 = 0 AS is_force_sent, ts AS created_at
-  FROM events WHERE event_type IN ('error', 'purchase'))
+  FROM events)
 """
 
 # ------------------------------------------------------------------ A1-A8
@@ -354,11 +354,9 @@ FROM events GROUP BY 1 ORDER BY n DESC, app
 def group_coalesce_count(spark, sf_dir):
     """Connections per application (NULL -> 'unknown'), active ones
     counted alongside, largest first."""
-    from tidemark.plans.apply_queries import _nully_events
-
     (ev,) = D.tables(spark, sf_dir, "events")
-    nully = _nully_events(spark, sf_dir).select("event_id", "event_type").join(ev.select("event_id", "value"), "event_id")
-    out = nully.groupBy(F.coalesce("event_type", F.lit("unknown")).alias("app")).agg(
+    app = F.when(F.col("event_id") % 2 != 0, F.col("event_type"))
+    out = ev.groupBy(F.coalesce(app, F.lit("unknown")).alias("app")).agg(
         F.count("*").alias("n"), F.count(F.when(F.col("value") > 50, 1)).alias("active")
     )
     return out.orderBy(F.col("n").desc(), "app")
@@ -542,22 +540,27 @@ def lag_class(spark, sf_dir):
 
 @query(
     "state_upsert",
-    with_ctes(WAL_SQL)
-    + """
-, state AS (SELECT source_id, size_bytes, recorded_at FROM wal_metrics WHERE recorded_at < TIMESTAMP '2024-01-15'
+    """
+WITH sizes AS (
+  SELECT user_id AS source_id, CAST(round(value * 1e8) AS BIGINT) AS size_bytes, ts AS recorded_at FROM events),
+state AS (SELECT source_id, size_bytes, recorded_at FROM sizes WHERE recorded_at < TIMESTAMP '2024-01-15'
             QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY recorded_at DESC, size_bytes DESC) = 1),
-incoming AS (SELECT source_id, size_bytes, recorded_at FROM wal_metrics WHERE recorded_at >= TIMESTAMP '2024-01-15' AND source_id <> 4
+incoming AS (SELECT source_id, size_bytes, recorded_at FROM sizes WHERE recorded_at >= TIMESTAMP '2024-01-15'
              QUALIFY row_number() OVER (PARTITION BY source_id ORDER BY recorded_at DESC, size_bytes DESC) = 1)
 SELECT * FROM state s WHERE s.source_id NOT IN (SELECT source_id FROM incoming)
 UNION ALL SELECT * FROM incoming
 """,
 )
 def state_upsert(spark, sf_dir):
-    """M3: one state row per source; newer measurements replace it (K1)."""
-    w = wal_metrics(spark, sf_dir).select("source_id", "size_bytes", "recorded_at")
+    """M3: one state row per source (here a user's events); newer measurements
+    replace it (K1)."""
+    (ev,) = D.tables(spark, sf_dir, "events")
+    w = ev.select(
+        F.col("user_id").alias("source_id"), F.round(F.col("value") * F.lit(1e8)).cast("long").alias("size_bytes"), F.col("ts").alias("recorded_at")
+    )
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
     state = M.latest_state(w.filter(F.col("recorded_at") < cut), ["source_id"], "recorded_at", ["size_bytes"])
-    incoming = w.filter((F.col("recorded_at") >= cut) & (F.col("source_id") != 4))
+    incoming = w.filter(F.col("recorded_at") >= cut)
     return A.upsert(state.select("source_id", "size_bytes", "recorded_at"), incoming, ["source_id"], order=["recorded_at", "size_bytes"])
 
 

@@ -50,10 +50,11 @@ chg_orders AS (
          'd', 3, o_orderdate + INTERVAL 2 DAY FROM orders WHERE o_orderpriority = '5-LOW')
 """
 
-ORDERS_SNAPSHOT = """
-orders_snapshot AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01')
+ORDERS_STATE = """
+orders_state AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ts DESC, seq DESC) AS rn
+    FROM chg_orders WHERE ts < TIMESTAMP '1998-01-01') WHERE rn = 1 AND op <> 'd')
 """
 
 ORDERS_BATCH = """
@@ -75,7 +76,7 @@ dlq_messages AS (
          CASE WHEN k % 2 = 0 THEN 'public.tbl_' ELSE 'tbl_' END || CAST(k % 10 AS VARCHAR) AS table_name,
          CAST(k % 3 + 1 AS INTEGER) AS destination_id, k, op, value,
          CAST(seq % 12 AS INTEGER) AS retry_count, ts AS first_failed_at
-  FROM chg_events WHERE op = 'd')
+  FROM chg_events)
 """
 
 TAG_LINKS = """

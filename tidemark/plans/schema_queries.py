@@ -365,12 +365,15 @@ def schema_change_label(spark, sf_dir):
     """E1 summary label per table (precedence NEW COLUMN > DROP COLUMN >
     CHANGES TYPE; unchanged tables have no row)."""
     v1, v2 = _versions(spark, sf_dir)
-    cu, ev, li = D.tables(spark, sf_dir, "customer", "events", "lineitem")
+    # One profile per table; the evolved catalog is derived from the first.
+    cu_cat, ev_cat, li_cat = (
+        observed_catalog(spark, {t: df}) for t, df in zip(("customer", "events", "lineitem"), D.tables(spark, sf_dir, "customer", "events", "lineitem"))
+    )
     diffs = [
         EV.diff(v1, v2),
-        EV.diff(observed_catalog(spark, {"customer": cu}), observed_catalog(spark, {"customer": cu.drop("c_acctbal")})),
-        EV.diff(observed_catalog(spark, {"events": ev}), observed_catalog(spark, {"events": ev.withColumn("props", F.col("props").cast("binary"))})),
-        EV.diff(observed_catalog(spark, {"lineitem": li}), observed_catalog(spark, {"lineitem": li})),
+        EV.diff(cu_cat, cu_cat.filter(F.col("column_name") != "c_acctbal")),
+        EV.diff(ev_cat, ev_cat.withColumn("data_type", F.when(F.col("column_name") == "props", "bytea").otherwise(F.col("data_type")))),
+        EV.diff(li_cat, li_cat),
     ]
     allc = diffs[0]
     for d in diffs[1:]:
@@ -380,10 +383,9 @@ def schema_change_label(spark, sf_dir):
 
 def schema_history(spark, sf_dir):
     """Schema snapshots per table: one per day on which the table saw an
-    error event (the first is the initial load)."""
+    event (the first is the initial load)."""
     (ev,) = D.tables(spark, sf_dir, "events")
-    e = ev.filter(F.col("event_type") == "error")
-    snaps = e.groupBy(F.concat(F.lit("tbl_"), (F.col("user_id") % 10).cast("string")).alias("table_name"), F.to_date("ts").alias("day")).agg(
+    snaps = ev.groupBy(F.concat(F.lit("tbl_"), (F.col("user_id") % 10).cast("string")).alias("table_name"), F.to_date("ts").alias("day")).agg(
         F.min("ts").alias("created_at"), F.min("event_id").alias("snapshot_id")
     )
     return snaps.withColumn("changes_type", F.lit("CHANGES TYPE"))
@@ -395,7 +397,7 @@ history AS (
          CAST(row_number() OVER (PARTITION BY table_name ORDER BY created_at, snapshot_id) AS INTEGER) AS version_schema
   FROM (SELECT 'tbl_' || CAST(user_id % 10 AS VARCHAR) AS table_name, CAST(ts AS DATE) AS day,
                min(ts) AS created_at, min(event_id) AS snapshot_id
-        FROM events WHERE event_type = 'error' GROUP BY 1, 2))
+        FROM events GROUP BY 1, 2))
 """
 
 

@@ -19,6 +19,7 @@ from tidemark.functions import filters as FL
 from tidemark.operators import ordering as O
 
 PAGE_SIZE = 10_000
+PAGE_RANGES = 256
 MAX_RESUME_ATTEMPTS = 3
 STATUSES = ["PENDING", "EXECUTING", "COMPLETED", "FAILED", "CANCELLED"]
 
@@ -46,10 +47,28 @@ def keyset_page(df: DataFrame, pk: str, last=None, size: int = PAGE_SIZE) -> Dat
 
 def offset_page(df: DataFrame, offset: int, size: int = PAGE_SIZE, order: Sequence[str] | None = None) -> DataFrame:
     """Page by position when there is no usable single key; the order is
-    all columns, so the page is deterministic."""
+    all columns, so the page is deterministic.
+
+    The rows are counted by ranges of the leading order column, and only the
+    ranges that the page touches are sorted and numbered.  ``PAGE_RANGES`` rows,
+    picked by hash, name the range bounds; they only spread the work, every row
+    is counted."""
     cols = list(order or df.columns)
-    indexed = O.global_index(df, cols, "__idx")
-    return indexed.filter((F.col("__idx") >= offset) & (F.col("__idx") < offset + size)).drop("__idx")
+    lead = F.col(cols[0])
+    picked = df.select(lead.alias("b")).filter(F.col("b").isNotNull()).orderBy(F.xxhash64("b"), "b").limit(PAGE_RANGES)
+    bounds = picked.distinct().agg(F.array_sort(F.collect_list("b"))).scalar()
+    # Rows below a bound come before it; NULLs first (range 0).
+    at = F.when(lead.isNull(), 0).otherwise(F.size(F.filter("__bounds", lambda b: b <= lead)) + 1)
+    ranged = df.withColumn("__bounds", bounds).withColumn("__range", at).drop("__bounds")
+    first, before, touched = None, 0, []
+    for r in ranged.groupBy("__range").count().orderBy("__range").collect():
+        if before < offset + size and before + r["count"] > offset:
+            touched.append(r["__range"])
+            first = before if first is None else first
+        before += r["count"]
+    indexed = O.global_index(ranged.filter(F.col("__range").isin(touched)).drop("__range"), cols, "__idx")
+    skip = offset - (first or 0)
+    return indexed.filter((F.col("__idx") >= skip) & (F.col("__idx") < skip + size)).drop("__idx")
 
 
 def chunk_plan(df: DataFrame, pk: str, size: int = PAGE_SIZE) -> DataFrame:

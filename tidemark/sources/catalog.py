@@ -179,7 +179,9 @@ def target_check(candidates: DataFrame, existing: DataFrame, schema: str = "publ
     here = ex.filter(F.col("schema_name") == schema).select(F.col("table_name").alias("__t"))
     elsewhere = ex.filter(F.col("schema_name") != schema).groupBy(F.lower("table_name").alias("__l")).agg(F.min("schema_name").alias("other_schema"))
     c = candidates.select("candidate").distinct()
-    exact = c.join(here, (F.col("candidate") == F.col("__t")) | (F.lower(F.col("candidate")) == F.col("__t")), "left_semi").select("candidate", F.lit(True).alias("exists"))
+    # Each spelling is a row of its own, so the lookup is an equi-join.
+    spellings = c.select("candidate", F.explode(F.array_distinct(F.array("candidate", F.lower("candidate")))).alias("__t"))
+    exact = spellings.join(here, "__t", "left_semi").select("candidate").distinct().withColumn("exists", F.lit(True))
     out = c.join(exact, "candidate", "left").join(elsewhere, F.lower(F.col("candidate")) == F.col("__l"), "left")
     return out.select(
         "candidate",
