@@ -114,6 +114,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 1000) -> dict:
     if len(set(y.tolist())) < 2:
         return {"w": np.zeros(DIM, np.float32), "b": 0.0, "calibration": (0.0, 10.0)}
     x = Sparse([r.values.to_numpy() for r in rows["idx"]], [r.values.to_numpy() for r in rows["val"]], DIM)
+    del rows
     # The order in which rows arrive must not matter: split by content.
     fold = np.array([int(i.sum()) % 5 for i in np.split(x.idx, x.ptr[1:-1])]) == 0
     if len(set(y[fold].tolist())) < 2 or len(set(y[~fold].tolist())) < 2:

@@ -35,14 +35,15 @@ def sigmoid(x):
 
 
 class Sparse:
-    """Rows of a sparse matrix: column indices and values with row pointers."""
+    """Rows of a sparse matrix: column indices and values with row pointers,
+    twelve bytes an entry."""
 
     def __init__(self, indices, values, dim: int):
         self.ptr = np.concatenate([[0], np.cumsum([len(i) for i in indices])]).astype(np.int64)
-        self.idx = np.concatenate([np.asarray(i, np.int64) for i in indices]) if len(indices) else np.zeros(0, np.int64)
-        self.val = np.concatenate([np.asarray(v, np.float64) for v in values]) if len(values) else np.zeros(0)
+        self.idx = np.concatenate([np.asarray(i, np.int32) for i in indices]) if len(indices) else np.zeros(0, np.int32)
+        self.val = np.concatenate([np.asarray(v, np.float32) for v in values]) if len(values) else np.zeros(0, np.float32)
         self.dim, self.n = dim, len(self.ptr) - 1
-        self.row = np.repeat(np.arange(self.n), np.diff(self.ptr))
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.ptr))
 
     def dot(self, w):
         return np.bincount(self.row, self.val * w[self.idx], self.n)
@@ -55,7 +56,7 @@ class Sparse:
         at = np.flatnonzero(mask)
         keep = mask[self.row]
         out.idx, out.val, out.dim, out.n = self.idx[keep], self.val[keep], self.dim, len(at)
-        out.row = np.searchsorted(at, self.row[keep])
+        out.row = np.searchsorted(at, self.row[keep]).astype(np.int32)
         out.ptr = np.searchsorted(out.row, np.arange(out.n + 1))
         return out
 
