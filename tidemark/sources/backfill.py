@@ -19,7 +19,7 @@ from tidemark.functions import filters as FL
 from tidemark.operators import ordering as O
 
 PAGE_SIZE = 10_000
-PAGE_RANGES = 256
+PAGE_RANGES = 32
 MAX_RESUME_ATTEMPTS = 3
 STATUSES = ["PENDING", "EXECUTING", "COMPLETED", "FAILED", "CANCELLED"]
 
