@@ -251,6 +251,42 @@ def test_decontaminate_substitutions_and_short_items(spark):
     assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == [2, 3]
 
 
+def brute_overlap(equal, need, percent):
+    """Every segment tried: (begin, end, matches) of the best that meets the bound."""
+    best = None
+    for b in range(len(equal)):
+        for e in range(b + 1, len(equal) + 1):
+            m = sum(equal[b:e])
+            if m >= need and 100 * m >= percent * (e - b):
+                best = max(best or (), (3 * m - 2 * (e - b), -e, b, m))
+    return best and (best[2], -best[1], best[3])
+
+
+def test_decontaminate_any_segment_that_meets_the_bound():
+    rng = np.random.RandomState(8)
+    lost = 0
+    for _ in range(3000):
+        equal = rng.rand(rng.randint(1, 30)) < rng.choice([0.6, 0.75, 0.85])
+        need, percent = int(rng.choice([1, 4, 7, 10])), int(rng.choice([50, 70, 80, 100]))
+        want = brute_overlap(equal.tolist(), need, percent)
+        assert decontaminate.overlap(equal, need, percent) == want
+        begin, end, matched = decontaminate.best_segment(equal)
+        lost += want is not None and not (matched >= need and 100 * matched >= percent * (end - begin))
+    assert lost > 20  # cases in which the highest-scoring segment alone fails
+
+
+def test_decontaminate_substitutions_that_cut_the_best_segment(spark):
+    item = [f"t{i}" for i in range(15)]
+    changed = [f"x{i}" if i in (2, 9, 12) else w for i, w in enumerate(item)]  # 12 of 15 = 80 %
+    assert decontaminate.best_segment(np.array([a == b for a, b in zip(item, changed)]))[2] < 10
+    docs = spark.createDataFrame([(1, " ".join(["before"] + changed + ["after"])), (2, "before after")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = [tuple(r)[1:6] for r in decontaminate.matches(docs, bench).collect()]
+    want = brute_overlap([a == b for a, b in zip(item, changed)], 10, 80)
+    assert got == [(1, 1, 1 + want[0], want[1] - want[0], want[2])]
+    assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [2]
+
+
 def test_decontaminate_odd(spark, odd, none):
     bench = spark.createDataFrame([(1, "one two three four five six"), (2, "")], "item_id long, text string")
     kept = decontaminate.clean(odd, bench)

@@ -4,12 +4,14 @@ A fixed mask over a window of tokens keeps some positions and ignores the
 others, so a window still matches when an ignored token was substituted.  Every
 window of every document and every benchmark item is hashed under each mask;
 Spark joins the two, and around each hit the document is compared with the item
-token by token along the hit's diagonal: the segment with the highest score
-(+1 a match, -2 a substitution) is the overlap.
+token by token along the hit's diagonal.
 
-A document is contaminated by an item when the segment has at least
-``min_match`` matching tokens (for shorter items: ``percent`` of the item) that
-make up ``percent`` of the segment.
+A document is contaminated by an item when any segment of the diagonal has at
+least ``min_match`` matching tokens (for shorter items: ``percent`` of the item)
+that make up ``percent`` of the segment.  Of those segments the one with the
+highest score (+1 a match, -2 a substitution) is the overlap.  The SQL twin tests
+only the highest-scoring segment of a diagonal: it gives the same overlap where
+that one meets the bound, and none where only another one does.
 
 Documents' hashes pass a fixed-size bitmap of the benchmark's before the join,
 and hits of one document that lie near each other travel as one region with the
@@ -144,6 +146,27 @@ def best_segment(equal: np.ndarray) -> tuple[int, int, int]:
     return begin, end, int(equal[begin:end].sum())
 
 
+def overlap(equal: np.ndarray, need: int, percent: int) -> tuple[int, int, int] | None:
+    """(begin, end, matches) of the segment with the highest score among all that
+    have ``need`` matches and are ``percent`` matches; ties as in best_segment."""
+    begin, end, matched = best_segment(equal)
+    if matched >= need and 100 * matched >= percent * (end - begin):
+        return begin, end, matched
+    count = np.concatenate([[0], np.cumsum(equal)])
+    above = np.concatenate([[0], np.cumsum(np.where(equal, 100 - percent, -percent))])
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
+    first = np.searchsorted(count, count[:-1] + need)  # the first end with enough matches
+    begins = np.flatnonzero(first < len(count))
+    highest = np.maximum.accumulate(above[::-1])[::-1]
+    begins = begins[highest[first[begins]] >= above[begins]]
+    best = None
+    for b in begins.tolist():
+        ends = first[b] + np.flatnonzero(above[first[b] :] >= above[b])
+        e = int(ends[np.argmax(score[ends])])
+        best = max(best or (), (int(score[e] - score[b]), -e, b))
+    return best and (best[2], -best[1], int(count[-best[1]] - count[best[2]]))
+
+
 def _map_verify(min_match, percent):
     def run(batches):
         for batch in batches:
@@ -154,9 +177,10 @@ def _map_verify(min_match, percent):
                 words, item = batch.column(5)[i].values.to_numpy(), batch.column(6)[i].values.to_numpy()
                 move = shift[i] - first[i]  # item position j stands at words[j + move]
                 lo, hi = max(0, -move), min(len(item), len(words) - move)
-                begin, end, matched = best_segment(item[lo:hi] == words[lo + move : hi + move])
                 need = min(min_match, -(-len(item) * percent // 100))
-                if matched >= need and 100 * matched >= percent * (end - begin):
+                best = overlap(item[lo:hi] == words[lo + move : hi + move], need, percent)
+                if best:
+                    begin, end, matched = best
                     start = lo + begin + shift[i]
                     found.append((key[i], doc_id[i], item_id[i], start, end - begin, matched, matched / len(item)))
             names = ["key", "doc_id", "item_id", "doc_start", "n_tokens", "n_matched", "coverage"]
