@@ -1,6 +1,7 @@
 """The operators against brute-force versions, and on odd input."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -287,6 +288,38 @@ def test_decontaminate_substitutions_that_cut_the_best_segment(spark):
     assert [r.doc_id for r in decontaminate.clean(docs, bench).collect()] == [2]
 
 
+def test_decontaminate_short_masks_cover_what_the_bound_allows():
+    for n in range(1, decontaminate.SHORT_ITEM + 1):
+        for min_match, percent in ((10, 80), (10, 60), (4, 80), (20, 100)):
+            need = decontaminate.needed(n, min_match, percent)
+            masks = [{at + j for j in kept} for at, kept in decontaminate.short_masks(n, min_match, percent)]
+            for gone in itertools.combinations(range(n), n - need):
+                assert any(not m & set(gone) for m in masks)
+
+
+def test_decontaminate_short_items_with_substitutions(spark):
+    rng = random.Random(9)
+    docs, bench, want = [], [], {}
+    for n in range(1, decontaminate.SHORT_ITEM + 1):
+        item = [f"i{n}x{j}" for j in range(n)]
+        bench.append((n, " ".join(item)))
+        need = min(10, -(-n * 80 // 100))
+        gones = [g for k in range(min(3, n - need + 2)) for g in itertools.combinations(range(n), k)]
+        for gone in rng.sample(gones, min(len(gones), 25)):
+            changed = ["other" if j in gone else w for j, w in enumerate(item)]
+            for cut in (0, 1):  # 1: the document begins inside the item
+                doc = changed[cut:] + ["after"] if cut else ["before"] + changed + ["after"]
+                best = brute_overlap([a == b for a, b in zip(item, changed)][cut:], need, 80)
+                if best:
+                    want[len(docs), n] = (best[0] + (0 if cut else 1), best[1] - best[0], best[2])
+                docs.append((len(docs), " ".join(doc)))
+    docs.append((len(docs), "i1x0 and i1x0 again i1x0"))
+    want[len(docs) - 1, 1] = (0, 1, 1)
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.matches(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.doc_start, r.n_tokens, r.n_matched) for r in got} == want
+
+
 def test_decontaminate_odd(spark, odd, none):
     bench = spark.createDataFrame([(1, "one two three four five six"), (2, "")], "item_id long, text string")
     kept = decontaminate.clean(odd, bench)

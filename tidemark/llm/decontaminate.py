@@ -19,14 +19,22 @@ token hashes around them, so texts are never shuffled and nothing grows with
 the benchmark but the join itself.
 
 Tokens are runs of digits, letters (lower-cased) and other non-ASCII characters.
-Items of fewer than 5 tokens are not searched for (any text holds them); items
-shorter than the shortest mask are sought by a gapless seed of their length.
+Items of up to 14 tokens have masks of their own, enough for every set of missing
+tokens that the bound allows, so none of their overlaps is lost (items of up to 4
+tokens are sought exactly at 80 %: a benchmark with the item "yes" contaminates
+every document that holds the word).  For longer items the masks are a heuristic:
+of 15-token items with a permitted set of missing tokens about 3 % have no seed.
+Documents are hashed under short masks only where the benchmark has such lengths.
+The SQL twin seeks items of 8 to 14 tokens by the fixed masks, 5 to 7 gapless and
+shorter ones not at all.
 Null or empty texts have no tokens.  Repeated rows count once.  An empty
 benchmark contaminates nothing.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,13 +48,37 @@ from tidemark.sources.tables import read_table
 
 # Fixed masks: weight 6 over 8, 10 and 12 tokens.
 MASKS = ("11101101", "1100101011", "101100010011")
-SHORTEST_ITEM = 5
+SHORT_ITEM = 14
+
+
+def needed(n: int, min_match: int, percent: int) -> int:
+    """Matching tokens that an overlap with an item of n tokens must have."""
+    return max(1, min(min_match, -(-n * percent // 100)))
+
+
+def short_masks(n: int, min_match: int, percent: int) -> list[tuple[int, tuple[int, ...]]]:
+    """(first position, kept positions from there) of masks over an item of n
+    tokens: whichever n - needed tokens are missing, some mask keeps none of them.
+    The tokens are cut into groups, and each mask leaves out as many groups as
+    tokens may be missing."""
+    missing = n - needed(n, min_match, percent)
+    parts = n if missing <= 1 else min(n, missing + 3)
+    cuts = [n * i // parts for i in range(parts + 1)]
+    out = []
+    for kept in combinations(range(parts), parts - missing):
+        at = [j for g in kept for j in range(cuts[g], cuts[g + 1])]
+        out.append((at[0], tuple(j - at[0] for j in at)))
+    return out
 
 
-def all_masks(short_lengths=()) -> list[list[int]]:
-    """Kept positions of each mask; gapless ones for the given short lengths."""
-    masks = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
-    return masks + [list(range(n)) for n in sorted(short_lengths)]
+def all_masks(short_lengths=(), min_match: int = 10, percent: int = 80):
+    """(masks, uses): the kept positions of each mask, and for each short item
+    length the (mask number, position in the item) of its seeds."""
+    numbers = {tuple(i for i, c in enumerate(m) if c == "1"): k for k, m in enumerate(MASKS)}
+    uses = {}
+    for n in sorted(short_lengths):
+        uses[n] = [(numbers.setdefault(m, len(numbers)), at) for at, m in short_masks(n, min_match, percent)]
+    return [list(m) for m in numbers], uses
 
 
 def _tokens(column):
@@ -64,30 +96,32 @@ def _seeds(h, ptr, mask, number):
     return mix(rolling(h, span, mask)[ok] ^ SLOT[32 + number % 16]), ok
 
 
-def _map_items(masks):
+def _item_seeds(h, masks, uses):
+    """(hashes, positions) of one item's seeds."""
+    ptr = np.array([0, len(h)])
+    found = [(np.zeros(0, U64), np.zeros(0, np.int64))]
+    if len(h) > SHORT_ITEM:
+        found += [_seeds(h, ptr, mask, number) for number, mask in enumerate(masks[: len(MASKS)])]
+    for number, start in uses.get(len(h), ()):
+        key, at = _seeds(h, ptr, masks[number], number)
+        found.append((key[at == start], at[at == start]))
+    return np.concatenate([k for k, _ in found]), np.concatenate([p for _, p in found])
+
+
+def _map_items(masks, uses):
     """A row per item: its token hashes and its seeds."""
 
     def run(batches):
         for part in blocks(batches):
             h, ptr = _tokens(part.column(1))
-            owner = owners(ptr)
-            seeds: list = [[] for _ in range(part.num_rows)]
-            for number, mask in enumerate(masks):
-                key, at = _seeds(h, ptr, mask, number)
-                if mask == list(range(len(mask))):  # only for items of that length
-                    exact = np.diff(ptr)[owner[at]] == len(mask)
-                    key, at = key[exact], at[exact]
-                who = owner[at]
-                for i in np.unique(who):
-                    mine = who == i
-                    seeds[i].append((key[mine], at[mine] - ptr[i]))
-            none = [(np.zeros(0, U64), np.zeros(0, np.int64))]
+            items = [h[a:b] for a, b in zip(ptr, ptr[1:])]
+            seeds = [_item_seeds(item, masks, uses) for item in items]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).cast(pa.int64()),
-                    pa.array([h[a:b].view(np.int64) for a, b in zip(ptr, ptr[1:])], pa.list_(pa.int64())),
-                    pa.array([np.concatenate([k for k, _ in s or none]).view(np.int64) for s in seeds], pa.list_(pa.int64())),
-                    pa.array([np.concatenate([p for _, p in s or none]).astype(np.int32) for s in seeds], pa.list_(pa.int32())),
+                    pa.array([item.view(np.int64) for item in items], pa.list_(pa.int64())),
+                    pa.array([k.view(np.int64) for k, _ in seeds], pa.list_(pa.int64())),
+                    pa.array([p.astype(np.int32) for _, p in seeds], pa.list_(pa.int32())),
                 ],
                 ["item_id", "item", "seed", "at"],
             )
@@ -177,7 +211,7 @@ def _map_verify(min_match, percent):
                 words, item = batch.column(5)[i].values.to_numpy(), batch.column(6)[i].values.to_numpy()
                 move = shift[i] - first[i]  # item position j stands at words[j + move]
                 lo, hi = max(0, -move), min(len(item), len(words) - move)
-                need = min(min_match, -(-len(item) * percent // 100))
+                need = needed(len(item), min_match, percent)
                 best = overlap(item[lo:hi] == words[lo + move : hi + move], need, percent)
                 if best:
                     begin, end, matched = best
@@ -202,17 +236,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 10, percent:
     spark = docs.sparkSession
     small_batches(spark)
     texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    lengths = texts.mapInArrow(_map_items([]), "item_id long, item array<long>, seed array<long>, at array<int>")
+    lengths = texts.mapInArrow(_map_items([], {}), "item_id long, item array<long>, seed array<long>, at array<int>")
     sizes = lengths.select(F.size("item").alias("n"))
     context = sizes.agg(F.max("n")).first()[0] or 0
-    shortest = min(len(m) for m in MASKS)
-    short = [r[0] for r in sizes.where(F.col("n").between(SHORTEST_ITEM, shortest - 1)).distinct().collect()]
-    masks = all_masks(short)
-
-    items = texts.mapInArrow(_map_items(masks), "item_id long, item array<long>, seed array<long>, at array<int>")
-    items = _written(items.where(F.size("item") >= SHORTEST_ITEM), "decontaminate-items")
-    seeds = items.select("item_id", F.explode(F.arrays_zip("seed", "at")).alias("s"))
-    seeds = seeds.select(F.col("s.seed").alias("seed"), "item_id", F.col("s.at").alias("item_at"))
+    short = [r[0] for r in sizes.where(F.col("n").between(1, SHORT_ITEM)).distinct().collect()]
+    masks, uses = all_masks(short, min_match, percent)
+    # Of these only whole items are matches: of their hits in a region the first is the best.
+    exact = [n for n in short if needed(n, min_match, percent) == n]
+
+    items = texts.mapInArrow(_map_items(masks, uses), "item_id long, item array<long>, seed array<long>, at array<int>")
+    items = _written(items.where(F.size("item") > 0), "decontaminate-items")
+    seeds = items.select(
+        "item_id", F.size("item").isin(exact).alias("exact"), F.explode(F.arrays_zip("seed", "at")).alias("s")
+    )
+    seeds = seeds.select(F.col("s.seed").alias("seed"), "item_id", "exact", F.col("s.at").alias("item_at"))
     known_bc = spark.sparkContext.broadcast(bitmap.build(seeds, "seed"))
 
     keyed = docs.select(
@@ -227,8 +264,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 10, percent:
     diagonals = (
         hits.select("region", F.col("s.seed").alias("seed"), F.col("s.at").alias("doc_at"))
         .join(seeds, "seed")
-        .select("region", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift"))
-        .distinct()
+        .select("region", "item_id", "exact", (F.col("doc_at") - F.col("item_at")).alias("shift"))
+        .groupBy("region", "item_id", F.when(~F.col("exact"), F.col("shift")).alias("apart"))
+        .agg(F.min("shift").alias("shift"))
+        .select("region", "item_id", "shift")
     )
     pairs = (
         diagonals.join(regions.select("region", "key", "doc_id", "first", "words"), "region")
