@@ -183,6 +183,12 @@ def test_jaccard_links_of_thin_columns_are_all_listed(spark):
     assert got == want
 
 
+def test_jaccard_returns_no_count_of_links(spark):
+    """Wide columns list only the links that connect, so a count would be too small."""
+    docs = spark.createDataFrame(near_copies(7, 40), "doc_id long, text string")
+    assert jaccard.near_duplicates(docs).columns == ["doc_id", "n_shingles", "component_id", "class_id", "key", "root"]
+
+
 def test_jaccard_odd(spark, odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = jaccard.near_duplicates(odd).select("doc_id", "n_shingles", "component_id").collect()

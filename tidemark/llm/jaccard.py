@@ -404,21 +404,17 @@ def _bounded(pairs: DataFrame, product: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
     doc_id reachable by links, itself included), class_id (the smallest doc_id
-    with the same set), n_links (listed links of its class); also key (of doc_id
-    and text) and root (a name of the component that is never null, but for
-    empty sets)."""
+    with the same set); also key (of doc_id and text) and root (a name of the
+    component that is never null, but for empty sets).  Links are not counted:
+    inside wide columns link_classes lists only those that connect."""
     sets, links = link_classes(docs, **options)
     roots = components(links)
-    both = links.select("u").union(links.select(F.col("v").alias("u")))
-    degree = both.groupBy("u").agg(F.count("*").alias("n_links"))
     classes = (
         sets.where("n_shingles > 0")
         .groupBy("node")
         .agg(F.min("doc_id").alias("class_id"))
         .join(roots, "node", "left")
-        .join(degree.withColumnRenamed("u", "node"), "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
-        .withColumn("n_links", F.coalesce("n_links", F.lit(0)).cast("long"))
     )
     classes = _written(classes, "jaccard-classes")
     named = classes.join(classes.groupBy("root").agg(F.min("class_id").alias("component_id")), "root")
@@ -427,7 +423,6 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "key",
         "root",
     )
