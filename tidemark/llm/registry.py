@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from tidemark.llm import (
     decontaminate,
+    hard_negatives,
     jaccard,
     language,
+    lexical,
     licenses,
     mixing,
     quality,
     revisits,
     secrets,
+    simhash,
     token_files,
     toxicity,
 )
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_secret_scan": secrets.query,
     "op9_toxicity": toxicity.query,
     "op10_token_files": token_files.query,
+    "op11_lexical_search": lexical.query,
+    "op12_simhash": simhash.query,
+    "op13_hard_negatives": hard_negatives.query,
 }
 
 ORACLE = {
@@ -34,4 +40,6 @@ ORACLE = {
     "op4_mix_sources": mixing.SQL,
     "op5_decontaminate": decontaminate.SQL,
     "op6_revisits": revisits.SQL,
+    "op11_lexical_search": lexical.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
