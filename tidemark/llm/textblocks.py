@@ -24,21 +24,38 @@ def _random_u64(n: int) -> np.ndarray:
     return _RNG.randint(0, 1 << 32, n, dtype=np.uint64) << U64(32) | _RNG.randint(0, 1 << 32, n, dtype=np.uint64)
 
 
-_BYTE = _random_u64(256)
-_BASE = 0x9E3779B97F4A7C15 | 5
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 SLOT = _random_u64(64) | U64(1)  # odd multipliers for positions inside a window
-_POWERS: dict = {"n": 0}
-
-
-def _powers(n: int):
-    if _POWERS["n"] < n:
-        for key, base in (("up", _BASE), ("down", _BASE_INV)):
-            p = np.full(n, base, U64)
-            p[0] = 1
-            _POWERS[key] = np.cumprod(p)
-        _POWERS["n"] = n
-    return _POWERS["up"], _POWERS["down"]
+SLOT.setflags(write=False)
+
+# A span hash is the pair of its bytes' polynomials at two points modulo a prime:
+# different spans of n bytes agree at both for at most (n / PRIME)^2 of all pairs of
+# points.  (Modulo a power of two, some short texts collide at every point.)
+PRIME = (1 << 31) - 1
+POINTS = (1_556_430_253, 987_654_353)
+_SUM_BYTES = 1 << 23  # sums of so many products of a byte and a power stay under 2^64
+_KEPT_POWERS = 1 << 20
+_POWERS: dict = {}
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A number under 2^31 + 4 that equals x modulo PRIME."""
+    for _ in range(2):
+        high = x >> U64(31)
+        x = x & U64(PRIME)
+        x += high
+    return x
+
+
+def _powers(point: int, n: int) -> np.ndarray:
+    """point^0 ... point^(n-1) modulo PRIME; only short tables are kept."""
+    held = _POWERS.get(point)
+    if held is None or len(held) < n:
+        held = np.ones(1, U64)
+        while len(held) < n:
+            held = np.concatenate([held, _fold(held * U64(pow(point, len(held), PRIME)))])
+        if len(held) <= _KEPT_POWERS:
+            _POWERS[point] = held
+    return held[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -126,12 +143,23 @@ class Block:
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A 64-bit hash of each byte span; equal spans hash alike everywhere."""
-        up, down = _powers(len(self.data) + 1)
+        n = len(self.data) + 1
         if self._prefix is None:
-            self._prefix = np.zeros(len(self.data) + 1, U64)
-            np.cumsum(_BYTE[self.data] * up[: len(self.data)], out=self._prefix[1:])
-        h = (self._prefix[ends] - self._prefix[starts]) * down[starts]
-        return mix(h + (ends - starts).astype(U64) * SLOT[63])
+            value = self.data.astype(U64) + U64(1)
+            self._prefix = []
+            for point in POINTS:
+                terms = value * _powers(point, n)[:-1]
+                if n > _SUM_BYTES:
+                    terms = _fold(terms)
+                sums = np.zeros(n, U64)
+                np.cumsum(terms, out=sums[1:])
+                self._prefix.append(sums)
+        h = (ends - starts).astype(U64) * SLOT[63]
+        for shift, point, sums in zip((31, 0), POINTS, self._prefix, strict=True):
+            value = _fold(_fold(sums[ends] - sums[starts]) * _powers(pow(point, -1, PRIME), n)[starts])
+            value -= U64(PRIME) * (value >= U64(PRIME))
+            h += value << U64(shift)
+        return mix(h)
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """Sum of a per-byte array over each text."""

@@ -24,7 +24,7 @@ punctuation other than apostrophes.  This kind of tokenizer never joins over
 these places and lower-cases, so each distinct lower-cased piece is encoded once
 by the tokenizers library while a bounded table holds it, and a text's ids are
 its pieces' ids in order.  A tokenizer that joins there, and texts that hold its
-special tokens, are encoded whole.
+special tokens or a piece that shares its hash with another, are encoded whole.
 
 Odd input: a null or empty text has only the end id; repeated rows are written
 each; a null doc_id sorts first; an empty table gives an empty dataset.
@@ -134,12 +134,37 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return np.concatenate(out)[first - lo * BLOCK : last - lo * BLOCK]
 
 
+class Lists:
+    """Arrays of numbers kept one behind the other in one that grows."""
+
+    def __init__(self, kind):
+        self.flat, self.ptr = np.zeros(1 << 16, kind), np.zeros(1, np.int64)
+
+    def add(self, arrays: list) -> None:
+        sizes = np.cumsum([len(x) for x in arrays])
+        used, more = self.ptr[-1], np.concatenate(arrays)
+        if used + len(more) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:used], np.zeros(2 * (used + len(more)), self.flat.dtype)])
+        self.flat[used : used + len(more)] = more
+        self.ptr = np.concatenate([self.ptr, used + sizes])
+
+    def sizes(self, which: np.ndarray) -> np.ndarray:
+        return self.ptr[which + 1] - self.ptr[which]
+
+    def take(self, which: np.ndarray) -> np.ndarray:
+        """The arrays of these numbers, one behind the other."""
+        sizes = self.sizes(which)
+        upto = np.cumsum(sizes) - sizes
+        return self.flat[np.repeat(self.ptr[which] - upto, sizes) + np.arange(sizes.sum())]
+
+
 class Pieces:
     """Ids of the pieces met so far, looked up by a 64-bit hash.
 
-    Sorted hashes with the place of each piece's ids in one array: a large table,
-    and a small one of recent pieces that is merged into it now and then.  A full
-    table is forgotten, so memory is bounded.
+    Sorted hashes with the number of each piece, whose ids and bytes are kept by
+    number: a large table, and a small one of recent pieces that is merged into it
+    now and then.  A full table is forgotten, so memory is bounded.  A hit counts
+    only if the bytes are the same.
     """
 
     def __init__(self, tokenizer, size: int = CACHE_PIECES):
@@ -152,9 +177,8 @@ class Pieces:
         self.forget()
 
     def forget(self):
-        none = np.zeros(0, np.int64)
-        self.tables = [(np.zeros(0, U64), none, none), (np.zeros(0, U64), none, none)]
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.tables = [(np.zeros(0, U64), np.zeros(0, np.int64))] * 2
+        self.ids, self.bytes = Lists(np.uint32), Lists(np.uint8)
 
     def whole(self, texts: list) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -173,27 +197,22 @@ class Pieces:
             out += [x[1:] if i else x for i, x in enumerate(np.split(ids, at))]
         return out
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, number of ids) of each hash; place -1 if it isn't known."""
-        place, count = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        for known, places, counts in self.tables:
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of the piece with each hash; -1 if it isn't known."""
+        number = np.full(len(keys), -1, np.int64)
+        for known, numbers in self.tables:
             if len(known):
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 hit = known[at] == keys
-                place[hit], count[hit] = places[at[hit]], counts[at[hit]]
-        return place, count
+                number[hit] = numbers[at[hit]]
+        return number
 
     def learn(self, keys: np.ndarray, pieces: list) -> None:
-        found = self.encoded(pieces)
-        counts = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate(found)
-        places = self.used + np.cumsum(counts) - counts
-        if self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.zeros(2 * (self.used + len(flat)), np.uint32)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.used += len(flat)
+        number = len(self.ids.ptr) - 1 + np.arange(len(pieces))
+        self.ids.add(self.encoded([p.decode() for p in pieces]))
+        self.bytes.add([np.frombuffer(p, np.uint8) for p in pieces])
         main, recent = self.tables
-        recent = self.merged(recent, (keys, places, counts))
+        recent = self.merged(recent, (keys, number))
         if len(recent[0]) > 1 << 16:
             main, recent = self.merged(main, recent), tuple(x[:0] for x in recent)
         self.tables = [main, recent]
@@ -204,8 +223,9 @@ class Pieces:
         order = np.argsort(both[0], kind="stable")
         return tuple(x[order] for x in both)
 
-    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts of a block of lower-cased ASCII, ids of each text)."""
+    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray] | None:
+        """(ids of all texts of a block of lower-cased ASCII, ids of each text);
+        None if two pieces with the same hash differ."""
         kind = KIND[block.data]
         size = len(kind)
         edge = np.zeros(size + 1, bool)
@@ -216,19 +236,22 @@ class Pieces:
         starts = np.flatnonzero((kind > 0) & parted[:-1])
         ends = np.flatnonzero((kind > 0) & parted[1:]) + 1
         keys, first, which = np.unique(block.hashes(starts, ends), return_index=True, return_inverse=True)
-        place, count = self.find(keys)
-        if len(keys) and sum(len(t[0]) for t in self.tables) + (place < 0).sum() > self.size:
+        number = self.find(keys)
+        if len(keys) and sum(len(t[0]) for t in self.tables) + (number < 0).sum() > self.size:
             self.forget()
-            place[:] = -1
-        new = np.flatnonzero(place < 0)
+            number[:] = -1
+        new = np.flatnonzero(number < 0)
         if len(new):
             raw = block.data.tobytes()
-            self.learn(keys[new], [raw[starts[i] : ends[i]].decode() for i in first[new]])
-            place, count = self.find(keys)
-        sizes = count[which]
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.ids[np.repeat(place[which] - upto[:-1], sizes) + np.arange(upto[-1])]
-        return ids, np.diff(upto[np.searchsorted(starts, block.offsets)])
+            self.learn(keys[new], [raw[starts[i] : ends[i]] for i in first[new]])
+            number = self.find(keys)
+        number = number[which]
+        if not np.array_equal(self.bytes.sizes(number), ends - starts):
+            return None
+        if not np.array_equal(self.bytes.take(number), block.data[kind > 0]):
+            return None
+        upto = np.concatenate([[0], np.cumsum(self.ids.sizes(number))])
+        return self.ids.take(number), np.diff(upto[np.searchsorted(starts, block.offsets)])
 
 
 def _pieces(path: str) -> Pieces:
@@ -245,9 +268,12 @@ def encode_texts(column, path: str) -> list[np.ndarray]:
     pieces = _pieces(path)
     block = Block(column, lower=True)
     texts = block.data.tobytes()
-    if not pieces.cuts or any(s.lower().encode() in texts for s in pieces.special):
+    found = None
+    if pieces.cuts and not any(s.lower().encode() in texts for s in pieces.special):
+        found = pieces.encode(block)
+    if found is None:
         return pieces.whole([t or "" for t in column.to_pylist()])
-    ids, sizes = pieces.encode(block)
+    ids, sizes = found
     return np.split(ids, np.cumsum(sizes)[:-1])
 
 
