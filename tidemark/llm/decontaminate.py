@@ -9,26 +9,36 @@ token by token along the hit's diagonal.
 A document is contaminated by an item when any segment of the diagonal has at
 least ``min_match`` matching tokens (for shorter items: ``percent`` of the item)
 that make up ``percent`` of the segment.  Of those segments the one with the
-highest score (+1 a match, -2 a substitution) is the overlap.  The SQL twin tests
-only the highest-scoring segment of a diagonal: it gives the same overlap where
-that one meets the bound, and none where only another one does.
+highest score (+1 a match, -2 a substitution) is the overlap.
 
 Documents' hashes pass a fixed-size bitmap of the benchmark's before the join,
 and hits of one document that lie near each other travel as one region with the
 token hashes around them, so texts are never shuffled and nothing grows with
-the benchmark but the join itself.
+the benchmark but the join itself.  The seeds of items of about one length (within
+a factor of four) have a bitmap of their own, and a hit brings as many tokens as
+the longest items among those that may hold it; one long item does not widen the
+regions of others.  The joins by seed, region and item are plain equi-joins of
+written tables, whose hot keys are split at run time.
 
 Tokens are runs of digits, letters (lower-cased) and other non-ASCII characters.
 Items of up to 14 tokens have masks of their own, enough for every set of missing
 tokens that the bound allows, so none of their overlaps is lost (items of up to 4
 tokens are sought exactly at 80 %: a benchmark with the item "yes" contaminates
-every document that holds the word).  For longer items the masks are a heuristic:
-of 15-token items with a permitted set of missing tokens about 3 % have no seed.
+every document that holds the word; ``clean`` leaves items under ``min_item``
+tokens out).  For longer items the masks are a heuristic: of the sets of missing
+tokens that the bound allows in a segment whose ends match, this share has a seed:
+
+    tokens in the segment   12     13     14     15     16     17     18     19
+    share found             0.929  0.985  1.000  0.976  0.994  0.998  1.000  1.000
+
 Documents are hashed under short masks only where the benchmark has such lengths.
-The SQL twin seeks items of 8 to 14 tokens by the fixed masks, 5 to 7 gapless and
-shorter ones not at all.
-Null or empty texts have no tokens.  Repeated rows count once.  An empty
-benchmark contaminates nothing.
+
+Null or empty texts have no tokens; an empty table gives no rows.  Repeated rows
+count once; an item id with two texts has the better overlap of each.  Ties: of
+equally scored segments the one that ends first, then the shorter; of diagonals the
+one with most matches, then the shorter segment, then the earlier.  A very long text
+is a block of its own; what leaves the task is only what lies around hits.  Other
+columns than doc_id and text, item_id and text are not read (``clean`` hands all on).
 """
 
 from __future__ import annotations
@@ -129,11 +139,15 @@ def _map_items(masks, uses):
     return run
 
 
-def _map_regions(masks, context, known_bc):
-    """A row per run of hits that lie within ``context`` tokens of each other."""
+REACHES = [16 << 2 * i for i in range(13)]  # longest item of each class of lengths
+
+
+def _map_regions(masks, known_bc):
+    """A row per run of hits whose surroundings meet."""
 
     def run(batches):
-        known = known_bc.value
+        classes = known_bc.value
+        known = np.bitwise_or.reduce([words for _, words in classes])
         for part in blocks(batches):
             h, ptr = _tokens(part.column(2))
             keys, places = [], []
@@ -148,19 +162,22 @@ def _map_regions(masks, context, known_bc):
             order = np.argsort(at, kind="stable")
             key, at = key[order], at[order]
             owner = owners(ptr)[at]
+            reach = np.zeros(len(at), np.int64)
+            for size, words in classes:
+                reach = np.where(bitmap.probe(words, key), np.maximum(reach, size), reach)
+            lo, hi = np.maximum(at - reach, ptr[owner]), np.minimum(at + reach, ptr[owner + 1])
             new = np.ones(len(at), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (at[1:] - at[:-1] > context)
+            new[1:] = (owner[1:] != owner[:-1]) | (lo[1:] > np.maximum.accumulate(hi)[:-1])
             begin = np.flatnonzero(new)
             finish = np.append(begin[1:], len(at))
             ids, rows = part.column(0).cast(pa.int64()).to_pylist(), part.column(1).to_pylist()
             out: dict[str, list] = {k: [] for k in ("key", "doc_id", "first", "words", "seed", "at")}
-            for a, b in zip(begin, finish):
+            for a, b, first, end in zip(begin, finish, np.minimum.reduceat(lo, begin), np.maximum.reduceat(hi, begin)):
                 i = owner[a]
-                lo, hi = max(ptr[i], at[a] - context), min(ptr[i + 1], at[b - 1] + context)
                 out["key"].append(rows[i])
                 out["doc_id"].append(ids[i])
-                out["first"].append(int(lo - ptr[i]))
-                out["words"].append(h[lo:hi].view(np.int64))
+                out["first"].append(int(first - ptr[i]))
+                out["words"].append(h[first:end].view(np.int64))
                 out["seed"].append(key[a:b].view(np.int64))
                 out["at"].append((at[a:b] - ptr[i]).astype(np.int32))
             longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
@@ -188,16 +205,26 @@ def overlap(equal: np.ndarray, need: int, percent: int) -> tuple[int, int, int]
         return begin, end, matched
     count = np.concatenate([[0], np.cumsum(equal)])
     above = np.concatenate([[0], np.cumsum(np.where(equal, 100 - percent, -percent))])
-    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-    first = np.searchsorted(count, count[:-1] + need)  # the first end with enough matches
-    begins = np.flatnonzero(first < len(count))
-    highest = np.maximum.accumulate(above[::-1])[::-1]
-    begins = begins[highest[first[begins]] >= above[begins]]
-    best = None
-    for b in begins.tolist():
-        ends = first[b] + np.flatnonzero(above[first[b] :] >= above[b])
-        e = int(ends[np.argmax(score[ends])])
-        best = max(best or (), (int(score[e] - score[b]), -e, b))
+    score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))]).tolist()
+    first = np.searchsorted(count, count[:-1] + need).tolist()  # the first end with enough matches
+    # Begins from the right; the ends so far are kept in a tree of greatest scores
+    # over the ranks of ``above``, the greatest first.
+    rank = (len(count) - np.searchsorted(np.sort(above), above)).tolist()
+    tree: list = [None] * (len(count) + 1)
+    best, e = None, len(count)
+    for b in range(len(equal) - 1, -1, -1):
+        while e > first[b]:
+            e -= 1
+            at, entry = rank[e], (score[e], -e)
+            while at <= len(count):
+                tree[at] = entry if tree[at] is None else max(tree[at], entry)
+                at += at & -at
+        at, found = rank[b], None
+        while at:  # ends that lie at least as high as the begin
+            found = tree[at] if found is None else max(found, tree[at] or found)
+            at -= at & -at
+        if found:
+            best = max(best or (), (found[0] - score[b], found[1], b))
     return best and (best[2], -best[1], int(count[-best[1]] - count[best[2]]))
 
 
@@ -230,40 +257,44 @@ def row_key():
     return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 10, percent: int = 80) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 10, percent: int = 80, min_item: int = 1) -> DataFrame:
     """key, doc_id, item_id, doc_start (token), n_tokens, n_matched, coverage of
-    the item: the best overlap of each contaminated (document, item)."""
+    the item: the best overlap of each contaminated (document, item).  Items under
+    ``min_item`` tokens are not sought."""
     spark = docs.sparkSession
     small_batches(spark)
     texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     lengths = texts.mapInArrow(_map_items([], {}), "item_id long, item array<long>, seed array<long>, at array<int>")
-    sizes = lengths.select(F.size("item").alias("n"))
-    context = sizes.agg(F.max("n")).first()[0] or 0
-    short = [r[0] for r in sizes.where(F.col("n").between(1, SHORT_ITEM)).distinct().collect()]
+    sizes = lengths.select(F.size("item").alias("n")).where(F.col("n") >= max(min_item, 1))
+    short = [r[0] for r in sizes.where(F.col("n") <= SHORT_ITEM).distinct().collect()]
     masks, uses = all_masks(short, min_match, percent)
     # Of these only whole items are matches: of their hits in a region the first is the best.
     exact = [n for n in short if needed(n, min_match, percent) == n]
 
     items = texts.mapInArrow(_map_items(masks, uses), "item_id long, item array<long>, seed array<long>, at array<int>")
-    items = _written(items.where(F.size("item") > 0), "decontaminate-items")
+    items = _written(items.where(F.size("item") >= max(min_item, 1)), "decontaminate-items")
+    reach = F.coalesce(*[F.when(F.size("item") <= n, n) for n in REACHES])
     seeds = items.select(
-        "item_id", F.size("item").isin(exact).alias("exact"), F.explode(F.arrays_zip("seed", "at")).alias("s")
+        "item_id", F.size("item").isin(exact).alias("exact"), reach.alias("reach"), F.explode(F.arrays_zip("seed", "at")).alias("s")
     )
-    seeds = seeds.select(F.col("s.seed").alias("seed"), "item_id", "exact", F.col("s.at").alias("item_at"))
-    known_bc = spark.sparkContext.broadcast(bitmap.build(seeds, "seed"))
+    seeds = _written(seeds.select(F.col("s.seed").alias("seed"), "item_id", "exact", "reach", F.col("s.at").alias("item_at")), "decontaminate-seeds")
+    # At most one bitmap for each class of lengths, each of fixed size.
+    classes = sorted(r[0] for r in seeds.select("reach").distinct().collect())
+    known = [(n, bitmap.build(seeds.where(F.col("reach") == n), "seed")) for n in classes]
+    known_bc = spark.sparkContext.broadcast(known or [(0, bitmap.build(seeds, "seed"))])
 
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), F.col("text").cast("string").alias("text")
     )
     regions = keyed.mapInArrow(
-        _map_regions(masks, context, known_bc),
+        _map_regions(masks, known_bc),
         "key long, doc_id long, first int, words array<long>, seed array<long>, at array<int>",
     )
     regions = _written(regions, "decontaminate-regions").withColumn("region", F.xxhash64("key", "first", "words"))
     hits = regions.select("region", F.explode(F.arrays_zip("seed", "at")).alias("s"))
     diagonals = (
         hits.select("region", F.col("s.seed").alias("seed"), F.col("s.at").alias("doc_at"))
-        .join(seeds, "seed")
+        .join(seeds.drop("reach"), "seed")
         .select("region", "item_id", "exact", (F.col("doc_at") - F.col("item_at")).alias("shift"))
         .groupBy("region", "item_id", F.when(~F.col("exact"), F.col("shift")).alias("apart"))
         .agg(F.min("shift").alias("shift"))
@@ -291,9 +322,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 10, percent:
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that no benchmark item contaminates, all columns."""
-    bad = matches(docs, benchmark, **options).select(F.col("key").alias("_key")).distinct()
+def clean(docs: DataFrame, benchmark: DataFrame, min_item: int = 5, **options) -> DataFrame:
+    """The rows of ``docs`` that no benchmark item of at least ``min_item`` tokens
+    contaminates, all columns."""
+    bad = matches(docs, benchmark, min_item=min_item, **options).select(F.col("key").alias("_key")).distinct()
     bad = _written(bad, "decontaminate-found")
     rows = docs.select(F.struct("*").alias("_row"), row_key().alias("_key"))
     return rows.join(bad, "_key", "left_anti").select("_row.*")
@@ -309,47 +341,38 @@ SQL = r"""
 WITH masks(k, span, kept) AS (VALUES
   (0, 8, [1, 2, 3, 5, 6, 8]), (1, 10, [1, 2, 5, 7, 9, 10]), (2, 12, [1, 3, 4, 8, 11, 12])),
 docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-items AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM benchmark),
+items AS (
+  SELECT item_id, t, len(t) AS n_item, greatest(1, least(10, (len(t) * 80 + 99) // 100)) AS need
+  FROM (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM benchmark)),
 doc_seeds AS (
   SELECT doc_id, k, p, array_to_string([w[p + i - 1] for i in kept], ' ') AS seed
   FROM (SELECT doc_id, w, k, kept, unnest(range(1, len(w) - span + 2)) AS p FROM docs, masks)),
 item_seeds AS (
   SELECT item_id, k, p, array_to_string([t[p + i - 1] for i in kept], ' ') AS seed
-  FROM (SELECT item_id, t, k, kept, unnest(range(1, len(t) - span + 2)) AS p FROM items, masks)
-  UNION ALL
-  SELECT item_id, 3, 1, array_to_string(t, ' ') FROM items WHERE len(t) BETWEEN 5 AND 7),
-short_seeds AS (
-  SELECT doc_id, 3 AS k, p, array_to_string(w[p : p + n - 1], ' ') AS seed
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
-        FROM docs, (SELECT DISTINCT len(t) AS n FROM items WHERE len(t) BETWEEN 5 AND 7))),
+  FROM (SELECT item_id, t, k, kept, unnest(range(1, len(t) - span + 2)) AS p FROM items, masks WHERE n_item > 14)),
+doc_tokens AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM docs),
+item_tokens AS (SELECT item_id, need, unnest(t) AS x, unnest(range(1, len(t) + 1)) AS j FROM items WHERE n_item <= 14),
 diagonals AS (
-  SELECT DISTINCT doc_id, item_id, d.p - i.p AS shift
-  FROM (SELECT * FROM doc_seeds UNION ALL SELECT * FROM short_seeds) d JOIN item_seeds i USING (k, seed)),
+  SELECT DISTINCT doc_id, item_id, d.p - i.p AS shift FROM doc_seeds d JOIN item_seeds i USING (k, seed)
+  UNION ALL  -- short items: every place with enough of their tokens
+  SELECT doc_id, item_id, p - j FROM doc_tokens JOIN item_tokens USING (x)
+  GROUP BY doc_id, item_id, need, p - j HAVING count(*) >= need),
 laid AS (
-  SELECT doc_id, item_id, shift, j, len(t) AS n_item, CASE WHEN t[j] = w[j + shift] THEN 1 ELSE -2 END AS s
-  FROM (SELECT doc_id, item_id, shift, t, w,
+  SELECT doc_id, item_id, shift, n_item, need, j, CASE WHEN t[j] = w[j + shift] THEN 1 ELSE 0 END AS m
+  FROM (SELECT doc_id, item_id, shift, n_item, need, t, w,
                unnest(range(greatest(1, 1 - shift), least(len(t), len(w) - shift) + 1)) AS j
         FROM diagonals JOIN docs USING (doc_id) JOIN items USING (item_id))),
 summed AS (
-  SELECT *, sum(s) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j) AS c FROM laid),
-least_before AS (
-  SELECT *, least(0, coalesce(min(c) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS m FROM summed),
-ends AS (
-  SELECT doc_id, item_id, shift, n_item, j AS e, m FROM least_before
-  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY c - m DESC, j) = 1),
-segments AS (
-  SELECT e.doc_id, e.item_id, e.shift, e.n_item, e.e,
-         coalesce(max(l.j) FILTER (WHERE l.c = e.m AND l.j < e.e) + 1, min(l.j)) AS b
-  FROM ends e JOIN summed l USING (doc_id, item_id, shift) GROUP BY ALL),
-scored AS (
-  SELECT g.doc_id, g.item_id, g.n_item, g.b + g.shift - 1 AS doc_start, g.e - g.b + 1 AS n_tokens,
-         count(*) FILTER (WHERE l.s = 1) AS n_matched
-  FROM segments g JOIN laid l ON (l.doc_id, l.item_id, l.shift) = (g.doc_id, g.item_id, g.shift) AND l.j BETWEEN g.b AND g.e
-  GROUP BY ALL)
-SELECT doc_id, item_id, CAST(doc_start AS BIGINT) AS doc_start, CAST(n_tokens AS BIGINT) AS n_tokens,
+  SELECT *, sum(m) OVER d AS c, sum(100 * m - 80) OVER d AS a, sum(3 * m - 2) OVER d AS s
+  FROM laid WINDOW d AS (PARTITION BY doc_id, item_id, shift ORDER BY j)),
+segments AS (  -- any begin and end that meet the bound
+  SELECT b.doc_id, b.item_id, b.shift, b.n_item, b.j AS begin_at, e.j AS end_at, e.c - b.c + b.m AS n_matched
+  FROM summed b JOIN summed e ON (e.doc_id, e.item_id, e.shift) = (b.doc_id, b.item_id, b.shift) AND e.j >= b.j
+    AND e.c - b.c + b.m >= b.need AND e.a - b.a + 100 * b.m - 80 >= 0
+  QUALIFY row_number() OVER (PARTITION BY b.doc_id, b.item_id, b.shift
+                             ORDER BY e.s - b.s + 3 * b.m - 2 DESC, e.j, b.j DESC) = 1)
+SELECT doc_id, item_id, CAST(begin_at + shift - 1 AS BIGINT) AS doc_start, CAST(end_at - begin_at + 1 AS BIGINT) AS n_tokens,
        CAST(n_matched AS BIGINT) AS n_matched, n_matched / n_item AS coverage
-FROM scored
-WHERE n_matched >= least(10, (n_item * 80 + 99) // 100) AND 100 * n_matched >= 80 * n_tokens
+FROM segments
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, n_tokens, doc_start) = 1
 """

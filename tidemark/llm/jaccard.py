@@ -19,17 +19,24 @@ work, no result depends on it.
 A column held by many classes (a cluster of near copies) is not squared: a few
 pivot classes are compared with all of the column, the links found so far are
 joined to components, and then only classes outside the column's largest
-component are compared with those that they aren't connected to.  Links within a
-component may thus stay unlisted; components lose nothing.
+component are compared with those of about their size that they aren't connected
+to.  Links within a component may thus stay unlisted; components lose nothing.
+Every join by column is one of written tables, so a hot column's rows are split
+over tasks.
 
 Results for odd input: a null or empty text, or one without words, has an empty
 set, is linked with nothing and is its own component.  Repeated rows give
 repeated result rows.  A null doc_id takes part in linking but never names a
-component.  Sets are compared by 64-bit n-gram hashes.
+component.  An empty table gives no rows; only doc_id and text are read
+(``representatives`` hands on all columns).  A very long text is a block of its own,
+its set 8 bytes a distinct shingle.  Sets are compared by 64-bit n-gram hashes; which
+of several possible pivots or hot grams is taken changes no component.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -302,7 +309,8 @@ def link_classes(
         "gram", "node", F.expr("cast(shiftright(where, 32) as int) AS n"), F.expr("cast(where & 4294967295 as int) AS pos"), "last"
     )
     columns = _written(columns, "jaccard-columns")
-    widths = columns.groupBy("gram").agg(F.count("*").alias("width")).where("width > 1")
+    # Written first: a join of plain tables splits a hot column over tasks.
+    widths = _written(columns.groupBy("gram").agg(F.count("*").alias("width")).where("width > 1"), "jaccard-widths")
     product = _written(columns.join(widths, "gram"), "jaccard-product")
     thin, wide = product.where(F.col("width") <= small), product.where(F.col("width") > small)
 
@@ -334,7 +342,7 @@ def link_classes(
 
     links = verified(pairs)
     if has_wide:
-        across = _pairs(_across(wide, links, test)).join(pairs, ["u", "v"], "left_anti")
+        across = _pairs(_across(wide, links, percent, test)).join(pairs, ["u", "v"], "left_anti")
         across = _written(across, "jaccard-across")
         if across.take(1):
             links = links.union(verified(across))
@@ -347,11 +355,12 @@ def _stars(wide: DataFrame, product: DataFrame, pivots: int, percent: int, test)
     text that near copies were made from has no column of its own."""
     shared = product.groupBy("node").agg((F.sum("width") / F.expr(f"max(n) - {_REST.format('max(n)', percent)}")).alias("shared"))
     ranked = F.struct(F.col("shared"), F.xxhash64("node").alias("r"), F.col("node"), F.col("n"), F.col("pos"))
-    chosen = (
+    chosen = _written(
         wide.join(shared, "node")
         .groupBy("gram", F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("turn"))
         .agg(F.max(ranked).alias("p"))
-        .select("gram", "p.node", "p.n", "p.pos")
+        .select("gram", "p.node", "p.n", "p.pos"),
+        "jaccard-pivots",
     )
     return (
         wide.alias("y")
@@ -360,19 +369,24 @@ def _stars(wide: DataFrame, product: DataFrame, pivots: int, percent: int, test)
     )
 
 
-def _across(wide: DataFrame, links: DataFrame, test) -> DataFrame:
+def _across(wide: DataFrame, links: DataFrame, percent: int, test) -> DataFrame:
     """Pairs of classes that share a wide column but are not connected yet: all
-    classes outside the column's largest component with all of the column."""
+    classes outside the column's largest component with those of the column whose
+    sizes are near.  Sizes go by powers of 100 / percent: linked ones are in the
+    same step or in neighbouring ones."""
     roots = components(links).select("node", "root")
     known = wide.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-    known = _written(known, "jaccard-labelled")
+    step = F.floor(F.log("n") / math.log(100 / percent)) if percent < 100 else F.col("n")
+    known = _written(known.withColumn("step", step.cast("long")), "jaccard-labelled")
     sizes = known.groupBy("gram", "label").agg(F.count("*").alias("c"))
     main = sizes.groupBy("gram").agg(F.max(F.struct("c", "label")).alias("m"), F.count("*").alias("labels"))
     main = main.where("labels > 1").select("gram", F.col("m.label").alias("main"))
     rest = known.join(main, "gram").where("label <> main")
+    near = F.explode(F.array(*[F.col("step") + F.lit(d) for d in (-1, 0, 1)]))
+    rest = _written(rest.select("gram", "label", "node", "n", "pos", near.alias("step")), "jaccard-rest")
     return (
         rest.alias("x")
-        .join(known.alias("y"), F.expr("x.gram = y.gram AND x.label <> y.label") & test)
+        .join(known.alias("y"), F.expr("x.gram = y.gram AND x.step = y.step AND x.label <> y.label") & test)
         .select(F.col("x.node").alias("x"), F.col("y.node").alias("y"))
     )
 

@@ -8,15 +8,20 @@ n-gram says nothing.  A text's language is the one with the highest sum over
 all its words.
 
 The tables are counted over labelled documents: a hash-chosen sample of about
-``train_docs`` for each language (all, if there are fewer), the ``max_words``
-words and ``max_grams`` n-grams that most of it holds.  These two bounds make
-the model small enough to send to every task, whatever the corpus size.  Words
-are lower-cased runs of letters.
+``train_docs`` for each language (all, if there are fewer).  Of that sample every
+language has its own ``max_words`` most frequent words and, for each length, its
+own ``max_grams`` most frequent n-grams in the tables (ties by the token), so a
+language with few documents keeps its words beside large ones.  The model, which
+every task gets, is thus bounded for each language; it grows with their number
+only.  Frequencies are smoothed by the number of distinct tokens that the sample
+holds.  Words are lower-cased runs of letters.
 
 Odd input: a null text, or one without a letter, is ``und`` with score 0; a text
 whose words are all unknown gets the language with most training words and an
-even score; rows without lang train nothing; repeated rows are scored each; with
-no training rows every text is ``und``.
+even score; of languages with equal sums the first by name is predicted; rows
+without lang train nothing; repeated rows train and are scored each; with no
+training rows, as with an empty table, every text is ``und``.  Other columns are
+not read.  A very long text is a block of its own; it is counted by distinct words.
 """
 
 from __future__ import annotations
@@ -27,9 +32,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.components import _written
 from tidemark.llm.textblocks import blocks, small_batches
 from tidemark.sources.tables import read_table
 
@@ -70,44 +76,42 @@ def _map_counts(batches):
         )
 
 
-def train(rows: DataFrame, train_docs: int = 2000, max_words: int = 60_000, max_grams: int = 60_000) -> dict:
+def train(rows: DataFrame, train_docs: int = 2000, max_words: int = 30_000, max_grams: int = 10_000) -> dict:
     """The model from ``rows`` (lang, text, h: a hash of the row's id)."""
     small_batches(rows.sparkSession)
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    share = F.pmod("h", F.lit(1 << 20)) * F.col("of_lang") < train_docs * (1 << 20)
+    sample = rows.join(sizes, "lang").where(share).select("lang", "text")
+    counts = sample.mapInArrow(_map_counts, "lang string, order int, token string, n long")
+    counts = _written(counts.groupBy("lang", "order", "token").agg(F.sum("n").alias("n")), "language-counts")
+    # One row for each language and order, from the bounded sample.
+    totals = {(r["lang"], r["order"]): r["n"] for r in counts.groupBy("lang", "order").agg(F.sum("n").alias("n")).collect()}
+    distinct = {r["order"]: r["n"] for r in counts.groupBy("order").agg(F.countDistinct("token").alias("n")).collect()}
+    langs = sorted({lang for lang, _ in totals})
+    if not langs:
         return {"langs": [], "words": {}, "word_logs": [], "grams": {}, "gram_logs": [], "prior": 0}
-    share = F.lit(1.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, min(1.0, train_docs / n)).otherwise(share)
-    sample = rows.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20))
-    counts = sample.select("lang", "text").mapInArrow(_map_counts, "lang string, order int, token string, n long")
-    langs = sorted(sizes)
-    by_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(langs)]
-    table = counts.groupBy("order", "token").agg(*by_lang, F.sum("n").alias("total"))
-    totals = np.zeros((len(ORDERS) + 1, len(langs)))
-    for r in counts.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect():
-        totals[r["order"], langs.index(r["lang"])] = r["n"]
-    best = _most(table, 0, max_words).union(_most(table, None, max_grams)).toArrow()
-    orders, tokens = best["order"].to_pylist(), best["token"].to_pylist()
-    counted = np.stack([best[f"n{i}"].to_numpy() for i in range(len(langs))], axis=1)
-    logs = np.log((counted + 0.5) / (totals[orders] + 0.5 * max_words)) if len(tokens) else counted
-    is_word = np.array([o == 0 for o in orders], bool)
-    named = lambda mask: {tokens[i]: row for row, i in enumerate(np.flatnonzero(mask))}
+    place = F.row_number().over(Window.partitionBy("lang", "order").orderBy(F.desc("n"), "token"))
+    kept = counts.withColumn("place", place).where(F.col("place") <= F.when(F.col("order") == 0, max_words).otherwise(max_grams))
+    kept = counts.join(kept.select("order", "token").distinct(), ["order", "token"]).toArrow()
+    names, at = np.unique(np.array([f"{o} {t}" for o, t in zip(kept["order"].to_pylist(), kept["token"].to_pylist())], object), return_inverse=True)
+    counted = np.zeros((len(names), len(langs)))
+    counted[at, [langs.index(x) for x in kept["lang"].to_pylist()]] = kept["n"].to_numpy()
+    orders = np.array([int(x[0]) for x in names], np.int64)
+    total = np.array([[totals.get((lang, o), 0) for lang in langs] for o in range(len(ORDERS) + 1)], float)
+    smooth = 0.5 * np.array([distinct.get(o, 0) for o in range(len(ORDERS) + 1)], float)
+    logs = np.log((counted + 0.5) / (total + smooth[:, None])[orders])
+    is_word = orders == 0
+    named = lambda mask: {names[i][2:]: row for row, i in enumerate(np.flatnonzero(mask))}
     return {
         "langs": langs,
         "words": named(is_word),
         "word_logs": logs[is_word],
         "grams": named(~is_word),
         "gram_logs": logs[~is_word],
-        "prior": int(np.argmax(totals[0])),
+        "prior": int(np.argmax(total[0])),
     }
 
 
-def _most(table: DataFrame, order: int | None, limit: int) -> DataFrame:
-    kept = table.where(F.col("order") == order) if order is not None else table.where("order > 0")
-    return kept.orderBy(F.desc("total"), "order", "token").limit(limit)
-
-
 def known_grams(word: str, grams: dict) -> list[int]:
     """Rows of the word's known n-grams of the longest length that has any."""
     for n in ORDERS:

@@ -15,8 +15,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
 
     Labels are grouped by doc_id first (a repeated label row counts once, a
     document labelled both ways goes by the larger label).  The sample of ids is
-    bounded by the parameter, hence broadcast; of a repeated doc_id every
-    distinct text is used once.
+    bounded by the parameter, hence broadcast; of a repeated doc_id the text with
+    the least hash is used, so texts are bounded too.
     """
     small_batches(docs.sparkSession)
     rows = labels.where(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull())
@@ -27,7 +27,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
     parts = [rows.where(F.col("label") == c).orderBy("h", "doc_id").limit(per_class) for c in (0, 1)]
     chosen = parts[0].union(parts[1]).select("doc_id", "label")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "text"])
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    found = found.agg(F.min_by(F.struct("text"), F.struct(F.xxhash64("text"), "text")).alias("t"))
+    return found.select("doc_id", "t.text", "label")
 
 
 def sigmoid(x):
