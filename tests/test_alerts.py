@@ -69,20 +69,20 @@ def _reference_throttle(rows, gap_s=300):
     return out
 
 
-def test_throttle_split_hot_key(spark):
+def test_throttle_hot_key(spark):
     rnd = random.Random(11)
     rows = []
     for i in range(4000):
         k = "hot" if i % 3 else f"k{i % 4}"
         rows.append((k, rnd.randint(0, 200_000), i, rnd.random() < 0.05))
     df = spark.createDataFrame(rows, "k string, s long, id long, acked boolean").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
-    got = {r.id: r.create for r in AL.throttle_split(df, "k", "ts", "id", "acked", partitions=11).collect()}
+    got = {r.id: r.create for r in AL.throttle(df, "k", "ts", "id", "acked", partitions=11).collect()}
     assert got == _reference_throttle(rows)
 
 
-def test_throttle_split_ties_and_acks(spark):
+def test_throttle_ties_and_acks(spark):
     rnd = random.Random(23)
     rows = [("hot" if i % 4 else "cold", rnd.randint(0, 3000) // 60 * 60, i, rnd.random() < 0.3) for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, s long, id long, acked boolean").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
-    got = {r.id: r.create for r in AL.throttle_split(df, "k", "ts", "id", "acked", partitions=13).collect()}
+    got = {r.id: r.create for r in AL.throttle(df, "k", "ts", "id", "acked", partitions=13).collect()}
     assert got == _reference_throttle(rows)

@@ -108,7 +108,7 @@ def test_group_prefix_sum_matches_window(spark):
 def test_merge_into_statement_and_fallback(spark, tmp_path):
     stmt = A.merge_into_statement("db.t", "src", ["k"], ["k", "v"])
     assert stmt.startswith("MERGE INTO db.t AS t USING src AS s ON t.`k` = s.`k`")
-    assert "WHEN MATCHED AND lower(s.`op`) = 'd' THEN DELETE" in stmt and "INSERT (`k`, `v`) VALUES (s.`k`, s.`v`)" in stmt
+    assert "WHEN MATCHED AND coalesce(lower(s.`op`), 'u') = 'd' THEN DELETE" in stmt and "INSERT (`k`, `v`) VALUES (s.`k`, s.`v`)" in stmt
     # A Parquet-backed view cannot be merged into: the call reports it so the
     # caller falls back to the DataFrame apply.
     spark.createDataFrame([(1, "a")], "k long, v string").write.parquet(str(tmp_path / "t"))
@@ -131,3 +131,34 @@ def test_null_operation_and_null_key(spark):
     again = A.apply_changes(once, log, ["k"], "ts", "seq", "op")
     for got in (once, again):
         assert sorted(((r.k, r.v) for r in got.collect()), key=str) == [(1, "b"), (None, "n")]
+
+
+def test_merge_into_statement_gives_the_rows_of_apply_changes(spark):
+    """The statement, run by another engine: changes without an operation, late
+    changes, deletes of unknown keys, NULL keys, and a table of keys only."""
+    import datetime as dt
+
+    import duckdb
+
+    t = lambda h: dt.datetime(2024, 1, 1, h)
+    target = [(1, "a", t(5)), (2, "b", t(5)), (3, "c", None), (4, "d", t(5)), (5, "e", t(5))]
+    changes = [(1, "A", t(6), None, 1), (2, "B", t(4), "u", 2), (3, "C", t(1), "U", 3), (4, "D", t(6), "D", 4), (5, "E", t(5), "d", 5), (6, "F", t(2), None, 6), (7, "G", t(2), "d", 7), (8, "H", t(2), "c", 8), (8, "I", t(3), "u", 9)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE tgt (k BIGINT, v VARCHAR, ts TIMESTAMP)")
+    con.executemany("INSERT INTO tgt VALUES (?, ?, ?)", target)
+    tdf = spark.createDataFrame(target, "k long, v string, ts timestamp_ntz")
+    cdf = spark.createDataFrame(changes, "k long, v string, ts timestamp_ntz, op string, seq long")
+    latest = A.latest_per_key(cdf, ["k"], ["ts", "seq"]).collect()
+    con.execute("CREATE TABLE src (k BIGINT, v VARCHAR, ts TIMESTAMP, op VARCHAR, seq BIGINT)")
+    con.executemany("INSERT INTO src VALUES (?, ?, ?, ?, ?)", [tuple(r) for r in latest])
+    con.execute("CREATE TABLE keys AS SELECT k FROM tgt")
+    con.execute("CREATE TABLE other AS SELECT * FROM tgt")
+    run = lambda *a, **b: con.execute(A.merge_into_statement(*a, **b).replace("`", '"'))
+    run("tgt", "src", ["k"], ["k", "v", "ts"], ts_col="ts", target_ts_col="ts")
+    want = A.apply_changes(tdf, cdf, ["k"], target_ts_col="ts").collect()
+    assert sorted(con.execute("SELECT * FROM tgt").fetchall()) == sorted(map(tuple, want))
+    assert {(r.k, r.v) for r in want} == {(1, "A"), (2, "b"), (3, "C"), (5, "e"), (6, "F"), (8, "I")}
+    run("other", "src", ["k"], ["k", "v", "ts"])
+    assert sorted(con.execute("SELECT * FROM other").fetchall()) == sorted(map(tuple, A.apply_changes(tdf, cdf, ["k"]).collect()))
+    run("keys", "src", ["k"], ["k"])
+    assert sorted(con.execute("SELECT k FROM keys").fetchall()) == [(1,), (2,), (3,), (6,), (8,)]

@@ -1,38 +1,27 @@
 """Alert state machines and alert tables.
 
 V5 -- iteration counter.  Alerts with the same key fold into one notification
-row: an alert updates the key's latest row while its counter is below the
-limit (or the alert is forced), raising the counter; otherwise it opens a new
-row with counter 1.  The counter's behaviour depends only on its class
-(0 = no row, 1 .. limit-1, or >= limit), so a slice of a key's alert sequence
-has a small summary (its effect for every start class) and slices compose.
-``iteration_fold`` uses that to stay parallel for a key holding a third of all
-alerts: the data is range-partitioned by (key, time) -- which splits such a
-key over many tasks --, only the runs at partition boundaries are summarised
-(at most two per partition), those few summaries are chained on the driver
-(bounded by the partition count), and every partition then replays its rows
-from its exact start state.
+row: an alert updates the key's latest row while its counter is below the limit
+(or the alert is forced), raising the counter; otherwise it opens a new row with
+counter 1.
 
-V6 -- throttle.  A new notification is created for an attempt when the key
-has none yet, when the previous one was already sent/read, or when the last
-*created* one is at least five minutes old.  The state is a timestamp, but a
-slice of a key's attempts depends on it only through the slice's first
-creation, which can only be an attempt within five minutes of the slice's
-start: ``throttle_split`` summarises boundary runs by that candidate table
-(bounded by one throttle window), chains them on the driver and replays all
-partitions in parallel.  ``throttle`` is the plain per-key streamed fold.
+V6 -- throttle.  A new notification is created for an attempt when the key has
+none yet, when the previous one was already sent or read, or when the last
+*created* one is at least five minutes old.
+
+Both are greedy runs over a key's ordered rows (``operators/runs.py``): which row
+opens the next run depends on the row that opened the last, so a key that holds a
+third of all alerts is split over tasks and the jumps between them are doubled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.operators import ordering as O
+from tidemark.operators import runs
 
 ITERATION_LIMIT = 3
 THROTTLE_MINUTES = 5
@@ -41,49 +30,7 @@ THROTTLE_MINUTES = 5
 FORCE_MARKERS = ("connection", "refused", "timeout", "operationalerror")
 
 
-# ---------------------------------------------------------------- V5
-
-
-def _step(state: int, forced: bool, limit: int) -> tuple[int, int]:
-    """One alert: (new counter, rows created)."""
-    if state > 0 and (state < limit or forced):
-        return state + 1, 0
-    return 1, 1
-
-
-class _RunSummary:
-    """Effect of a run of alerts for each start class 0 .. limit (limit
-    stands for "at or over the limit": counter value carried as an offset)."""
-
-    def __init__(self, limit: int):
-        self.limit = limit
-        self.state = list(range(limit + 1))  # current counter per start class
-        self.created = [0] * (limit + 1)
-        self.big_shift = True  # for the ">= limit" class: still x + n (all forced so far)
-        self.n = 0
-
-    def feed(self, forced: bool) -> None:
-        lim = self.limit
-        for s in range(lim):
-            self.state[s], c = _step(self.state[s], forced, lim)
-            self.created[s] += c
-        if self.big_shift:
-            if forced:
-                self.n += 1
-            else:
-                self.big_shift = False
-                self.state[lim], self.created[lim] = 1, 1
-        else:
-            self.state[lim], c = _step(self.state[lim], forced, lim)
-            self.created[lim] += c
-
-    def apply(self, start: int) -> tuple[int, int]:
-        """(end counter, rows created) from a concrete start counter."""
-        if start < self.limit:
-            return self.state[start], self.created[start]
-        if self.big_shift:
-            return start + self.n, 0
-        return self.state[self.limit], self.created[self.limit]
+# ---------------------------------------------------------------- V5, V6
 
 
 def iteration_fold(
@@ -96,149 +43,22 @@ def iteration_fold(
 ) -> DataFrame:
     """V5: for every alert, which notification row of its key absorbs it
     (``notification_no``, 1-based) and that row's counter after it
-    (``iteration_check``)."""
-    # ``order`` must be a total order within a key (end it with a unique id).
-    numbered = O._number_partitions(df, [F.col(key)] + [F.col(c) for c in order], partitions)
-
-    boundary_schema = T.StructType(
-        [
-            T.StructField("pid", T.LongType()),
-            T.StructField("key", T.StringType()),
-            T.StructField("summary", T.StringType()),
-        ]
-    )
-
-    def boundary_runs(batches):
-        import json
-
-        first_key, first = None, None
-        last_key, last = None, None
-        pid = None
-        first_open = True
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["__pid"].iloc[0])
-            for k, forced in zip(pdf[key].astype(str), pdf[force_col].fillna(False).astype(bool)):
-                if first_key is None:
-                    first_key, first = k, _RunSummary(limit)
-                if first_open and k == first_key:
-                    first.feed(forced)
-                else:
-                    first_open = False
-                if k != last_key:
-                    last_key, last = k, _RunSummary(limit)
-                last.feed(forced)
-        if pid is None:
-            return
-        rows = [(pid, first_key, first)]
-        if last_key != first_key:
-            rows.append((pid, last_key, last))
-        out = [(p, k, json.dumps({"state": s.state, "created": s.created, "big_shift": s.big_shift, "n": s.n})) for p, k, s in rows]
-        yield pd.DataFrame(out, columns=["pid", "key", "summary"])
-
-    # At most two rows per partition: bounded by the partition count.
-    boundaries = numbered.mapInPandas(boundary_runs, boundary_schema).collect()
-    starts = _chain(boundaries, limit)
-
-    out_fields = list(numbered.schema.fields) + [
-        T.StructField("notification_no", T.LongType()),
-        T.StructField("iteration_check", T.IntegerType()),
-    ]
-
-    def replay(batches):
-        cur_key, state, rows_made, pid = None, 0, 0, None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf["__pid"].iloc[0])
-            nos, its = [], []
-            for k, forced in zip(pdf[key].astype(str), pdf[force_col].fillna(False).astype(bool)):
-                if k != cur_key:
-                    cur_key = k
-                    state, rows_made = starts.get((pid, k), (0, 0))
-                state, c = _step(state, bool(forced), limit)
-                rows_made += c
-                nos.append(rows_made)
-                its.append(state)
-            pdf = pdf.copy()
-            pdf["notification_no"] = pd.Series(nos, index=pdf.index, dtype="int64")
-            pdf["iteration_check"] = pd.Series(its, index=pdf.index, dtype="int32")
-            yield pdf
-
-    return numbered.mapInPandas(replay, T.StructType(out_fields)).drop("__pid", "__local")
-
-
-def _chain(boundaries, limit: int) -> dict:
-    """Start (counter, rows created so far) of every key run that continues a
-    run in an earlier partition."""
-    import json
-
-    by_key: dict[str, list] = {}
-    for r in boundaries:
-        by_key.setdefault(r["key"], []).append((r["pid"], json.loads(r["summary"])))
-    starts = {}
-    for k, runs in by_key.items():
-        runs.sort()
-        state, made = 0, 0
-        for i, (pid, s) in enumerate(runs):
-            if i > 0:
-                starts[(pid, k)] = (state, made)
-            summ = _RunSummary(limit)
-            summ.state, summ.created, summ.big_shift, summ.n = s["state"], s["created"], s["big_shift"], s["n"]
-            state, c = summ.apply(state)
-            made += c
-    return starts
-
-
-# ---------------------------------------------------------------- V6
+    (``iteration_check``).  ``order`` must be a total order within a key (end it
+    with a unique id); an unknown force flag is not forced."""
+    staged = df.withColumn("__free", ~F.coalesce(F.col(force_col), F.lit(False)))
+    rule = runs.Rule("index", limit - 1)
+    out = runs.greedy_runs(staged, [key], order, rule, eligible="__free", run="notification_no", place="iteration_check", partitions=partitions)
+    return out.withColumn("iteration_check", F.col("iteration_check").cast("int")).drop("__free")
 
 
 def throttle(df: DataFrame, key: str, ts_col: str, tiebreak: str, acked_col: str, minutes: int = THROTTLE_MINUTES, partitions: int | None = None) -> DataFrame:
     """V6: ``create`` per attempt -- the first attempt of a key, an attempt
     whose previous notification was already sent or read (``acked_col``), or
     one at least ``minutes`` after the last created notification."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_df = df.repartition(n, key).sortWithinPartitions(key, ts_col, tiebreak)
-    out_schema = T.StructType(list(sorted_df.schema.fields) + [T.StructField("create", T.BooleanType())])
-    gap = pd.Timedelta(minutes=minutes)
-
-    import numpy as np
-
-    gap_ns = int(minutes * 60 * 1_000_000_000)
-
-    def fold(batches):
-        cur_key, last = None, None  # carried across Arrow batches
-        for pdf in batches:
-            n = len(pdf)
-            make = np.zeros(n, dtype=bool)
-            if n:
-                keys = pdf[key].to_numpy()
-                t = pdf[ts_col].to_numpy().astype("datetime64[ns]").astype("int64")
-                acked = pdf[acked_col].fillna(False).to_numpy(dtype=bool)
-                starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-                ends = np.r_[starts[1:], n]
-                for a, b in zip(starts, ends):
-                    if keys[a] != cur_key:
-                        cur_key, last = keys[a], None
-                    acked_pos = np.flatnonzero(acked[a:b]) + a
-                    i = a
-                    while i < b:
-                        if last is None or acked[i] or t[i] - last >= gap_ns:
-                            make[i] = True
-                            last = int(t[i])
-                            i += 1
-                            continue
-                        # Jump to the next attempt that can create one: the first
-                        # at least ``minutes`` after the last creation, or acked.
-                        j = int(np.searchsorted(t[a:b], last + gap_ns, side="left")) + a
-                        k = int(acked_pos[np.searchsorted(acked_pos, i)]) if np.searchsorted(acked_pos, i) < len(acked_pos) else b
-                        i = min(j, k, b)
-            pdf = pdf.copy()
-            pdf["create"] = pd.Series(make, index=pdf.index, dtype="bool")
-            yield pdf
-
-    return sorted_df.mapInPandas(fold, out_schema)
+    staged = df.withColumn("__t", F.unix_micros(F.col(ts_col).cast("timestamp")))
+    rule = runs.Rule("value", minutes * 60 * 1_000_000 - 1)
+    out = runs.greedy_runs(staged, [key], ["__t", tiebreak], rule, value="__t", always=acked_col, place="__place", run="__run", partitions=partitions)
+    return out.withColumn("create", F.col("__place") == 1).drop("__t", "__run", "__place")
 
 
 # ---------------------------------------------------------------- M9, M10
@@ -289,143 +109,3 @@ def error_state(outcomes: DataFrame, branch: Sequence[str], seq_col: str) -> Dat
         F.when(~F.col("__l.ok"), F.col("__l.error_message")).alias("error_message"),
         "last_error_seq",
     )
-
-
-# ---------------------------------------------------------------- V6, split
-
-
-def _throttle_run(t, acked, gap, start_last):
-    """Serial fold of one sorted run from a given last-creation time (None =
-    no creation yet); returns (flags, last)."""
-    last = start_last
-    flags = []
-    for ti, ai in zip(t, acked):
-        make = last is None or bool(ai) or int(ti) - last >= gap
-        if make:
-            last = int(ti)
-        flags.append(make)
-    return flags, last
-
-
-def _throttle_summary(t, acked, gap):
-    """Effect of a run for every incoming last-creation time L <= t[0]: the
-    first creation is at j(L) = min(first acked index, first index with
-    t >= L + gap); only indices with t < t[0] + gap (plus the first one at or
-    after it) can be that first creation.  Returns the candidate indices with
-    their times, and the run's end state when the first creation is at each
-    candidate -- a table bounded by the attempts in one throttle window."""
-    import numpy as np
-
-    n = len(t)
-    limit = int(np.searchsorted(t, t[0] + gap, side="left"))  # first index with t >= t0 + gap
-    cand = range(0, min(limit + 1, n))
-    # The creation after one at j is the first acknowledged attempt behind it or
-    # the first a whole gap later; walked from the back, each end is known.
-    acked_at = np.append(np.where(acked, np.arange(n), n), n)
-    acked_from = np.minimum.accumulate(acked_at[::-1])[::-1]
-    after = np.minimum(acked_from[1:], np.maximum(np.searchsorted(t, t + gap, side="left"), np.arange(1, n + 1)))
-    ends = t.tolist()
-    for j in range(n - 1, -1, -1):
-        if after[j] < n:
-            ends[j] = ends[after[j]]
-    first_acked = int(np.flatnonzero(acked)[0]) if acked.any() else n
-    return {"t": [int(t[j]) for j in cand], "end": [ends[j] for j in cand], "first_acked": first_acked, "n": n, "limit": limit}
-
-
-def _throttle_apply(summary, start_last, gap):
-    """End state of a summarised run given the incoming last-creation time."""
-    t, n = summary["t"], summary["n"]
-    if start_last is None:
-        j = 0
-    else:
-        import bisect
-
-        j_gap = bisect.bisect_left(t, start_last + gap)
-        j_gap = j_gap if j_gap < len(t) else summary["limit"]
-        j = min(summary["first_acked"], j_gap)
-    if j >= n:
-        return start_last
-    return summary["end"][j]
-
-
-def throttle_split(df: DataFrame, key: str, ts_col: str, tiebreak: str, acked_col: str, minutes: int = THROTTLE_MINUTES, partitions: int | None = None) -> DataFrame:
-    """V6 without holding a key in one task: range-partition by (key, time),
-    summarise only the runs at partition boundaries (candidate tables bounded
-    by one throttle window), chain them on the driver (at most two per
-    partition), then replay every partition in parallel from its exact
-    start state."""
-    import json
-
-    import numpy as np
-
-    gap = int(minutes * 60 * 1_000_000)
-    staged = df.withColumn("__t", F.unix_micros(F.col(ts_col).cast("timestamp")))
-    numbered = O._number_partitions(staged, [F.col(key), F.col("__t"), F.col(tiebreak)], partitions)
-    schema = T.StructType([T.StructField("pid", T.LongType()), T.StructField("key", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("summary", T.StringType())])
-
-    def boundaries(batches):
-        # Stream the partition, keeping only its first and last key runs.
-        first_key, first_t, first_a, last_key, last_t, last_a, pid = None, [], [], None, [], [], None
-        first_open = True
-        for b in batches:
-            if not len(b):
-                continue
-            pid = int(b["__pid"].iloc[0])
-            for k, ti, ai in zip(b[key].astype(str), b["__t"].astype("int64"), b[acked_col].fillna(False).astype(bool)):
-                if first_key is None:
-                    first_key = k
-                if first_open and k == first_key:
-                    first_t.append(int(ti))
-                    first_a.append(bool(ai))
-                else:
-                    first_open = False
-                if k != last_key:
-                    last_key, last_t, last_a = k, [], []
-                last_t.append(int(ti))
-                last_a.append(bool(ai))
-        if pid is None:
-            return
-        out = [(pid, first_key, "first", json.dumps(_throttle_summary(np.array(first_t), np.array(first_a), gap)))]
-        if last_key != first_key:
-            _, end = _throttle_run(last_t, last_a, gap, None)
-            out.append((pid, last_key, "last", json.dumps({"fresh_end": end})))
-        yield pd.DataFrame(out, columns=["pid", "key", "kind", "summary"])
-
-    rows = numbered.mapInPandas(boundaries, schema).collect()
-    by_key: dict[str, list] = {}
-    for r in rows:
-        by_key.setdefault(r["key"], []).append((r["pid"], r["kind"], json.loads(r["summary"])))
-    starts = {}
-    for k, parts in by_key.items():
-        parts.sort(key=lambda x: x[0])
-        last = None
-        for i, (pid, kind, summ) in enumerate(parts):
-            if i > 0:
-                starts[(pid, k)] = last
-            if kind == "last":
-                last = summ["fresh_end"]
-            else:
-                last = _throttle_apply(summ, last if i > 0 else None, gap)
-
-    out_schema = T.StructType(list(numbered.schema.fields) + [T.StructField("create", T.BooleanType())])
-
-    def replay(batches):
-        cur_key, last = None, None
-        for b in batches:
-            if not len(b):
-                continue
-            pid = int(b["__pid"].iloc[0])
-            flags = []
-            for k, ti, ai in zip(b[key].astype(str), b["__t"].astype("int64"), b[acked_col].fillna(False).astype(bool)):
-                if k != cur_key:
-                    cur_key = k
-                    last = starts.get((pid, k))
-                make = last is None or bool(ai) or int(ti) - last >= gap
-                if make:
-                    last = int(ti)
-                flags.append(make)
-            b = b.copy()
-            b["create"] = pd.Series(flags, index=b.index, dtype="bool")
-            yield b
-
-    return numbered.mapInPandas(replay, out_schema).drop("__pid", "__local", "__t")

@@ -259,54 +259,37 @@ def size_bounded_batches(
     """K7 (exact): greedy split of each partition, in ``order``, into request
     batches whose JSON payload stays within ``limit_bytes``.
 
-    Runs where the data already is: rows are sorted inside their partition (no
-    shuffle) and a pandas fold walks each partition once, carrying only the
-    running byte count across Arrow batches, so memory stays bounded however
-    large the partition.  Output adds ``part_id``, ``batch_no`` and
-    ``row_bytes``; (``part_id``, ``batch_no``) identifies a request.  A single
-    row larger than the limit forms its own batch.
-
-    With ``group`` the rows are hash-partitioned by the group and the packing
-    restarts at every group (requests never mix groups); batches are then
-    identified by (group, ``batch_no``) and the result does not depend on the
-    physical partitioning.  Only the group, ``order`` and the row sizes are
-    shuffled and walked (rows are found again by ``order``): a group is walked
-    by one task, streamed, at some tens of bytes a row.
+    Without ``group`` it runs where the data already is: rows are sorted inside
+    their partition (no shuffle) and a fold walks each partition once, carrying
+    only the running byte count across Arrow batches.  Output adds ``part_id``,
+    ``batch_no`` and ``row_bytes``; (``part_id``, ``batch_no``) identifies a
+    request.  A single row larger than the limit forms its own batch.
+
+    With ``group`` the packing restarts at every group (requests never mix
+    groups); (group, ``batch_no``) identifies a request and the result does not
+    depend on the physical partitioning.  Only the group, ``order`` and the row
+    sizes are shuffled (rows are found again by ``order``), a group is split over
+    as many tasks as it needs, and the jumps from request to request are doubled
+    across them (``operators/runs.py``).
     """
+    import numpy as np
     import pandas as pd
 
+    from tidemark.operators import runs
+
     payload = list(payload or df.columns)
     if group:
-        group = list(group)
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         keys = list(dict.fromkeys([*group, *order]))
-        sized = df.select(*keys, json_size(df, payload).alias("row_bytes")).repartition(n, *group).withColumn("part_id", F.spark_partition_id())
-        sized = sized.sortWithinPartitions(*group, *order)
-    else:
-        sized = df.withColumn("row_bytes", json_size(df, payload)).withColumn("part_id", F.spark_partition_id())
-        sized = sized.sortWithinPartitions(*order)
+        sized = df.select(*keys, json_size(df, payload).cast("long").alias("row_bytes"))
+        packed = runs.greedy_runs(sized, list(group), list(order), runs.Rule("sum", limit_bytes), "row_bytes", run="batch_no", place="__place")
+        return packed.withColumn("batch_no", F.col("batch_no") - 1).drop("__place")
+    sized = df.withColumn("row_bytes", json_size(df, payload)).withColumn("part_id", F.spark_partition_id())
+    sized = sized.sortWithinPartitions(*order)
     out_schema = T.StructType(sized.schema.fields + [T.StructField("batch_no", T.LongType(), False)])
 
-    import numpy as np
-
     def fold(batches):
-        batch_no, used, cur = 0, 0, None
+        batch_no, used = 0, 0
         for pdf in batches:
-            if group:
-                keys = list(zip(*[pdf[g].tolist() for g in group]))
-                starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
-                out = []
-                for a, b in zip(starts, starts[1:] + [len(keys)]):
-                    if keys[a] != cur:
-                        cur, batch_no, used = keys[a], 0, 0
-                    part = pdf.iloc[a:b]
-                    assigned, batch_no, used = _pack(part["row_bytes"].to_numpy(dtype="int64"), batch_no, used)
-                    part = part.copy()
-                    part["batch_no"] = pd.Series(assigned, index=part.index, dtype="int64")
-                    out.append(part)
-                if out:
-                    yield pd.concat(out)
-                continue
             assigned, batch_no, used = _pack(pdf["row_bytes"].to_numpy(dtype="int64"), batch_no, used)
             pdf = pdf.copy()
             pdf["batch_no"] = pd.Series(assigned, index=pdf.index, dtype="int64")
@@ -407,22 +390,32 @@ def resolve_key(
 
 
 def merge_into_statement(
-    target: str, source_view: str, keys: Sequence[str], columns: Sequence[str], op_col: str = "op", null_safe: bool = False
+    target: str,
+    source_view: str,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    op_col: str = "op",
+    null_safe: bool = False,
+    ts_col: str | None = None,
+    target_ts_col: str | None = None,
 ) -> str:
     """K3 as Spark SQL ``MERGE INTO`` (for targets that support row-level
-    operations): deletes remove, other changes update or insert.  The source
-    view must already hold one row per key."""
+    operations): deletes remove, other changes (a change without an operation is an
+    update) update or insert.  With ``target_ts_col`` a change that is not newer
+    than the stored row is left out.  A table of keys only has nothing to update.
+    The source view must already hold one row per key."""
     eq = "<=>" if null_safe else "="
     on = " AND ".join(f"t.`{k}` {eq} s.`{k}`" for k in keys)
-    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c not in keys)
+    sets = ", ".join(f"`{c}` = s.`{c}`" for c in columns if c not in keys)
     cols = ", ".join(f"`{c}`" for c in columns)
     vals = ", ".join(f"s.`{c}`" for c in columns)
-    return (
-        f"MERGE INTO {target} AS t USING {source_view} AS s ON {on} "
-        f"WHEN MATCHED AND lower(s.`{op_col}`) = 'd' THEN DELETE "
-        f"WHEN MATCHED THEN UPDATE SET {sets} "
-        f"WHEN NOT MATCHED AND lower(s.`{op_col}`) <> 'd' THEN INSERT ({cols}) VALUES ({vals})"
-    )
+    deletes = f"coalesce(lower(s.`{op_col}`), 'u') = 'd'"
+    newer = f" AND (t.`{target_ts_col}` IS NULL OR s.`{ts_col}` > t.`{target_ts_col}`)" if target_ts_col else ""
+    clauses = [f"MERGE INTO {target} AS t USING {source_view} AS s ON {on}", f"WHEN MATCHED AND {deletes}{newer} THEN DELETE"]
+    if sets:
+        clauses.append(f"WHEN MATCHED{newer} THEN UPDATE SET {sets}")
+    clauses.append(f"WHEN NOT MATCHED AND NOT ({deletes}) THEN INSERT ({cols}) VALUES ({vals})")
+    return " ".join(clauses)
 
 
 def merge_into(
@@ -434,20 +427,21 @@ def merge_into(
     seq_col: str = "seq",
     op_col: str = "op",
     columns: Sequence[str] | None = None,
+    target_ts_col: str | None = None,
 ) -> bool:
     """Apply a change batch with ``MERGE INTO`` when the target table supports
     it; returns False (nothing written) when it does not, e.g. a plain
-    Parquet table or view, in which case the caller uses ``apply_changes``.
-    The source is reduced to the latest change per key by the aggregate form
-    of ``latest_per_key`` (no per-key window)."""
+    Parquet table or view, in which case the caller uses ``apply_changes``,
+    which gives the same rows.  The source is reduced to the latest change per
+    key by the aggregate form of ``latest_per_key`` (no per-key window)."""
     from pyspark.errors import PySparkException
 
     latest = latest_per_key(changes, keys, [ts_col, seq_col])
     view = f"__merge_src_{abs(hash((target, tuple(keys)))) % 10**8}"
     latest.createOrReplaceTempView(view)
-    cols = list(columns or [c for c in latest.columns if c not in (ts_col, seq_col, op_col)])
+    cols = list(columns or [c for c in latest.columns if c not in (ts_col, seq_col, op_col) or c == target_ts_col])
     try:
-        spark.sql(merge_into_statement(target, view, keys, cols, op_col)).collect()
+        spark.sql(merge_into_statement(target, view, keys, cols, op_col, ts_col=ts_col, target_ts_col=target_ts_col)).collect()
         return True
     except PySparkException as e:
         # The target's format has no row-level operations.

@@ -6,8 +6,8 @@ destination), the branch configuration it was processed with, an error text,
 (source, table, destination); the queue key text is
 ``<prefix>:s<source>:t<table>:d<destination>`` (table names may contain dots
 and colons).  Every queue operation is a filter, join or aggregate over the
-whole table -- per-queue limits use the distributed group rank, so a queue
-holding a third of all dead letters is still spread over many tasks.
+whole table -- per-queue limits are found by counting, so a queue holding a third
+of all dead letters is never ordered as a whole.
 """
 
 from __future__ import annotations
@@ -80,15 +80,15 @@ def restore(df: DataFrame, payload_schema: T.StructType) -> DataFrame:
 
 
 def cap(df: DataFrame, id_col: str, max_len: int = MAX_QUEUE_LENGTH) -> DataFrame:
-    """D3: keep the newest ``max_len`` messages of every queue."""
-    ranked = O.group_rank(df, QUEUE, id_col, descending=True, name="__r")
-    return ranked.filter(F.col("__r") <= max_len).drop("__r")
+    """D3: keep the newest ``max_len`` messages of every queue.  The oldest one
+    kept is found by counts, so queues are neither sorted nor shuffled."""
+    return O.first_n(df, QUEUE, id_col, max_len, descending=True)
 
 
 def batch(df: DataFrame, id_col: str, size: int = BATCH_SIZE) -> DataFrame:
-    """The oldest ``size`` messages of every queue (the next batch)."""
-    ranked = O.group_rank(df, QUEUE, id_col, descending=False, name="__r")
-    return ranked.filter(F.col("__r") <= size).drop("__r")
+    """The oldest ``size`` messages of every queue (the next batch), found
+    like the cap's."""
+    return O.first_n(df, QUEUE, id_col, size)
 
 
 def stale_claims(df: DataFrame, now: str, min_idle_seconds: int = 3 * CHECK_INTERVAL_SECONDS, consumer: str = "worker-0") -> DataFrame:

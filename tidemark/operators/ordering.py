@@ -162,3 +162,88 @@ def group_prefix_sum(
     local = numbered.withColumn("__run", F.sum(value).over(w_in))
     out = _join_null_safe(local, offsets, ["__pid", *group])
     return out.withColumn(name, F.col("__before") + F.col("__run")).drop("__pid", "__local", "__before", "__run")
+
+
+SELECT_BUCKETS = 1024
+SELECT_ROWS = 100_000  # rows of one group that a window may order
+
+
+def first_n(df: DataFrame, group: Sequence[str], order_col: str, n: int, descending: bool = False, window_rows: int = SELECT_ROWS) -> DataFrame:
+    """The first ``n`` rows of every group by an integer column, without ordering
+    the groups: ``row_number() OVER (PARTITION BY group ORDER BY order_col) <= n``.
+
+    The position of the n-th row is found by counting.  A group's range of values
+    is cut into ``SELECT_BUCKETS`` equal steps and its rows are counted by step (a
+    map-side aggregate); the step in which the count passes ``n`` is the new range,
+    until at most ``window_rows`` rows of a group lie in it or it is one value.
+    Rows before that range are taken as they are, only those in it are ordered.
+    Equal values go by a hash of the row, and where more than ``window_rows`` rows
+    have one value, that hash is what is counted by next.  NULLs in ``group`` are a
+    group; a NULL value comes last, as the oldest of a descending order or the
+    newest of an ascending one.  One small row for each group is all that the
+    driver plans with; it is joined, not collected."""
+    group = list(group)
+    rows = df.withColumn("__tie", F.xxhash64(*df.columns))
+    value = F.col(order_col).cast("long")
+    lowest, highest = F.lit(-(1 << 63)).cast("long"), F.lit((1 << 63) - 1).cast("long")
+    # ``__v`` ascends in the wanted order; a NULL is after all others.
+    rows = rows.withColumn("__v", F.coalesce(F.bitwise_not(value) if descending else value, highest))
+    cuts = rows.groupBy(*group).agg(F.count("*").alias("__rows"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    cuts = cuts.withColumn("__need", F.lit(n).cast("long")).withColumn("__by_tie", F.lit(False))
+    cuts = cuts.withColumn("__value", F.col("__lo"))  # the one value, where ties are counted
+    cuts = _kept(cuts)
+    while True:
+        open_cut = (F.col("__rows") > F.greatest(F.lit(window_rows), F.col("__need"))) & (F.col("__need") > 0)
+        # One value of many rows: its ties are the range from now on.
+        flat = open_cut & (F.col("__lo") == F.col("__hi")) & ~F.col("__by_tie")
+        cuts = cuts.select(
+            *group,
+            "__rows",
+            "__need",
+            F.when(flat, F.col("__lo")).otherwise(F.col("__value")).alias("__value"),
+            F.when(flat, lowest).otherwise(F.col("__lo")).alias("__lo"),
+            F.when(flat, highest).otherwise(F.col("__hi")).alias("__hi"),
+            (F.col("__by_tie") | flat).alias("__by_tie"),
+        )
+        wide = cuts.where(open_cut & (F.col("__lo") < F.col("__hi")))
+        if not wide.take(1):
+            break
+        # A range that a long can't hold is cut in units of two.
+        lo, hi, at = (F.when(F.col("__halved"), F.shiftright(c, 1)).otherwise(F.col(c)) for c in ("__lo", "__hi", "__at"))
+        wide = wide.withColumn("__halved", F.shiftright("__hi", 1) - F.shiftright("__lo", 1) >= (1 << 61))
+        step = F.floor((hi - lo) / SELECT_BUCKETS).cast("long") + 1
+        inside = _join_null_safe(rows, wide, group).withColumn("__at", F.when(F.col("__by_tie"), F.col("__tie")).otherwise(F.col("__v")))
+        inside = inside.where((~F.col("__by_tie") | (F.col("__v") == F.col("__value"))) & F.col("__at").between(F.col("__lo"), F.col("__hi")))
+        counted = inside.groupBy(*group, F.floor((at - lo) / step).cast("long").alias("__step")).agg(
+            F.count("*").alias("__c"), F.min("__at").alias("__first"), F.max("__at").alias("__last")
+        )
+        before = F.sum("__c").over(Window.partitionBy(*group).orderBy("__step").rowsBetween(Window.unboundedPreceding, -1))
+        counted = _join_null_safe(counted.withColumn("__before", F.coalesce(before, F.lit(0))), wide.select(*group, "__need", "__value", "__by_tie"), group)
+        hit = counted.where((F.col("__before") < F.col("__need")) & (F.col("__before") + F.col("__c") >= F.col("__need")))
+        hit = hit.select(
+            *group,
+            F.col("__c").alias("__rows"),
+            (F.col("__need") - F.col("__before")).alias("__need"),
+            "__value",
+            F.col("__first").alias("__lo"),
+            F.col("__last").alias("__hi"),
+            "__by_tie",
+        )
+        cuts = _kept(cuts.where(~(open_cut & (F.col("__lo") < F.col("__hi")))).unionByName(hit))
+    at = F.when(F.col("__by_tie"), F.col("__tie")).otherwise(F.col("__v"))
+    held = _join_null_safe(rows, cuts, group)
+    same = ~F.col("__by_tie") | (F.col("__v") == F.col("__value"))
+    sure = held.where((F.col("__by_tie") & (F.col("__v") < F.col("__value"))) | (same & (at < F.col("__lo"))) | (same & (at <= F.col("__hi")) & (F.col("__rows") <= F.col("__need"))))
+    edge = held.where(same & at.between(F.col("__lo"), F.col("__hi")) & (F.col("__rows") > F.col("__need")))
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("__v", "__tie"))
+    edge = edge.withColumn("__place", place).where(F.col("__place") <= F.col("__need"))
+    return sure.select(*df.columns).unionByName(edge.select(*df.columns))
+
+
+def _kept(small: DataFrame) -> DataFrame:
+    """A small table, written, so that later steps read it and don't count again."""
+    from tidemark.session import scratch_path
+
+    path = scratch_path(small.sparkSession, "select")
+    small.write.parquet(path)
+    return small.sparkSession.read.parquet(path)
