@@ -9,20 +9,24 @@ all differ.
 
 The words of a sentence are its white-space tokens without outer punctuation,
 lower-cased, and spaced-out words (three or more single characters in a row,
-read as one).  A sentence is as toxic as its most toxic word, a text as its most
-toxic sentence.
-
-Training: labelled texts are bags of such words.  In each round the support
-vector machine learns the most suspicious word of every toxic text (at first the
-one whose subsequences favour toxic texts most) against words of clean texts,
-among them those it took for toxic.  It works on Nystroem features: similarities
-to ``landmarks`` words, whitened.  As the features are linear in a word's
-subsequences, landmarks and weights fold into one table over all triples, and
-scoring a word is a sum of table entries.  What is fitted is bounded: at most
-``per_class`` labelled texts of either label, of whose clean words ``n_clean``,
-evenly spread over their sorted list, are negatives from the start; every clean
-word that the machine takes for a text's worst joins them.  A fifth of the texts
-calibrates the margin to a probability.  Scores see every word of every text.
+read as one).  A text is as toxic as its ``TOP`` most toxic different words are
+together: their margins, the greatest first, are the features of a logistic
+regression with weights of at least 0, so an insult among clean words counts, and
+several that are each less sure count too.
+
+Training: labelled texts are bags of such words.  The first positives are the words
+that stand in more toxic texts than chance allows: their likelihood ratio against
+equal shares is over twice the logarithm of the number of different words.  Texts without any of these give the
+word that the machine of the round before took for their worst, if no clean text
+holds it.  Negatives are words of clean texts, among them each one's two worst so
+far.  The machine works on Nystroem features: similarities to ``landmarks`` words,
+whitened.  As the features are linear in a word's subsequences, landmarks and
+weights fold into one table over all triples, and scoring a word is a sum of table
+entries.  What is fitted is bounded: at most ``per_class`` labelled texts of either
+label, of whose clean words ``n_clean``, evenly spread over their sorted list, are
+negatives from the start.  A fifth of the texts fits the regression over the
+margins, whose intercept is moved to the shares of both labels among all labelled
+rows.  Scores see every word of every text.
 
 Odd input: a null or empty text gets the score of a text without any toxic word;
 without training rows of both labels, or with empty tables, all scores are 0;
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.language import fold
 from tidemark.llm.textblocks import blocks
-from tidemark.llm.training import labelled_sample, platt, sigmoid
+from tidemark.llm.training import labelled_sample, sigmoid
 from tidemark.sources.tables import read_table
 
 DECAY = 0.7
@@ -50,6 +54,7 @@ TABLE = 1 << 18
 EDGES = ".,;:!?\"'()[]{}<>|#*$%&-_"
 CACHE_WORDS = 300_000
 PREDICT_AT = 0.3
+TOP = 3
 
 
 
@@ -60,9 +65,10 @@ def _symbols(codes: np.ndarray) -> np.ndarray:
 
 
 def tokens_of(text: str) -> set:
-    """Distinct tokens of a lower-cased text; spaced-out words joined."""
+    """Distinct words of a lower-cased text, without outer punctuation; spaced-out
+    words joined."""
     words = text.lower().split()
-    found = set(words)
+    found = {w.strip(EDGES) for w in set(words)}
     run: list = []
     for i in [i for i, w in enumerate(words) if len(w) == 1] + [-9]:
         if run and i != run[-1] + 1:
@@ -150,7 +156,19 @@ def _spread(order: list, n: int) -> list:
     return [order[i] for i in np.unique(np.linspace(0, len(order) - 1, min(n, len(order))).astype(int))]
 
 
-def fit(bags: list, y: np.ndarray, landmarks: int = 96, rounds: int = 3, n_clean: int = 4000) -> dict:
+def unlikely(toxic: list, clean: list, n_words: int) -> np.ndarray:
+    """Likelihood ratio of each word's counts of toxic and clean texts against equal
+    shares; 0 where it is no more frequent in toxic ones."""
+    seen = [np.bincount(np.concatenate(g), minlength=n_words).astype(float) for g in (toxic, clean)]
+    share = len(toxic) / (len(toxic) + len(clean))
+    ratio = np.zeros(n_words)
+    for count, part in zip(seen, (share, 1 - share)):
+        held = count > 0
+        ratio[held] += 2 * count[held] * np.log(count[held] / (part * (seen[0] + seen[1])[held]))
+    return np.where(seen[0] > share * (seen[0] + seen[1]), ratio, 0)
+
+
+def fit(bags: list, y: np.ndarray, landmarks: int = 96, rounds: int = 2, n_clean: int = 4000) -> dict:
     """A table over all triples and a bias from bags of words with labels."""
     vocabulary = sorted(set().union(*bags))
     at = {w: i for i, w in enumerate(vocabulary)}
@@ -158,30 +176,25 @@ def fit(bags: list, y: np.ndarray, landmarks: int = 96, rounds: int = 3, n_clean
     members = [np.array(sorted(at[w] for w in bag), np.int64) for bag in bags]
     toxic = [m for m, label in zip(members, y) if label == 1 and len(m)]
     clean = [m for m, label in zip(members, y) if label == 0 and len(m)]
+    none = {"table": np.zeros(TABLE, np.float32), "bias": -1.0}
+    if not toxic or not clean:
+        return none
     in_clean = np.zeros(len(vocabulary), bool)
-    in_clean[np.concatenate(clean) if clean else []] = True
-
-    def share(group):
-        """Share of the texts of a group that hold each triple."""
-        held = np.zeros(TABLE)
-        pick = np.argsort(space.owner, kind="stable")
-        edges = np.searchsorted(space.owner[pick], np.arange(len(vocabulary) + 1))
-        for m in group:
-            seen = np.concatenate([space.index[pick[edges[i] : edges[i + 1]]] for i in m])
-            held[np.unique(seen)] += 1
-        return (held + 0.5) / (len(group) + 1)
-
-    odds = np.log(share(toxic)) - np.log(share(clean))
-    guess = space.dot(np.maximum(odds, 0)) - 10.0 * in_clean
-    calm = np.flatnonzero(in_clean)
+    in_clean[np.concatenate(clean)] = True
+    ratio = unlikely(toxic, clean, len(vocabulary))
+    sure = ratio >= 2 * np.log(len(vocabulary))
+    if not sure.any():  # too few texts for any word to stand out: the best of each
+        sure[[m[np.argmax(ratio[m])] for m in toxic if ratio[m].any()]] = True
     # An even pick over the vocabulary's order stands for all clean words.
-    negatives = np.array(_spread(calm.tolist(), n_clean), np.int64)
-    table, bias = np.zeros(TABLE), 0.0
+    negatives = np.array(_spread(np.flatnonzero(in_clean & ~sure).tolist(), n_clean), np.int64)
+    positives = strong = np.flatnonzero(sure)
+    model = none
     for _ in range(rounds):
-        positives = np.unique([m[np.argmax(guess[m])] for m in toxic])
-        hard = np.unique([m[np.argmax(guess[m])] for m in clean])
-        negatives = np.union1d(negatives, np.setdiff1d(hard, positives))
-        z = _spread(positives.tolist(), landmarks // 2) + _spread(negatives.tolist(), landmarks - landmarks // 2)
+        negatives = np.setdiff1d(negatives, positives)
+        if not len(positives) or not len(negatives):
+            return model
+        order = positives[np.argsort(-ratio[positives], kind="stable")]
+        z = _spread(order.tolist(), landmarks // 2) + _spread(negatives.tolist(), landmarks - landmarks // 2)
         marks = [space.table(i) for i in z]
         rows = np.concatenate([positives, negatives])
         label = np.where(np.arange(len(rows)) < len(positives), 1.0, -1.0)
@@ -191,13 +204,18 @@ def fit(bags: list, y: np.ndarray, landmarks: int = 96, rounds: int = 3, n_clean
         value, vector = np.linalg.eigh((kzz + kzz.T) / 2)
         good = value > 1e-6 * value.max()
         whiten = vector[:, good] / np.sqrt(value[good])
-        balance = np.where(label == 1, 1.0, len(positives) / max(len(negatives), 1) * 4)
+        balance = np.where(label == 1, 1.0, len(positives) / len(negatives) * 4)
         w, bias = svm(similar @ whiten, label, balance)
         table = np.zeros(TABLE)
         for beta, t in zip(whiten @ w, marks):
             table += beta * t
+        model = {"table": table.astype(np.float32), "bias": float(bias)}
         guess = space.dot(table) + bias
-    return {"table": table.astype(np.float32), "bias": float(bias)}
+        hard = np.unique(np.concatenate([m[np.argsort(-guess[m], kind="stable")[:2]] for m in clean]))
+        negatives = np.union1d(negatives, hard[~sure[hard]])
+        worst = np.array([m[np.argmax(guess[m])] for m in toxic if not sure[m].any()], np.int64)
+        positives = np.union1d(strong, worst[(guess[worst] > 0) & ~in_clean[worst]]).astype(np.int64)
+    return model
 
 
 def _map_bags(batches):
@@ -206,6 +224,26 @@ def _map_bags(batches):
         yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int32()), pa.array(bags, pa.list_(pa.string()))], ["label", "words"])
 
 
+def top_margins(words, margin_of) -> np.ndarray:
+    """The ``TOP`` greatest margins of a bag of words, the last one repeated."""
+    found = np.sort(np.array([margin_of(w) for w in words] or [margin_of("")]))[::-1][:TOP]
+    return np.concatenate([found, np.full(TOP - len(found), found[-1])])
+
+
+def fit_top(x: np.ndarray, y: np.ndarray, steps: int = 2000) -> tuple[np.ndarray, float]:
+    """Logistic regression with weights of at least 0, by projected gradient steps
+    on class-balanced, smoothed labels: (weights, intercept)."""
+    scale = x.std() or 1.0
+    z = (x - x.mean(axis=0)) / scale
+    share = np.where(y == 1, 0.5 / max((y == 1).sum(), 1), 0.5 / max((y == 0).sum(), 1))
+    target = np.where(y == 1, 1 - 0.5 / ((y == 1).sum() + 1), 0.5 / ((y == 0).sum() + 1))
+    w, b = np.full(x.shape[1], 1.0), 0.0
+    for _ in range(steps):
+        r = (sigmoid(z @ w + b) - target) * share
+        w, b = np.maximum(w - 2.0 * (z.T @ r + 1e-4 * w), 0), b - 2.0 * r.sum()
+    return w / scale, float(b - (w / scale) @ x.mean(axis=0))
+
+
 def train(docs: DataFrame, labels: DataFrame, where=None, per_class: int = 600) -> dict | None:
     """The model from at most ``per_class`` texts of each label; None without both."""
     sample = labelled_sample(docs, labels, "toxic", per_class, where).select("label", "text")
@@ -222,22 +260,27 @@ def train(docs: DataFrame, labels: DataFrame, where=None, per_class: int = 600)
         held[:] = False
     model = fit([b for b, h in zip(bags, held) if not h], y[~held])
     test = held if held.any() else ~held
-    top = [margins(sorted(b) or [""], model).max() for b, h in zip(bags, test) if h]
-    return {**model, "calibration": platt(np.array(top), y[test])}
+    some = [sorted(b) or [""] for b, h in zip(bags, test) if h]
+    of = {w: m for b in some for w, m in zip(b, margins(b, model))}
+    weights, intercept = fit_top(np.stack([top_margins(b, of.__getitem__) for b in some]), y[test])
+    # From balanced classes to the labels' own shares.
+    counted = labels.where("toxic IN (0, 1)" if where is None else where & F.col("toxic").isin(0, 1))
+    n = {r["toxic"]: r["n"] for r in counted.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    prior = float(np.log(n.get(1, 1) / n.get(0, 1)))
+    return {**model, "weights": weights, "intercept": intercept + prior}
 
 
 def score_texts(texts: list, model: dict, cache: dict) -> np.ndarray:
     bags = [tokens_of(t) if t else {""} for t in texts]
-    new = list(set().union(*bags).difference(cache))
+    new = list(set().union(*bags, {""}).difference(cache))
     if len(cache) + len(new) > CACHE_WORDS:
         cache.clear()
-        new = list(set().union(*bags))
+        new = list(set().union(*bags, {""}))
     for i in range(0, len(new), 20_000):
         some = new[i : i + 20_000]
         cache.update(zip(some, margins(some, model).tolist()))
-    top = np.array([max(map(cache.__getitem__, bag), default=cache.get("", model["bias"])) for bag in bags])
-    a, b = model["calibration"]
-    return sigmoid(a * top + b)
+    top = np.stack([top_margins(bag, cache.__getitem__) for bag in bags]) if bags else np.zeros((0, TOP))
+    return sigmoid(top @ model["weights"] + model["intercept"])
 
 
 def rate(docs: DataFrame, model: dict | None) -> DataFrame:
