@@ -349,15 +349,16 @@ class TargetMissing(Exception):
     """The target of a write does not exist (or lacks columns)."""
 
 
-def guard_target(spark, target: str, needed_columns: Sequence[str] = ()) -> None:
+def guard_target(spark, target: str, needed_columns: Sequence[str] = (), columns_of=None) -> None:
     """K9: check the target before writing -- a catalog table name or a
-    storage path must exist and carry the columns about to be written.  The
-    caller routes the batch to the dead-letter table on failure."""
+    storage path must exist and carry the columns about to be written
+    (``columns_of``: how to read them, if not as plain Parquet).  The caller
+    routes the batch to the dead-letter table on failure."""
     jvm = spark.sparkContext._jvm
     if "/" in target or ":" in target:
         p = jvm.org.apache.hadoop.fs.Path(target)
         exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-        columns = spark.read.parquet(target).columns if exists else []
+        columns = (columns_of or (lambda: spark.read.parquet(target).columns))() if exists else []
     else:
         exists = spark.catalog.tableExists(target)
         columns = spark.table(target).columns if exists else []

@@ -1,8 +1,10 @@
 """Dead-letter queue as tables.
 
-A dead letter is a row: the failed change record, its routing (source, table,
-destination), the branch configuration it was processed with, an error text,
-``retry_count`` and ``first_failed_at``.  A queue is the set of rows with one
+A dead letter is a row: the failed change record (a VARIANT, so one table holds the
+rows of all source tables with their own columns and types), its routing
+(pipeline, source, table, destination, target), the branch configuration it was
+processed with, an error text, ``retry_count`` and ``first_failed_at``; batch jobs
+and streams write the same shape.  A queue is the set of rows with one
 (source, table, destination); the queue key text is
 ``<prefix>:s<source>:t<table>:d<destination>`` (table names may contain dots
 and colons).  Every queue operation is a filter, join or aggregate over the
@@ -12,7 +14,8 @@ of all dead letters is never ordered as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,13 +54,65 @@ def parse_queue_key(key: Column, prefix: str = DEFAULT_PREFIX) -> tuple[Column,
     )
 
 
-def enqueue(failed: DataFrame, error: Column, failed_at: Column, config: Column | None = None) -> DataFrame:
-    """Failed change rows become dead letters (retry 0, first failure
-    time, error text, the branch configuration used)."""
-    out = failed.withColumn("error", error).withColumn("retry_count", F.lit(0)).withColumn("first_failed_at", failed_at)
-    if config is not None:
-        out = out.withColumn("table_sync_config", config)
-    return out
+CONFIG = "struct<branch: string, filter: string, sql: string>"
+CHANGE = ("op", "table_name", "key", "ts_ms")  # of a decoded change; the rest is the record
+RAW = "__raw"  # the text of a change that could not be decoded
+
+
+def branch_config(name: str, filter_spec=None, sql: str | None = None) -> dict:
+    """The part of a branch's configuration that a dead letter keeps."""
+    spec = filter_spec if filter_spec is None or isinstance(filter_spec, str) else json.dumps(filter_spec, sort_keys=True)
+    return {"branch": name, "filter": spec, "sql": sql}
+
+
+def stored_config(config) -> dict:
+    """The filter and SQL of a stored configuration."""
+    return {"filter": config["filter"], "sql": config["sql"]}
+
+
+def _as_column(value, kind: str) -> Column:
+    return (value if isinstance(value, Column) else F.lit(value)).cast(kind)
+
+
+def dead_letters(failed: DataFrame, routing: Mapping, config: Mapping, error: Column, failed_at: Column | None = None) -> DataFrame:
+    """Failed changes (``op, table_name, key, ts_ms`` and the table's columns)
+    become dead letters with retry 0.  ``routing`` and ``config`` hold values or
+    columns.  ``message_id`` is a hash of the change and its route, so a batch that
+    is delivered again writes the same ids."""
+    record = F.to_variant_object(F.struct(*[F.col(c) for c in failed.columns if c not in CHANGE]))
+    at = lambda c: F.col(c) if c in failed.columns else F.lit(None)
+    out = failed.select(
+        *[_as_column(routing[c], kind).alias(c) for c, kind in (("pipeline_id", "int"), ("source_id", "int"), ("table_name", "string"), ("destination_id", "int"), ("target_name", "string"))],
+        at("op").cast("string").alias("operation"),
+        at("key").cast("string").alias("key"),
+        at("ts_ms").cast("long").alias("changed_ms"),
+        record.alias("record"),
+        F.struct(*[_as_column(config[c], "string").alias(c) for c in ("branch", "filter", "sql")]).alias("config"),
+        error.cast("string").alias("error"),
+        F.lit(0).alias("retry_count"),
+        (failed_at if failed_at is not None else F.current_timestamp()).cast("timestamp_ntz").alias("first_failed_at"),
+    )
+    what = F.xxhash64("source_id", "table_name", "destination_id", "config.branch", "operation", "key", "changed_ms", F.to_json("record"))
+    return out.select(what.alias("message_id"), "*")
+
+
+def restore_records(letters: DataFrame, schema: T.StructType) -> DataFrame:
+    """The changes of one table's dead letters, with the columns and types that
+    the table has now: each value is read from the record by its name, one that
+    the type can't take is NULL.  Changes that were never decoded are left out."""
+    out = []
+    for f in schema.fields:
+        if f.name in CHANGE:
+            out.append(F.col({"op": "operation", "ts_ms": "changed_ms"}.get(f.name, f.name)).alias(f.name))
+        else:
+            path = "$['" + f.name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+            out.append(F.try_variant_get("record", path, f.dataType.simpleString()).alias(f.name))
+    return letters.filter(decoded()).select(*out)
+
+
+def decoded() -> Column:
+    """Whether a dead letter holds a decoded change."""
+    return F.try_variant_get("record", f"$.{RAW}", "string").isNull()
 
 
 # Full microsecond precision in message bodies (the JSON default keeps ms).

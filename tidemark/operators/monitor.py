@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch_path
+
 # Fixed values (thresholds and limits of the monitors).
 WAL_WARNING_MB = 3000
 WAL_ERROR_MB = 6000
@@ -52,6 +54,28 @@ def date_spine(spark: SparkSession, start: str, days: int) -> DataFrame:
     return spark.range(days + 1).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("day"))
 
 
+OTHER = "other"
+MAX_NAMES = 50
+
+
+def pivot_names(df: DataFrame, name_col: str, value_col: str, max_names: int = MAX_NAMES) -> list[str]:
+    """The columns of an open pivot: the names that the data holds, alphabetically.
+    Of more than ``max_names`` the largest by summed size (ties by name) have columns
+    and the rest share one named ``other``.  One aggregate; at most ``max_names`` + 1
+    rows reach the driver.  A NULL name is in ``other``."""
+    sums = df.groupBy(name_col).agg(F.sum(F.abs(value_col)).alias("__s"))
+    known = sums.filter(F.col(name_col).isNotNull() & (F.col(name_col) != OTHER))
+    rows = known.orderBy(F.col("__s").desc_nulls_last(), F.col(name_col)).limit(max_names + 1).collect()
+    names = sorted(r[name_col] for r in rows[:max_names])
+    rest = len(rows) > max_names or bool(sums.filter(F.col(name_col).isNull() | (F.col(name_col) == OTHER)).take(1))
+    return names + [OTHER] * rest
+
+
+def _named(name_col: str, names: Sequence[str]) -> Column:
+    plain = [n for n in names if n != OTHER]
+    return F.when(F.col(name_col).isin(plain), F.col(name_col)).otherwise(OTHER) if OTHER in names else F.col(name_col)
+
+
 def daily_pivot(
     df: DataFrame,
     ts_col: str,
@@ -63,24 +87,37 @@ def daily_pivot(
     agg: str = "sum",
 ) -> DataFrame:
     """A3/A4: per day and name, pivoted to one column per name, with every day
-    of the range present and missing cells 0."""
+    of the range present and missing cells 0.  Without ``names`` there is a column
+    for whatever the range holds (``pivot_names``)."""
     spark = df.sparkSession
     d = F.to_date(F.col(ts_col))
     ranged = df.filter(d >= F.lit(start).cast("date")).withColumn("day", d)
-    grouped = ranged.groupBy("day")
-    pivoted = grouped.pivot(name_col, list(names)) if names is not None else grouped.pivot(name_col)
-    pivoted = pivoted.agg(F.sum(value_col)) if agg == "sum" else pivoted.agg(F.avg(value_col))
+    names = list(names) if names is not None else pivot_names(ranged, name_col, value_col)
     spine = date_spine(spark, start, days)
-    out = spine.join(pivoted, "day", "left").fillna(0)
-    return out
+    if not names:
+        return spine
+    pivoted = ranged.withColumn("__name", _named(name_col, names)).groupBy("day").pivot("__name", names)
+    pivoted = pivoted.agg(F.sum(value_col)) if agg == "sum" else pivoted.agg(F.avg(value_col))
+    return spine.join(pivoted, "day", "left").fillna(0)
 
 
 def hourly_avg_pivot(df: DataFrame, ts_col: str, name_col: str, value_col: str, since: str, names: Sequence[str] | None = None) -> DataFrame:
-    """A5: hourly mean per name, pivoted; hours without data are absent."""
+    """A5: hourly mean per name, pivoted; hours without data are absent.  Without
+    ``names`` there is a column for whatever the range holds (``pivot_names``)."""
     ranged = df.filter(F.col(ts_col) >= F.lit(since).cast("timestamp_ntz")).withColumn("hour", F.date_trunc("hour", F.col(ts_col)).cast("timestamp_ntz"))
-    grouped = ranged.groupBy("hour")
-    pivoted = grouped.pivot(name_col, list(names)) if names is not None else grouped.pivot(name_col)
-    return pivoted.agg(F.avg(value_col))
+    names = list(names) if names is not None else pivot_names(ranged, name_col, value_col)
+    if not names:
+        return ranged.select("hour").distinct()
+    return ranged.withColumn("__name", _named(name_col, names)).groupBy("hour").pivot("__name", names).agg(F.avg(value_col))
+
+
+def unhealthy(tables: DataFrame, writes: DataFrame, now: str, ok: Column, minutes: int = 60) -> DataFrame:
+    """Of all ``tables``, those whose last successful write is older than
+    ``minutes``, or that never had one."""
+    last = writes.groupBy("table_name").agg(F.max(F.when(ok, F.col("created_at"))).alias("last_seen"))
+    cutoff = F.lit(now).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+    seen = tables.select("table_name").distinct().join(last, "table_name", "left")
+    return seen.filter(F.col("last_seen").isNull() | (F.col("last_seen") < cutoff))
 
 
 def calendar_compare(df: DataFrame, ts_col: str, value_col: str, today: str) -> DataFrame:
@@ -149,6 +186,37 @@ def retention(df: DataFrame, ts_col: str, now: str, days: int) -> DataFrame:
     return df.filter(F.col(ts_col) >= cutoff)
 
 
+def prune_days(spark: SparkSession, path: str, day_col: str, ts_col: str, cutoff: str) -> dict:
+    """M4 on a table laid out by day (``<path>/<day_col>=yyyy-MM-dd``): days before
+    the cutoff's are dropped as whole folders, only the cutoff's own day is written
+    anew (by dynamic partition overwrite, from a copy of what stays), later days keep
+    their files.  Rows without a day stay.  Returns what was done: the folders
+    dropped, and whether the boundary day was rewritten."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    boundary = cutoff[:10]
+    days = [st.getPath() for st in fs.listStatus(root) if st.isDirectory() and st.getPath().getName().startswith(f"{day_col}=")]
+    dropped, rewritten = [], False
+    for p in days:
+        day = p.getName()[len(day_col) + 1 :]
+        if day == boundary:
+            rows = spark.read.parquet(p.toString())
+            at = F.lit(cutoff).cast("timestamp_ntz")
+            if rows.filter(F.col(ts_col) < at).limit(1).count():
+                kept = scratch_path(spark, "retention")
+                rows.filter((F.col(ts_col) >= at) | F.col(ts_col).isNull()).write.parquet(kept)
+                staged = spark.read.schema(rows.schema).parquet(kept).withColumn(day_col, F.lit(day))
+                staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day_col).parquet(path)
+                rewritten = True
+                if not staged.limit(1).count():  # an empty overwrite leaves the old files
+                    fs.delete(p, True)
+        elif day < boundary and day[:1].isdigit():
+            fs.delete(p, True)
+            dropped.append(day)
+    return {"dropped": sorted(dropped), "rewritten": rewritten}
+
+
 def pending_alerts(df: DataFrame, limit: int) -> DataFrame:
     """M5: alerts due for delivery: enough repeats or forced, and not yet
     sent, deleted or read."""

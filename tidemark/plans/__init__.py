@@ -15,6 +15,7 @@ MODULES = [
     "dlq_queries",
     "alert_queries",
     "stream_queries",
+    "drift_queries",
 ]
 
 

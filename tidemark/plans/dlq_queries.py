@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import apply as A
 from tidemark.operators import dlq as Q
 from tidemark.plans import derived as D
 from tidemark.plans.registry import CHG_EVENTS, DLQ_MESSAGES, query, with_ctes
@@ -13,6 +14,36 @@ from tidemark.plans.registry import CHG_EVENTS, DLQ_MESSAGES, query, with_ctes
 NOW = "2024-01-31 00:00:00"
 DLQ_BASE = with_ctes(CHG_EVENTS, DLQ_MESSAGES)
 
+# The branches that the letters were meant for, as they were stored and as they are
+# now: the second has another filter and SQL, the third is gone.
+BIG = {"version": 2, "groups": [{"conditions": [{"column": "value", "operator": ">", "value": "50"}]}], "interLogic": []}
+SMALL = {"version": 2, "groups": [{"conditions": [{"column": "value", "operator": "<", "value": "80"}]}], "interLogic": []}
+OLD_SQL = "SELECT k, seq, ts, op, event_type, value, props FROM changes"
+NEW_SQL = "SELECT k, seq, ts, op, upper(event_type) AS event_type, value * 2 AS value, props FROM changes"
+STORED = {1: (None, None), 2: (SMALL, "SELECT no_longer_there FROM changes"), 3: (SMALL, OLD_SQL)}
+CURRENT = {1: (None, None), 2: (BIG, NEW_SQL)}
+
+
+def letters(spark, sf_dir, first: str | None = None):
+    """Every change (from ``first`` on) as a dead letter of its branch: inserts,
+    updates and deletes with their whole rows."""
+    ch = D.chg_events(spark, sf_dir)
+    if first:
+        ch = ch.filter(F.col("ts") >= F.lit(first).cast("timestamp_ntz"))
+    names = F.concat(F.when(F.col("k") % 2 == 0, F.lit("public.tbl_")).otherwise(F.lit("tbl_")), (F.col("k") % D.EVENT_TABLES).cast("string"))
+    destination = (F.col("k") % 3 + 1).cast("int")
+    stored = {d: Q.branch_config(f"branch_{d}", *STORED[d]) for d in STORED}
+    pick = lambda field: F.element_at(F.array(*[F.lit(stored[d][field]) for d in sorted(stored)]), destination)
+    routing = {
+        "pipeline_id": 1,
+        "source_id": 1,
+        "table_name": names,
+        "destination_id": destination,
+        "target_name": F.concat(F.lit("users_"), destination.cast("string")),
+    }
+    changed = ch.withColumn("key", F.to_json(F.struct("k"))).withColumn("ts_ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    return Q.dead_letters(changed, routing, {c: pick(c) for c in ("branch", "filter", "sql")}, F.lit("target table missing"), F.col("ts"))
+
 
 @query(
     "dlq_enqueue",
@@ -24,10 +55,14 @@ FROM dlq_messages
 """,
 )
 def dlq_enqueue(spark, sf_dir):
-    """Failed deletes enqueued with routing, error and first failure."""
-    failed = D.dlq_messages(spark, sf_dir).drop("retry_count")
-    out = Q.enqueue(failed, F.lit("target table missing"), F.col("first_failed_at"))
-    return out.select("msg_id", "source_id", "table_name", "destination_id", "k", "op", "value", "error", "retry_count", "first_failed_at")
+    """Failed changes enqueued with routing, configuration, error and first
+    failure; the row itself is a VARIANT, read back here by name and type."""
+    out = letters(spark, sf_dir)
+    value = lambda name, kind: F.try_variant_get("record", f"$.{name}", kind).alias(name)
+    return out.select(
+        value("seq", "long").alias("msg_id"), "source_id", "table_name", "destination_id", value("k", "long"), F.col("operation").alias("op"),
+        value("value", "double"), "error", "retry_count", "first_failed_at",
+    )
 
 
 @query(
@@ -167,34 +202,56 @@ def dlq_queue_keys(spark, sf_dir):
     return qs.select("queue_key", "n_messages", s.alias("parsed_source"), t.alias("parsed_table"), d.alias("parsed_destination"), (F.col("n_messages") > 0).alias("has_messages"))
 
 
+FIRST_FAILURE = "2024-01-12 00:00:00"
+
+
 @query(
     "dlq_replay",
-    DLQ_BASE
-    + """
-, target AS (
-  SELECT k, seq, ts, op, event_type, value, props FROM (
-    SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, seq DESC) AS rn FROM chg_events WHERE op <> 'd') WHERE rn = 1),
-current_cfg AS (SELECT DISTINCT table_name, destination_id, 'users_v2' AS target_name FROM dlq_messages WHERE destination_id <> 3),
-msgs AS (
-  SELECT m.k, m.msg_id AS seq, c.ts, m.op, COALESCE(cc.target_name, 'users') AS target_name
-  FROM dlq_messages m JOIN chg_events c ON c.seq = m.msg_id
-  LEFT JOIN current_cfg cc ON cc.table_name = m.table_name AND cc.destination_id = m.destination_id),
-latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, seq DESC) AS rn FROM msgs) WHERE rn = 1),
-effective AS (SELECT l.* FROM latest l LEFT JOIN target t ON t.k = l.k WHERE t.ts IS NULL OR l.ts > t.ts)
-SELECT k, seq, ts, op, event_type, value, props FROM target t WHERE NOT EXISTS (SELECT 1 FROM effective e WHERE e.k = t.k)
+    with_ctes(CHG_EVENTS)
+    + f"""
+, target AS (  -- what reached the targets before the failures
+  SELECT CAST(k % 3 + 1 AS INTEGER) AS destination_id, * FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, seq DESC) AS rn FROM chg_events WHERE ts < TIMESTAMP '{FIRST_FAILURE}')
+  WHERE rn = 1 AND op <> 'd'),
+replayed AS (  -- each branch's filter and SQL: the current ones, or the stored ones of the branch that is gone
+  SELECT CAST(k % 3 + 1 AS INTEGER) AS destination_id, k, seq, ts, op,
+         CASE WHEN k % 3 = 1 THEN upper(event_type) ELSE event_type END AS event_type,
+         CASE WHEN k % 3 = 1 THEN value * 2 ELSE value END AS value, props
+  FROM chg_events
+  WHERE ts >= TIMESTAMP '{FIRST_FAILURE}'
+    AND COALESCE(CASE k % 3 WHEN 1 THEN value > 50 WHEN 2 THEN value < 80 ELSE TRUE END, TRUE)),
+latest AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts DESC, seq DESC) AS rn FROM replayed)
+SELECT destination_id, k, seq, ts, op, event_type, value, props FROM latest WHERE rn = 1 AND op <> 'd'
+UNION ALL
+SELECT destination_id, k, seq, ts, op, event_type, value, props FROM target t
+WHERE NOT EXISTS (SELECT 1 FROM latest l WHERE l.k = t.k)
 """,
 )
 def dlq_replay(spark, sf_dir):
-    """Replay dead-lettered deletes: each message takes its branch's
-    current configuration if the branch still exists (else the stored one),
-    is applied to the target with the normal merge (later deletes remove the
-    user's row, stale ones are ignored) -- after which the queue is acked."""
+    """Dead-lettered inserts, updates and deletes with their whole rows, each
+    restored with its table's columns and run through its branch as it is now (other
+    filter and SQL for the second destination; the third's is gone, so the stored
+    ones count), then merged into the branch's target."""
+    from tidemark.streaming import changes as S
+
+    base = S.fresh_dir(spark, "replay")
     ch = D.chg_events(spark, sf_dir)
-    target = A.latest_per_key(ch.filter(F.col("op") != "d"), ["k"], ["ts", "seq"])
-    m = D.dlq_messages(spark, sf_dir).withColumn("target_name", F.lit("users"))
-    current = m.filter(F.col("destination_id") != 3).select("table_name", "destination_id").distinct().withColumn("target_name", F.lit("users_v2"))
-    eff = Q.effective_config(m, current, ["table_name", "destination_id"], ["target_name"])
-    changes = eff.join(ch.select(F.col("seq").alias("msg_id"), "ts"), "msg_id").select("k", F.col("msg_id").alias("seq"), "ts", "op")
-    # Both configurations point at the same physical target here; the merge
-    # applies each message once, newer-than-target only.
-    return A.apply_changes(target, changes, ["k"], target_ts_col="ts")
+    early = ch.filter(F.col("ts") < F.lit(FIRST_FAILURE).cast("timestamp_ntz"))
+    queued = letters(spark, sf_dir, FIRST_FAILURE)
+    fields = [{"field": f.name, "spark_type": f.dataType} for f in ch.schema.fields if f.name != "op"]
+    results = []
+    for d in sorted(STORED):
+        path = f"{base}/users_{d}"
+        target = S.Target(spark, path, ["k"])
+        mine = F.col("k") % 3 + 1 == d
+        target.write(early.filter(mine), "early")
+        spec, sql = CURRENT.get(d, STORED[d])
+        stored = None if d in CURRENT else Q.branch_config(f"branch_{d}", spec, sql)
+        branch = S.Branch(f"branch_{d}", "changes", fields, ["k"], path, spec, sql, destination_id=d, require_target=True)
+        rows = queued.filter((F.col("destination_id") == d)).withColumn("table_name", F.lit("changes")).withColumn("target_name", F.lit(path))
+        left, _ = S.replay(spark, rows, [replace(branch, name="another")] if stored else [branch], "replay")
+        if left.limit(1).count():
+            raise RuntimeError(f"letters of destination {d} stay")
+        results.append(target.read().withColumn("destination_id", F.lit(d)))
+    out = results[0].unionByName(results[1]).unionByName(results[2])
+    return out.select("destination_id", "k", "seq", "ts", "op", "event_type", "value", "props")

@@ -8,7 +8,7 @@ from tidemark.operators import apply as A
 from tidemark.operators import joins as J
 from tidemark.operators import ordering as O
 from tidemark.plans import derived as D
-from tidemark.plans.registry import BRANCHES, CHG_EVENTS, TAG_LINKS, TAG_LIST, query, with_ctes
+from tidemark.plans.registry import BRANCHES, CHG_EVENTS, CHG_ORDERS, TAG_LINKS, TAG_LIST, query, with_ctes
 
 
 @query(
@@ -424,3 +424,42 @@ def transform_aggregate_full(spark, sf_dir):
     cutoff = F.lit("2024-01-20").cast("timestamp_ntz")
     target = J.run_transform(spark, ev.filter(F.col("ts") < cutoff), "tbl_events", sql)
     return J.aggregate_upsert(spark, target, ev.filter(F.col("ts") >= cutoff), ev, "tbl_events", sql, ["user_id"], scope="full")
+
+
+@query(
+    "transform_aggregate_delta",
+    with_ctes(CHG_ORDERS)
+    + """
+, final AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ts DESC, seq DESC) AS rn FROM chg_orders)
+  WHERE rn = 1 AND op <> 'd')
+SELECT o_custkey % 200 AS customer_group, count(*) AS n_rows,
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents,
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) // count(o_totalprice) AS BIGINT) AS mean_cents,
+       max(CAST(round(o_totalprice * 100) AS BIGINT)) AS greatest_cents, count(DISTINCT o_orderpriority) AS n_priorities
+FROM final GROUP BY 1
+""",
+)
+def transform_aggregate_delta(spark, sf_dir):
+    """A16 kept up to date: the aggregate of all orders at the cutoff moves by the
+    differences that later inserts, updates and deletes make; greatest values and
+    distinct counts are computed anew for the touched groups only.  Equal to the
+    aggregate of the final rows."""
+    from tidemark.operators import incremental as I
+
+    def grouped(df):
+        cents = F.round(F.col("o_totalprice") * 100).cast("long")
+        return df.withColumn("customer_group", F.col("o_custkey") % 200).withColumn("cents", cents)
+
+    rows = grouped(D.orders_state(spark, sf_dir)).select("o_orderkey", "customer_group", "cents", "o_orderpriority")
+    stored = I.aggregate(rows, ["customer_group"], "cents", "o_orderpriority")
+    changes = grouped(D.orders_batch(spark, sf_dir))
+    out = I.apply_deltas(stored, rows, changes, ["o_orderkey"], ["customer_group"], "cents", "o_orderpriority")
+    return out.select(
+        "customer_group",
+        "n_rows",
+        F.col("total").alias("total_cents"),
+        F.expr("total div n_values").alias("mean_cents"),
+        F.col("greatest").alias("greatest_cents"),
+        F.col("n_labels").alias("n_priorities"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import apply as A
@@ -11,7 +13,6 @@ from tidemark.plans.registry import BRANCHES, TAG_LINKS, TAG_LIST, VOLUME_LOG, q
 
 TODAY = D.TODAY
 NOW = "2024-01-30 23:59:59"
-PIPELINE_NAMES = ["click", "error", "purchase", "signup", "view"]
 
 # ------------------------------------------------------------------ derived monitoring tables
 
@@ -134,27 +135,24 @@ def volume_today_yesterday(spark, sf_dir):
     return M.day_totals(D.volume_log(spark, sf_dir), "created_at", "record_count", TODAY)
 
 
-_PIVOT_COLS = ", ".join(
-    f"CAST(COALESCE(sum(CASE WHEN pipeline_name = '{p}' THEN record_count END), 0) AS BIGINT) AS \"{p}\"" for p in PIPELINE_NAMES
-)
-
-
 @query(
     "volume_daily_pivot",
     with_ctes(VOLUME_LOG)
-    + f"""
+    + """
 , spine AS (SELECT CAST(DATE '2024-01-24' + CAST(i AS INTEGER) AS DATE) AS day FROM range(0, 8) t(i)),
-agg AS (SELECT CAST(created_at AS DATE) AS day, {_PIVOT_COLS} FROM volume_log
-        WHERE CAST(created_at AS DATE) >= DATE '2024-01-24' GROUP BY 1)
-SELECT strftime(s.day, '%Y-%m-%d') AS day, {", ".join(f'CAST(COALESCE(a."{p}", 0) AS BIGINT) AS "{p}"' for p in PIPELINE_NAMES)}
-FROM spine s LEFT JOIN agg a ON a.day = s.day
+cells AS (  -- every day with every pipeline of the range
+  SELECT s.day, n.pipeline_name, CAST(COALESCE(sum(v.record_count), 0) AS BIGINT) AS n
+  FROM spine s CROSS JOIN (SELECT DISTINCT pipeline_name FROM volume_log WHERE CAST(created_at AS DATE) >= DATE '2024-01-24') n
+  LEFT JOIN volume_log v ON CAST(v.created_at AS DATE) = s.day AND v.pipeline_name = n.pipeline_name
+  GROUP BY s.day, n.pipeline_name)
+SELECT * REPLACE (strftime(day, '%Y-%m-%d') AS day) FROM (PIVOT cells ON pipeline_name USING first(n) GROUP BY day)
 """,
 )
 def volume_daily_pivot(spark, sf_dir):
     """A3: daily records per pipeline over the last 7 days + today, one
-    column per pipeline, every day present (0 when idle)."""
-    out = M.daily_pivot(D.volume_log(spark, sf_dir), "created_at", "pipeline_name", "record_count", "2024-01-24", 7, PIPELINE_NAMES)
-    return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), *[F.col(p).cast("long").alias(p) for p in PIPELINE_NAMES])
+    column for every pipeline that the range holds, every day present (0 when idle)."""
+    out = M.daily_pivot(D.volume_log(spark, sf_dir), "created_at", "pipeline_name", "record_count", "2024-01-24", 7)
+    return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), *[F.col(f"`{p}`").cast("long").alias(p) for p in out.columns if p != "day"])
 
 
 @query(
@@ -162,25 +160,27 @@ def volume_daily_pivot(spark, sf_dir):
     with_ctes(METERING_SQL)
     + """
 , spine AS (SELECT CAST(DATE '2024-01-01' + CAST(i AS INTEGER) AS DATE) AS day FROM range(0, 30) t(i)),
-agg AS (SELECT CAST(usage_time AS DATE) AS day,
-               sum(CASE WHEN destination_name = 'dest_1' THEN credits END) AS d1,
-               sum(CASE WHEN destination_name = 'dest_2' THEN credits END) AS d2,
-               sum(CASE WHEN destination_name = 'dest_3' THEN credits END) AS d3
-        FROM metering WHERE CAST(usage_time AS DATE) >= DATE '2024-01-01' GROUP BY 1),
-filled AS (SELECT s.day, COALESCE(d1, 0) AS d1, COALESCE(d2, 0) AS d2, COALESCE(d3, 0) AS d3 FROM spine s LEFT JOIN agg a ON a.day = s.day)
-SELECT strftime(day, '%Y-%m-%d') AS day, round(d1, 4) AS dest_1, round(d2, 4) AS dest_2, round(d3, 4) AS dest_3,
-       round(sum(d1 + d2 + d3) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS month_to_date
-FROM filled
+cells AS (
+  SELECT s.day, n.destination_name, COALESCE(sum(m.credits), 0) AS credits
+  FROM spine s CROSS JOIN (SELECT DISTINCT destination_name FROM metering WHERE CAST(usage_time AS DATE) >= DATE '2024-01-01') n
+  LEFT JOIN metering m ON CAST(m.usage_time AS DATE) = s.day AND m.destination_name = n.destination_name
+  GROUP BY s.day, n.destination_name),
+totals AS (SELECT day, round(sum(sum(credits)) OVER (ORDER BY day), 4) AS month_to_date FROM cells GROUP BY day)
+SELECT p.* REPLACE (strftime(p.day, '%Y-%m-%d') AS day), t.month_to_date
+FROM (PIVOT (SELECT day, destination_name, round(credits, 4) AS credits FROM cells) ON destination_name USING first(credits) GROUP BY day) p
+JOIN totals t USING (day)
 """,
 )
 def cost_daily_pivot(spark, sf_dir):
-    """A4: daily credits per destination for the month, pivoted and filled,
-    with the month-to-date running total (over 30 day rows)."""
-    out = M.daily_pivot(metering(spark, sf_dir), "usage_time", "destination_name", "credits", "2024-01-01", 29, ["dest_1", "dest_2", "dest_3"])
-    out = M.running_total(out.withColumn("__day_total", F.col("dest_1") + F.col("dest_2") + F.col("dest_3")), "day", "__day_total", "month_to_date")
+    """A4: daily credits per destination (whichever there are) for the month,
+    pivoted and filled, with the month-to-date running total (over 30 day rows)."""
+    out = M.daily_pivot(metering(spark, sf_dir), "usage_time", "destination_name", "credits", "2024-01-01", 29)
+    names = [c for c in out.columns if c != "day"]
+    total = reduce(lambda x, y: x + y, [F.col(f"`{c}`") for c in names], F.lit(0.0))
+    out = M.running_total(out.withColumn("__day_total", total), "day", "__day_total", "month_to_date")
     return out.select(
         F.date_format("day", "yyyy-MM-dd").alias("day"),
-        *[F.round(c, 4).alias(c) for c in ["dest_1", "dest_2", "dest_3"]],
+        *[F.round(F.col(f"`{c}`"), 4).alias(c) for c in names],
         F.round("month_to_date", 4).alias("month_to_date"),
     )
 
@@ -189,18 +189,17 @@ def cost_daily_pivot(spark, sf_dir):
     "lag_hourly_avg",
     with_ctes(WAL_SQL)
     + """
-SELECT date_trunc('hour', recorded_at) AS hour,
-       round(avg(CASE WHEN source_name = 'source_1' THEN size_bytes END), 2) AS source_1,
-       round(avg(CASE WHEN source_name = 'source_2' THEN size_bytes END), 2) AS source_2,
-       round(avg(CASE WHEN source_name = 'source_3' THEN size_bytes END), 2) AS source_3,
-       round(avg(CASE WHEN source_name = 'source_4' THEN size_bytes END), 2) AS source_4
-FROM wal_metrics WHERE recorded_at >= TIMESTAMP '2024-01-29 23:59:59' GROUP BY 1
+, cells AS (
+  SELECT date_trunc('hour', recorded_at) AS hour, source_name, round(avg(size_bytes), 2) AS mean
+  FROM wal_metrics WHERE recorded_at >= TIMESTAMP '2024-01-29 23:59:59' GROUP BY 1, 2)
+SELECT * FROM (PIVOT cells ON source_name USING first(mean) GROUP BY hour)
 """,
 )
 def lag_hourly_avg(spark, sf_dir):
-    """A5: hourly mean lag per source over the last day, pivoted (no fill)."""
-    out = M.hourly_avg_pivot(wal_metrics(spark, sf_dir), "recorded_at", "source_name", "size_bytes", "2024-01-29 23:59:59", ["source_1", "source_2", "source_3", "source_4"])
-    return out.select("hour", *[F.round(c, 2).alias(c) for c in ["source_1", "source_2", "source_3", "source_4"]])
+    """A5: hourly mean lag over the last day, a column for every source that the day
+    holds (no fill)."""
+    out = M.hourly_avg_pivot(wal_metrics(spark, sf_dir), "recorded_at", "source_name", "size_bytes", "2024-01-29 23:59:59")
+    return out.select("hour", *[F.round(F.col(f"`{c}`"), 2).alias(c) for c in out.columns if c != "hour"])
 
 
 def throughput_log(spark, sf_dir):
@@ -331,16 +330,18 @@ def cost_recent_days(spark, sf_dir):
     "health_unhealthy",
     with_ctes(VOLUME_LOG)
     + f"""
-, last AS (SELECT table_name, max(created_at) AS last_seen FROM volume_log WHERE pipeline_name <> 'error' GROUP BY table_name)
-SELECT table_name, last_seen FROM last WHERE last_seen IS NULL OR last_seen < TIMESTAMP '{NOW}' - INTERVAL 1 HOUR
+, tables AS (SELECT DISTINCT 'tbl_' || CAST(user_id % 12 AS VARCHAR) AS table_name FROM events),
+last AS (SELECT table_name, max(created_at) AS last_seen FROM volume_log WHERE pipeline_name <> 'error' GROUP BY table_name)
+SELECT t.table_name, last_seen FROM tables t LEFT JOIN last USING (table_name)
+WHERE last_seen IS NULL OR last_seen < TIMESTAMP '{NOW}' - INTERVAL 1 HOUR
 """,
 )
 def health_unhealthy(spark, sf_dir):
-    """Tables whose last successful write is older than an hour."""
-    v = D.volume_log(spark, sf_dir).filter(F.col("pipeline_name") != "error")
-    last = v.groupBy("table_name").agg(F.max("created_at").alias("last_seen"))
-    cutoff = F.lit(NOW).cast("timestamp_ntz") - F.expr("INTERVAL 1 HOUR")
-    return last.filter(F.col("last_seen").isNull() | (F.col("last_seen") < cutoff))
+    """Published tables whose last successful write is older than an hour,
+    those that never had one included."""
+    (ev,) = D.tables(spark, sf_dir, "events")
+    published = ev.select(F.concat(F.lit("tbl_"), (F.col("user_id") % 12).cast("string")).alias("table_name"))
+    return M.unhealthy(published, D.volume_log(spark, sf_dir), NOW, F.col("pipeline_name") != "error")
 
 
 @query(
@@ -578,6 +579,27 @@ def retention_prune(spark, sf_dir):
     return M.retention(n, "created_at", NOW, 10).select("notification_id", "created_at")
 
 
+@query(
+    "retention_partitions",
+    with_ctes(NOTIFICATIONS_SQL)
+    + f"""
+SELECT notification_id, created_at FROM notifications WHERE created_at >= TIMESTAMP '{NOW}' - INTERVAL 246 HOUR
+""",
+)
+def retention_partitions(spark, sf_dir):
+    """M4 on alerts laid out by day: whole days before the cutoff (mid-day here) are
+    dropped, the cutoff's day alone is rewritten."""
+    from tidemark.session import scratch_path
+
+    n = notifications(spark, sf_dir)
+    path = scratch_path(spark, "alerts-by-day")
+    n.withColumn("day", F.to_date("created_at").cast("string")).write.partitionBy("day").parquet(path)
+    cutoff = n.select((F.lit(NOW).cast("timestamp_ntz") - F.expr("INTERVAL 246 HOURS")).cast("string")).first()
+    if cutoff:
+        M.prune_days(spark, path, "day", "created_at", cutoff[0])
+    return spark.read.schema(n.schema).parquet(path).select("notification_id", "created_at")
+
+
 @query(
     "alerts_pending",
     with_ctes(NOTIFICATIONS_SQL)

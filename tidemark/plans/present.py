@@ -48,6 +48,7 @@ TIME_COLUMNS = {
     'merge_out_of_order': ['o_orderdate', 'ts'],
     'merge_replay_idempotent': ['o_orderdate'],
     'page_newest': ['created_at'],
+    'retention_partitions': ['created_at'],
     'retention_prune': ['created_at'],
     'schema_history_dedup': ['created_at'],
     'schema_versions': ['created_at'],
@@ -55,6 +56,7 @@ TIME_COLUMNS = {
     'stream_apply': ['ts'],
     'stream_lag_hourly': ['hour'],
     'stream_restart': ['ts'],
+    'stream_schema_drift': ['ts'],
     'transform_passthrough': ['ts'],
 }
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import evolution as EV
@@ -101,6 +103,38 @@ def key_uniqueness_profile(spark, sf_dir):
     return out
 
 
+def _key_search_sql(max_width=3):
+    """Distinct counts of every set of columns, the least unique ones kept."""
+    counts = []
+    for t, cols in SCHEMAS.items():
+        names = [c for c, _ in cols]
+        for width in range(1, max_width + 1):
+            for some in combinations(names, width):
+                counts.append(f"SELECT '{t}' AS table_name, '{','.join(some)}' AS key_columns, {width} AS width, "
+                              f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(some)} FROM {t})) AS n")
+    sizes = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in SCHEMAS)
+    return f"""
+WITH counts AS ({" UNION ALL ".join(counts)}),
+sizes AS ({sizes}),
+keys AS (SELECT table_name, key_columns, width, n_rows FROM counts JOIN sizes USING (table_name) WHERE n = n_rows
+         QUALIFY width = min(width) OVER (PARTITION BY table_name))
+SELECT s.table_name, k.key_columns, s.n_rows FROM sizes s LEFT JOIN keys k USING (table_name)
+"""
+
+
+@query("key_search", _key_search_sql())
+def key_search(spark, sf_dir):
+    """S10 fallback: the least sets of columns (up to three) that identify the rows
+    of each table, found without a declared key; a table without any has one row
+    that says so."""
+    rows = []
+    for name, df in _sources(spark, sf_dir).items():
+        df = df.select(*[c for c, _ in SCHEMAS[name]])
+        n = df.count()
+        rows += [(name, ",".join(k), n) for k in C.least_keys(df)] or [(name, None, n)]
+    return spark.createDataFrame(rows, "table_name string, key_columns string, n_rows long")
+
+
 @query(
     "catalog_reconcile",
     """
@@ -401,20 +435,6 @@ history AS (
 """
 
 
-@query(
-    "schema_versions",
-    with_ctes(HISTORY_SQL)
-    + """
-SELECT table_name, version_schema, CASE WHEN version_schema = 1 THEN 'INITIAL_LOAD' ELSE 'CHANGES TYPE' END AS changes_type, created_at
-FROM history
-""",
-)
-def schema_versions(spark, sf_dir):
-    """Version numbers per table in time order, first = INITIAL_LOAD."""
-    v = EV.version_log(schema_history(spark, sf_dir), "table_name", "created_at")
-    return v.select("table_name", F.col("version_schema").cast("int").alias("version_schema"), "changes_type", "created_at")
-
-
 @query(
     "schema_current_version",
     with_ctes(HISTORY_SQL)
@@ -428,7 +448,7 @@ def schema_current_version(spark, sf_dir):
     """Current version per published table (0 if never recorded)."""
     (ev,) = D.tables(spark, sf_dir, "events")
     tabs = ev.select(F.concat(F.lit("tbl_"), (F.col("user_id") % 12).cast("string")).alias("table_name"))
-    hist = EV.version_log(schema_history(spark, sf_dir), "table_name", "created_at").withColumn("version_schema", F.col("version_schema").cast("int"))
+    hist = EV.snapshot_log(schema_history(spark, sf_dir), "table_name", "created_at").withColumn("version_schema", F.col("version_schema").cast("int"))
     return EV.current_version(tabs, hist)
 
 
@@ -453,7 +473,7 @@ WHERE rn = 1
 def schema_history_dedup(spark, sf_dir):
     """A history table with duplicated (table, version) rows -- here a
     replayed write an hour later on even days -- reduced to the oldest row."""
-    hist = EV.version_log(schema_history(spark, sf_dir), "table_name", "created_at").select(
+    hist = EV.snapshot_log(schema_history(spark, sf_dir), "table_name", "created_at").select(
         "table_name", F.col("version_schema").cast("int").alias("version_schema"), "created_at", F.col("snapshot_id").alias("history_id")
     )
     replay = hist.filter(F.dayofmonth("created_at") % 2 == 0).select(
@@ -462,26 +482,6 @@ def schema_history_dedup(spark, sf_dir):
     return EV.dedup_versions(hist.unionByName(replay))
 
 
-@query(
-    "schema_at_version",
-    with_ctes(_V1_SQL)
-    + """
-SELECT 2 AS version, v2.column_name, v2.data_type,
-       CASE WHEN v1.data_type IS NULL THEN 'added' WHEN v1.data_type <> v2.data_type THEN 'type_changed'
-            WHEN (v1.n_nulls > 0) <> (v2.n_nulls > 0) THEN 'nullability_changed' ELSE 'unchanged' END AS change
-FROM v2 LEFT JOIN v1 ON v1.column_name = v2.column_name
-""",
-)
-def schema_at_version(spark, sf_dir):
-    """The schema at version 2 (the ``new`` side of history row 2) with
-    the change that produced each column."""
-    v1, v2 = _versions(spark, sf_dir)
-    d = EV.diff(v1, v2).filter(F.col("change") != "dropped")
-    return v2.select("column_name", "data_type").join(d.select("column_name", "change"), "column_name").select(
-        F.lit(2).alias("version"), "column_name", "data_type", "change"
-    )
-
-
 @query(
     "evolve_target",
     """
@@ -551,7 +551,7 @@ WHERE b.table_name IN (SELECT table_name FROM changed) AND b.pipeline_id % 2 = 0
 def refresh_candidates(spark, sf_dir):
     """Running pipelines (even ids run) with a branch on a table whose
     schema changed in the last days."""
-    hist = EV.version_log(schema_history(spark, sf_dir), "table_name", "created_at")
+    hist = EV.snapshot_log(schema_history(spark, sf_dir), "table_name", "created_at")
     changed = hist.filter((F.col("version_schema") > 1) & (F.col("created_at") >= F.lit("2024-01-28").cast("timestamp_ntz")))
     br = D.branches(spark, sf_dir)
     pipelines = br.select("pipeline_id").distinct().withColumn("status", F.when(F.col("pipeline_id") % 2 == 0, "START").otherwise("PAUSE"))

@@ -8,6 +8,7 @@ checkpoint directory, runs the streaming query to completion
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import apply as A
 from tidemark.plans import derived as D
@@ -16,19 +17,19 @@ from tidemark.plans.registry import CHG_EVENTS, query, with_ctes
 from tidemark.streaming import changes as S
 
 BIG_VALUES = {"version": 2, "groups": [{"conditions": [{"column": "value", "operator": ">", "value": "50"}]}], "interLogic": []}
-BIG_SQL = "SELECT k, event_id, ts, op, value FROM events"
+TARGET_SCHEMA = T._parse_datatype_string(
+    "k long, op string, ts_ms long, event_id long, ts timestamp_ntz, event_type string, value double, props string"
+)
+BIG_COLUMNS = ["k", "event_id", "ts", "op", "value"]
+BIG_SQL = f"SELECT {', '.join(BIG_COLUMNS)} FROM events"
 
 
 def _branches(base: str):
-    # Merge-on-read targets: each micro-batch appends its changes; every
-    # second batch folds the deltas into a new base.
-    common = dict(
-        table="events", fields=EVENT_FIELDS, keys=["k"], key_from_json={"k": "long"}, ts_col="ts", seq_col="event_id",
-        layout="merge_on_read", compact_every=2,
-    )
+    common = dict(table="events", fields=EVENT_FIELDS, key_from_json={"k": "long"}, ts_col="ts", seq_col="event_id", require_target=True)
     return [
-        S.Branch(name="all_users", target_path=f"{base}/targets/all_users", **common),
-        S.Branch(name="big_values", target_path=f"{base}/targets/big_values", filter_spec=BIG_VALUES, sql=BIG_SQL, **common),
+        S.Branch(name="all_users", keys=["k"], target_path=f"{base}/targets/all_users", **common),
+        # The key of this one is read from the events' own.
+        S.Branch(name="big_values", keys=None, target_path=f"{base}/targets/big_values", filter_spec=BIG_VALUES, sql=BIG_SQL, **common),
     ]
 
 
@@ -39,6 +40,9 @@ def _run_events_stream(spark, sf_dir, split: bool = False, max_files: int | None
     sinks = S.StreamSinks(dlq_path=f"{base}/dlq", throughput_path=f"{base}/throughput")
     branches = _branches(base)
     ckpt = f"{base}/checkpoint"
+    for br in branches:  # K8, K9: targets are made first, a branch without one would dead-letter
+        columns = TARGET_SCHEMA if br.sql is None else T.StructType([TARGET_SCHEMA[c] for c in BIG_COLUMNS])
+        br.target(spark).create(columns)
     if split:
         # First delivery: changes up to mid-month; then the rest arrives and
         # the query is restarted from its checkpoint.
@@ -133,7 +137,7 @@ def landing_incremental_merge(spark, sf_dir):
     rows = A.landing_rows(D.chg_events(spark, sf_dir), "op", "2024-01-31 00:00:00")
     landing = f"{base}/landing"
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
-    target = S.BucketedTarget(spark, f"{base}/target", ["K"], "TS", "SEQ", op_col="OPERATION")
+    target = S.Target(spark, f"{base}/target", ["K"], "TS", "SEQ", op_col="OPERATION")
     rows.filter(F.col("TS") < cut).write.mode("append").parquet(landing)
     S.landing_merge_stream(spark, landing, rows.schema, target, f"{base}/ckpt")
     rows.filter(F.col("TS") >= cut).write.mode("append").parquet(landing)
@@ -157,7 +161,7 @@ def stream_lag_hourly(spark, sf_dir):
     base = S.fresh_dir(spark, "lag")
     w = wal_metrics(spark, sf_dir).select("source_id", "size_bytes", "recorded_at")
     w.repartition(8).write.mode("overwrite").parquet(f"{base}/series")
-    out = S.BucketedTarget(spark, f"{base}/hourly", ["hour", "source_id"], "ts", "seq")
+    out = S.Target(spark, f"{base}/hourly", ["hour", "source_id"], "ts", "seq")
     S.hourly_lag_stream(spark, f"{base}/series", w.schema, out, f"{base}/ckpt")
     r = out.read()
     return r.select("hour", "source_id", F.round(F.col("total_bytes") / F.col("n"), 2).alias("avg_bytes"), F.col("n").cast("long").alias("n"))

@@ -123,50 +123,24 @@ def run_backfill(
     target,
     job_id: str,
     progress_path: str,
-    groups: int = 8,
     predicate: Column | None = None,
     backfill_ts: str = "1970-01-01 00:00:00",
 ) -> DataFrame:
-    """Resumable backfill: the filtered snapshot, as ``r`` events, merged into
-    ``target`` (a ``BucketedTarget``) one group of target buckets at a time.
-
-    Splitting by the target's own buckets (not by key ranges, which would
-    touch every bucket each time) means every bucket is rewritten exactly
-    once; the source is scanned once into a bucket-partitioned staging copy
-    whose partitions the groups read (partition pruning); staging and
-    progress belong to the job id.  Each group's merge carries its own commit
-    marker (epoch ``<job>-g<n>``), so a restarted job skips finished groups and
-    a re-run group rewrites the same rows.  A progress row ``(job_id, group_no,
-    n_rows)`` has a folder of its own, written after the group's commit; one
-    that a crash lost is counted again from the staged rows.  ``groups`` bounds the driver-side loop."""
-    from pyspark.sql import Observation
-
+    """Backfill: the filtered snapshot, as ``r`` events that are older than any
+    change, written into ``target`` (``streaming.changes.Target``) as a batch of its
+    own by one job.  Spark commits the batch as a whole and retries lost tasks; a
+    restarted job that finds its batch committed writes nothing, one that doesn't
+    writes the same batch again.  Returns the progress rows ``(job_id, n_rows)``,
+    each in a folder of its own; one that a crash lost is counted again."""
     from tidemark.streaming.changes import path_exists
 
-    # One scan of the source: the snapshot is staged partitioned by target
-    # bucket (a restarted job reuses a completed staging); each group then
-    # reads only its own bucket partitions.
-    staged = f"{progress_path.rstrip('/')}_staged/job={job_id}"
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
+    name = f"backfill-{job_id}"
+    if not target.written(name):
         snap = snapshot(source, predicate)
-        snap = snap.withColumn("ts", F.lit(backfill_ts).cast("timestamp_ntz")).withColumn("seq", F.lit(0).cast("long"))
-        snap.withColumn("bucket", target.bucket_of()).write.mode("overwrite").partitionBy("bucket").parquet(staged)
-    per_group = -(-target.buckets // max(1, groups))
-    for g in range(min(groups, target.buckets)):
-        epoch = f"{job_id}-g{g}"
-        noted = f"{progress_path.rstrip('/')}/job={job_id}/group={g}"
-        if path_exists(spark, f"{noted}/_SUCCESS"):
-            continue
-        lo, hi = g * per_group, min(target.buckets, (g + 1) * per_group) - 1
-        part = spark.read.parquet(staged).filter(F.col("bucket").between(lo, hi)).drop("bucket")
-        if target.committed(epoch):  # a crash came between the commit and its row
-            n = part.count()
-        else:
-            counted = Observation(f"backfill_{job_id}_{g}")
-            target.merge(part.observe(counted, F.count(F.lit(1)).alias("n")), epoch)
-            # merge() always scans the group first (its touched-bucket pass), so
-            # the observation is filled even for an empty group.
-            n = int(counted.get.get("n", 0))
-        row = spark.createDataFrame([(job_id, g, n)], "job_id string, group_no int, n_rows long")
-        row.write.mode("overwrite").parquet(noted)
-    return spark.read.parquet(progress_path).select("job_id", "group_no", "n_rows")
+        snap = snap.withColumn(target.ts_col, F.lit(backfill_ts).cast("timestamp_ntz")).withColumn(target.seq_col, F.lit(0).cast("long"))
+        target.write(snap, name)
+    noted = f"{progress_path.rstrip('/')}/job={job_id}"
+    if not path_exists(spark, f"{noted}/_SUCCESS"):
+        n = target.batch(name).count()
+        spark.createDataFrame([(job_id, n)], "job_id string, n_rows long").coalesce(1).write.mode("overwrite").parquet(noted)
+    return spark.read.schema("job_id string, n_rows long").parquet(progress_path)

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,6 +143,46 @@ def key_profile(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
+SKETCHES = 64  # column sets that one pass sketches
+HLL_BITS = 14
+HLL_MARGIN = 0.05  # over five standard errors of such a sketch
+
+
+def least_keys(df: DataFrame, max_width: int = 3) -> list[tuple[str, ...]]:
+    """S10 where no key is declared: the smallest sets of columns that identify the
+    rows (all of the least width, none wider than ``max_width``; empty if there are
+    none).  A column with a NULL is in no key.
+
+    Sets are searched level by level.  A set whose columns' distinct counts multiply
+    to less than the rows can't be a key; the others are counted by HyperLogLog
+    sketches, many in one pass, and only those that a sketch does not rule out are
+    verified exactly, by one grouped count each."""
+    n = df.count()
+    filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
+    columns = [c for c in df.columns if filled[c] == n]
+    if not n or not columns:
+        return []
+    distinct: dict[tuple, float] = {}
+    for width in range(1, min(max_width, len(columns)) + 1):
+        level = []
+        for some in combinations(columns, width):
+            bound = 1.0
+            for c in some if width > 1 else ():
+                bound *= distinct[(c,)] * (1 + HLL_MARGIN)
+            if width == 1 or bound >= n:
+                level.append(some)
+        for at in range(0, len(level), SKETCHES):
+            part = level[at : at + SKETCHES]
+            sketches = [F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*some), HLL_BITS)).alias(str(i)) for i, some in enumerate(part)]
+            row = df.agg(*sketches).first()
+            distinct.update({some: float(row[str(i)]) for i, some in enumerate(part)})
+        likely = [some for some in level if distinct[some] >= n * (1 - HLL_MARGIN)]
+        found = [some for some in likely if not df.groupBy(*some).count().filter("count > 1").take(1)]
+        if found:
+            return found
+    return []
+
+
 def reconcile(published: DataFrame, tracked: DataFrame, name: str = "table_name", schema_col: str = "schema_json") -> DataFrame:
     """Tables published by the source vs tables tracked here: added
     (published, untracked), removed (tracked, unpublished), schema missing

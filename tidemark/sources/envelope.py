@@ -47,6 +47,7 @@ FIELD_SCHEMA = T.StructType(
         T.StructField("name", T.StringType()),
         T.StructField("optional", T.BooleanType()),
         T.StructField("parameters", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("default", T.StringType()),
     ]
 )
 
@@ -201,6 +202,23 @@ def parse_table_changes(
     return decoded.drop("__img")
 
 
+def schema_text(value: Column) -> Column:
+    """The schema block of an event as it came (NULL without one)."""
+    return F.from_json(value, T.StructType([T.StructField("schema", T.StringType())])).getField("schema")
+
+
+def changes_schema(fields: Sequence[dict], tz: str = DC.DEFAULT_TZ) -> T.StructType:
+    """The columns that ``parse_table_changes`` gives for a table's fields (a field
+    may name its ``spark_type`` instead of its wire type)."""
+    from pyspark.sql import SparkSession
+
+    wire = [f for f in fields if "spark_type" not in f]
+    parsed = parse_table_changes(SparkSession.getActiveSession().createDataFrame([], RAW_EVENT_SCHEMA), wire, tz=tz).schema
+    typed = {f["field"]: f["spark_type"] for f in fields if "spark_type" in f}
+    names = [f.name for f in parsed.fields[: len(parsed.fields) - len(wire)]]
+    return T.StructType([parsed[n] for n in names] + [T.StructField(f["field"], typed.get(f["field"]) or parsed[f["field"]].dataType) for f in fields])
+
+
 def type_catalog(parsed: DataFrame, image: str = "after") -> DataFrame:
     """Column types per table from the envelope schema:
     ``(table_name, field, type, name, optional, scale, n_events)``.
@@ -319,9 +337,12 @@ def decode_image(df: DataFrame, fields: Sequence[dict], image_col: str = "value"
 # ---------------------------------------------------------------- encoding (sources for tests)
 
 
-def field_entry(field: str, wire_type: str, name: str | None = None, optional: bool = True, scale: int | None = None) -> dict:
+def field_entry(
+    field: str, wire_type: str, name: str | None = None, optional: bool = True, scale: int | None = None, default: str | None = None
+) -> dict:
     """One column of an envelope's schema block."""
-    return {
+    entry = {} if default is None else {"default": default}
+    return entry | {
         "field": field,
         "type": wire_type,
         "name": name,
