@@ -440,6 +440,9 @@ def replay(
             & F.col("target_name").eqNullSafe(r["target_name"])
             & (F.col("config.branch").eqNullSafe(name) & F.col("config.filter").eqNullSafe(r["config"]["filter"]) & F.col("config.sql").eqNullSafe(r["config"]["sql"]))
         )
+        again = Q.retry_split(mine.filter(~Q.decoded()), max_retry)  # nothing that a branch could take
+        stays.append(again.filter(F.col("action") == "requeue").drop("action"))
+        mine = mine.filter(Q.decoded())
         try:
             if now is None:
                 like = [br for br in branches if br.table == r["table_name"]]
@@ -448,9 +451,6 @@ def replay(
                 stored = Q.stored_config(r["config"])
                 now = replace(like[0], name=name, target_path=r["target_name"], filter_spec=stored["filter"], sql=stored["sql"])
             target = now.target(spark)
-            if mine.filter(~Q.decoded()).limit(1).count():
-                again = Q.retry_split(mine.filter(~Q.decoded()), max_retry)  # nothing a branch could take
-                stays.append(again.filter(F.col("action") == "requeue").drop("action"))
             rows = Q.restore_records(mine, _changes_schema(spark, schema_path, now))
             target.keys = _keys_of(now, rows, target)
             if now.require_target:
