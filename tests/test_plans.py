@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import alerts as AL
 from tidemark.operators import joins as J
 from tidemark.sources import backfill as B
 from tidemark.sources import catalog as C
@@ -47,16 +46,15 @@ def test_offset_page_ties_and_nulls(spark, kind):
     assert len(whole) == 3000
 
 
-def test_throttle_summary_is_linear_and_exact():
+def test_runs_of_many_ties_are_found_by_array_steps():
+    """A slice of attempts at one time, all acknowledged, and one of a single run."""
     import numpy as np
 
-    rnd = random.Random(1)
-    for _ in range(200):
-        n = rnd.randint(1, 30)
-        t = np.array(sorted(rnd.randrange(60) for _ in range(n)))
-        acked = np.array([rnd.random() < 0.15 for _ in range(n)])
-        s = AL._throttle_summary(t, acked, 10)
-        for last in range(int(t[0]) - 12, int(t[0]) + 1):
-            assert AL._throttle_apply(s, last, 10) == AL._throttle_run(t, acked, 10, last)[1]
-        assert AL._throttle_apply(s, None, 10) == AL._throttle_run(t, acked, 10, None)[1]
-    AL._throttle_summary(np.zeros(200_000, dtype="int64"), np.ones(200_000, dtype=bool), 10)
+    from tidemark.operators import runs as R
+
+    n = 300_000
+    same = np.zeros(n, np.int64)
+    jump = R.openings(same, same + 10, np.ones(n, bool), np.ones(n, bool), R.NONE)
+    assert jump[0] == 0 and R.reached(jump[1:], 0).all() and R.ends(jump[1:])[1][0] == n
+    jump = R.openings(same, same + 10, np.ones(n, bool), np.zeros(n, bool), R.NONE)
+    assert R.reached(jump[1:], 0).sum() == 1 and (R.ends(jump[1:])[1] == 1).all()
