@@ -17,9 +17,10 @@ from tidemark.plans.registry import CHG_EVENTS, query, with_ctes
 from tidemark.streaming import changes as S
 
 BIG_VALUES = {"version": 2, "groups": [{"conditions": [{"column": "value", "operator": ">", "value": "50"}]}], "interLogic": []}
-TARGET_SCHEMA = T._parse_datatype_string(
-    "k long, op string, ts_ms long, event_id long, ts timestamp_ntz, event_type string, value double, props string"
-)
+_LONG, _TEXT = T.LongType(), T.StringType()
+TARGET_COLUMNS = {
+    "k": _LONG, "op": _TEXT, "ts_ms": _LONG, "event_id": _LONG, "ts": T.TimestampNTZType(), "event_type": _TEXT, "value": T.DoubleType(), "props": _TEXT,
+}
 BIG_COLUMNS = ["k", "event_id", "ts", "op", "value"]
 BIG_SQL = f"SELECT {', '.join(BIG_COLUMNS)} FROM events"
 
@@ -41,8 +42,8 @@ def _run_events_stream(spark, sf_dir, split: bool = False, max_files: int | None
     branches = _branches(base)
     ckpt = f"{base}/checkpoint"
     for br in branches:  # K8, K9: targets are made first, a branch without one would dead-letter
-        columns = TARGET_SCHEMA if br.sql is None else T.StructType([TARGET_SCHEMA[c] for c in BIG_COLUMNS])
-        br.target(spark).create(columns)
+        names = list(TARGET_COLUMNS) if br.sql is None else BIG_COLUMNS
+        br.target(spark).create(T.StructType([T.StructField(c, TARGET_COLUMNS[c]) for c in names]))
     if split:
         # First delivery: changes up to mid-month; then the rest arrives and
         # the query is restarted from its checkpoint.
