@@ -42,6 +42,7 @@ from tidemark.sources.tables import read_table
 LETTERS = re.compile(r"[^\W\d_]+")
 ORDERS = (5, 4, 3, 2, 1)
 CACHE_WORDS = 300_000
+FEW_LANGUAGES = 10_000  # rows of a table of languages that may be broadcast
 
 
 def words_of(text: str) -> list[str]:
@@ -79,7 +80,9 @@ def _map_counts(batches):
 def train(rows: DataFrame, train_docs: int = 2000, max_words: int = 30_000, max_grams: int = 10_000) -> dict:
     """The model from ``rows`` (lang, text, h: a hash of the row's id)."""
     small_batches(rows.sparkSession)
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    sizes = _written(rows.groupBy("lang").agg(F.count("*").alias("of_lang")), "language-sizes")
+    if sizes.count() <= FEW_LANGUAGES:  # else the join is by language, texts and all
+        sizes = F.broadcast(sizes)
     share = F.pmod("h", F.lit(1 << 20)) * F.col("of_lang") < train_docs * (1 << 20)
     sample = rows.join(sizes, "lang").where(share).select("lang", "text")
     counts = sample.mapInArrow(_map_counts, "lang string, order int, token string, n long")
