@@ -86,3 +86,12 @@ def test_throttle_ties_and_acks(spark):
     df = spark.createDataFrame(rows, "k string, s long, id long, acked boolean").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
     got = {r.id: r.create for r in AL.throttle(df, "k", "ts", "id", "acked", partitions=13).collect()}
     assert got == _reference_throttle(rows)
+
+
+def test_throttle_many_attempts_of_today(spark):
+    """Times of today sum beyond 64 bits after some 5,000 rows of a key."""
+    rnd = random.Random(31)
+    rows = [("hot" if i % 20 else "cold", 1_704_067_200 + rnd.randint(0, 2_592_000), i, rnd.random() < 0.1) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k string, s long, id long, acked boolean").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    got = {r.id: r.create for r in AL.throttle(df, "k", "ts", "id", "acked", partitions=3).collect()}
+    assert got == _reference_throttle(rows)

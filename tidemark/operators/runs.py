@@ -69,6 +69,11 @@ class Rule:
             return value, value + self.reach
         return total, np.maximum(total - value + self.reach, total)  # a row beyond the reach is a run of its own
 
+    def summed(self, value: np.ndarray) -> np.ndarray:
+        """What rows add to their group's sum: nothing where no bound counts by it,
+        as a sum of times doesn't fit 64 bits."""
+        return value if self.by == "sum" else np.zeros(len(value), np.int64)
+
     def moved(self, at: int, rows_before: int, sum_before: int) -> int:
         """An ``at`` that was counted from the slice's first row."""
         return at + {"index": rows_before, "value": 0, "sum": sum_before}[self.by]
@@ -147,6 +152,7 @@ def _map_edges(rule: Rule):
             if not batch.num_rows:
                 continue
             pid, group, value, eligible, always = _columns(batch)
+            adds = rule.summed(value)
             cut = _cuts(group)
             for j in sorted({0, len(cut) - 2}):
                 a, b = int(cut[j]), int(cut[j + 1])
@@ -154,13 +160,13 @@ def _map_edges(rule: Rule):
                 if not kept or kept[-1]["group"] != name:
                     kept = [*kept[:1], {"group": name, "rows": 0, "total": 0, "high": NONE, "forced": -1}]
                 s = kept[-1]
-                at, _ = rule.numbers(value[a:b], s["rows"] + np.arange(b - a), s["total"] + np.cumsum(value[a:b]))
+                at, _ = rule.numbers(value[a:b], s["rows"] + np.arange(b - a), s["total"] + np.cumsum(adds[a:b]))
                 if eligible[a:b].any():
                     s["high"] = int(at[eligible[a:b]][-1])
                 if always[a:b].any():
                     s["forced"] = s["rows"] + int(np.flatnonzero(always[a:b])[-1])
                 s["rows"] += b - a
-                s["total"] += int(value[a:b].sum())
+                s["total"] += int(adds[a:b].sum())
         if pid is not None:
             names = ["group", "rows", "total", "high", "forced"]
             yield pa.RecordBatch.from_arrays(
@@ -252,8 +258,9 @@ def _walk(batches, slices: Slices, rule: Rule):
             before[0], sums[0] = rows, total
         first = np.repeat(cut[:-1], sizes)
         row = np.arange(len(value)) - first + np.repeat(before, sizes)
-        upto_here = np.cumsum(value)
-        upto_here += np.repeat(sums - upto_here[cut[:-1]] + value[cut[:-1]], sizes)
+        adds = rule.summed(value)
+        upto_here = np.cumsum(adds)
+        upto_here += np.repeat(sums - upto_here[cut[:-1]] + adds[cut[:-1]], sizes)
         at, upto = rule.numbers(value, row, upto_here)
         yield Stretch(batch, cut, goes_on, row, at, upto, eligible, always | (row == 0), inside)
         current, rows, total = (group[int(cut[-2])].as_py(),), int(row[-1]) + 1, int(upto_here[-1])
