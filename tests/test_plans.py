@@ -58,3 +58,26 @@ def test_runs_of_many_ties_are_found_by_array_steps():
     assert jump[0] == 0 and R.reached(jump[1:], 0).all() and R.ends(jump[1:])[1][0] == n
     jump = R.openings(same, same + 10, np.ones(n, bool), np.zeros(n, bool), R.NONE)
     assert R.reached(jump[1:], 0).sum() == 1 and (R.ends(jump[1:])[1] == 1).all()
+
+
+def test_key_search_removes_its_shuffles(spark):
+    """The exact counts of a key search hold the disk of one of them at a time."""
+    import time
+
+    from tidemark.session import SHUFFLE_CLEANUP
+    from tidemark.sources import catalog as C
+
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName().split("_") for i in range(files.size()))
+        return {n[1] for n in names if n[0] == "shuffle"}
+
+    before, conf = shuffles(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    df = spark.range(20_000).selectExpr("if(id = 7, 8, id) AS a", "if(id = 5, 8, id) AS b", "if(id = 3, 8, id) AS c")
+    assert C.least_keys(df) == [("a", "b"), ("a", "c"), ("b", "c")]
+    for _ in range(20):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == conf

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -60,6 +61,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Queries that run inside remove their shuffle files when they end, not when the
+    driver next collects garbage: many passes in a row hold the disk of one.  For
+    results that are collected; a DataFrame kept for later would shuffle again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
     builder = (

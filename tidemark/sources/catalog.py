@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import shuffles_removed
+
 CATALOG_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -156,7 +158,13 @@ def least_keys(df: DataFrame, max_width: int = 3) -> list[tuple[str, ...]]:
     Sets are searched level by level.  A set whose columns' distinct counts multiply
     to less than the rows can't be a key; the others are counted by HyperLogLog
     sketches, many in one pass, and only those that a sketch does not rule out are
-    verified exactly, by one grouped count each."""
+    verified exactly, by one grouped count each.  Such a count shuffles the set's
+    columns of all rows; its files go before the next one."""
+    with shuffles_removed(df.sparkSession):
+        return _least_keys(df, max_width)
+
+
+def _least_keys(df: DataFrame, max_width: int) -> list[tuple[str, ...]]:
     n = df.count()
     filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
     columns = [c for c in df.columns if filled[c] == n]
