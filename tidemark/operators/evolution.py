@@ -85,18 +85,19 @@ def schema_runs(events: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
     (table_name, started_ms, fields), one row for each stretch of events that carry
     the same columns, the first included.
 
-    Events are merged map-side to (table, hour, schema); only in hours with more
-    than one schema are single events put in order.  What is left is one row for
-    each hour, which a window per table compares."""
+    Events are merged map-side to (table, hour, schema), with the text as a key, as
+    a hash aggregate can't hold one as a value and would sort all events; only in
+    hours with more than one schema are single events put in order.  What is left is
+    one row for each hour, which a window per table compares."""
     spread = events.select("*", F.floor(F.col("at") / bucket_ms).alias("__b"), F.xxhash64("schema").alias("__s"))
-    hours = spread.groupBy("table_name", "__b", "__s").agg(F.min("at").alias("at"), F.first("schema").alias("schema"))
+    hours = spread.groupBy("table_name", "__b", "__s", "schema").agg(F.min("at").alias("at"))
     mixed = hours.groupBy("table_name", "__b").agg(F.count("*").alias("n"), F.first("__s").alias("__s"), F.min("at").alias("at"))
     plain = mixed.filter("n = 1").select("table_name", "at", F.lit(None).cast("long").alias("tie"), "__s")
     in_hour = Window.partitionBy("table_name", "__b").orderBy("at", "tie")
     split = spread.join(mixed.filter("n > 1").select("table_name", "__b"), ["table_name", "__b"], "left_semi")
     split = split.withColumn("__before", F.lag("__s").over(in_hour)).filter(~F.col("__s").eqNullSafe(F.col("__before"))).select("table_name", "at", "tie", "__s")
     # Each different text is parsed once.
-    texts = hours.groupBy("__s").agg(F.first("schema").alias("schema")).select("__s", fields_of(F.col("schema")).alias("fields"))
+    texts = hours.select("__s", "schema").distinct().groupBy("__s").agg(F.min("schema").alias("schema")).select("__s", fields_of(F.col("schema")).alias("fields"))
     stretches = plain.unionByName(split).join(texts, "__s")
     per_table = Window.partitionBy("table_name").orderBy("at", "tie")
     stretches = stretches.withColumn("__before", F.lag("fields").over(per_table)).filter(~F.col("fields").eqNullSafe(F.col("__before")))
