@@ -1,6 +1,7 @@
 """Streaming targets: order independence, idempotent replay, restart."""
 
 import dataclasses
+import json
 import os
 import tempfile
 
@@ -398,3 +399,28 @@ def test_counter_and_throttle_folds_in_buckets():
             flags.append(last is None or flag or t - last >= 300_000_000)
             last = t if flags[-1] else last
         assert numbers == want and creates == flags
+
+
+def test_schema_texts_are_not_sorted(spark):
+    """Only rows that are merged already may reach a sorting aggregate."""
+    from tidemark.operators import evolution as EVO
+
+    schema = "table_name string, at long, tie long, schema string"
+    block = lambda *names: json.dumps({"fields": [{"field": "after", "fields": [{"field": n, "type": "string"} for n in names]}]})
+    rows = [("t", i * 1000, i, block("a") if i < 5000 else block("a", "b")) for i in range(20_000)]
+    runs = EVO.schema_runs(spark.createDataFrame(rows, schema))
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    texts = [line for line in plan.split("\n") if "SortAggregate" in line and "table_name" in line]
+    assert not texts
+    got = sorted((r.table_name, r.started_ms, [f.field for f in r.fields]) for r in runs.collect())
+    assert got == [("t", 0, ["a"]), ("t", 5_000_000, ["a", "b"])]
+
+
+def test_spread_by_rows(spark):
+    """A task's share does not grow with the input."""
+    from tidemark.session import spread
+
+    df = spark.range(1000).coalesce(1)
+    assert spread(df, 2, rows=100).rdd.getNumPartitions() == 10
+    assert spread(df, 2, rows=None).rdd.getNumPartitions() == 2
+    assert spread(df, 2).rdd.getNumPartitions() == 2

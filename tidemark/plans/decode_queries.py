@@ -514,7 +514,7 @@ def lines_raw(spark, sf_dir):
     """The every-type table (line items with their orders) as change
     events, each type encoded the way a change connector writes it."""
     li, o = D.tables(spark, sf_dir, "lineitem", "orders")
-    j = spread(li.join(o, li["l_orderkey"] == o["o_orderkey"]))
+    j = spread(li.join(o, li["l_orderkey"] == o["o_orderkey"]), rows=None)
     image = F.struct(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"),
         DC.decimal_to_base64(F.col("l_extendedprice"), 2).alias("price"),

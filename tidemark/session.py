@@ -102,10 +102,16 @@ def local_session(app: str = "tidemark", cores: str = "*", shuffle_partitions: i
     return spark
 
 
-def spread(df, min_partitions: int | None = None):
+SPREAD_ROWS = 100_000
+
+
+def spread(df, min_partitions: int | None = None, rows: int | None = SPREAD_ROWS):
     """Round-robin ``df`` over at least ``min_partitions`` partitions (default:
-    the cluster's parallelism) when it has fewer -- for CPU-heavy per-row work
-    (JSON parsing) on inputs that arrive in few files.  A no-op when the input
-    is already split finer, as any large input is."""
+    the cluster's parallelism), and over as many as hold ``rows`` rows each, when it
+    has fewer -- for CPU-heavy per-row work (JSON parsing) on inputs that arrive in
+    few files.  Small rows of a compact file can become long ones: a task that sorts
+    them holds its share, which must not grow with the input.  Without ``rows``
+    they are not counted.  A no-op when the input is already split finer."""
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = max(n, -(-df.count() // rows)) if rows else n
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -342,7 +342,7 @@ def _parse_by_schema(rows: DataFrame, newest: Sequence) -> DataFrame:
     columns.  A batch has a few different schema texts (one, but for a change)."""
     spark = rows.sparkSession
     staged = rows.withColumn("__schema", EV.schema_text(F.col("value")))
-    texts = staged.groupBy("__schema").agg(F.first(EVO.fields_of(F.col("__schema"))).alias("fields")).collect()
+    texts = staged.select("__schema").distinct().select("__schema", EVO.fields_of(F.col("__schema")).alias("fields")).collect()
     kept = dict(keep=[TEXT], keep_malformed=True, count_errors=True)
     newest = [r.asDict() for r in newest]
     shape = EV.parse_table_changes(_texted(spark.createDataFrame([], EV.RAW_EVENT_SCHEMA)), newest, **kept).schema
