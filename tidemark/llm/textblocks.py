@@ -10,12 +10,19 @@ Null texts count as empty.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 18
 
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim  # glibc's
+except (OSError, AttributeError):
+    _TRIM = None
+
 U64 = np.uint64
 _RNG = np.random.RandomState(20240501)
 
@@ -101,8 +108,23 @@ def small_batches(spark) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
 
 
+def release() -> None:
+    """Give freed memory back to the system.  Workers are used again by later stages
+    or stay idle for a while, and what each of them keeps for itself adds up."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def blocks(batches, text: str = "text", max_bytes: int = BLOCK_BYTES):
-    """Yield slices of the record batches with at most ``max_bytes`` of text each."""
+    """Yield slices of the record batches with at most ``max_bytes`` of text each;
+    freed memory goes back to the system before the first and after the last."""
+    release()
+    yield from _blocks(batches, text, max_bytes)
+    release()
+
+
+def _blocks(batches, text: str, max_bytes: int):
     for batch in batches:
         n = batch.num_rows
         if not n:
