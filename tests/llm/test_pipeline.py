@@ -40,3 +40,17 @@ def test_stages(spark):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_text_passes_release_memory(monkeypatch):
+    """Before the first block and after the last: workers are used again or idle."""
+    import pyarrow as pa
+
+    from tidemark.llm import textblocks as TB
+
+    calls = []
+    monkeypatch.setattr(TB, "release", lambda: calls.append(len(seen)))
+    seen = []
+    for part in TB.blocks([pa.RecordBatch.from_pydict({"text": ["a", None, "bc"]})]):
+        seen.append(part.num_rows)
+    assert seen == [3] and calls == [0, 1]
