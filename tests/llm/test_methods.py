@@ -1,6 +1,7 @@
 """Bounds, thresholds and whole results of the learned operators, decontamination
 against its SQL on purpose-made documents, and very long texts."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -275,6 +276,73 @@ def test_secret_network_makes_the_find(spark):
     assert {r.spans for r in secrets.scan(new, None).collect()} == {""}  # no pattern does
 
 
+def test_secret_network_learns_from_windows_of_any_hash(spark):
+    """Checksums look like keys; none of their windows is among the 1,500 lowest hashes."""
+    rng = random.Random(9)
+
+    def checksum(least):
+        while True:
+            key = key_of(rng, 24)
+            text = f"the file checksum is {key} ok"
+            row = secrets.windows(text, text.index(key), text.index(key) + 24)[0].tobytes()
+            if int.from_bytes(hashlib.blake2b(row, digest_size=8).digest(), "little") >> 1 >= least:
+                return text
+
+    name = lambda: "".join(rng.choice("aeioulmnrst") for _ in range(14))
+    texts = [f"some words call {name()}7 more" for _ in range(2500)] + [checksum(0.8 * 2**63) for _ in range(400)]
+    texts += [f"some words token = {key_of(rng, 24)} more" for _ in range(1000)]
+    model = secrets.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    new = [checksum(0) for _ in range(50)] + [f"some words auth = {key_of(rng, 24)} more" for _ in range(50)]
+    scanned = secrets.scan(spark.createDataFrame(list(enumerate(new)), "doc_id long, text string"), model).collect()
+    hits = [sum("model:" in r.spans for r in scanned if (r.doc_id < 50) == known) for known in (True, False)]
+    assert hits[0] <= 3 and hits[1] >= 45, hits
+
+
+def test_secret_training_takes_every_window(spark):
+    """More windows than one shard and than 1,500 of each class: all different ones are
+    fitted, held or left out, and the threshold is the recall point of all held ones."""
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("aeioulmnrst") for _ in range(15))
+    texts = [f"some words token = {key_of(rng, 24)} more" if i % 2 else f"some words call {name()} more" for i in range(7000)]
+    found = {}
+    for text in texts:
+        base = secrets.base_spans(text)
+        for label, spans in ((1, [secrets.base_value(text, *b) for b in base]), (0, [secrets.value(text, *c) for c in secrets.candidates(text, base)])):
+            for s, e in spans:
+                for w in secrets.codes_of(secrets.windows(text, s, e)):
+                    found[label, w.tobytes()] = int.from_bytes(hashlib.blake2b(w.tobytes(), digest_size=8).digest(), "little") >> 1
+    assert min(sum(y == label for y, _ in found) for label in (0, 1)) == 3500
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:500])], "doc_id long, text string")
+    models = [secrets.train(table.repartition(n), recall=0.95, shard=1000) for n in (3, 5)]
+    model = models[0]
+    used = model["windows"]
+    assert used["fitted"] + used["held"] + used["left_out"] == len(found) and used["left_out"] < 50, used
+    held = [np.frombuffer(w, np.uint8) for (y, w), h in found.items() if y and h >> 1 & 3 == 3]
+    out = np.sort(secrets.rounded(secrets.pooled(np.stack(held), model["net"]) @ model["net"]["v"] + model["net"]["c"])) / secrets.OUTPUT_STEPS
+    a, b = model["calibration"]
+    point = training.sigmoid(a * out + b)[int((1 - 0.95) * len(out))]
+    assert len(held) > 750 and abs(model["threshold"] - point) < 1e-3 and model["held_recall"] >= 0.95
+    assert {k: v for k, v in models[1].items() if k != "net"} == {k: v for k, v in model.items() if k != "net"}
+    assert all(np.array_equal(models[1]["net"][k], v) for k, v in model["net"].items())
+
+
+def test_secret_shards_deal_few_base_values_to_several(spark):
+    rows = [(int(i % 100 == 0), i * 7919 << 8, bytes([1 + i % 100]) * secrets.WIDTH) for i in range(6000)]
+    found = spark.createDataFrame(rows, "label int, hash long, window binary")
+    first, base = 0, []
+    for _, x, flags in secrets._unpacked(secrets._shards(found, {0: 5940, 1: 60}, 500).toArrow().to_batches()):
+        first += int(((flags & secrets.FIRST) != 0).sum())
+        base.append(int((flags & secrets.LABEL).sum()))
+        assert len(x) == len(flags)
+    assert first == 6000 and base == [60] * 12  # each window counts once
+
+
+def test_weighted_platt_equals_repeated_scores():
+    rng = np.random.RandomState(6)
+    scores, y, n = rng.randn(200), rng.randint(0, 2, 200), rng.randint(1, 9, 200)
+    assert np.allclose(training.platt(scores, y, count=n), training.platt(np.repeat(scores, n), np.repeat(y, n)), rtol=1e-4)
+
+
 def test_secret_candidates_of_a_long_text_are_read_in_groups():
     """Ten megabytes of candidates, and one run of a megabyte."""
     rng = np.random.RandomState(2)
