@@ -1,6 +1,7 @@
 """Plans and operators that must hold for large groups and odd input."""
 
 import random
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +82,73 @@ def test_key_search_removes_its_shuffles(spark):
         time.sleep(0.2)
     assert not shuffles() - before
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == conf
+
+
+def test_key_search_settles_sets_by_rows_that_agree(spark):
+    """Two equal rows settle every set of columns; none is counted on its own."""
+    df = spark.range(4000).select(*[F.xxhash64(F.expr("if(id = 7, 9, id)"), F.lit(i)).alias(f"c{i}") for i in range(8)])
+    sc = spark.sparkContext
+    try:
+        sc.setJobGroup("key-search-rows", "")
+        assert C.least_keys(df) == []
+        jobs = len(sc.statusTracker().getJobIdsForGroup("key-search-rows"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    assert jobs < 40, jobs  # 92 sets
+
+
+def _least_keys_by_hand(columns, rows, max_width=3):
+    for width in range(1, max_width + 1):
+        found = [
+            some
+            for some in combinations(columns, width)
+            if rows and not any(r[c] is None for r in rows for c in some) and len({tuple(r[c] for c in some) for r in rows}) == len(rows)
+        ]
+        if found:
+            return found
+    return []
+
+
+@pytest.mark.parametrize("many,collide", [(1 << 20, False), (0, True)])
+def test_key_search_beyond_its_part(spark, monkeypatch, many, collide):
+    """Keys of tables much larger than the part looked at first, by brute force; also
+    with many repeats and with hashes that collide."""
+    monkeypatch.setattr(C, "MANY", many)
+    monkeypatch.setattr(C, "BUCKET", 64)
+    monkeypatch.setattr(C, "SLICES", 4)
+    if collide:
+        hashed = C._hash
+        monkeypatch.setattr(C, "_hash", lambda some: F.when(hashed(some) % 16 == 0, 48).otherwise(hashed(some)))
+    rng = random.Random(4)
+    pairs = list(combinations(range(6), 2))
+    alone = [(2 * i + 1, 2 * i + 2, (i % 6,)) for i in range(12)]  # rows made equal in some columns
+    both = [(2 * i + 1, 2 * i + 2, pairs[i % 15]) for i in range(240)]
+    for of, equal, width in [
+        ([10**9, 40, 10**9, 700, 3, 50], [], 1),
+        ([10**9, 600, 2, 10**9, 600, 5], alone, 2),
+        ([10**9] * 6, both, 3),
+        ([10**9] * 6, both[:15], 3),
+        ([10**9] * 6, both[:15] + [(41, 42, range(6))], 0),
+        ([2, 3, 3, 2, 4, 2], [], 0),
+    ]:
+        rows = [[rng.randrange(k) for k in of] for _ in range(600)]
+        for a, b, some in equal:
+            for c in some:
+                rows[b][c] = rows[a][c]
+        rows = [dict(zip("abcdef", [r[0], f"s{r[1]}", r[2], r[3] / 4, r[4], r[5]])) for r in rows]
+        rows[0]["f"] = None
+        df = spark.createDataFrame([tuple(r.values()) for r in rows], "a long, b string, c int, d double, e long, f int")
+        want = _least_keys_by_hand("abcdef", rows)
+        assert (len(want[0]) if want else 0) == width
+        assert C.least_keys(df, part_rows=60) == want
+        assert collide or C.least_keys(df) == want
+
+
+def test_repeated_hashes(spark):
+    df = spark.range(0, 300_000, 1, 3).selectExpr("if(id % 2 = 0 AND id < 200000, 1, id) AS a", "id AS b")
+    df = df.union(spark.createDataFrame([(250_001, 0)], "a long, b long"))
+    want = sorted(r["h"] for r in spark.sql("SELECT explode(array(xxhash64(1L), xxhash64(250001L))) AS h").collect())
+    for n in (300_001, 40 * C.BUCKET):
+        assert sorted(r["h"] for r in C.repeated_hashes(df, ("a",), n).collect()) == want
+        assert C.repeated_hashes(df, ("a", "b"), n).count() == 0
